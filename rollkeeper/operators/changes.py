@@ -23,6 +23,11 @@ REJECT = "reject"
 COLUMNS = ["action", "reason", "before", "after"]
 
 
+def row_type(state: DataFrame) -> T.StructType:
+    """The schema of a target row, every column nullable."""
+    return T.StructType([T.StructField(f.name, f.dataType) for f in state.schema])
+
+
 def row_after(schema: T.StructType, values: dict[str, Column], base: str | None = None) -> Column:
     """A row of the target: ``values`` over the stored row ``base`` or over nulls."""
 
@@ -90,7 +95,7 @@ def upsert(
     Without ``inserts`` unknown keys are left alone. With ``when_differs`` a known
     row is updated only if one of those columns changes, else it is ``none``.
     """
-    schema = state.schema
+    schema = row_type(state)
     joined = with_stored(df, stored_row(state, list(on.values()), pick, among), on)
     known = F.col("before").isNotNull()
     updated = change(UPDATE, schema, row_after(schema, updates, "before"), True)
@@ -112,7 +117,7 @@ def number_inserts(changes: DataFrame, state: DataFrame, key: str, natural: list
     inserts = changes.filter(F.col("action") == INSERT).select("after.*")
     top = state.agg(F.max(key)).first()[0] or 0
     numbered = assign_keys(inserts, natural, key, top)
-    schema = state.schema
+    schema = row_type(state)
     rows = numbered.select(
         F.lit(INSERT).alias("action"),
         F.lit(None).cast("string").alias("reason"),

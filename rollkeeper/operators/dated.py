@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import differs
 from rollkeeper.functions.dates import next_day
-from rollkeeper.operators.changes import END, INSERT, NONE, UPDATE, change, emit, row_after
+from rollkeeper.operators.changes import END, INSERT, NONE, UPDATE, change, emit, row_after, row_type
 from rollkeeper.operators.gate import is_open, of_kinds
 
 # Kinds of contact rows, and what every new one carries.
@@ -39,7 +39,7 @@ ADDRESS = ["line1", "line2", "line3", "city", "st", "zip", "ctry", "phone"]
 def new_contact(state: DataFrame, values: dict[str, Column]) -> Column:
     """A new open row with the fixed values, as far as the target has the columns."""
     fixed = {c: F.lit(v) for c, v in NEW_CONTACT.items() if c in state.columns}
-    return row_after(state.schema, {**fixed, **values})
+    return row_after(row_type(state), {**fixed, **values})
 
 
 def open_and_newest(state: DataFrame, keys: list[str], number: str, begin: str) -> DataFrame:
@@ -71,7 +71,7 @@ def end_and_insert(
     after the newest begin date; ``max_plus_one`` ends ``as_of`` and begins the day
     after the newest begin date. A person without any row begins ``as_of``.
     """
-    schema = state.schema
+    schema = row_type(state)
     found = open_and_newest(state, [person, kind], number, begin)
     batch = incoming.select(
         F.col(person).alias("_person"), F.col(kind).alias("_kind"), F.col(value).alias("_value")
@@ -117,7 +117,7 @@ def archive_address(old: DataFrame, state: DataFrame, as_of: Column) -> DataFram
     update it. Otherwise end the open row, which becomes a previous address, and
     insert the replaced one from the day after.
     """
-    schema = state.schema
+    schema = row_type(state)
     open_rows = state.filter(is_open() & of_kinds("aa", ADDRESS_KINDS))
     newest_previous = F.max(F.when(F.col("aa") == PREVIOUS, F.col("beg_date")))
     found = open_rows.groupBy(F.col("id").alias("_on_id")).agg(
@@ -153,7 +153,7 @@ def set_directory(df: DataFrame, state: DataFrame, as_of: Column) -> DataFrame:
     ``df`` has ``id``, ``fullname``, ``location``, ``phone``, ``ext``. Whether the
     stored row is open is not looked at.
     """
-    schema = state.schema
+    schema = row_type(state)
     found = (
         state.filter(F.col("aa") == DIRECTORY)
         .groupBy(F.col("id").alias("_on_id"))

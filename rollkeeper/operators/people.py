@@ -18,6 +18,7 @@ from rollkeeper.operators.changes import (
     change,
     emit,
     row_after,
+    row_type,
     stored_row,
     upsert,
     with_stored,
@@ -83,7 +84,7 @@ def person_changes(
         for name, value in new.items():
             values[name] = F.when(F.col("_moved"), value).otherwise(before.getField(name))
         touched = touched | F.col("_moved")
-    schema = people.schema
+    schema = row_type(people)
     updated = change(UPDATE, schema, row_after(schema, values, "before"), True)
     return emit(matched.filter(touched), F.array(updated))
 
@@ -122,7 +123,7 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
     Unknown person and both ids free: insert. Associate id held by another:
     reject. File number held by another: reject. Otherwise update.
     """
-    schema = xref.schema
+    schema = row_type(xref)
     seen = with_stored(batch, stored_row(xref, ["cx_id"]), {"id": "cx_id"})
     seen = seen.withColumn("_me", F.coalesce(F.col("before.cx_id"), F.lit(0)))
     seen = held_by_other(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.functions import codes, text
-from rollkeeper.operators.changes import END, change, emit, rejects_of, row_after, upsert
+from rollkeeper.operators.changes import END, change, emit, rejects_of, row_after, row_type, upsert
 from rollkeeper.operators.gate import is_active
 from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position
 from rollkeeper.operators.pick import CONFLICT, one_per_key
@@ -55,7 +55,7 @@ def code_table_changes(
         when_differs=list(texts),
         among=among,
     )
-    losers = rejects_of(lost, table.schema, {key: F.col(code), **values}, CONFLICT)
+    losers = rejects_of(lost, row_type(table), {key: F.col(code), **values}, CONFLICT)
     return changes.unionByName(losers)
 
 
@@ -145,7 +145,7 @@ def position_changes(keyed: DataFrame, positions: DataFrame, as_of: Column) -> D
         when_differs=["descr", "func_area", "hrpay"],
         pick="tpos_no",
     )
-    return changes.unionByName(rejects_of(lost, positions.schema, values, CONFLICT))
+    return changes.unionByName(rejects_of(lost, row_type(positions), values, CONFLICT))
 
 
 def current_jobs(jobs: DataFrame, positions: DataFrame, as_of: Column) -> DataFrame:
@@ -166,7 +166,7 @@ def ended_jobs(wanted: DataFrame, jobs: DataFrame, positions: DataFrame, as_of:
     current = current_jobs(jobs, positions, as_of)
     joined = wanted.select("id", "title_rank", "pcn_aggr").join(current, ["id", "title_rank"])
     replaced = joined.filter(F.col("_held_key") != F.col("pcn_aggr"))
-    schema = jobs.schema
+    schema = row_type(jobs)
     ended = change(END, schema, row_after(schema, {"end_date": as_of}, "before"), True)
     return emit(replaced, F.array(ended))
 
@@ -233,7 +233,7 @@ def job_changes(
     inserts = {**updates, "title_rank": F.col("title_rank")}
     upserted = upserted_jobs(won, jobs, as_of, updates, inserts)
     ended = without_updated(ended_jobs(won, jobs, positions, as_of), upserted)
-    losers = rejects_of(lost.unionByName(twice), jobs.schema, {**inserts, "tpos_no": F.col("tpos_no")}, CONFLICT)
+    losers = rejects_of(lost.unionByName(twice), row_type(jobs), {**inserts, "tpos_no": F.col("tpos_no")}, CONFLICT)
     return upserted.unionByName(ended).unionByName(losers)
 
 
@@ -252,7 +252,7 @@ def employment_changes(numbered: DataFrame, employment: DataFrame) -> DataFrame:
         "is_tenure_track": codes.is_tenure_track(F.col("worker_cat_code")),
     }
     changes = upsert(won, employment, {"id": "id"}, values, {"id": F.col("id"), **values})
-    losers = rejects_of(lost, employment.schema, {"id": F.col("id"), **values}, CONFLICT)
+    losers = rejects_of(lost, row_type(employment), {"id": F.col("id"), **values}, CONFLICT)
     return changes.unionByName(losers)
 
 
@@ -265,7 +265,7 @@ def second_job_changes(
     ``job_title_descr``, ``job_function_code``, ``position_start``, ``position_end``.
     A key with fewer than four parts or of no known position is a reject.
     """
-    schema = jobs.schema
+    schema = row_type(jobs)
     parts = rows.withColumn("_parts", text.split_position_key(F.col("pcn_aggr")))
     candidate = {"id": F.col("id"), "title_rank": F.col("title_rank"), "job_title": F.col("job_title_descr")}
     malformed = rejects_of(parts.filter(F.col("_parts").isNull()), schema, candidate, "bad_position_key")
