@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollkeeper.operators.keys import assign_keys
+from rollkeeper.session import written
 
 INSERT = "insert"
 UPDATE = "update"
@@ -113,7 +114,12 @@ def upsert(
 
 
 def number_inserts(changes: DataFrame, state: DataFrame, key: str, natural: list[str]) -> DataFrame:
-    """Gives each insert a ``key`` above the highest in use, in the order of ``natural``."""
+    """Gives each insert a ``key`` above the highest in use, in the order of ``natural``.
+
+    The changes are written once, so the numbers stay the same however often the
+    result is read.
+    """
+    changes = written(changes, f"numbered-{key}")
     inserts = changes.filter(F.col("action") == INSERT).select("after.*")
     top = state.agg(F.max(key)).first()[0] or 0
     numbered = assign_keys(inserts, natural, key, top)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollkeeper.session import written
-
 RANGES = 64
 SAMPLE_PER_RANGE = 50
 
@@ -28,11 +26,11 @@ def assign_keys(df: DataFrame, natural: list[str], key: str, start: int, ranges:
 
     Rows are cut into ranges of the natural key, numbered inside each range, and
     shifted by the number of rows in the ranges before. Only the bounds and one
-    count per range reach the driver.
+    count per range reach the driver. ``df`` is read three times, so it should be
+    a written table.
     """
-    fixed = written(df, "new-keys")
-    bounds = range_bounds(fixed, natural, ranges)
-    types = {f.name: f.dataType for f in fixed.schema}
+    bounds = range_bounds(df, natural, ranges)
+    types = {f.name: f.dataType for f in df.schema}
 
     def literal(row) -> Column:
         return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in natural])
@@ -40,9 +38,9 @@ def assign_keys(df: DataFrame, natural: list[str], key: str, start: int, ranges:
     here = F.struct(*[F.col(c).alias(c) for c in natural])
     if bounds:
         below = F.filter(F.array(*[literal(b) for b in bounds]), lambda b: b <= here)
-        ranged = fixed.withColumn("_range", F.size(below))
+        ranged = df.withColumn("_range", F.size(below))
     else:
-        ranged = fixed.withColumn("_range", F.lit(0))
+        ranged = df.withColumn("_range", F.lit(0))
     counts = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
     shifts, total = [], int(start)
     for i in range(len(bounds) + 1):

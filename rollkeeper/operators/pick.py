@@ -28,16 +28,21 @@ def one_per_key(df: DataFrame, keys: list[str], latest_by: str) -> tuple[DataFra
 
     The winner is the row with the latest ``latest_by``, ties broken by the row
     fingerprint; equal rows count as one. Rows with the same key and another
-    fingerprint are the losers. Only the fingerprint goes through the aggregate,
-    so a key that fills a third of the batch is folded map-side.
+    fingerprint are the losers. The winner comes out of one grouped maximum, so a
+    key that fills a third of the batch is folded map-side; the losers' join, which
+    must bring back every row, splits such a key.
     """
-    marked = df.withColumn("_fp", fingerprint(*[F.col(c) for c in df.columns]))
+    columns = df.columns
+    marked = df.withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
     rank = F.struct(F.col(latest_by), F.col("_fp"))
-    counted = marked.groupBy(*keys).agg(
+    rest = [c for c in columns if c not in keys]
+    won = marked.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
+    best = marked.groupBy(*keys).agg(
         F.max_by("_fp", rank).alias("_best"), F.count(F.lit(1)).alias("_n")
     )
-    hot = hottest(counted, keys, "_n")
-    judged = spread_join(marked, counted.drop("_n"), keys, "inner", hot, spread_by=["_fp"])
-    won = judged.filter(F.col("_fp") == F.col("_best")).dropDuplicates(keys)
+    # Only a key with several rows can have a loser.
+    several = best.filter(F.col("_n") > 1)
+    hot = hottest(several, keys, "_n")
+    judged = spread_join(marked, several.drop("_n"), keys, "inner", hot, spread_by=["_fp"])
     lost = judged.filter(F.col("_fp") != F.col("_best"))
-    return won.select(*df.columns), lost.select(*df.columns)
+    return won.select(*keys, "_row.*").select(*columns), lost.select(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from rollkeeper.functions import codes, text
 from rollkeeper.operators.changes import END, change, emit, rejects_of, row_after, row_type, upsert
 from rollkeeper.operators.gate import is_active
 from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position
-from rollkeeper.operators.pick import CONFLICT, one_per_key
+from rollkeeper.operators.pick import CONFLICT, one_per_key, pick_one
+from rollkeeper.session import written
 
 # What a new or changed position and job carries.
 POSITION_OFFICE = "OFC"
@@ -211,11 +214,11 @@ def job_changes(
     ranked = known_supervisor(ranked, "_number", xref, "adp_id", "_supervisor")
     won, lost = one_per_key(ranked, ["id", "title_rank"], "pos_effective_date")
     # Two ranks of one person in one position are one job: the smaller rank names it.
-    held_twice = won.groupBy("id", "tpos_no").agg(F.min(F.struct(F.col("title_rank").isNull(), "title_rank")).alias("_r"))
-    won = won.join(held_twice, ["id", "tpos_no"])
-    leads = F.col("title_rank").eqNullSafe(F.col("_r.title_rank"))
-    twice = won.filter(~leads).drop("_r")
-    won = won.filter(leads).drop("_r")
+    by_rank = F.struct(F.col("title_rank").isNull(), F.col("title_rank"))
+    lead = written(pick_one(won, ["id", "tpos_no"], by_rank), "jobs")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("id", "tpos_no", "title_rank")]
+    names = lead.select(*[F.col(c).alias(f"_{c}") for c in ("id", "tpos_no", "title_rank")])
+    twice = won.join(names, reduce(lambda a, b: a & b, same), "left_anti")
     updates = {
         "descr": F.col("job_title_descr"),
         "id": F.col("id"),
@@ -231,8 +234,8 @@ def job_changes(
         "hrclass": F.col("job_class_code"),
     }
     inserts = {**updates, "title_rank": F.col("title_rank")}
-    upserted = upserted_jobs(won, jobs, as_of, updates, inserts)
-    ended = without_updated(ended_jobs(won, jobs, positions, as_of), upserted)
+    upserted = upserted_jobs(lead, jobs, as_of, updates, inserts)
+    ended = without_updated(ended_jobs(lead, jobs, positions, as_of), upserted)
     losers = rejects_of(lost.unionByName(twice), row_type(jobs), {**inserts, "tpos_no": F.col("tpos_no")}, CONFLICT)
     return upserted.unionByName(ended).unionByName(losers)
 
@@ -280,6 +283,7 @@ def second_job_changes(
     numbered = with_position_number(whole, positions)
     numbered = lookup(numbered, "_dept", functions, "func", "func", "_func", "")
     numbered = text_of_position(numbered, "tpos_no", jobs, "tpos_no", "job_title", "_descr")
+    numbered = written(numbered, "second-jobs")
     won, lost = one_per_key(numbered, ["id", "title_rank"], "position_start")
     updates = {
         "descr": F.col("_descr"),

@@ -176,18 +176,15 @@ def fan_out(
         "hrdiv_table": positions.division_changes(jobs, targets["hrdiv_table"], today),
         "hrdept_table": positions.department_changes(jobs, targets["hrdept_table"], today),
     }
-    keyed = positions.with_position_key(jobs, targets["func_table"])
-    placed = written(
-        number_inserts(
-            positions.position_changes(keyed, targets["pos_table"], today),
-            targets["pos_table"],
-            "tpos_no",
-            ["pcn_aggr"],
-        ),
-        "fan-out-positions",
+    keyed = written(positions.with_position_key(jobs, targets["func_table"]), "fan-out-keyed")
+    placed = number_inserts(
+        positions.position_changes(keyed, targets["pos_table"], today),
+        targets["pos_table"],
+        "tpos_no",
+        ["pcn_aggr"],
     )
     next_positions = apply_changes(targets["pos_table"], placed, KEYS["pos_table"])
-    numbered = positions.with_position_number(keyed, next_positions)
+    numbered = written(positions.with_position_number(keyed, next_positions), "fan-out-numbered")
     job_changes = positions.job_changes(
         numbered, targets["job_rec"], next_positions, targets["cvid_rec"], today
     )
@@ -199,8 +196,7 @@ def fan_out(
     next_jobs = None
     if second_jobs is not None:
         key, natural = GENERATED["job_rec"]
-        job_changes = number_inserts(changes["job_rec"], targets["job_rec"], key, natural)
-        changes["job_rec"] = written(job_changes, "fan-out-jobs")
+        changes["job_rec"] = number_inserts(changes["job_rec"], targets["job_rec"], key, natural)
         next_jobs = apply_changes(targets["job_rec"], changes["job_rec"], [key])
         changes["second_job"] = positions.second_job_changes(
             second_jobs, next_jobs, next_positions, targets["func_table"], today
@@ -237,8 +233,9 @@ def run_fan_out(
     for target, changes in result.changes.items():
         if target in GENERATED:
             key, natural = GENERATED[target]
-            changes = number_inserts(changes, states[target], key, natural)
-        steps[target] = written(changes, f"changes-{target}")
+            steps[target] = number_inserts(changes, states[target], key, natural)
+        else:
+            steps[target] = written(changes, f"changes-{target}")
     log = FanOut(steps, result.rejects, result.warnings).log(batch_id, hide=PERSONAL)
     if apply:
         for target, changes in steps.items():

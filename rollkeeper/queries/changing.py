@@ -29,23 +29,26 @@ from rollkeeper.queries.inputs import (
     table,
 )
 
-TODAY = F.lit(EVENT_DAY)
 CONTACT = sqls.CONTACT
 STUDENT = "DPW"
 
 
+def today():
+    return F.lit(EVENT_DAY)
+
+
 def _flat_contacts(changes):
     return flat(changes, "aa_no", CONTACT)
 
 
 def phone_type2(spark, d):
     given = incoming(spark, d).withColumnRenamed("value", "phone")
-    return _flat_contacts(dated.set_phone(given, contacts(spark, d), TODAY))
+    return _flat_contacts(dated.set_phone(given, contacts(spark, d), today()))
 
 
 def _email(spark, d, rule):
     given = incoming(spark, d).withColumnRenamed("value", "email")
-    return _flat_contacts(dated.set_email(given, contacts(spark, d), TODAY, rule=rule))
+    return _flat_contacts(dated.set_email(given, contacts(spark, d), today(), rule=rule))
 
 
 def email_type2(spark, d):
@@ -86,7 +89,7 @@ replaced AS (
 
 
 def archive_address(spark, d):
-    return _flat_contacts(dated.archive_address(_replaced(spark, d), contacts(spark, d), TODAY))
+    return _flat_contacts(dated.archive_address(_replaced(spark, d), contacts(spark, d), today()))
 
 
 def _known(spark, d):
@@ -131,7 +134,7 @@ def _person_part(*parts):
 
 def contact_fan(spark, d):
     targets, staff, matched = _matched(spark, d)
-    return _flat_contacts(contact_changes(staff, matched, targets["aa_rec"], TODAY))
+    return _flat_contacts(contact_changes(staff, matched, targets["aa_rec"], today()))
 
 
 def directory_upsert(spark, d):
@@ -144,7 +147,7 @@ def directory_upsert(spark, d):
         F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_nationkey").cast("string")).alias("phone"),
         F.lit("").alias("ext"),
     )
-    return _flat_contacts(dated.set_directory(value, state, TODAY))
+    return _flat_contacts(dated.set_directory(value, state, today()))
 
 
 DIRECTORY_SQL = f"""
@@ -162,7 +165,7 @@ FROM (
 
 def profile_upsert(spark, d):
     targets, staff = _staff(spark, d)
-    return flat(people.profile_changes(staff, targets["profile_rec"], TODAY), "id", list(world.PROFILE))
+    return flat(people.profile_changes(staff, targets["profile_rec"], today()), "id", list(world.PROFILE))
 
 
 def xref_upsert(spark, d):
@@ -172,23 +175,23 @@ def xref_upsert(spark, d):
 
 def work_category_upsert(spark, d):
     targets, rows = _titled(spark, d)
-    changes = positions.work_category_changes(rows, targets["cc_work_cat_table"], TODAY)
+    changes = positions.work_category_changes(rows, targets["cc_work_cat_table"], today())
     return flat(changes, "work_cat_code", ["work_cat_code", "work_cat_descr", "active_date"])
 
 
 def job_class_upsert(spark, d):
     targets, rows = _titled(spark, d)
-    return flat(positions.job_class_changes(rows, targets["hrclass_table"], TODAY), "hrclass", ["hrclass", "txt", "active_date"])
+    return flat(positions.job_class_changes(rows, targets["hrclass_table"], today()), "hrclass", ["hrclass", "txt", "active_date"])
 
 
 def division_upsert(spark, d):
     targets, rows = _titled(spark, d)
-    return flat(positions.division_changes(rows, targets["hrdiv_table"], TODAY), "hrdiv", ["hrdiv", "descr", "beg_date"])
+    return flat(positions.division_changes(rows, targets["hrdiv_table"], today()), "hrdiv", ["hrdiv", "descr", "beg_date"])
 
 
 def dept_upsert(spark, d):
     targets, rows = _titled(spark, d)
-    changes = positions.department_changes(rows, targets["hrdept_table"], TODAY)
+    changes = positions.department_changes(rows, targets["hrdept_table"], today())
     return flat(changes, "hrdept", ["hrdept", "descr", "hrdiv", "beg_date"])
 
 
@@ -213,7 +216,7 @@ def apply_changes(spark, d):
     """The contacts after the emails of a run, new rows numbered."""
     state = contacts(spark, d)
     given = incoming(spark, d).withColumnRenamed("value", "email")
-    changes = dated.set_email(given, state, TODAY)
+    changes = dated.set_email(given, state, today())
     numbered = ch.number_inserts(changes, state, "aa_no", ["id", "aa", "beg_date"])
     return ch.apply_changes(state, numbered, ["aa_no"]).select("aa_no", *CONTACT)
 
@@ -254,7 +257,7 @@ FROM new_o n LEFT JOIN old_o o USING (o_orderkey) GROUP BY ALL
 def change_log(spark, d):
     """The log of the phone changes, the value hashed."""
     given = incoming(spark, d).withColumnRenamed("value", "phone")
-    changes = dated.set_phone(given, contacts(spark, d), TODAY)
+    changes = dated.set_phone(given, contacts(spark, d), today())
     log = ch.change_log(changes, "2024-01-28", "aa_rec", ["aa_no"], hide=["phone"])
     phone = F.get_json_object("after", "$.phone")
     begin = F.get_json_object("after", "$.beg_date")

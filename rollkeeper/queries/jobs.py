@@ -9,8 +9,9 @@ from rollkeeper.operators.changes import apply_changes, number_inserts
 from rollkeeper.operators.lookup import text_of_position
 from rollkeeper.queries import inputs, world
 from rollkeeper.queries import target_sql as sqls
-from rollkeeper.queries.changing import TODAY, _on_world, _titled
+from rollkeeper.queries.changing import _on_world, _titled, today
 from rollkeeper.queries.inputs import JOBS_SQL, ORDER_DAY, flat, sql
+from rollkeeper.session import written
 
 
 def current_position(spark, d):
@@ -53,8 +54,8 @@ WHERE held <> wanted
 
 def _placed(spark, d):
     targets, rows = _titled(spark, d)
-    keyed = ops.with_position_key(rows, targets["func_table"])
-    changes = ops.position_changes(keyed, targets["pos_table"], TODAY)
+    keyed = written(ops.with_position_key(rows, targets["func_table"]), "keyed")
+    changes = ops.position_changes(keyed, targets["pos_table"], today())
     placed = number_inserts(changes, targets["pos_table"], "tpos_no", ["pcn_aggr"])
     return targets, keyed, placed, apply_changes(targets["pos_table"], placed, ["tpos_no"])
 
@@ -71,8 +72,8 @@ def position_upsert(spark, d):
 
 def job_upsert(spark, d):
     targets, keyed, _, positions = _placed(spark, d)
-    numbered = ops.with_position_number(keyed, positions)
-    changes = ops.job_changes(numbered, targets["job_rec"], positions, targets["cvid_rec"], TODAY)
+    numbered = written(ops.with_position_number(keyed, positions), "numbered")
+    changes = ops.job_changes(numbered, targets["job_rec"], positions, targets["cvid_rec"], today())
     return flat(changes, "job_no", sqls.JOB_OUT)
 
 
@@ -86,7 +87,7 @@ def employment_upsert(spark, d):
 def second_job(spark, d):
     targets, _, _, positions = _placed(spark, d)
     changes = ops.second_job_changes(
-        world.second_jobs(spark, d), targets["job_rec"], positions, targets["func_table"], TODAY
+        world.second_jobs(spark, d), targets["job_rec"], positions, targets["func_table"], today()
     )
     return flat(changes, "job_no", sqls.JOB_OUT)
 
