@@ -32,11 +32,13 @@ def number_key(c: Column) -> Column:
     return F.coalesce(c.try_cast("bigint").cast("string"), c.cast("string"))
 
 
-def fingerprint(*columns: Column) -> Column:
+def fingerprint(*columns: Column, null_marks: list[str] | None = None) -> Column:
     """One binary key for a whole row. Each value carries its length, null its own
-    mark, so two rows share a key only if all their columns are equal."""
+    mark (``null_marks``, one per column), so two rows share a key only if all their
+    columns are equal. The key is declared non-null: a join on it then needs no null
+    check over every column, which Catalyst would carry through each projection."""
     parts = []
-    for c in columns:
+    for c, mark in zip(columns, null_marks or ["-"] * len(columns)):
         value = c.cast("string")
-        parts.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("-")))
-    return F.unhex(F.sha2(F.concat_ws(",", *parts), 256))
+        parts.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit(mark)))
+    return F.coalesce(F.unhex(F.sha2(F.concat_ws(",", *parts), 256)), F.lit(b""))

@@ -74,13 +74,13 @@ def not_in_latest(
     """Candidates that equal no row of ``latest`` in all ``columns``.
 
     Columns in ``dates`` treat null and null as equal, columns in ``numbers``
-    compare as numbers, and in all others a stored null equals nothing.
+    compare as numbers, and in all others a null equals nothing: it carries another
+    mark on either side.
     """
-    def key(df: DataFrame) -> DataFrame:
+    def key(df: DataFrame, null: str) -> DataFrame:
         values = [number_key(F.col(c)) if c in numbers else F.col(c) for c in columns]
-        return df.withColumn("_fp", fingerprint(*values))
+        marks = ["-" if c in dates else null for c in columns]
+        return df.withColumn("_fp", fingerprint(*values, null_marks=marks))
 
-    strict = [c for c in columns if c not in dates]
-    comparable = latest.dropna(subset=strict) if strict else latest
-    known = key(comparable).select("_fp").distinct()
-    return key(candidates).join(known, "_fp", "left_anti").drop("_fp")
+    known = key(latest, "stored").select("_fp").distinct()
+    return key(candidates, "given").join(known, "_fp", "left_anti").drop("_fp")

@@ -48,7 +48,7 @@ def spread_join(
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     salted_left = (
         flagged(left)
-        .withColumn("_salt", F.when(F.col("_is_hot").isNotNull(), salt).otherwise(0))
+        .withColumn("_salt", F.coalesce(F.when(F.col("_is_hot").isNotNull(), salt), F.lit(0)))
         .drop("_is_hot")
     )
     last = F.when(F.col("_is_hot").isNotNull(), SALTS - 1).otherwise(0)

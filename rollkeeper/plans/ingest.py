@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rollkeeper.contract import PEOPLE, STAMP, Contract
 from rollkeeper.operators import gate
 from rollkeeper.operators.snapshot import latest_snapshot, not_in_latest, snapshot_diff
+from rollkeeper.session import written
 from rollkeeper.sources.history import append_history, stamped
 
 NO_TITLE = gate.SKIP + "no_job_title_code"
@@ -45,23 +46,17 @@ def ingest(
     mode: str = "stamp_in",
     numbers: tuple[str, ...] = ("file_no", "carthage_id"),
 ) -> Ingest:
-    """Plan of one run; nothing is written here.
+    """Plan of one run; nothing is appended here. The cleaned feed is written to the
+    shared folder once, since both the accepted and the rejected rows come from it.
 
     ``feed`` has the short names, ``history`` the history columns and the stamp.
     For a person with several rows add what tells them apart (``position_id``) to
     both key lists and use ``per_key``: then a second run appends nothing.
     """
-    cleaned = clean(feed, contract)
+    cleaned = written(clean(feed, contract), "cleaned-feed")
     readable, unreadable = gate.accepted(cleaned), gate.rejected(cleaned)
 
-    trimmed = history.select(
-        *[
-            F.trim(F.col(f.history)).alias(f.history) if f.type == "string" else F.col(f.history)
-            for f in contract.fields
-        ],
-        STAMP,
-    )
-    view = latest_snapshot(trimmed, list(view_keys), STAMP, mode)
+    view = latest_snapshot(contract.trimmed(history), list(view_keys), STAMP, mode)
     changed = snapshot_diff(readable, contract.from_history(view), blank_is_null=True)
 
     marked = gate.judged(
