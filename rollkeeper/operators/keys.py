@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+MOST_RANGES = 512
 SAMPLE_PER_RANGE = 50
 
 
@@ -21,7 +21,7 @@ def range_bounds(df: DataFrame, key: list[str], ranges: int) -> list:
     return sample[SAMPLE_PER_RANGE::SAMPLE_PER_RANGE]
 
 
-def assign_keys(df: DataFrame, natural: list[str], key: str, start: int, ranges: int = RANGES) -> DataFrame:
+def assign_keys(df: DataFrame, natural: list[str], key: str, start: int, ranges: int | None = None) -> DataFrame:
     """``key`` = ``start`` + rank of the natural key, which must be unique in ``df``.
 
     Rows are cut into ranges of the natural key, numbered inside each range, and
@@ -29,6 +29,7 @@ def assign_keys(df: DataFrame, natural: list[str], key: str, start: int, ranges:
     count per range reach the driver. ``df`` is read three times, so it should be
     a written table.
     """
+    ranges = ranges or min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = range_bounds(df, natural, ranges)
     types = {f.name: f.dataType for f in df.schema}
 

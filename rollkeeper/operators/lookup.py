@@ -1,8 +1,8 @@
 """Checks of a batch against code tables and owners, as set joins.
 
-No broadcast hint is given: Spark broadcasts a code table when its size on disk
-is below the session's limit and shuffles it otherwise, where adaptive execution
-splits a partition that a popular code makes too large.
+No broadcast hint is given for a code table: Spark broadcasts it when its size on
+disk is below the session's limit. Beyond that the rows of a popular code are split
+over many tasks.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import differs
-from rollkeeper.operators.spread import hottest, spread_join
+from rollkeeper.operators.spread import balanced_join, hottest, spread_join
 
 INSERT, UPDATE, NONE = "insert", "update", "none"
 
@@ -22,9 +22,9 @@ def lookup(
     """``into`` = ``returns`` of the row whose ``key`` equals ``value``, else ``miss``."""
     codes = table.groupBy(F.col(key).alias("_code")).agg(F.min(returns).alias("_found"))
     return (
-        df.join(codes, F.col(value) == F.col("_code"), "left")
+        balanced_join(df, value, codes, "_code")
         .withColumn(into, F.coalesce(F.col("_found"), F.lit(miss)))
-        .drop("_code", "_found")
+        .drop("_found")
     )
 
 
@@ -44,17 +44,15 @@ def needs_update(
     df: DataFrame, code: str, text: str, table: DataFrame, key: str, descr: str, into: str = "action"
 ) -> DataFrame:
     """``insert`` for an unknown code, ``update`` for another text, else ``none``."""
-    codes = table.groupBy(F.col(key).alias("_code")).agg(F.min(descr).alias("_descr"))
+    codes = table.groupBy(F.col(key).alias("_code")).agg(
+        F.min(descr).alias("_descr"), F.lit(True).alias("_known")
+    )
     action = (
-        F.when(F.col("_code").isNull(), INSERT)
+        F.when(F.col("_known").isNull(), INSERT)
         .when(differs(F.col("_descr"), F.col(text)), UPDATE)
         .otherwise(NONE)
     )
-    return (
-        df.join(codes, F.col(code) == F.col("_code"), "left")
-        .withColumn(into, action)
-        .drop("_code", "_descr")
-    )
+    return balanced_join(df, code, codes, "_code").withColumn(into, action).drop("_descr", "_known")
 
 
 def held_by_other(
@@ -79,21 +77,18 @@ def held_by_other(
     owners = first.join(second, "_held", "left")
     other = F.when(F.col("_first") != F.col(me), F.col("_first")).otherwise(F.col("_second"))
     return (
-        df.join(owners, F.col(value) == F.col("_held"), "left")
+        balanced_join(df, value, owners, "_held")
         .withColumn(into, F.coalesce(other, F.lit(miss)))
-        .drop("_held", "_first", "_second")
+        .drop("_first", "_second")
     )
 
 
 def known_supervisor(df: DataFrame, number: str, people: DataFrame, key: str, into: str) -> DataFrame:
     """The supervisor's number where it is a known one above zero, else 0."""
-    known = people.select(F.col(key).try_cast("int").alias("_known")).dropna().distinct()
-    asked = F.col(number).try_cast("int")
-    return (
-        df.join(known, (asked == F.col("_known")) & (asked >= 1), "left")
-        .withColumn(into, F.coalesce(F.col("_known"), F.lit(0)))
-        .drop("_known")
-    )
+    known = people.select(F.col(key).try_cast("int").alias("_number")).filter("_number >= 1").distinct()
+    asked = df.withColumn("_asked", F.col(number).try_cast("int"))
+    found = balanced_join(asked, "_asked", known.withColumn("_known", F.col("_number")), "_number")
+    return found.withColumn(into, F.coalesce(F.col("_known"), F.lit(0))).drop("_asked", "_known")
 
 
 def warnings_for(df: DataFrame, checks: list[tuple[str, str, DataFrame, str]], keep: list[str]) -> DataFrame:
@@ -114,7 +109,7 @@ def text_of_position(df: DataFrame, key: str, jobs: DataFrame, jobs_key: str, ti
     """The job title recorded for a position; the smallest when there are several."""
     titles = jobs.groupBy(F.col(jobs_key).alias("_pos")).agg(F.min(title).alias("_title"))
     return (
-        df.join(titles, F.col(key) == F.col("_pos"), "left")
+        balanced_join(df, key, titles, "_pos")
         .withColumn(into, F.coalesce(F.col("_title"), F.lit("")))
-        .drop("_pos", "_title")
+        .drop("_title")
     )

@@ -12,6 +12,7 @@ from rollkeeper.operators.changes import END, change, emit, rejects_of, row_afte
 from rollkeeper.operators.gate import is_active
 from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position
 from rollkeeper.operators.pick import CONFLICT, one_per_key, pick_one
+from rollkeeper.operators.spread import balanced_join
 from rollkeeper.session import written
 
 # What a new or changed position and job carries.
@@ -199,7 +200,7 @@ def without_updated(ended: DataFrame, upserted: DataFrame) -> DataFrame:
 def with_position_number(keyed: DataFrame, positions: DataFrame) -> DataFrame:
     """Inner join to the position number by key."""
     numbers = positions.groupBy("pcn_aggr").agg(F.min("tpos_no").alias("tpos_no"))
-    return keyed.join(numbers, "pcn_aggr")
+    return balanced_join(keyed, "pcn_aggr", numbers, "pcn_aggr", "inner")
 
 
 def job_changes(

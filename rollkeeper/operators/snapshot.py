@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rollkeeper.functions.compare import fingerprint, number_key
 from rollkeeper.operators.pick import pick_one
 from rollkeeper.operators.spread import hottest, key_counts, spread_join
+from rollkeeper.session import written
 
 
 def latest_snapshot(
@@ -25,17 +26,13 @@ def latest_snapshot(
         return pick_one(df, keys, order)
     top = df.groupBy(*keys).agg(F.max(stamp).alias(stamp), F.count(F.lit(1)).alias("_n"))
     if mode == "stamp_in":
-        # A stamp is a batch: the first load may hold most of the table.
-        stamps = top.select(stamp).distinct()
-        hot = hottest(key_counts(df, [stamp]), [stamp], "_n")
-        return spread_join(
-            df.filter(F.col(stamp).isNotNull()),
-            stamps.filter(F.col(stamp).isNotNull()),
-            [stamp],
-            "left_semi",
-            hot,
-            spread_by=keys,
-        )
+        # The stamps are written first: with one stamp per batch they are a small
+        # file that Spark broadcasts, and the wide history is not shuffled at all.
+        # Where they are many the join splits a batch that holds most of the table.
+        stamps = written(top.select(stamp).dropna().distinct(), "stamps")
+        dated = df.filter(F.col(stamp).isNotNull())
+        hot = hottest(key_counts(dated, [stamp]), [stamp], "_n")
+        return spread_join(dated, stamps, [stamp], "left_semi", hot, spread_by=keys)
     if mode == "per_key":
         hot = hottest(top, [*keys, stamp], "_n")
         newest = top.filter(F.col(stamp).isNotNull()).drop("_n")

@@ -63,3 +63,15 @@ def spread_join(
     on += [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
     joined = salted_left.join(salted_right, reduce(lambda a, b: a & b, on), how)
     return joined.drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])
+
+
+def balanced_join(df: DataFrame, value: str, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """``df`` with the columns that ``right`` holds for its ``value``.
+
+    ``right`` is unique on ``key``. A right side that Spark knows to be small is
+    broadcast; otherwise popular values of ``df`` are split over many tasks. (The
+    right side is usually an aggregate, which keeps adaptive execution from
+    splitting the left one by itself.) A null value finds nothing.
+    """
+    known = right.filter(F.col(key).isNotNull()).withColumnRenamed(key, value)
+    return spread_join(df, known, [value], how, hottest(key_counts(df, [value]), [value], "_n"))

@@ -30,10 +30,19 @@ class Ingest:
 
 
 def clean(feed: DataFrame, contract: Contract = PEOPLE) -> DataFrame:
-    """Cleaned columns, and the reason why a row cannot be cleaned."""
-    marked = gate.judged(feed, gate.bad_date_rules([f.name for f in contract.date_fields]))
+    """Cleaned columns, and the reason why a row cannot be cleaned.
+
+    Each date is read once: the reason looks at the cleaned date beside its text.
+    """
+    kept = [gate.REASON] if gate.REASON in feed.columns else []
+    texts = [F.col(f.name).alias(f"_{f.name}") for f in contract.date_fields]
     cleaned = [f.clean(F.col(f.name)).alias(f.name) for f in contract.fields]
-    return marked.select(*cleaned, gate.REASON)
+    rules = [
+        (f"bad_value:{f.name}", (F.col(f"_{f.name}") != "") & F.col(f.name).isNull())
+        for f in contract.date_fields
+    ]
+    marked = gate.judged(feed.select(*cleaned, *texts, *kept), rules)
+    return marked.select(*contract.names, gate.REASON)
 
 
 def ingest(
@@ -46,8 +55,9 @@ def ingest(
     mode: str = "stamp_in",
     numbers: tuple[str, ...] = ("file_no", "carthage_id"),
 ) -> Ingest:
-    """Plan of one run; nothing is appended here. The cleaned feed is written to the
-    shared folder once, since both the accepted and the rejected rows come from it.
+    """One run; nothing is appended here. The cleaned feed and its changed rows are
+    written to the shared folder, so each is worked out once. The first of
+    ``verify_keys`` is the person.
 
     ``feed`` has the short names, ``history`` the history columns and the stamp.
     For a person with several rows add what tells them apart (``position_id``) to
@@ -59,18 +69,24 @@ def ingest(
     view = latest_snapshot(contract.trimmed(history), list(view_keys), STAMP, mode)
     changed = snapshot_diff(readable, contract.from_history(view), blank_is_null=True)
 
-    marked = gate.judged(
-        changed,
-        [
-            gate.empty_rule(NO_TITLE, "job_title_code"),
-            gate.empty_rule(NO_ID, "carth_id"),
-            (BAD_ID, F.col("carth_id").try_cast("int").isNull()),
-            gate.empty_rule(NO_FILE_NUMBER, "file_number"),
-        ],
+    marked = written(
+        gate.judged(
+            changed,
+            [
+                gate.empty_rule(NO_TITLE, "job_title_code"),
+                gate.empty_rule(NO_ID, "carth_id"),
+                (BAD_ID, F.col("carth_id").try_cast("int").isNull()),
+                gate.empty_rule(NO_FILE_NUMBER, "file_number"),
+            ],
+        ),
+        "changed-rows",
     )
-    # The newest rows per person are all in the view, so it is the one to search.
-    latest = latest_snapshot(view, list(verify_keys), STAMP, "per_key")
     candidates = contract.to_history(gate.accepted(marked))
+    # The newest rows per person are all in the view, and only persons with a
+    # changed row are asked for: most of the view stays where it is.
+    person = verify_keys[0]
+    asked = view.join(candidates.select(person).distinct(), person, "left_semi")
+    latest = latest_snapshot(asked, list(verify_keys), STAMP, "per_key")
     dates = [f.history for f in contract.date_fields]
     unseen = not_in_latest(candidates, latest, contract.history_names, dates, list(numbers))
     return Ingest(

@@ -310,7 +310,7 @@ JOB_OUT = [
     "end_date", "job_title", "title_rank", "worker_ctgry", "hrclass",
 ]
 
-_NUMBERED = ["pcn_aggr", *BATCH, "id", "unit", "dept", "func", "tpos_no"]
+_NUMBERED = [*BATCH, "id", "unit", "dept", "pcn_aggr", "func", "tpos_no"]
 
 
 def jobs_ctes(rows: str, prefix: str, state: str, columns: list[str], latest: str) -> str:
@@ -411,7 +411,7 @@ second_rows AS (
     "second_rows",
     "sj",
     "job_rec",
-    ["pcn_aggr", "id", "title_rank", "worker_cat_code", "job_title_descr", "job_function_code", "position_start",
+    ["id", "title_rank", "pcn_aggr", "worker_cat_code", "job_title_descr", "job_function_code", "position_start",
      "position_end", "pay", "unit", "dept", "tpos_no", "func", "old_title"],
     "position_start",
 ).strip()}

@@ -52,7 +52,9 @@ def _raw(text: str, day: str) -> dict[str, str]:
 
 
 def feed(spark, d) -> DataFrame:
-    orders = world._orders(spark, d)
+    # The rows become some hundred times wider here, so they are spread out first.
+    parts = spark.sparkContext.defaultParallelism
+    orders = world.orders(spark, d).repartition(parts, "o_orderkey")
     raw = _raw("STRING", "date_format(date_add(CAST(o_orderdate AS DATE), {days}), 'M/d/yyyy')")
     return orders.select("o_orderdate", *[F.expr(e).alias(n) for n, e in raw.items()])
 

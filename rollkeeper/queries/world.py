@@ -236,25 +236,25 @@ def _sql(name: str, columns: dict[str, str], source: str) -> str:
     return f"{name} AS (SELECT {', '.join(_expressions(columns, 'VARCHAR'))} FROM {source})"
 
 
-def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    orders, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+def orders(spark: SparkSession, folder: str) -> DataFrame:
+    rows, customer = table(spark, folder, "orders"), table(spark, folder, "customer")
+    return rows.join(customer, F.col("o_custkey") == F.col("c_custkey"))
 
 
 ORDERS_SQL = "orders JOIN customer ON o_custkey = c_custkey"
 
 
 def batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _spark(_orders(spark, folder), BATCH)
+    return _spark(orders(spark, folder), BATCH)
 
 
 def targets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     def read(name):
         return table(spark, folder, name)
 
-    orders = _orders(spark, folder)
+    placed = orders(spark, folder)
     nation = read("nation")
-    old = orders.filter(
+    old = placed.filter(
         (F.to_date("o_orderdate") < F.lit(CUT_DAY)) & F.col("c_nationkey").between(5, 19)
     ).withColumn("pcn_aggr", F.expr(POSITION_KEY.format(text="STRING")))
     position = old.groupBy("pcn_aggr").agg(

@@ -21,6 +21,8 @@ def build_session(name: str = "rollkeeper", cpus: str = "*", **conf: str) -> Spa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # Wide rows mean thousands of column calls; do not record a call site for each.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
