@@ -45,7 +45,9 @@ def spread_join(
         same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
         return df.join(hot, reduce(lambda a, b: a & b, same), "left").drop(*[f"_hot_{k}" for k in keys])
 
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
+    # Rows of nothing but the key are told apart by the task that reads them.
+    mixed = F.xxhash64(*spread_by) if spread_by else F.spark_partition_id()
+    salt = F.pmod(mixed, F.lit(SALTS)).cast("int")
     salted_left = (
         flagged(left)
         .withColumn("_salt", F.coalesce(F.when(F.col("_is_hot").isNotNull(), salt), F.lit(0)))
