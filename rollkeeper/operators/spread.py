@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
 SALTS = 32
+FEW_KEYS = 500_000
 
 
 def hottest(counted: DataFrame, keys: list[str], count: str) -> DataFrame:
@@ -77,3 +78,21 @@ def balanced_join(df: DataFrame, value: str, right: DataFrame, key: str, how: st
     """
     known = right.filter(F.col(key).isNotNull()).withColumnRenamed(key, value)
     return spread_join(df, known, [value], how, hottest(key_counts(df, [value]), [value], "_n"))
+
+
+def few_keys(df: DataFrame, key: str) -> DataFrame | None:
+    """The distinct keys of a written batch if there are at most ``FEW_KEYS``."""
+    keys = df.select(key).distinct()
+    return keys if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else None
+
+
+def narrowed(state: DataFrame, key: str, asked: DataFrame | None) -> DataFrame:
+    """Rows of ``state`` with a key that ``asked`` holds.
+
+    A counted, small key list is broadcast, so a nightly batch touches a big state
+    in one filtered scan. Without one (``None``) the state is used as it is.
+    """
+    if asked is None:
+        return state
+    known = F.broadcast(asked.withColumnRenamed(asked.columns[0], "_asked"))
+    return state.join(known, F.col(key) == F.col("_asked"), "left_semi")

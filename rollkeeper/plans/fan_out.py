@@ -14,6 +14,7 @@ from rollkeeper.operators import dated, gate, people, positions
 from rollkeeper.operators.changes import apply_changes, change_log, number_inserts, run_counts
 from rollkeeper.operators.lookup import exists_in, missing_in, warnings_for
 from rollkeeper.operators.pick import CONFLICT, one_per_key
+from rollkeeper.operators.spread import few_keys, narrowed
 from rollkeeper.session import written
 from rollkeeper.sources.tables import append_log, write_table
 
@@ -42,6 +43,7 @@ GENERATED = {
     "job_rec": ("job_no", ["id", "tpos_no"]),
     "second_job": ("job_no", ["id", "tpos_no"]),
 }
+BY_PERSON = ["id_rec", "aa_rec", "profile_rec", "job_rec", "hremp_rec"]
 PERSONAL = ["ss_no", "ssn", "line1", "line2", "line3", "addr_line1", "addr_line2", "addr_line3", "phone"]
 
 # Columns that describe the person, not one of the person's positions.
@@ -160,11 +162,13 @@ def fan_out(
     _, staff = gate.route(person, "payroll_comp_code", codes.STUDENT_PAY_CODE)
     _, staff_rows = gate.route(known, "payroll_comp_code", codes.STUDENT_PAY_CODE)
 
-    matched = people.match_people(staff, targets["id_rec"], targets["title_table"], targets["ctry_table"])
+    asked = few_keys(person, "id")
+    near = {t: narrowed(targets[t], "id", asked) for t in BY_PERSON}
+    matched = people.match_people(staff, near["id_rec"], targets["title_table"], targets["ctry_table"])
     changes = {
-        "id_rec": people.person_changes(matched, targets["id_rec"]),
-        "aa_rec": contact_changes(staff, matched, targets["aa_rec"], today, email_rule),
-        "profile_rec": people.profile_changes(staff, targets["profile_rec"], today),
+        "id_rec": people.person_changes(matched, near["id_rec"]),
+        "aa_rec": contact_changes(staff, matched, near["aa_rec"], today, email_rule),
+        "profile_rec": people.profile_changes(staff, near["profile_rec"], today),
         "cvid_rec": people.xref_changes(person, targets["cvid_rec"]),
     }
 
@@ -186,12 +190,12 @@ def fan_out(
     next_positions = apply_changes(targets["pos_table"], placed, KEYS["pos_table"])
     numbered = written(positions.with_position_number(keyed, next_positions), "fan-out-numbered")
     job_changes = positions.job_changes(
-        numbered, targets["job_rec"], next_positions, targets["cvid_rec"], today
+        numbered, near["job_rec"], next_positions, targets["cvid_rec"], today
     )
     changes |= {
         "pos_table": placed,
         "job_rec": job_changes,
-        "hremp_rec": positions.employment_changes(numbered, targets["hremp_rec"]),
+        "hremp_rec": positions.employment_changes(numbered, near["hremp_rec"]),
     }
     next_jobs = None
     if second_jobs is not None:

@@ -13,11 +13,14 @@ from rollkeeper.operators import gate
 from rollkeeper.operators.snapshot import latest_snapshot, not_in_latest, snapshot_diff
 from rollkeeper.session import written
 from rollkeeper.sources.history import append_history, stamped
+from rollkeeper.sources.tables import write_table
 
 NO_TITLE = gate.SKIP + "no_job_title_code"
 NO_ID = "no_person_id"
 BAD_ID = "bad_value:carth_id"
 NO_FILE_NUMBER = "no_file_number"
+VIEW_KEYS = ("carthage_id", "fullname")
+VERIFY_KEYS = ("carthage_id",)
 
 
 @dataclass(frozen=True)
@@ -50,8 +53,8 @@ def ingest(
     history: DataFrame,
     moment: datetime,
     contract: Contract = PEOPLE,
-    view_keys: tuple[str, ...] = ("carthage_id", "fullname"),
-    verify_keys: tuple[str, ...] = ("carthage_id",),
+    view_keys: tuple[str, ...] = VIEW_KEYS,
+    verify_keys: tuple[str, ...] = VERIFY_KEYS,
     mode: str = "stamp_in",
     numbers: tuple[str, ...] = ("file_no", "carthage_id"),
 ) -> Ingest:
@@ -96,9 +99,38 @@ def ingest(
     )
 
 
-def run_ingest(feed: DataFrame, history: DataFrame, history_path: str, moment: datetime, apply: bool = True, **options) -> Ingest:
-    """Plan and, unless it is a dry run, append the new rows."""
+def refresh_latest(
+    latest: DataFrame, new_rows: DataFrame, keys: tuple[str, ...] = VIEW_KEYS, mode: str = "stamp_in"
+) -> DataFrame:
+    """The newest recorded state after a batch, from the one before it.
+
+    The newest row of every key is in the old state or in the batch, so the long
+    history need not be read: a run may take this table in its place.
+    """
+    return latest_snapshot(latest.unionByName(new_rows), list(keys), STAMP, mode)
+
+
+def run_ingest(
+    feed: DataFrame,
+    history: DataFrame,
+    history_path: str,
+    moment: datetime,
+    apply: bool = True,
+    state_base: str | None = None,
+    **options,
+) -> Ingest:
+    """One run and, unless it is a dry run, the new rows appended.
+
+    ``history`` is the stored history or its newest state. With ``state_base`` the
+    next newest state is kept there as the table ``latest``.
+    """
     result = ingest(feed, history, moment, **options)
-    if apply:
-        append_history(result.new_rows, history_path)
-    return result
+    if not apply:
+        return result
+    fresh = written(result.new_rows, "new-rows")
+    append_history(fresh, history_path)
+    if state_base:
+        kept = {k: v for k, v in (("keys", options.get("view_keys")), ("mode", options.get("mode"))) if v}
+        known = history.select(*fresh.columns)
+        write_table(refresh_latest(known, fresh, **kept), state_base, "latest", f"{moment:%Y%m%dT%H%M%S}")
+    return Ingest(fresh, result.rejects, result.skipped)

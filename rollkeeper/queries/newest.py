@@ -8,7 +8,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from rollkeeper.operators import pick, snapshot
+from rollkeeper.plans.ingest import refresh_latest
 from rollkeeper.queries.inputs import (
+    CUT_DAY,
     HISTORY_SQL,
     ORDER_SNAPSHOTS_SQL,
     contacts,
@@ -28,6 +30,15 @@ def latest_stamp_in(spark, d):
     return snapshot.latest_snapshot(history(spark, d), ["id", "name"], "stamp", "stamp_in")
 
 
+def latest_refreshed(spark, d):
+    """The newest state kept from batch to batch equals that of the whole history."""
+    rows = history(spark, d).withColumnRenamed("stamp", "date_stamp")
+    before = F.to_date("date_stamp") < F.lit(CUT_DAY)
+    old = snapshot.latest_snapshot(rows.filter(before), ["id", "name"], "date_stamp")
+    now = refresh_latest(old, rows.filter(~before), ("id", "name"))
+    return now.withColumnRenamed("date_stamp", "stamp")
+
+
 def latest_per_key(spark, d):
     return snapshot.latest_snapshot(history(spark, d), ["id", "name"], "stamp", "per_key")
 
@@ -197,6 +208,13 @@ QUERIES = {
             "SELECT * FROM hist WHERE stamp IN (SELECT s FROM (SELECT max(stamp) AS s FROM hist GROUP BY id, name))",
         ),
     ),
+    "latest_refreshed": (
+        latest_refreshed,
+        sql(
+            HISTORY_SQL,
+            "SELECT * FROM hist WHERE stamp IN (SELECT s FROM (SELECT max(stamp) AS s FROM hist GROUP BY id, name))",
+        ),
+    ),
     "latest_per_key": (
         latest_per_key,
         sql(

@@ -143,6 +143,21 @@ def test_ingest_gate_and_second_run(spark, tmp_path):
     assert second.new_rows.count() == 0
 
 
+def test_kept_newest_state_stands_in_for_the_history(spark, tmp_path):
+    path, base = str(tmp_path / "history"), str(tmp_path / "state")
+    one, two = person(), person(carth_id="2", payroll_name="Roe, B")
+    run_ingest(frame(spark, [one, two]), empty_history(spark), path, MORNING, state_base=base, mode="per_key")
+    changed = [person(last_name="New"), two]
+    run_ingest(frame(spark, changed), read_table(spark, base, "latest"), path, datetime(2024, 1, 3), state_base=base, mode="per_key")
+    stored, latest = read_history(spark, path, PEOPLE), read_table(spark, base, "latest")
+    assert (stored.count(), latest.count()) == (3, 2)
+    feed = frame(spark, [person(last_name="Newer"), two, person()])
+    by_history = ingest(feed, stored, datetime(2024, 1, 4), mode="per_key").new_rows
+    by_latest = ingest(feed, latest, datetime(2024, 1, 4), mode="per_key").new_rows
+    assert sorted(by_history.collect()) == sorted(by_latest.collect())
+    assert by_latest.count() == 2
+
+
 def test_dry_run_writes_nothing(spark, tmp_path):
     path = tmp_path / "history"
     run_ingest(frame(spark, [person()]), empty_history(spark), str(path), MORNING, apply=False)
