@@ -185,22 +185,22 @@ class Contract:
         """Short names to history names and types."""
         return df.select(*[f.stored(F.col(f.name)).alias(f.history) for f in self.fields])
 
-    def trimmed(self, history: DataFrame) -> DataFrame:
-        """History rows without the padding a fixed-width store leaves, stamp kept."""
+    def unpadded(self, history: DataFrame) -> DataFrame:
+        """History rows without the padding of a fixed-width store, stamp kept."""
         columns = [
-            F.trim(F.col(f.history)).alias(f.history) if f.type == "string" else F.col(f.history)
+            F.rtrim(F.col(f.history)).alias(f.history) if f.type == "string" else F.col(f.history)
             for f in self.fields
         ]
         return history.select(*columns, STAMP)
 
     def from_history(self, df: DataFrame) -> DataFrame:
-        """History names to short names, ids as text."""
-        return df.select(
-            *[
-                (F.col(f.history).cast("string") if f.type == "int" else F.col(f.history)).alias(f.name)
-                for f in self.fields
-            ]
-        )
+        """History names to short names, text trimmed, ids as text."""
+
+        def value(f: Field) -> Column:
+            c = F.col(f.history)
+            return c if f.is_date else F.trim(c.cast("string"))
+
+        return df.select(*[value(f).alias(f.name) for f in self.fields])
 
     def to_feed(self, df: DataFrame) -> DataFrame:
         """Short names to the provider's headers, everything as text."""

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollkeeper.functions.compare import fingerprint, number_key
 from rollkeeper.operators.pick import pick_one
@@ -72,10 +73,17 @@ def not_in_latest(
 
     Columns in ``dates`` treat null and null as equal, columns in ``numbers``
     compare as numbers, and in all others a null equals nothing: it carries another
-    mark on either side.
+    mark on either side. Trailing blanks of a text do not count.
     """
+    texts = {f.name for f in latest.schema if isinstance(f.dataType, T.StringType)}
+
+    def value(c: str) -> Column:
+        if c in numbers:
+            return number_key(F.col(c))
+        return F.rtrim(F.col(c)) if c in texts else F.col(c)
+
     def key(df: DataFrame, null: str) -> DataFrame:
-        values = [number_key(F.col(c)) if c in numbers else F.col(c) for c in columns]
+        values = [value(c) for c in columns]
         marks = ["-" if c in dates else null for c in columns]
         return df.withColumn("_fp", fingerprint(*values, null_marks=marks))
 

@@ -69,7 +69,7 @@ def ingest(
     cleaned = written(clean(feed, contract), "cleaned-feed")
     readable, unreadable = gate.accepted(cleaned), gate.rejected(cleaned)
 
-    view = latest_snapshot(contract.trimmed(history), list(view_keys), STAMP, mode)
+    view = latest_snapshot(contract.unpadded(history), list(view_keys), STAMP, mode)
     changed = snapshot_diff(readable, contract.from_history(view), blank_is_null=True)
 
     marked = written(

@@ -37,7 +37,8 @@ RAW = {
 
 def _raw(text: str, day: str) -> dict[str, str]:
     """Raw text of each feed column: what ``RAW`` says, a spelled day, a spelled
-    phone number, or a long text that shows which column it is in."""
+    phone number, or a text that shows which column it is in, too long for a
+    column that is cut."""
     made = {}
     for place, f in enumerate(PEOPLE.fields):
         if f.name in RAW:
@@ -46,8 +47,10 @@ def _raw(text: str, day: str) -> dict[str, str]:
             made[f.name] = day.format(days=place)
         elif f.cleanup == "phone":
             made[f.name] = f"concat('(262) ', lpad(CAST(o_custkey + {place} AS {text}), 7, '5'))"
+        elif f.cleanup.startswith("left"):
+            made[f.name] = f"repeat(concat('{place} ', c_mktsegment, ' '), {int(f.cleanup[5:-1]) // 12 + 2})"
         else:
-            made[f.name] = f"concat(repeat(concat(c_mktsegment, ' '), 15), '{place}')"
+            made[f.name] = f"concat(c_mktsegment, ' {place}')"
     return made
 
 
@@ -133,7 +136,7 @@ def _equal(f) -> str:
         return f"h.{f.name} IS NOT DISTINCT FROM c.{f.name}"
     if f.type == "int" or f.history == "file_no":
         return f"CAST(h.{f.name} AS BIGINT) = CAST(c.{f.name} AS BIGINT)"
-    return f"h.{f.name} = c.{f.name}"
+    return f"rtrim(h.{f.name}) = rtrim(c.{f.name})"
 
 
 INGEST_CTES = f"""
@@ -148,7 +151,7 @@ view AS (
   SELECT * FROM hist WHERE date_stamp IN (SELECT max(date_stamp) FROM hist GROUP BY carth_id, payroll_name)),
 diff AS (
   SELECT {_listed(lambda f: f.name)} FROM read WHERE reject_reason IS NULL
-  EXCEPT SELECT {_listed(lambda f: f.name)} FROM view),
+  EXCEPT SELECT {_listed(lambda f: f.name if f.is_date else f"trim({f.name})")} FROM view),
 gated AS (
   SELECT *, CASE WHEN job_title_code = '' THEN 'skip' WHEN carth_id = '' THEN 'no_person_id'
     WHEN file_number = '' THEN 'no_file_number' END AS reject_reason FROM diff),

@@ -46,7 +46,8 @@ def compare(spark, folder, query, sql):
     if sorted(columns) != sorted(result.columns):
         return f"columns {sorted(result.columns)} against {sorted(columns)}"
     if mine != theirs:
-        only_mine = [r for r in mine if r not in set(theirs)][:3]
-        only_theirs = [r for r in theirs if r not in set(mine)][:3]
+        a, b = set(mine), set(theirs)
+        only_mine = [r for r in mine if r not in b][:3]
+        only_theirs = [r for r in theirs if r not in a][:3]
         return f"{len(mine)} against {len(theirs)} rows; only mine {only_mine}; only SQL {only_theirs}"
     return ""

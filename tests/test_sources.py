@@ -193,6 +193,17 @@ def test_padding_and_leading_zero(spark):
     assert ingest(frame(spark, [person(last_name="Doe", file_number="1")]), padded, MORNING).new_rows.count() == 0
 
 
+def test_outer_blanks_are_appended_once(spark, tmp_path):
+    """The difference trims the stored side only, so such a row comes back as new;
+    the check, which ignores trailing blanks, knows it."""
+    feed = frame(spark, [person(last_name="Doe  ", first_name=" Al", legal_country_code="US ")])
+    path = str(tmp_path / "history")
+    run_ingest(feed, empty_history(spark), path, MORNING)
+    stored = read_history(spark, path, PEOPLE)
+    assert stored.first()["firstname"] == " Al"
+    assert ingest(feed, stored, datetime(2024, 1, 3)).new_rows.count() == 0
+
+
 def test_history_is_partitioned_by_day(spark, tmp_path):
     rows = stamped(PEOPLE.to_history(clean(frame(spark, [person()])).drop(gate.REASON)), MORNING)
     append_history(rows, str(tmp_path / "h"))
