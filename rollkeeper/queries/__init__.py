@@ -1,4 +1,4 @@
-"""Registered queries over the test tables, each with its reference SQL."""
+"""Registered queries over the test tables, each with its comparison SQL."""
 
 from __future__ import annotations
 

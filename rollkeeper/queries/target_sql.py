@@ -1,4 +1,4 @@
-"""Reference SQL for the changes of each target, over the names of ``world``.
+"""Comparison SQL for the changes of each target, over the names of ``world``.
 
 Every piece is a SELECT with the columns ``action``, ``reason``, ``old_<key>`` and
 the new values.
