@@ -21,7 +21,6 @@ UPDATE = "update"
 END = "end_date"
 NONE = "none"
 REJECT = "reject"
-COLUMNS = ["action", "reason", "before", "after"]
 
 
 def row_type(state: DataFrame) -> T.StructType:

@@ -35,8 +35,10 @@ def read_table(spark: SparkSession, base: str, table: str, batch_id: str | None
 
 
 def append_log(df: DataFrame, base: str, log: str) -> None:
-    """Change log, rejects or warnings: appended, one folder per batch."""
-    df.write.mode("append").partitionBy("batch_id").parquet(f"{base}/{log}")
+    """Change log, rejects or warnings, one folder per batch. A batch that runs again
+    replaces its own folder and no other."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("batch_id").parquet(f"{base}/{log}")
 
 
 def reject_rows(rejects: DataFrame, batch_id: str, stage: str, reason: str, hide: list[str] | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollkeeper.plans.fan_out import KEYS, fan_out, run_fan_out
 from rollkeeper.queries import world
-from rollkeeper.sources.tables import read_table
+from rollkeeper.sources.tables import append_log, read_table
 
 FOLDER = "/root/testdata/sf0.001"
 DAY = date(2024, 1, 28)
@@ -65,6 +65,15 @@ def test_log_is_written_and_hides_personal_data(spark, ran):
     assert " Street" not in shown
 
 
+def test_a_batch_that_runs_again_replaces_its_log(spark, tmp_path):
+    row = spark.createDataFrame([("b1", 1), ("b1", 2)], "batch_id string, n int")
+    append_log(row, str(tmp_path), "log")
+    append_log(row.withColumn("batch_id", F.lit("b2")), str(tmp_path), "log")
+    append_log(row.limit(1), str(tmp_path), "log")
+    counts = spark.read.parquet(f"{tmp_path}/log").groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in counts} == {"b1": 1, "b2": 2}
+
+
 def test_second_run_changes_no_code_and_no_position(spark, ran):
     targets = {**ran[1], **{t: state(spark, ran, t) for t in KEYS if t != "second_job"}}
     again = fan_out(ran[2], targets, DAY)
