@@ -1,11 +1,13 @@
 """Registered queries of the corpus operators, and SQL where SQL can express them."""
 
-from rollkeeper.llm import decontaminate, licences, packing, shards, warc
+from rollkeeper.llm import decontaminate, huffman, licences, packing, shards, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op3_licences": licences.op3_licences,
+    "op4_simhash": simhash.op4_simhash,
     "op5_sharding": shards.op5_sharding,
+    "op6_huffman": huffman.op6_huffman,
     "op9_packing": packing.op9_packing,
     "op10_warc": warc.op10_warc,
 }
