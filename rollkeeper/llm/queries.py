@@ -1,9 +1,10 @@
 """Registered queries of the corpus operators, and SQL where SQL can express them."""
 
-from rollkeeper.llm import decontaminate, huffman, licences, packing, shards, simhash, warc
+from rollkeeper.llm import decontaminate, huffman, licences, packing, perplexity, shards, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_quality": perplexity.op2_quality,
     "op3_licences": licences.op3_licences,
     "op4_simhash": simhash.op4_simhash,
     "op5_sharding": shards.op5_sharding,
