@@ -305,13 +305,12 @@ def read_files(files: DataFrame, with_ids: bool = False) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, path in zip(batch.column("part").to_pylist(), batch.column("path").to_pylist(), strict=True):
+            for base, path in zip(batch.column("base").to_pylist(), batch.column("path").to_pylist(), strict=True):
                 store, place = located(path)
-                done = 0
+                done = base
                 with store.open_input_stream(place, compression=None, buffer_size=1 << 20) as stream:
                     for docs, counts, ids in read_blocks(stream):
                         columns = [
-                            pa.array(np.full(len(docs), part)),
                             pa.array(docs, pa.int64()),
                             pa.array(done + np.cumsum(counts) - counts),
                             pa.array(counts),
@@ -323,11 +322,10 @@ def read_files(files: DataFrame, with_ids: bool = False) -> DataFrame:
                         done += int(counts.sum())
                         yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["part", "doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids]
-    schema = "part bigint, doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids
-    base = files.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("_base"))
-    rows = spread_files(files).mapInArrow(run, schema).join(base, "part")
-    return rows.withColumn("start", F.col("start") + F.col("_base")).drop("part", "_base")
+    names = ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids]
+    schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids
+    base = F.sum("n").over(Window.orderBy("part")) - F.col("n")
+    return spread_files(files.select("path", base.alias("base"))).mapInArrow(run, schema)
 
 
 def write_corpus(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
