@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and SQL where SQL can express them."""
 
-from rollkeeper.llm import decontaminate, huffman, licences, packing, perplexity, runlength, shards, simhash, warc
+from rollkeeper.llm import classlm, decontaminate, huffman, licences, packing, perplexity, runlength, shards, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_sharding": shards.op5_sharding,
     "op6_huffman": huffman.op6_huffman,
     "op7_repeats": runlength.op7_repeats,
+    "op8_classes": classlm.op8_classes,
     "op9_packing": packing.op9_packing,
     "op10_warc": warc.op10_warc,
 }
