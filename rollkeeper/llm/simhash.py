@@ -8,8 +8,8 @@ meet under an equal variant, and the distance of those that meet is verified.
 Equal fingerprints are folded first. A variant shared by very many fingerprints isn't
 expanded into pairs: first each is held against the least one of the variant only, and
 the links so found are closed to components. Then only variants that still hold several
-components are joined, for pairs of different components; a pair that is left out lies in
-one component already, so the components are exact.
+components are joined, all but their largest component with the others; a pair that is
+left out lies in one component already, so the components are exact.
 
 No words, null included: fingerprint zero, linked like any other. A component's id is its
 smallest doc_id (null if it has none). Repeated rows share fingerprint and component.
@@ -117,23 +117,39 @@ def _apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
+def _index(rows: DataFrame, bits: int) -> DataFrame:
+    """The rows of ``rows`` (fp, ...) under each of their variants, dealt out before they get so many more."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "fp").withColumn("key", F.explode(variants(F.col("fp"), bits)))
+
+
 def link_components(distinct: DataFrame, bits: int) -> DataFrame:
-    """``distinct`` (fp, stored): for each fingerprint but the least of its component (a, b), b being the least."""
-    index = distinct.select("fp", F.explode(variants(F.col("fp"), bits)).alias("key"))
-    heads = index.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("_last")).filter("head < _last")
-    heads = written(heads.select("key", "head"), "heads")
-    met = index.join(heads, "key").filter(F.col("fp") != F.col("head")).filter(_apart("fp", "head") <= bits)
-    first = written(met.select(F.col("fp").alias("a"), F.col("head").alias("b")).distinct(), "first-links")
-    roots = components(first)
+    """``distinct`` (fp, stored): for each fingerprint but the least of its component (a, b), b being the least.
 
+    A variant of two fingerprints is settled where it is counted: they are its least and
+    its greatest. Larger ones are joined, first with their least fingerprint, then, as far
+    as they still hold several components, all but their largest component with the rest.
+    """
+    index = _index(distinct, bits)
+    heads = index.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("n"))
+    heads = written(heads.filter("n > 1"), "heads")
+    met = index.join(heads.filter("n > 2").select("key", "head"), "key").filter(F.col("fp") != F.col("head"))
+    met = met.filter(_apart("fp", "head") <= bits).select(F.col("fp").alias("a"), F.col("head").alias("b"))
+    pairs = heads.filter("n = 2").filter(_apart("head", "last") <= bits).select(F.col("last").alias("a"), F.col("head").alias("b"))
+    roots = components(written(met.unionByName(pairs).distinct(), "first-links"))
+
+    sizes = written(roots.groupBy("b").agg((F.count(F.lit(1)) + 1).alias("size")), "sizes")
     held = distinct.join(roots, distinct.fp == roots.a, "left").select("fp", F.coalesce("b", "fp").alias("root"))
-    index = held.select("fp", "root", F.explode(variants(F.col("fp"), bits)).alias("key"))
-    mixed = index.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).filter("_lo < _hi")
-    mixed = written(mixed.select("key"), "mixed")
-    rest = written(index.join(mixed, "key"), "mixed-index")
-    one = rest.select("key", F.col("fp").alias("fp1"), F.col("root").alias("root1"))
-    two = rest.select("key", F.col("fp").alias("fp2"), F.col("root").alias("root2"))
-    met = one.join(two, (one.key == two.key) & (F.col("root1") < F.col("root2")) & (_apart("fp1", "fp2") <= bits))
+    held = held.join(sizes, held.root == sizes.b, "left").select("fp", "root", F.coalesce("size", F.lit(1)).alias("size"))
+    index = _index(written(held, "rooted"), bits)
+    mixed = index.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count(F.lit(1)).alias("n"))
+    mixed = written(mixed.filter("n > 2 and _lo < _hi").select("key"), "mixed")  # two were settled above
+    weight = F.struct("size", "root").alias("weight")
+    rest = written(index.join(mixed, "key").select("key", "fp", "root", weight), "mixed-index")
+    tops = written(rest.groupBy("key").agg(F.max("weight").alias("top")), "tops")
+    one = rest.join(tops, "key").filter("weight < top").select("key", *(F.col(c).alias(f"{c}1") for c in ("fp", "root", "weight")))
+    two = rest.select("key", *(F.col(c).alias(f"{c}2") for c in ("fp", "root", "weight")))
+    met = one.join(two, "key").filter(F.col("weight1") < F.col("weight2")).filter(_apart("fp1", "fp2") <= bits)
     more = written(met.select(F.col("root1").alias("a"), F.col("root2").alias("b")).distinct(), "more-links")
     if more.isEmpty():
         return roots
