@@ -2,52 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MOST_RANGES = 512
-SAMPLE_PER_RANGE = 50
+from rollkeeper.session import written
 
-
-def range_bounds(df: DataFrame, key: list[str], ranges: int) -> list:
-    """Bounds that cut ``df`` into ranges of about equal size.
-
-    The rows with the smallest key hashes are a uniform sample of fixed size, the
-    same one on every run, so the bounds cost one bounded top-k.
-    """
-    order = F.xxhash64(*key)
-    sample = df.select(*key).orderBy(order).limit(ranges * SAMPLE_PER_RANGE).collect()
-    sample.sort(key=lambda row: [(v is not None, v) for v in row])
-    return sample[SAMPLE_PER_RANGE::SAMPLE_PER_RANGE]
+#: monotonically_increasing_id: the partition above, the row within it below.
+PLACE_BITS = 33
 
 
 def assign_keys(df: DataFrame, natural: list[str], key: str, start: int, ranges: int | None = None) -> DataFrame:
     """``key`` = ``start`` + rank of the natural key, which must be unique in ``df``.
 
-    Rows are cut into ranges of the natural key, numbered inside each range, and
-    shifted by the number of rows in the ranges before. Only the bounds and one
-    count per range reach the driver. ``df`` is read three times, so it should be
-    a written table.
+    Rows are cut into ranges of the natural key by Spark's range partitioning (as many
+    as a shuffle has, unless given), sorted inside, and stored with their place. A row's
+    number is its place in its range plus the rows of the ranges before: one count per
+    range, added up in a window over that small table. ``df`` is read twice, so it
+    should be a stored table.
     """
-    ranges = ranges or min(MOST_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = range_bounds(df, natural, ranges)
+    parts = df.repartitionByRange(ranges, *natural) if ranges else df.repartitionByRange(*natural)
+    placed = parts.sortWithinPartitions(*natural).withColumn("_place", F.monotonically_increasing_id())
+    placed = written(placed.withColumn("_range", F.shiftright("_place", PLACE_BITS)), "ranges")
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")
+    shifts = written(counts.select("_range", before.alias("_before")), "range-counts")
+    inside = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    number = F.lit(int(start) + 1) + F.col("_before") + inside
     types = {f.name: f.dataType for f in df.schema}
-
-    def literal(row) -> Column:
-        return F.struct(*[F.lit(row[c]).cast(types[c]).alias(c) for c in natural])
-
-    here = F.struct(*[F.col(c).alias(c) for c in natural])
-    if bounds:
-        below = F.filter(F.array(*[literal(b) for b in bounds]), lambda b: b <= here)
-        ranged = df.withColumn("_range", F.size(below))
-    else:
-        ranged = df.withColumn("_range", F.lit(0))
-    counts = {r["_range"]: r["n"] for r in ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n")).collect()}
-    shifts, total = [], int(start)
-    for i in range(len(bounds) + 1):
-        shifts.append(total)
-        total += counts.get(i, 0)
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*natural))
-    number = F.get(F.array(*[F.lit(s).cast("bigint") for s in shifts]), F.col("_range")) + inside
-    type_of_key = types[key] if key in types else "bigint"
-    return ranged.withColumn(key, number.cast(type_of_key)).drop("_range")
+    numbered = placed.join(shifts, "_range").withColumn(key, number.cast(types.get(key, "bigint")))
+    return numbered.select(*df.columns, *([] if key in types else [key]))

@@ -1,8 +1,8 @@
 """Checks of a batch against code tables and owners, as set joins.
 
-No broadcast hint is given for a code table: Spark broadcasts it when its size on
-disk is below the session's limit. Beyond that the rows of a popular code are split
-over many tasks.
+No broadcast hint is given for a code table: it is folded to one row per code and stored,
+and Spark broadcasts it when its size is below the session's limit. Beyond that the rows of
+a popular code are split over many tasks (see ``spread``).
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import differs
-from rollkeeper.operators.spread import balanced_join, hottest, spread_join
+from rollkeeper.operators.spread import balanced_join, spread_join
+from rollkeeper.session import written
 
 INSERT, UPDATE, NONE = "insert", "update", "none"
 
@@ -65,11 +66,9 @@ def held_by_other(
     them, so a value with many owners is never paired out.
     """
     held = holders.select(F.col(key).alias("_held"), F.col(owner).alias("_owner")).dropna()
-    counts = held.groupBy("_held").agg(F.min("_owner").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    first = counts.drop("_n")
-    hot = hottest(counts, ["_held"], "_n")
+    first = written(held.groupBy("_held").agg(F.min("_owner").alias("_first")), "first-owners")
     second = (
-        spread_join(held, first, ["_held"], "inner", hot, spread_by=["_owner"])
+        spread_join(held, first, ["_held"], "inner", stored=True)
         .filter(F.col("_owner") > F.col("_first"))
         .groupBy("_held")
         .agg(F.min("_owner").alias("_second"))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import fingerprint
-from rollkeeper.operators.spread import hottest, spread_join
+from rollkeeper.operators.spread import spread_join
+from rollkeeper.session import written
 
 CONFLICT = "conflict_in_batch"
 
@@ -28,21 +29,17 @@ def one_per_key(df: DataFrame, keys: list[str], latest_by: str) -> tuple[DataFra
 
     The winner is the row with the latest ``latest_by``, ties broken by the row
     fingerprint; equal rows count as one. Rows with the same key and another
-    fingerprint are the losers. The winner comes out of one grouped maximum, so a
-    key that fills a third of the batch is folded map-side; the losers' join, which
-    must bring back every row, splits such a key.
+    fingerprint are the losers. The batch is stored with a place for each row; one
+    grouped maximum over rank and place finds the winner of each key, folded
+    map-side, and one join, which splits a hot key, tells its rows apart.
     """
     columns = df.columns
     marked = df.withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
-    rank = F.struct(F.col(latest_by), F.col("_fp"))
-    rest = [c for c in columns if c not in keys]
-    won = marked.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("_row"))
-    best = marked.groupBy(*keys).agg(
-        F.max_by("_fp", rank).alias("_best"), F.count(F.lit(1)).alias("_n")
-    )
-    # Only a key with several rows can have a loser.
-    several = best.filter(F.col("_n") > 1)
-    hot = hottest(several, keys, "_n")
-    judged = spread_join(marked, several.drop("_n"), keys, "inner", hot, spread_by=["_fp"])
-    lost = judged.filter(F.col("_fp") != F.col("_best"))
-    return won.select(*keys, "_row.*").select(*columns), lost.select(*columns)
+    marked = written(marked.withColumn("_place", F.monotonically_increasing_id()), "ranked")
+    rank = F.struct(F.col(latest_by), F.col("_fp"), F.col("_place"))
+    best = marked.groupBy(*keys).agg(F.max(rank).alias("_best"))
+    best = best.select(*keys, F.col("_best._fp").alias("_best_fp"), F.col("_best._place").alias("_best_place"))
+    judged = written(spread_join(marked, best, keys, "inner"), "judged")
+    won = judged.filter(F.col("_place") == F.col("_best_place"))
+    lost = judged.filter(F.col("_fp") != F.col("_best_fp"))
+    return won.select(*columns), lost.select(*columns)

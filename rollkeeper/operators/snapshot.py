@@ -8,8 +8,7 @@ from pyspark.sql import types as T
 
 from rollkeeper.functions.compare import fingerprint, number_key
 from rollkeeper.operators.pick import pick_one
-from rollkeeper.operators.spread import hottest, key_counts, spread_join
-from rollkeeper.session import written
+from rollkeeper.operators.spread import spread_join
 
 
 def latest_snapshot(
@@ -25,28 +24,23 @@ def latest_snapshot(
         rest = [c for c in df.columns if c not in keys and c != stamp]
         order = F.struct((-F.unix_micros(F.col(stamp).cast("timestamp"))).alias("t"), *rest)
         return pick_one(df, keys, order)
-    top = df.groupBy(*keys).agg(F.max(stamp).alias(stamp), F.count(F.lit(1)).alias("_n"))
+    top = df.groupBy(*keys).agg(F.max(stamp).alias(stamp))
     if mode == "stamp_in":
-        # The stamps are written first: with one stamp per batch they are a small
-        # file that Spark broadcasts, and the wide history is not shuffled at all.
-        # Where they are many the join splits a batch that holds most of the table.
-        stamps = written(top.select(stamp).dropna().distinct(), "stamps")
-        dated = df.filter(F.col(stamp).isNotNull())
-        hot = hottest(key_counts(dated, [stamp]), [stamp], "_n")
-        return spread_join(dated, stamps, [stamp], "left_semi", hot, spread_by=keys)
+        # With one stamp per batch they are a small file that Spark broadcasts, and
+        # the wide history is not shuffled at all.
+        stamps = top.select(stamp).dropna().distinct()
+        return spread_join(df.filter(F.col(stamp).isNotNull()), stamps, [stamp], "left_semi")
     if mode == "per_key":
-        hot = hottest(top, [*keys, stamp], "_n")
-        newest = top.filter(F.col(stamp).isNotNull()).drop("_n")
-        return spread_join(df, newest, [*keys, stamp], "left_semi", hot)
+        return spread_join(df, top.filter(F.col(stamp).isNotNull()), [*keys, stamp], "left_semi")
     raise ValueError(f"unknown mode: {mode}")
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -> DataFrame:
     """Rows of ``new`` that are not in ``old``, without repeats.
 
-    Rows meet on a fingerprint, so the shuffle and the join carry one narrow key
-    instead of every column. Repeats are folded before the shuffle, and folding
-    and join use the same partitioning.
+    Rows meet on a fingerprint, so the join carries one narrow key instead of every
+    column. Known rows drop out first; repeats are folded among the few that are left,
+    in the same partitioning.
     """
     blank = F.lit("")
 
@@ -57,7 +51,7 @@ def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -
         return df.withColumn("_fp", fingerprint(*columns))
 
     known = marked(old).select("_fp").distinct()
-    return marked(new).dropDuplicates(["_fp"]).join(known, "_fp", "left_anti").drop("_fp")
+    return marked(new).join(known, "_fp", "left_anti").dropDuplicates(["_fp"]).drop("_fp")
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:

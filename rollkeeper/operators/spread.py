@@ -1,4 +1,11 @@
-"""Joins that stay balanced when a few keys hold most of the rows."""
+"""Joins that stay balanced when some keys hold most of the rows.
+
+The side that is unique on the keys is stored first. So Spark knows its size: a small one
+is broadcast, which leaves the other side where it lies. Otherwise both sides are shuffled
+just as they are read, and adaptive execution cuts every partition that a hot key has
+swollen into tasks of a stated size, however many hot keys there are. (An aggregate as the
+right side would forbid that.) Nothing here depends on a number of keys or rows.
+"""
 
 from __future__ import annotations
 
@@ -7,92 +14,32 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
-SALTS = 32
-FEW_KEYS = 500_000
-
-
-def hottest(counted: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """The keys with the highest counts, ``HOT_KEYS`` of them at most.
-
-    A key left out holds at most one ``HOT_KEYS``-th of all rows, so these are
-    all the keys that need splitting, and the result is small whatever the data.
-    """
-    return counted.orderBy(F.col(count).desc()).limit(HOT_KEYS).select(*keys)
-
-
-def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+from rollkeeper.session import written
 
 
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    hot: DataFrame,
-    spread_by: list[str] | None = None,
-) -> DataFrame:
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, stored: bool = False) -> DataFrame:
     """Null-safe equi-join of a skewed ``left`` with a ``right`` unique on ``keys``.
 
-    Rows of a hot key go to ``SALTS`` tasks by a hash of their other columns, and
-    the one ``right`` row of that key is repeated for each of them. All other rows
-    carry salt 0. One shuffle, no pair is made twice, nothing is dropped.
+    ``stored``: ``right`` is read from files as it is.
     """
-    spread_by = spread_by or [c for c in left.columns if c not in keys]
-    hot = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(1).alias("_is_hot")))
-
-    def flagged(df: DataFrame) -> DataFrame:
-        same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-        return df.join(hot, reduce(lambda a, b: a & b, same), "left").drop(*[f"_hot_{k}" for k in keys])
-
-    # Rows of nothing but the key are told apart by the task that reads them.
-    mixed = F.xxhash64(*spread_by) if spread_by else F.spark_partition_id()
-    salt = F.pmod(mixed, F.lit(SALTS)).cast("int")
-    salted_left = (
-        flagged(left)
-        .withColumn("_salt", F.coalesce(F.when(F.col("_is_hot").isNotNull(), salt), F.lit(0)))
-        .drop("_is_hot")
-    )
-    last = F.when(F.col("_is_hot").isNotNull(), SALTS - 1).otherwise(0)
-    salted_right = (
-        flagged(right)
-        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), last)))
-        .drop("_is_hot")
-    )
+    right = right if stored else written(right, "right-side")
     for k in keys:
-        salted_right = salted_right.withColumnRenamed(k, f"_right_{k}")
-    on = [F.col("_salt") == F.col("_right_salt")]
-    on += [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    joined = salted_left.join(salted_right, reduce(lambda a, b: a & b, on), how)
-    return joined.drop("_salt", "_right_salt", *[f"_right_{k}" for k in keys])
+        right = right.withColumnRenamed(k, f"_right_{k}")
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    joined = left.join(right, reduce(lambda a, b: a & b, on), how)
+    return joined.drop(*[f"_right_{k}" for k in keys])
 
 
 def balanced_join(df: DataFrame, value: str, right: DataFrame, key: str, how: str = "left") -> DataFrame:
-    """``df`` with the columns that ``right`` holds for its ``value``.
+    """``df`` with the columns that ``right``, unique on ``key``, holds for its ``value``.
 
-    ``right`` is unique on ``key``. A right side that Spark knows to be small is
-    broadcast; otherwise popular values of ``df`` are split over many tasks. (The
-    right side is usually an aggregate, which keeps adaptive execution from
-    splitting the left one by itself.) A null value finds nothing.
+    A null value finds nothing.
     """
-    known = right.filter(F.col(key).isNotNull()).withColumnRenamed(key, value)
-    return spread_join(df, known, [value], how, hottest(key_counts(df, [value]), [value], "_n"))
-
+    known = written(right.filter(F.col(key).isNotNull()), "right-side").withColumnRenamed(key, "_key")
+    return df.join(known, F.col(value) == F.col("_key"), how).drop("_key")
 
-def few_keys(df: DataFrame, key: str) -> DataFrame | None:
-    """The distinct keys of a written batch if there are at most ``FEW_KEYS``."""
-    keys = df.select(key).distinct()
-    return keys if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS else None
 
-
-def narrowed(state: DataFrame, key: str, asked: DataFrame | None) -> DataFrame:
-    """Rows of ``state`` with a key that ``asked`` holds.
-
-    A counted, small key list is broadcast, so a nightly batch touches a big state
-    in one filtered scan. Without one (``None``) the state is used as it is.
-    """
-    if asked is None:
-        return state
-    known = F.broadcast(asked.withColumnRenamed(asked.columns[0], "_asked"))
+def narrowed(state: DataFrame, key: str, asked: DataFrame) -> DataFrame:
+    """Rows of ``state`` with a key that the stored table ``asked`` holds."""
+    known = asked.withColumnRenamed(asked.columns[0], "_asked")
     return state.join(known, F.col(key) == F.col("_asked"), "left_semi")

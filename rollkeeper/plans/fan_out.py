@@ -14,7 +14,7 @@ from rollkeeper.operators import dated, gate, people, positions
 from rollkeeper.operators.changes import apply_changes, change_log, number_inserts, run_counts
 from rollkeeper.operators.lookup import exists_in, missing_in, warnings_for
 from rollkeeper.operators.pick import CONFLICT, one_per_key
-from rollkeeper.operators.spread import few_keys, narrowed
+from rollkeeper.operators.spread import narrowed
 from rollkeeper.session import written
 from rollkeeper.sources.tables import append_log, write_table
 
@@ -162,7 +162,7 @@ def fan_out(
     _, staff = gate.route(person, "payroll_comp_code", codes.STUDENT_PAY_CODE)
     _, staff_rows = gate.route(known, "payroll_comp_code", codes.STUDENT_PAY_CODE)
 
-    asked = few_keys(person, "id")
+    asked = person.select("id")
     near = {t: narrowed(targets[t], "id", asked) for t in BY_PERSON}
     matched = people.match_people(staff, near["id_rec"], targets["title_table"], targets["ctry_table"])
     changes = {

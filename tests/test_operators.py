@@ -7,6 +7,7 @@ from rollkeeper.operators import changes as ch
 from rollkeeper.operators import dated, keys, lookup, pick, positions, snapshot, spread
 from rollkeeper.operators.gate import first_filled_slot
 from rollkeeper.operators.people import xref_changes
+from rollkeeper.session import written
 
 DAY = date(2024, 1, 10)
 AA = "aa_no int, id int, aa string, beg_date date, end_date date, line1 string, zip string, phone string, line2 string, line3 string, city string, st string, ctry string"
@@ -139,25 +140,50 @@ def hot_batch(spark, n=3000):
     return spark.range(0, n, numPartitions=4).select(key.alias("key"), F.col("id").alias("row"), F.lit(DAY).alias("day"))
 
 
-def test_hot_key_is_split_and_whole(spark):
+def test_hot_key_joins_whole(spark):
     df = hot_batch(spark)
     right = df.groupBy("key").agg(F.max("row").alias("top"))
-    hot = spread.hottest(spread.key_counts(df, ["key"]), ["key"], "_n")
-    joined = spread.spread_join(df, right, ["key"], "inner", hot)
+    joined = spread.spread_join(df, right, ["key"], "inner")
     wanted = df.join(right, "key")
     assert joined.count() == 3000
     assert joined.select(*wanted.columns).exceptAll(wanted).count() == 0
     for how, kept in (("left_semi", 3000), ("left_anti", 0), ("left", 3000)):
-        assert spread.spread_join(df, right, ["key"], how, hot).count() == kept
+        assert spread.spread_join(df, right, ["key"], how).count() == kept
     assert lookup.lookup(df, "key", right, "key", "top", "found", -1).filter("found < 0").count() == 0
 
 
-def test_hot_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(spread, "HOT_KEYS", 2)
-    df = hot_batch(spark)
-    hot = spread.hottest(spread.key_counts(df, ["key"]), ["key"], "_n")
-    keys_found = [r["key"] for r in hot.collect()]
-    assert len(keys_found) == 2 and "hot" in keys_found
+SMALL_TASKS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+def test_two_thousand_hot_keys_are_all_split(spark):
+    """However many hot keys there are, the partitions they lie in are cut into tasks of the
+    stated size; no task takes a whole one."""
+    before = {k: spark.conf.get(k, None) for k in SMALL_TASKS}
+    # the hot keys are those that hashing sends to 4 of the 16 partitions
+    part = F.expr("pmod(hash(coalesce(key, 0L), isnull(key)), 16)")
+    keys_ = spark.range(8000).select(F.col("id").alias("key")).withColumn("copies", F.when(part < 4, 40).otherwise(1))
+    df = written(keys_.select("key", F.explode(F.sequence(F.lit(1), "copies")).alias("row")))
+    right = spark.range(8000).select(F.col("id").alias("key"), F.lit(1).alias("one"))
+    assert df.groupBy("key").count().filter("count = 40").count() > 1900
+    try:
+        for k, v in SMALL_TASKS.items():
+            spark.conf.set(k, v)
+        joined = spread.spread_join(df, right, ["key"], "left").withColumn("task", F.spark_partition_id())
+        rows = joined.groupBy("task").count().collect()
+        whole = df.count()
+        assert sum(r["count"] for r in rows) == whole
+        assert len(rows) > 16 and max(r["count"] for r in rows) < whole / 7
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_one_per_key(spark):
