@@ -57,7 +57,7 @@ INDEX_BYTES = 1 << 20
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of the ``gram`` bytes from each place on."""
     n = len(data) - gram + 1
-    size = 1 << max(12, int(len(data)).bit_length())
+    size = 1 << max(12, int(len(data) - 1).bit_length())
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(size, _BASE)[: len(data)], out=sums[1:])
     return mixed((sums[gram:] - sums[:n]) * _powers(size, _BASE_INVERSE)[:n])
@@ -143,33 +143,28 @@ def bodies(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return texts.join(asked, "digest").select("text", "asked").mapInArrow(run, "value bigint, content bigint, n bigint, hot boolean, body binary")
 
 
-def common_lengths(rank: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many signs the suffixes at ``a`` and ``b`` share; stops equal nothing."""
+_SIGN_BITS, _TOGETHER = 9, 7
+
+
+def packed(rank: np.ndarray) -> np.ndarray:
+    """The seven signs from each place on, in one number."""
+    wide = np.concatenate([rank, np.zeros(_TOGETHER, np.int64)])
+    out = np.zeros(len(rank), np.int64)
+    for k in range(_TOGETHER):
+        out = (out << _SIGN_BITS) | wide[k : k + len(rank)]
+    return out
+
+
+def common_lengths(seven: np.ndarray, stop: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many signs the suffixes at ``a`` and ``b`` share; stops equal nothing. ``seven``: see ``packed``."""
     most = np.minimum(stop[a] - a, stop[b] - b)
     out = np.zeros(len(a), np.int64)
-    live = np.flatnonzero(most > 0)
-    step = 1
+    live = np.arange(len(a))
     while len(live):
-        # ``step`` signs more, compared as a whole: doubled while they agree
-        room = most[live] - out[live]
-        width = np.minimum(step, room)
-        x, y = a[live] + out[live], b[live] + out[live]
-        same = np.ones(len(live), bool)
-        for k in range(step):
-            inside = k < width
-            same &= ~inside | (rank[np.where(inside, x + k, 0)] == rank[np.where(inside, y + k, 0)])
-        out[live[same]] += width[same]
-        if step == 1:
-            live = live[same & (out[live] < most[live])]
-            step = 8
-        else:
-            for i in live[~same]:
-                p, q, m = a[i], b[i], most[i]
-                n = out[i]
-                while n < m and rank[p + n] == rank[q + n]:
-                    n += 1
-                out[i] = n
-            live = live[same & (out[live] < most[live])]
+        apart = seven[a[live] + out[live]] ^ seven[b[live] + out[live]]
+        same = sum((apart >> (_SIGN_BITS * k) == 0).astype(np.int64) for k in range(_TOGETHER))
+        out[live] = np.minimum(out[live] + same, most[live])
+        live = live[(same == _TOGETHER) & (out[live] < most[live])]
     return out
 
 
@@ -196,12 +191,13 @@ class RunLengthIndex:
         heads = np.flatnonzero(edge[:-1])
         tails = np.flatnonzero(edge[1:])
         self.signs, self.sizes = sign[heads], tails - heads + 1
-        self.before = self._sampled(rank, order[heads], order[heads - 1], heads > 0)
-        self.behind = self._sampled(rank, order[tails], order[(tails + 1) % n], tails < n - 1)
+        seven = packed(rank)
+        self.before = self._sampled(seven, order[heads], order[heads - 1], heads > 0)
+        self.behind = self._sampled(seven, order[tails], order[(tails + 1) % n], tails < n - 1)
 
-    def _sampled(self, rank, place, other, there) -> tuple[np.ndarray, np.ndarray]:
+    def _sampled(self, seven, place, other, there) -> tuple[np.ndarray, np.ndarray]:
         shared = np.zeros(len(place), np.int64)
-        shared[there] = common_lengths(rank, self.stop, place[there], other[there])
+        shared[there] = common_lengths(seven, self.stop, place[there], other[there])
         by = np.argsort(place)
         return place[by], shared[by]
 
