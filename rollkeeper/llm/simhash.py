@@ -133,7 +133,7 @@ def link_components(distinct: DataFrame, bits: int) -> DataFrame:
     index = _index(distinct, bits)
     heads = index.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("last"), F.count(F.lit(1)).alias("n"))
     heads = written(heads.filter("n > 1"), "heads")
-    met = index.join(heads.filter("n > 2").select("key", "head"), "key").filter(F.col("fp") != F.col("head"))
+    met = index.join(heads.filter("n > 2").select("key", "head").hint("merge"), "key").filter(F.col("fp") != F.col("head"))
     met = met.filter(_apart("fp", "head") <= bits).select(F.col("fp").alias("a"), F.col("head").alias("b"))
     pairs = heads.filter("n = 2").filter(_apart("head", "last") <= bits).select(F.col("last").alias("a"), F.col("head").alias("b"))
     roots = components(written(met.unionByName(pairs).distinct(), "first-links"))
@@ -145,7 +145,7 @@ def link_components(distinct: DataFrame, bits: int) -> DataFrame:
     mixed = index.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi"), F.count(F.lit(1)).alias("n"))
     mixed = written(mixed.filter("n > 2 and _lo < _hi").select("key"), "mixed")  # two were settled above
     weight = F.struct("size", "root").alias("weight")
-    rest = written(index.join(mixed, "key").select("key", "fp", "root", weight), "mixed-index")
+    rest = written(index.join(mixed.hint("merge"), "key").select("key", "fp", "root", weight), "mixed-index")
     tops = written(rest.groupBy("key").agg(F.max("weight").alias("top")), "tops")
     one = rest.join(tops, "key").filter("weight < top").select("key", *(F.col(c).alias(f"{c}1") for c in ("fp", "root", "weight")))
     two = rest.select("key", *(F.col(c).alias(f"{c}2") for c in ("fp", "root", "weight")))
