@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from rollkeeper.operators.keys import assign_keys
 from rollkeeper.session import written
+from rollkeeper.sources.tables import hidden
 
 INSERT = "insert"
 UPDATE = "update"
@@ -157,18 +158,21 @@ def rejects_of(df: DataFrame, schema: T.StructType, values: dict[str, Column], r
     return emit(df, F.array(change(REJECT, schema, row_after(schema, values), False, F.lit(reason))))
 
 
-def change_log(changes: DataFrame, batch_id: str, target: str, key: list[str], hide: list[str] | None = None) -> DataFrame:
+def change_log(
+    changes: DataFrame, batch_id: str, target: str, key: list[str], hide: list[str] | None = None, hide_key: str | None = None
+) -> DataFrame:
     """Changes of one target in the common form of the log.
 
     Rows before and after are JSON text, so the logs of all targets can be put
-    together. Columns in ``hide`` (personal data) are logged as their hash.
+    together. Columns in ``hide`` (personal data) are logged as a hash with ``hide_key``,
+    without one not at all.
     """
     hide = hide or []
 
     def text(row: str) -> Column:
         names = changes.schema[row].dataType.names
         values = [
-            (F.sha2(F.col(f"{row}.{n}").cast("string"), 256) if n in hide else F.col(f"{row}.{n}")).alias(n)
+            (hidden(F.col(f"{row}.{n}"), hide_key) if n in hide else F.col(f"{row}.{n}")).alias(n)
             for n in names
         ]
         return F.when(F.col(row).isNotNull(), F.to_json(F.struct(*values)))

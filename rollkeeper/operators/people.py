@@ -24,6 +24,8 @@ from rollkeeper.operators.changes import (
     with_stored,
 )
 from rollkeeper.operators.lookup import held_by_other, lookup
+from rollkeeper.operators.spread import balanced_join
+from rollkeeper.session import written
 
 # Feed column per stored address column; the country is compared by
 # its code and stored as the validated code.
@@ -121,7 +123,10 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
     """Id cross-reference with two guards against an id that someone else holds.
 
     Unknown person and both ids free: insert. Associate id held by another:
-    reject. File number held by another: reject. Otherwise update.
+    reject. File number held by another: reject. Otherwise update. An id counts as
+    held by whoever has it in the stored table, and by the person of the smallest id
+    that asks for it in the batch: of several that ask for a free one, the others
+    are rejects.
     """
     schema = row_type(xref)
     seen = with_stored(batch, stored_row(xref, ["cx_id"]), {"id": "cx_id"})
@@ -130,6 +135,18 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
         seen, "employee_assoc_id", "_me", xref, "adp_associate_id", "cx_id", "_assoc_owner"
     )
     seen = held_by_other(seen, "file_number", "_me", xref, "adp_id", "cx_id", "_file_owner")
+    seen = written(seen, "xref-seen")
+    # Rows that the stored table rejects ask for nothing; then associate ids are dealt out, then file numbers.
+    free = seen.filter((F.col("_assoc_owner") == 0) & (F.col("_file_owner") == 0))
+    first = free.groupBy("employee_assoc_id").agg(F.min("id").alias("_assoc_first"))
+    seen = balanced_join(seen, "employee_assoc_id", first, "employee_assoc_id")
+    taken = F.col("_assoc_owner") != 0
+    seen = seen.withColumn("_assoc_taken", taken | (F.col("_assoc_first") != F.col("id")))
+    left = seen.filter(~F.coalesce("_assoc_taken", F.lit(False)) & (F.col("_file_owner") == 0))
+    first = left.groupBy("file_number").agg(F.min("id").alias("_file_first"))
+    seen = balanced_join(seen, "file_number", first, "file_number")
+    assoc_taken = F.coalesce("_assoc_taken", F.lit(False))
+    file_taken = F.coalesce((F.col("_file_owner") != 0) | (F.col("_file_first") != F.col("id")), F.lit(False))
     updates = {
         "old_id": F.col("id"),
         "old_id_num": F.col("id"),
@@ -139,10 +156,9 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
     }
     inserts = {**updates, "cx_id": F.col("id"), "cx_id_char": F.col("id")}
     candidate = row_after(schema, inserts)
-    reason = F.when(F.col("_assoc_owner") != 0, "associate_id_held").otherwise("file_number_held")
-    free = (F.col("_assoc_owner") == 0) & (F.col("_file_owner") == 0)
+    reason = F.when(assoc_taken, "associate_id_held").otherwise("file_number_held")
     result = (
-        F.when(~free, change(REJECT, schema, candidate, False, reason))
+        F.when(assoc_taken | file_taken, change(REJECT, schema, candidate, False, reason))
         .when(F.col("before").isNull(), change(INSERT, schema, candidate, False))
         .otherwise(change(UPDATE, schema, row_after(schema, updates, "before"), True))
     )

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from rollkeeper.functions import codes, text
 from rollkeeper.operators.changes import END, change, emit, rejects_of, row_after, row_type, upsert
-from rollkeeper.operators.gate import is_active
-from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position
+from rollkeeper.operators.gate import first_filled_slot, is_active
+from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position, warnings_for
 from rollkeeper.operators.pick import CONFLICT, one_per_key, pick_one
 from rollkeeper.operators.spread import balanced_join
 from rollkeeper.session import written
@@ -203,6 +203,42 @@ def with_position_number(keyed: DataFrame, positions: DataFrame) -> DataFrame:
     return balanced_join(keyed, "pcn_aggr", numbers, "pcn_aggr", "inner")
 
 
+def one_rank_per_position(won: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two ranks of one person in one position are one job: the smaller rank names it,
+    a null rank last. ``won`` has one row per person and rank."""
+    by_rank = F.struct(F.col("title_rank").isNull(), F.col("title_rank"))
+    lead = written(pick_one(won, ["id", "tpos_no"], by_rank), "jobs")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("id", "tpos_no", "title_rank")]
+    names = lead.select(*[F.col(c).alias(f"_{c}") for c in ("id", "tpos_no", "title_rank")])
+    return lead, won.join(names, reduce(lambda a, b: a & b, same), "left_anti")
+
+
+def second_job_slots(rows: DataFrame) -> DataFrame:
+    """Second jobs from rows with three slots: the first filled one counts, the rank tells which.
+
+    ``rows`` has ``id``, ``worker_cat_code``, ``job_title_descr``, ``job_function_code``
+    and, numbered 2 to 4, ``home_cost_number``, ``position_eff_date``, ``position_end_date``.
+    """
+    slots = [
+        (f"home_cost_number{n}", n + 1, {f"position_eff_date{n}": "position_start", f"position_end_date{n}": "position_end"})
+        for n in (2, 3, 4)
+    ]
+    return first_filled_slot(rows, slots, "pcn_aggr", "title_rank")
+
+
+def second_job_warnings(rows: DataFrame, targets: dict[str, DataFrame], keep: list[str]) -> DataFrame:
+    """Codes of second jobs that the code tables lack; the jobs go on with them."""
+    parts = rows.withColumn("_parts", text.split_position_key(F.col("pcn_aggr"))).filter(F.col("_parts").isNotNull())
+    coded = parts.select(*rows.columns, *[F.col(f"_parts.{p}").alias(f"_{p}") for p in ("pay", "unit", "dept")])
+    checks = [
+        ("unknown_pay_code", "_pay", targets["hrpay_table"], "hrpay"),
+        ("unknown_function_code", "_dept", targets["func_table"], "func"),
+        ("unknown_division", "_unit", targets["hrdiv_table"], "hrdiv"),
+        ("unknown_department", "_dept", targets["hrdept_table"], "hrdept"),
+    ]
+    return warnings_for(coded, checks, keep)
+
+
 def job_changes(
     numbered: DataFrame, jobs: DataFrame, positions: DataFrame, xref: DataFrame, as_of: Column
 ) -> DataFrame:
@@ -214,12 +250,7 @@ def job_changes(
     ranked = ranked.withColumn("_number", text.supervisor_number(F.col("supervisor_id")))
     ranked = known_supervisor(ranked, "_number", xref, "adp_id", "_supervisor")
     won, lost = one_per_key(ranked, ["id", "title_rank"], "pos_effective_date")
-    # Two ranks of one person in one position are one job: the smaller rank names it.
-    by_rank = F.struct(F.col("title_rank").isNull(), F.col("title_rank"))
-    lead = written(pick_one(won, ["id", "tpos_no"], by_rank), "jobs")
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("id", "tpos_no", "title_rank")]
-    names = lead.select(*[F.col(c).alias(f"_{c}") for c in ("id", "tpos_no", "title_rank")])
-    twice = won.join(names, reduce(lambda a, b: a & b, same), "left_anti")
+    lead, twice = one_rank_per_position(won)
     updates = {
         "descr": F.col("job_title_descr"),
         "id": F.col("id"),
@@ -286,6 +317,7 @@ def second_job_changes(
     numbered = text_of_position(numbered, "tpos_no", jobs, "tpos_no", "job_title", "_descr")
     numbered = written(numbered, "second-jobs")
     won, lost = one_per_key(numbered, ["id", "title_rank"], "position_start")
+    lead, twice = one_rank_per_position(won)
     updates = {
         "descr": F.col("_descr"),
         "id": F.col("id"),
@@ -300,7 +332,7 @@ def second_job_changes(
         "title_rank": F.col("title_rank"),
         "worker_ctgry": F.col("worker_cat_code"),
     }
-    upserted = upserted_jobs(won, jobs, as_of, updates, updates)
-    ended = without_updated(ended_jobs(won, jobs, positions, as_of), upserted)
-    losers = rejects_of(lost, schema, {**updates, "tpos_no": F.col("tpos_no")}, CONFLICT)
+    upserted = upserted_jobs(lead, jobs, as_of, updates, updates)
+    ended = without_updated(ended_jobs(lead, jobs, positions, as_of), upserted)
+    losers = rejects_of(lost.unionByName(twice), schema, {**updates, "tpos_no": F.col("tpos_no")}, CONFLICT)
     return upserted.unionByName(ended).unionByName(malformed).unionByName(unknown).unionByName(losers)

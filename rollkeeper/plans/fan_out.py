@@ -11,12 +11,21 @@ from pyspark.sql import functions as F
 
 from rollkeeper.functions import codes, text
 from rollkeeper.operators import dated, gate, people, positions
-from rollkeeper.operators.changes import apply_changes, change_log, number_inserts, run_counts
+from rollkeeper.operators.changes import END, INSERT, UPDATE, apply_changes, change_log, number_inserts, run_counts
 from rollkeeper.operators.lookup import exists_in, missing_in, warnings_for
 from rollkeeper.operators.pick import CONFLICT, one_per_key
 from rollkeeper.operators.spread import narrowed
-from rollkeeper.session import written
-from rollkeeper.sources.tables import append_log, write_table
+from rollkeeper.session import steps_of_a_run, written
+from rollkeeper.sources.tables import (
+    append_log,
+    bucket_of,
+    hidden,
+    publish,
+    read_table,
+    reject_rows,
+    store_rejects,
+    write_attempt,
+)
 
 NO_ID = "no_person_id"
 UNKNOWN_ID = "unknown_person_id"
@@ -44,7 +53,10 @@ GENERATED = {
     "second_job": ("job_no", ["id", "tpos_no"]),
 }
 BY_PERSON = ["id_rec", "aa_rec", "profile_rec", "job_rec", "hremp_rec"]
-PERSONAL = ["ss_no", "ssn", "line1", "line2", "line3", "addr_line1", "addr_line2", "addr_line3", "phone"]
+PERSONAL = [
+    "ss_no", "ssn", "line1", "line2", "line3", "addr_line1", "addr_line2", "addr_line3", "phone", "zip",
+    "payroll_name", "fullname", "lastname", "firstname", "middlename", "ss_first", "ss_middle", "ss_last", "birth_date",
+]
 
 # Columns that describe the person, not one of the person's positions.
 PERSON_COLUMNS = [
@@ -87,10 +99,10 @@ class FanOut:
     warnings: DataFrame
     next_jobs: DataFrame | None = None
 
-    def log(self, batch_id: str, hide: list[str] | None = None) -> DataFrame:
+    def log(self, batch_id: str, hide: list[str] | None = None, hide_key: str | None = None) -> DataFrame:
         """The change log of all targets."""
         logs = [
-            change_log(changes, batch_id, target, KEYS[target], hide)
+            change_log(changes, batch_id, target, KEYS[target], hide, hide_key)
             for target, changes in self.changes.items()
         ]
         return reduce(DataFrame.unionByName, logs)
@@ -147,7 +159,8 @@ def fan_out(
 
     ``targets`` holds the current target and code tables by name. Students get
     their id cross-reference only. ``second_jobs`` is the separate input of
-    further positions. Nothing is written to the targets here.
+    further positions, one per row or in three slots; persons that are not known are
+    rejects there too, and students get none. Nothing is written to the targets here.
     """
     today = F.lit(as_of)
     known, rejects = gated(batch, targets["id_rec"])
@@ -197,14 +210,27 @@ def fan_out(
         "job_rec": job_changes,
         "hremp_rec": positions.employment_changes(numbered, near["hremp_rec"]),
     }
-    next_jobs = None
+    next_jobs, second_rejects, second_warnings = None, [], None
     if second_jobs is not None:
         key, natural = GENERATED["job_rec"]
         changes["job_rec"] = number_inserts(changes["job_rec"], targets["job_rec"], key, natural)
-        next_jobs = apply_changes(targets["job_rec"], changes["job_rec"], [key])
+        next_jobs = written(apply_changes(targets["job_rec"], changes["job_rec"], [key]), "next-jobs")
+        if "pcn_aggr" not in second_jobs.columns:
+            second_jobs = positions.second_job_slots(second_jobs)
+        strangers = missing_in(second_jobs, "id", targets["id_rec"], "id")
+        reason = F.when(F.col("id").isNull(), NO_ID).otherwise(UNKNOWN_ID)
+        second_rejects.append(
+            strangers.select(
+                "id", F.lit(None).cast("string").alias("payroll_name"), F.lit(None).cast("string").alias("file_number"), reason.alias(gate.REASON)
+            )
+        )
+        students, _ = gate.route(person, "payroll_comp_code", codes.STUDENT_PAY_CODE)
+        wanted = missing_in(exists_in(second_jobs, "id", targets["id_rec"], "id"), "id", students, "id")
+        wanted = written(wanted, "second-jobs-gated")
         changes["second_job"] = positions.second_job_changes(
-            second_jobs, next_jobs, next_positions, targets["func_table"], today
+            wanted, next_jobs, next_positions, targets["func_table"], today
         )
+        second_warnings = positions.second_job_warnings(wanted, targets, ["id"])
     checks = [
         ("unknown_function_code", "_dept", targets["func_table"], "func"),
         ("unknown_pay_code", "payroll_comp_code", targets["hrpay_table"], "hrpay"),
@@ -213,10 +239,13 @@ def fan_out(
     all_rejects = [
         df.select("id", "payroll_name", "file_number", gate.REASON) for df in (rejects, untitled, conflicts)
     ]
+    warnings = warnings_for(keyed, checks, ["id", "payroll_name"])
+    if second_warnings is not None:
+        warnings = warnings.unionByName(second_warnings, allowMissingColumns=True)
     return FanOut(
         changes=changes,
-        rejects=reduce(DataFrame.unionByName, all_rejects),
-        warnings=warnings_for(keyed, checks, ["id", "payroll_name"]),
+        rejects=reduce(DataFrame.unionByName, [*all_rejects, *second_rejects]),
+        warnings=warnings,
         next_jobs=next_jobs,
     )
 
@@ -228,9 +257,36 @@ def run_fan_out(
     batch_id: str,
     base: str,
     apply: bool = True,
+    hide_key: str | None = None,
+    from_base: bool = False,
     **options,
 ) -> DataFrame:
-    """Fan out, write log and next states unless it is a dry run; returns the log."""
+    """Fan out, write log and next states unless it is a dry run; returns the log.
+
+    All tables are written first and published in one commit. Personal data is logged
+    as a hash with ``hide_key``, without one not at all. With ``from_base`` the target
+    tables are those that ``base`` holds, not ``targets``, which then need only have the
+    code tables that no run changes; only buckets that the changes touch are rewritten.
+    """
+    spark = batch.sparkSession
+    if from_base:
+        targets = targets | {t: read_table(spark, base, t) for t in KEYS if t != "second_job"}
+    if apply:
+        with steps_of_a_run(spark):
+            _run_fan_out(batch, targets, as_of, batch_id, base, True, hide_key, from_base, **options)
+        return spark.read.parquet(f"{base}/change_log").filter(F.col("batch_id") == batch_id)
+    return _run_fan_out(batch, targets, as_of, batch_id, base, False, hide_key, from_base, **options)
+
+
+def touched_buckets(changes: DataFrame, key: list[str]) -> list[int]:
+    """Buckets of the state that hold a changed or a new row; at most as many as there are buckets."""
+    row = F.coalesce("before", "after")
+    moved = changes.filter(F.col("action").isin(INSERT, UPDATE, END)).select(bucket_of([row[k] for k in key]).alias("n"))
+    return [r.n for r in moved.distinct().collect()]
+
+
+def _run_fan_out(batch, targets, as_of, batch_id, base, apply, hide_key, from_base, **options) -> DataFrame:
+    spark = batch.sparkSession
     result = fan_out(batch, targets, as_of, **options)
     states = {**targets, "second_job": result.next_jobs}
     steps = {}
@@ -240,14 +296,24 @@ def run_fan_out(
             steps[target] = number_inserts(changes, states[target], key, natural)
         else:
             steps[target] = written(changes, f"changes-{target}")
-    log = FanOut(steps, result.rejects, result.warnings).log(batch_id, hide=PERSONAL)
+    log = FanOut(steps, result.rejects, result.warnings).log(batch_id, PERSONAL, hide_key)
     if apply:
+        folders = {}
         for target, changes in steps.items():
             if target == "job_rec" and "second_job" in steps:
                 continue
             table = "job_rec" if target == "second_job" else target
-            write_table(apply_changes(states[target], changes, KEYS[target]), base, table, batch_id)
+            state, key = states[target], KEYS[target]
+            if from_base:
+                jobs = [steps["job_rec"]] if target == "second_job" else []
+                moved = {n for c in [changes, *jobs] for n in touched_buckets(c, key)}
+                state = state.filter(bucket_of([F.col(k) for k in key]).isin(sorted(moved))) if jobs else read_table(spark, base, table, None, sorted(moved))
+                if not moved:
+                    continue
+            folders[table] = write_attempt(apply_changes(state, changes, key), base, table, batch_id, key)
         append_log(log, base, "change_log")
-        append_log(result.rejects.withColumn("batch_id", F.lit(batch_id)), base, "rejects")
-        append_log(result.warnings.withColumn("batch_id", F.lit(batch_id)), base, "warnings")
+        store_rejects(reject_rows(result.rejects, batch_id, "fan_out", gate.REASON, PERSONAL, hide_key), base)
+        warnings = result.warnings.withColumn("payroll_name", hidden(F.col("payroll_name"), hide_key))
+        append_log(warnings.withColumn("batch_id", F.lit(batch_id)), base, "warnings")
+        publish(spark, base, batch_id, folders, whole=not from_base)
     return log

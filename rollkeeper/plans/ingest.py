@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,8 +13,8 @@ from rollkeeper.contract import PEOPLE, STAMP, Contract
 from rollkeeper.operators import gate
 from rollkeeper.operators.snapshot import latest_snapshot, not_in_latest, snapshot_diff
 from rollkeeper.session import written
-from rollkeeper.sources.history import append_history, stamped
-from rollkeeper.sources.tables import write_table
+from rollkeeper.sources.history import append_history, read_history, stamped
+from rollkeeper.sources.tables import publish, reject_rows, store_rejects, write_attempt
 
 NO_TITLE = gate.SKIP + "no_job_title_code"
 NO_ID = "no_person_id"
@@ -21,6 +22,8 @@ BAD_ID = "bad_value:carth_id"
 NO_FILE_NUMBER = "no_file_number"
 VIEW_KEYS = ("carthage_id", "fullname")
 VERIFY_KEYS = ("carthage_id",)
+# What a stored reject shows in the clear.
+SHOWN = ("file_number", "carth_id", "job_title_code", "payroll_comp_code", "position_id")
 
 
 @dataclass(frozen=True)
@@ -78,8 +81,8 @@ def ingest(
             [
                 gate.empty_rule(NO_TITLE, "job_title_code"),
                 gate.empty_rule(NO_ID, "carth_id"),
-                (BAD_ID, F.col("carth_id").try_cast("int").isNull()),
                 gate.empty_rule(NO_FILE_NUMBER, "file_number"),
+                (BAD_ID, F.col("carth_id").try_cast("int").isNull()),
             ],
         ),
         "changed-rows",
@@ -88,7 +91,7 @@ def ingest(
     # The newest rows per person are all in the view, and only persons with a
     # changed row are asked for: most of the view stays where it is.
     person = verify_keys[0]
-    asked = view.join(candidates.select(person).distinct(), person, "left_semi")
+    asked = written(view.join(candidates.select(person).distinct(), person, "left_semi"), "asked")
     latest = latest_snapshot(asked, list(verify_keys), STAMP, "per_key")
     dates = [f.history for f in contract.date_fields]
     unseen = not_in_latest(candidates, latest, contract.history_names, dates, list(numbers))
@@ -110,6 +113,22 @@ def refresh_latest(
     return latest_snapshot(latest.unionByName(new_rows), list(keys), STAMP, mode)
 
 
+def caught_up(history: DataFrame, path: str, contract: Contract = PEOPLE) -> DataFrame:
+    """``history`` with the rows that were appended at ``path`` after its newest stamp."""
+    try:
+        stored = read_history(history.sparkSession, path, contract)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return history
+        raise
+    newest = history.agg(F.max(STAMP)).first()[0]
+    columns = [*contract.history_names, STAMP]
+    later = stored.select(*columns)
+    if newest is not None:
+        later = later.filter(F.col(STAMP) > F.lit(newest))
+    return history.select(*columns).unionByName(later)
+
+
 def run_ingest(
     feed: DataFrame,
     history: DataFrame,
@@ -117,20 +136,34 @@ def run_ingest(
     moment: datetime,
     apply: bool = True,
     state_base: str | None = None,
+    hide_key: str | None = None,
     **options,
 ) -> Ingest:
-    """One run and, unless it is a dry run, the new rows appended.
+    """One run and, unless it is a dry run, the new rows appended and the rejects stored.
 
     ``history`` is the stored history or its newest state. With ``state_base`` the
-    next newest state is kept there as the table ``latest``.
+    next newest state is kept there as the table ``latest``, and the rejects as
+    ``rejects``; without it they lie beside the history. The next newest state is
+    written before the rows are appended and published after it; a run that broke off
+    in between is caught up with by the next one.
     """
+    if apply:
+        history = caught_up(history, history_path, options.get("contract", PEOPLE))
     result = ingest(feed, history, moment, **options)
     if not apply:
         return result
-    fresh = written(result.new_rows, "new-rows")
-    append_history(fresh, history_path)
+    spark, batch_id = feed.sparkSession, f"{moment:%Y%m%dT%H%M%S}"
+    fresh, rejects = written(result.new_rows, "new-rows"), written(result.rejects, "rejects")
+    hide = [c for c in rejects.columns if c not in SHOWN]
+    stored = reject_rows(rejects, batch_id, "ingest", gate.REASON, hide, hide_key)
     if state_base:
         kept = {k: v for k, v in (("keys", options.get("view_keys")), ("mode", options.get("mode"))) if v}
-        known = history.select(*fresh.columns)
-        write_table(refresh_latest(known, fresh, **kept), state_base, "latest", f"{moment:%Y%m%dT%H%M%S}")
-    return Ingest(fresh, result.rejects, result.skipped)
+        known = options.get("contract", PEOPLE).unpadded(history).select(*fresh.columns)
+        latest = write_attempt(refresh_latest(known, fresh, **kept), state_base, "latest", batch_id)
+        store_rejects(stored, state_base)
+    else:
+        store_rejects(stored, history_path.rstrip("/") + "-log")
+    append_history(fresh, history_path)
+    if state_base:
+        publish(spark, state_base, batch_id, {"latest": latest})
+    return Ingest(fresh, rejects, result.skipped)

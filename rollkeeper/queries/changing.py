@@ -274,6 +274,21 @@ def _on_world(body: str, more: str = "") -> str:
     return sql(world.WORLD_SQL + ("," + more if more else ""), body)
 
 
+CROWDED_CTE = """
+crowded AS (SELECT * REPLACE (CAST(id // 3 AS VARCHAR) AS file_number,
+  'B' || CAST(id // 2 AS VARCHAR) AS employee_assoc_id) FROM person)
+"""
+
+
+def xref_batch_conflicts(spark, d):
+    """Persons that ask for the same free ids in one batch: one gets them, the others are rejects."""
+    targets, person = _person(spark, d)
+    crowded = person.withColumn("file_number", F.expr("CAST(id DIV 3 AS STRING)")).withColumn(
+        "employee_assoc_id", F.concat(F.lit("B"), F.expr("CAST(id DIV 2 AS STRING)"))
+    )
+    return flat(people.xref_changes(crowded, targets["cvid_rec"]), "cx_id", list(world.XREF))
+
+
 QUERIES = {
     "phone_type2": (phone_type2, sql(DATED_CTES, sqls.dated("incoming", "contact", "phone", "phone"))),
     "email_type2": (email_type2, sql(DATED_CTES, sqls.dated("incoming", "contact", "line1", "email"))),
@@ -290,6 +305,7 @@ QUERIES = {
     "person_all": (_person_part("basics", "title", "address"), _on_world(sqls.person())),
     "profile_upsert": (profile_upsert, _on_world(sqls.profile())),
     "xref_upsert": (xref_upsert, _on_world(sqls.xref())),
+    "xref_batch_conflicts": (xref_batch_conflicts, _on_world(sqls.xref("crowded"), CROWDED_CTE)),
     "work_category_upsert": (work_category_upsert, _on_world(sqls.work_category())),
     "job_class_upsert": (job_class_upsert, _on_world(sqls.job_class())),
     "division_upsert": (division_upsert, _on_world(sqls.division())),

@@ -92,6 +92,69 @@ def second_job(spark, d):
     return flat(changes, "job_no", sqls.JOB_OUT)
 
 
+def _two_ranks(spark, d):
+    """Every second job twice, in two ranks."""
+    rows = world.second_jobs(spark, d)
+    other = F.when(F.col("title_rank") == 3, 4).otherwise(3).cast("int")
+    return rows.unionByName(rows.withColumn("title_rank", other))
+
+
+TWO_RANKS_CTE = """
+two_ranks AS (SELECT * FROM second_in UNION ALL
+  SELECT * REPLACE (CASE title_rank WHEN 3 THEN 4 ELSE 3 END AS title_rank) FROM second_in)
+"""
+
+
+def second_job_two_ranks(spark, d):
+    """Two ranks of a person in one position are one job; the larger rank is a reject."""
+    targets, _, _, positions = _placed(spark, d)
+    changes = ops.second_job_changes(
+        _two_ranks(spark, d), targets["job_rec"], positions, targets["func_table"], today()
+    )
+    return flat(changes, "job_no", sqls.JOB_OUT)
+
+
+def second_job_warnings(spark, d):
+    return ops.second_job_warnings(world.second_jobs(spark, d), world.targets(spark, d), ["id"])
+
+
+SECOND_WARNINGS_SQL = """
+SELECT id, 'unknown_pay_code' AS warning, pay AS value FROM second_parts
+  WHERE whole AND pay NOT IN (SELECT hrpay FROM hrpay_table)
+UNION ALL SELECT id, 'unknown_function_code', dept FROM second_parts
+  WHERE whole AND dept NOT IN (SELECT func FROM func_table)
+UNION ALL SELECT id, 'unknown_division', unit FROM second_parts
+  WHERE whole AND unit NOT IN (SELECT hrdiv FROM hrdiv_table)
+UNION ALL SELECT id, 'unknown_department', dept FROM second_parts
+  WHERE whole AND dept NOT IN (SELECT hrdept FROM hrdept_table)
+"""
+
+
+def second_job_slots(spark, d):
+    """The first filled of three slots of a person."""
+    return ops.second_job_slots(_slots(spark, d))
+
+
+def _slots(spark, d):
+    rows = world.second_jobs(spark, d)
+    columns = ["id", "worker_cat_code", "job_title_descr", "job_function_code"]
+    out = rows.select(*columns, "pcn_aggr", "position_start", "position_end")
+    for n in (2, 3, 4):
+        out = out.withColumn(f"home_cost_number{n}", F.when(F.col("id") % n == 0, F.col("pcn_aggr")).otherwise(""))
+        out = out.withColumn(f"position_eff_date{n}", F.date_add("position_start", n))
+        out = out.withColumn(f"position_end_date{n}", F.col("position_end"))
+    return out.drop("pcn_aggr", "position_start", "position_end")
+
+
+SLOTS_CTE = """
+slots AS (
+  SELECT id, worker_cat_code, job_title_descr, job_function_code, pcn_aggr,
+    CASE WHEN id % 2 = 0 THEN 3 WHEN id % 3 = 0 THEN 4 END AS title_rank,
+    CAST(position_start + CASE WHEN id % 2 = 0 THEN 2 ELSE 3 END AS DATE) AS position_start, position_end
+  FROM second_in WHERE id % 2 = 0 OR id % 3 = 0)
+"""
+
+
 QUERIES = {
     "current_position": (current_position, sql(JOBS_SQL, CURRENT_SQL)),
     "position_title": (
@@ -106,5 +169,11 @@ QUERIES = {
     "position_upsert": (position_upsert, _on_world(sqls.position(), sqls.PLACED_SQL)),
     "job_upsert": (job_upsert, _on_world(sqls.job(), sqls.PLACED_SQL + "," + sqls.JOBS_CTES)),
     "employment_upsert": (employment_upsert, _on_world(sqls.employment(), sqls.PLACED_SQL)),
+    "second_job_two_ranks": (
+        second_job_two_ranks,
+        _on_world(sqls.second_job(), ",".join([sqls.PLACED_SQL, TWO_RANKS_CTE, sqls.second_ctes("two_ranks")])),
+    ),
+    "second_job_warnings": (second_job_warnings, _on_world(SECOND_WARNINGS_SQL, sqls.PLACED_SQL + "," + sqls.SECOND_CTES)),
+    "second_job_slots": (second_job_slots, _on_world("SELECT * FROM slots", SLOTS_CTE)),
     "second_job": (second_job, _on_world(sqls.second_job(), sqls.PLACED_SQL + "," + sqls.SECOND_CTES)),
 }

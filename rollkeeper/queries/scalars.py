@@ -295,22 +295,24 @@ def title_clean(spark, d):
 def null_blank(spark, d):
     day = F.to_date("o_orderdate")
     status = F.when(F.col("o_orderstatus") == "P", "").when(F.col("o_orderstatus") == "F", "F")
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", "").when(F.col("o_orderpriority") == "2-HIGH", "F")
     return table(spark, d, "orders").select(
         "o_orderkey",
         text.blank_to_null(status).alias("blank_to_null"),
         text.null_to_blank(status).alias("null_to_blank"),
         dates.next_day(day).alias("next_day"),
-        compare.same_or_both_blank(status, text.blank_to_null(status)).alias("same_in_snapshot"),
-        compare.stored_equals(text.blank_to_null(status), status).alias("same_in_verify"),
-        compare.differs(status, text.blank_to_null(status)).alias("differs_in_row"),
+        compare.same_or_both_blank(status, urgent).alias("same_in_snapshot"),
+        compare.stored_equals(status, urgent).alias("same_in_verify"),
+        compare.differs(status, urgent).alias("differs_in_row"),
     )
 
 
 NULL_BLANK_SQL = """
 SELECT o_orderkey, nullif(s, '') AS blank_to_null, coalesce(s, '') AS null_to_blank,
-  CAST(o_orderdate AS DATE) + 1 AS next_day, true AS same_in_snapshot, nullif(s, '') = s AS same_in_verify,
-  s IS DISTINCT FROM nullif(s, '') AS differs_in_row
-FROM (SELECT *, CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN 'F' END AS s FROM orders)
+  CAST(o_orderdate AS DATE) + 1 AS next_day, coalesce(s, '') = coalesce(u, '') AS same_in_snapshot,
+  s = u AS same_in_verify, s IS DISTINCT FROM u AS differs_in_row
+FROM (SELECT *, CASE o_orderstatus WHEN 'P' THEN '' WHEN 'F' THEN 'F' END AS s,
+  CASE o_orderpriority WHEN '1-URGENT' THEN '' WHEN '2-HIGH' THEN 'F' END AS u FROM orders)
 """
 
 

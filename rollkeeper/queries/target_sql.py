@@ -190,14 +190,19 @@ def profile() -> str:
     return one(action, "p.id", "id", values, "staff s LEFT JOIN profile_rec p ON p.id = s.id")
 
 
-def xref() -> str:
-    source = """(
-  SELECT s.*, x.cx_id AS mine,
-    (SELECT min(cx_id) FROM cvid_rec WHERE adp_associate_id = s.employee_assoc_id AND cx_id <> coalesce(x.cx_id, 0)) AS a,
-    (SELECT min(cx_id) FROM cvid_rec WHERE adp_id = s.file_number AND cx_id <> coalesce(x.cx_id, 0)) AS f
-  FROM person s LEFT JOIN cvid_rec x ON x.cx_id = s.id)"""
-    action = "CASE WHEN coalesce(a, 0) <> 0 OR coalesce(f, 0) <> 0 THEN 'reject' WHEN mine IS NULL THEN 'insert' ELSE 'update' END"
-    reason = "CASE WHEN coalesce(a, 0) <> 0 THEN 'associate_id_held' WHEN coalesce(f, 0) <> 0 THEN 'file_number_held' END"
+def xref(person: str = "person") -> str:
+    source = f"""(
+  SELECT *, coalesce(f, 0) <> 0 OR (file_number IS NOT NULL AND coalesce(f_first <> id, false)) AS f_taken FROM (
+    SELECT *, min(CASE WHEN NOT a_taken AND coalesce(f, 0) = 0 THEN id END) OVER (PARTITION BY file_number) AS f_first FROM (
+      SELECT *, coalesce(a, 0) <> 0 OR (employee_assoc_id IS NOT NULL AND coalesce(a_first <> id, false)) AS a_taken FROM (
+        SELECT *, min(CASE WHEN coalesce(a, 0) = 0 AND coalesce(f, 0) = 0 THEN id END)
+          OVER (PARTITION BY employee_assoc_id) AS a_first FROM (
+          SELECT s.*, x.cx_id AS mine,
+            (SELECT min(cx_id) FROM cvid_rec WHERE adp_associate_id = s.employee_assoc_id AND cx_id <> coalesce(x.cx_id, 0)) AS a,
+            (SELECT min(cx_id) FROM cvid_rec WHERE adp_id = s.file_number AND cx_id <> coalesce(x.cx_id, 0)) AS f
+          FROM {person} s LEFT JOIN cvid_rec x ON x.cx_id = s.id)))))"""
+    action = "CASE WHEN a_taken OR f_taken THEN 'reject' WHEN mine IS NULL THEN 'insert' ELSE 'update' END"
+    reason = "CASE WHEN a_taken THEN 'associate_id_held' WHEN f_taken THEN 'file_number_held' END"
     values = {
         "old_id": "CAST(id AS VARCHAR)",
         "old_id_num": "id",
@@ -207,8 +212,7 @@ def xref() -> str:
         "cx_id_char": "CAST(id AS VARCHAR)",
         "adp_associate_id": "employee_assoc_id",
     }
-    old = "CASE WHEN coalesce(a, 0) = 0 AND coalesce(f, 0) = 0 THEN mine END"
-    return one(action, old, "cx_id", values, source, reason)
+    return one(action, "CASE WHEN NOT a_taken AND NOT f_taken THEN mine END", "cx_id", values, source, reason)
 
 
 def ordered_pairs(rows: str, key: str, columns: list[str]) -> str:
@@ -398,23 +402,37 @@ def job() -> str:
     )
 
 
-SECOND_CTES = f"""
+_SECOND = [
+    "id", "title_rank", "pcn_aggr", "worker_cat_code", "job_title_descr", "job_function_code", "position_start",
+    "position_end", "pay", "unit", "dept", "tpos_no", "func", "old_title",
+]
+
+
+def second_ctes(source: str = "second_in", state: str = "job_rec") -> str:
+    return f"""
 second_parts AS (
   SELECT *, split_part(pcn_aggr, '-', 1) AS pay, split_part(pcn_aggr, '-', 2) AS unit,
     split_part(pcn_aggr, '-', 3) AS dept,
-    length(pcn_aggr) - length(replace(pcn_aggr, '-', '')) >= 3 AS whole FROM second_in),
+    length(pcn_aggr) - length(replace(pcn_aggr, '-', '')) >= 3 AS whole FROM {source}),
 second_rows AS (
   SELECT s.* EXCLUDE (whole), p.tpos_no, coalesce(f.func, '') AS func,
-    coalesce((SELECT min(job_title) FROM job_rec j WHERE j.tpos_no = p.tpos_no), '') AS old_title
+    coalesce((SELECT min(job_title) FROM {state} j WHERE j.tpos_no = p.tpos_no), '') AS old_title
   FROM second_parts s JOIN pos_next p USING (pcn_aggr) LEFT JOIN func_table f ON f.func = dept WHERE whole),
-{jobs_ctes(
-    "second_rows",
-    "sj",
-    "job_rec",
-    ["id", "title_rank", "pcn_aggr", "worker_cat_code", "job_title_descr", "job_function_code", "position_start",
-     "position_end", "pay", "unit", "dept", "tpos_no", "func", "old_title"],
-    "position_start",
-).strip()}
+{jobs_ctes("second_rows", "sj", state, _SECOND, "position_start").strip()}
+"""
+
+
+SECOND_CTES = second_ctes()
+
+# Jobs as the batch leaves them; new ones are numbered by person and position.
+JOBS_NEXT_CTES = f"""
+job_log AS ({job()}),
+job_next AS (
+  SELECT r.job_no, {", ".join(f"CASE WHEN l.action IS NULL THEN r.{c} ELSE l.{c} END AS {c}" for c in JOB_OUT)}
+  FROM job_rec r LEFT JOIN job_log l ON l.old_job_no = r.job_no AND l.action IN ('update', 'end_date')
+  UNION ALL
+  SELECT (SELECT max(job_no) FROM job_rec) + row_number() OVER (ORDER BY id, tpos_no), {", ".join(JOB_OUT)}
+  FROM job_log WHERE action = 'insert')
 """
 
 
@@ -437,6 +455,7 @@ def second_job() -> str:
         "worker_ctgry": "w.worker_cat_code",
         "hrclass": "CASE WHEN j IS NOT NULL THEN j.hrclass END",
     }
+    lost = values | {"bjob_no": "NULL", "egp_type": "NULL", "hrclass": "NULL"}
     empty = {c: "NULL" for c in JOB_OUT}
     failed = empty | {"id": "id", "title_rank": "title_rank", "job_title": "job_title_descr"}
     unknown = "second_parts WHERE whole AND pcn_aggr NOT IN (SELECT pcn_aggr FROM pos_next)"
@@ -444,6 +463,8 @@ def second_job() -> str:
         _job_rows("sj", values, True),
         one("'reject'", "NULL", "job_no", failed, "second_parts WHERE NOT whole", "'bad_position_key'"),
         one("'reject'", "NULL", "job_no", failed, unknown, "'unknown_position'"),
+        one("'reject'", "NULL", "job_no", lost, "sj_all w WHERE fp <> win", "'conflict_in_batch'"),
+        one("'reject'", "NULL", "job_no", lost, "sj_lead w WHERE lead_no > 1", "'conflict_in_batch'"),
     )
 
 

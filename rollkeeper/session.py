@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,6 +42,9 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_RUNS: list[list[str]] = []
+
+
 def written(df: DataFrame, name: str = "step") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -49,5 +53,24 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _RUNS:
+        _RUNS[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def steps_of_a_run(spark: SparkSession):
+    """Removes at its end what ``written`` has stored inside; for runs whose results lie elsewhere by then."""
+    _RUNS.append([])
+    try:
+        yield
+    finally:
+        for path in _RUNS.pop():
+            drop(spark, path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Removes a folder that ``written`` has made, through Spark's own file system."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

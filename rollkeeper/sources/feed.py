@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,24 +16,47 @@ SHORT_ROW = "short_row"
 SOURCE = "source_file"
 
 
-def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = True) -> DataFrame:
+BROKEN_LINE = "a quoted value holds a line break; read the feed with multi_line=True"
+
+
+def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = False) -> DataFrame:
     """Quoted CSV as text, blank for empty, plus the raw text of uneven rows.
 
-    ``multi_line`` lets a value hold a line break, at the price of one task per
-    file. Land a large feed as many files, or switch it off for a provider that
-    never breaks a line inside quotes.
+    Files are cut into tasks of any size. A value that holds a line break is then an
+    error, as one of its pieces is an uneven row with an odd number of quotes. With
+    ``multi_line`` such values are read, at the price of one task per file.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return (
+    rows = (
         spark.read.schema(schema.add(CORRUPT, T.StringType()))
         .option("header", True)
         .option("enforceSchema", False)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # else a row counts as uneven by the columns asked for
         .csv(path)
         .na.fill("", subset=columns)
     )
+    if multi_line:
+        return rows
+    quotes = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit('"'), F.lit("")))
+    broken = F.raise_error(F.lit(BROKEN_LINE)).cast("string")
+    return rows.withColumn(CORRUPT, F.when(quotes % 2 == 1, broken).otherwise(F.col(CORRUPT)))
+
+
+def headers_by_file(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header -> the files that begin with it. One row per file comes to the driver."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        "value",
+    )
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "at").alias("head")).orderBy("file").collect():
+        header = next(csv.reader([row["head"].lstrip("\ufeff")]), [])
+        found.setdefault(tuple(header), []).append(row["file"])
+    return found
 
 
 def field_count(raw: Column) -> Column:
@@ -39,22 +65,29 @@ def field_count(raw: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def read_feed(spark: SparkSession, path: str | list[str], contract: Contract, multi_line: bool = True) -> DataFrame:
+def read_feed(spark: SparkSession, path: str | list[str], contract: Contract, multi_line: bool = False) -> DataFrame:
     """All files of a drop folder under the contract's short names.
 
-    Columns are found by header, whatever their order; a missing one is an error
-    before any row is read. A row that lacks more than its last column is marked
-    ``short_row`` in ``reject_reason``; a row that is too long is kept.
+    Columns are found by each file's header, whatever their order; a missing one in any
+    file is an error before any row is read. A row that lacks more than its last column
+    is marked ``short_row`` in ``reject_reason``; a row that is too long is kept.
     """
-    headers = spark.read.option("header", True).csv(path).columns
-    contract.check_headers(headers)
-    raw = read_csv(spark, path, headers, multi_line)
-    short = F.col(CORRUPT).isNotNull() & (field_count(F.col(CORRUPT)) < len(headers) - 1)
-    return raw.select(
-        *[F.col(f"`{f.header}`").alias(f.name) for f in contract.fields],
-        F.when(short, SHORT_ROW).alias(REASON),
-        F.input_file_name().alias(SOURCE),
-    )
+    by_header = headers_by_file(spark, path)
+    for header in by_header:
+        contract.check_headers(list(header))
+
+    def one(header: tuple[str, ...], files: list[str]) -> DataFrame:
+        raw = read_csv(spark, files, list(header), multi_line)
+        short = F.col(CORRUPT).isNotNull() & (field_count(F.col(CORRUPT)) < len(header) - 1)
+        return raw.select(
+            *[F.col(f"`{f.header}`").alias(f.name) for f in contract.fields],
+            F.when(short, SHORT_ROW).alias(REASON),
+            F.input_file_name().alias(SOURCE),
+        )
+
+    if not by_header:
+        raise ValueError(f"no feed file with a header at {path}")
+    return reduce(DataFrame.unionByName, [one(h, files) for h, files in by_header.items()])
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from rollkeeper.plans.fan_out import KEYS, fan_out, run_fan_out
 from rollkeeper.queries import world
-from rollkeeper.sources.tables import append_log, read_table
+from rollkeeper.sources.tables import append_log, read_table, table_folders
 
 FOLDER = "/root/testdata/sf0.001"
 DAY = date(2024, 1, 28)
@@ -85,3 +85,32 @@ def test_second_run_changes_no_code_and_no_position(spark, ran):
 def test_dry_run_writes_no_target(spark, ran, tmp_path):
     run_fan_out(ran[2], ran[1], DAY, "b1", str(tmp_path), apply=False)
     assert list(tmp_path.iterdir()) == []
+
+
+def test_a_finished_batch_runs_again_on_its_own_state(spark, ran):
+    """The same batch once more, on the published tables: what did not change stays the same files."""
+    base = ran[0]
+    before = {t: table_folders(spark, base, t) for t in KEYS if t != "second_job"}
+    rows = {t: state(spark, ran, t).count() for t in before}
+    again = run_fan_out(ran[2], ran[1], DAY, "b1", base, from_base=True)
+    after = {t: table_folders(spark, base, t) for t in before}
+    for table in ("cc_work_cat_table", "hrclass_table", "hrdiv_table", "hrdept_table", "pos_table"):
+        assert before[table] == after[table], table
+    kept = ("id_rec", "pos_table", "hremp_rec", "cvid_rec")  # second jobs are not given again, so jobs do change
+    assert {t: state(spark, ran, t).count() for t in kept} == {t: rows[t] for t in kept}
+    assert again.filter(F.col("target").isin(*kept) & (F.col("action") == "insert")).count() == 0
+
+
+def test_a_small_batch_leaves_other_buckets_alone(spark, ran):
+    base = ran[0]
+    before = table_folders(spark, base, "id_rec")
+    one = ran[2].filter("carth_id <> ''").orderBy("carth_id").limit(1)
+    run_fan_out(one, ran[1], DAY, "b2", base, from_base=True)
+    after = table_folders(spark, base, "id_rec")
+    assert len(before) > 10 and sum(before[n] != after[n] for n in before) <= 1
+
+
+def test_rejects_of_both_plans_have_one_shape(spark, ran):
+    rejects = spark.read.parquet(f"{ran[0]}/rejects")
+    assert set(rejects.columns) == {"batch_id", "stage", "reason", "row"}
+    assert rejects.count() > 0 and rejects.filter("row LIKE '%Customer%'").count() == 0

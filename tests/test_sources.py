@@ -5,10 +5,19 @@ from pyspark.sql import functions as F
 
 from rollkeeper.contract import PEOPLE
 from rollkeeper.operators import gate
+from rollkeeper.plans import ingest as plan
 from rollkeeper.plans.ingest import clean, ingest, run_ingest
 from rollkeeper.sources.feed import read_feed, write_difference, write_feed
 from rollkeeper.sources.history import append_history, batch_stamp, read_history, stamped
-from rollkeeper.sources.tables import read_table, reject_rows, write_table
+from rollkeeper.sources.tables import (
+    bucket_of,
+    publish,
+    read_table,
+    reject_rows,
+    table_folders,
+    write_attempt,
+    write_table,
+)
 
 
 def person(**values):
@@ -53,7 +62,7 @@ def test_contract_has_91_columns():
 def test_feed_values_survive(spark, tmp_path):
     odd = person(last_name="a \"b\", c\nd", first_name="  x ", long_title="é")
     path = write(tmp_path / "drop" / "a.csv", feed_text([odd, person(carth_id="2")]))
-    rows = {r["carth_id"]: r for r in read_feed(spark, path, PEOPLE).collect()}
+    rows = {r["carth_id"]: r for r in read_feed(spark, path, PEOPLE, multi_line=True).collect()}
     assert rows["1"]["last_name"] == "a \"b\", c\nd"
     assert rows["1"]["first_name"] == "  x "
     assert rows["1"]["middle_name"] == ""
@@ -210,19 +219,95 @@ def test_history_is_partitioned_by_day(spark, tmp_path):
     assert [p.name for p in (tmp_path / "h").glob("stamp_day=*")] == ["stamp_day=2024-01-02"]
 
 
-def test_target_table_takes_the_last_complete_batch(spark, tmp_path):
-    write_table(spark.range(1), str(tmp_path), "t", "b1")
-    write_table(spark.range(2), str(tmp_path), "t", "b2")
-    write_table(spark.range(3), str(tmp_path), "t", "b3")
-    (tmp_path / "t" / "batch_id=b3" / "_SUCCESS").unlink()
-    assert read_table(spark, str(tmp_path), "t").count() == 2
-    assert read_table(spark, str(tmp_path), "t", "b1").count() == 1
+def test_target_table_takes_the_last_published_batch(spark, tmp_path):
+    base = str(tmp_path)
+    write_table(spark.range(1), base, "t", "b9")
+    write_table(spark.range(2), base, "t", "b10")
+    write_attempt(spark.range(3), base, "t", "b11")
+    assert read_table(spark, base, "t").count() == 2
+    assert read_table(spark, base, "t", "b9").count() == 1
+    write_table(read_table(spark, base, "t").unionByName(spark.range(5, 6)), base, "t", "b10")  # reads what it replaces
+    assert read_table(spark, base, "t").count() == 3
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, base, "t", "b11")
     with pytest.raises(FileNotFoundError):
-        read_table(spark, str(tmp_path), "none")
+        read_table(spark, base, "none")
+
+
+def test_buckets_are_replaced_one_by_one(spark, tmp_path):
+    base, key = str(tmp_path), ["id"]
+    rows = spark.range(500).withColumn("v", F.lit("old"))
+    write_table(rows, base, "t", "b1", key)
+    before = table_folders(spark, base, "t")
+    bucket = spark.range(7, 8).select(bucket_of([F.col("id")]).alias("n")).first().n
+    part = read_table(spark, base, "t", None, [bucket])
+    assert 0 < part.count() < 50
+    publish(spark, base, "b2", {"t": write_attempt(part.withColumn("v", F.lit("new")), base, "t", "b2", key)}, whole=False)
+    after = table_folders(spark, base, "t")
+    assert {n for n in before if before[n] != after[n]} == {bucket}
+    now = read_table(spark, base, "t")
+    assert now.count() == 500 and now.filter("v = 'new'").count() == part.count()
+    assert read_table(spark, base, "t", "b1").filter("v = 'new'").count() == 0
+
+
+def test_rejects_are_stored_without_names(spark, tmp_path):
+    path, base = str(tmp_path / "history"), str(tmp_path / "state")
+    rows = [person(), person(carth_id="", last_name="Secret"), person(carth_id="x", file_number="", last_name="Secret")]
+    for key in (None, "k"):
+        for moment in (MORNING, MORNING):
+            run_ingest(frame(spark, rows), empty_history(spark), path, moment, state_base=base, hide_key=key)
+        log = spark.read.parquet(f"{base}/rejects").collect()
+        assert sorted((r["stage"], r["reason"]) for r in log) == [("ingest", "no_file_number"), ("ingest", "no_person_id")]
+        assert not any("Secret" in r["row"] for r in log) and any('"file_number":"000001"' in r["row"] for r in log)
+        assert all(("last_name" in r["row"]) == (key is not None) for r in log)
+    run_ingest(frame(spark, rows), empty_history(spark), str(tmp_path / "other"), MORNING)
+    assert spark.read.parquet(str(tmp_path / "other-log" / "rejects")).count() == 2
+
+
+def test_a_run_that_broke_off_is_caught_up_with(spark, tmp_path, monkeypatch):
+    path, base = str(tmp_path / "history"), str(tmp_path / "state")
+    run_ingest(frame(spark, [person()]), empty_history(spark), path, MORNING, state_base=base, mode="per_key")
+    feed = frame(spark, [person(last_name="New")])
 
+    def broken(*_, **__):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(plan, "publish", broken)
+    with pytest.raises(RuntimeError):
+        run_ingest(feed, read_table(spark, base, "latest"), path, datetime(2024, 1, 3), state_base=base, mode="per_key")
+    monkeypatch.undo()
+    again = run_ingest(feed, read_table(spark, base, "latest"), path, datetime(2024, 1, 4), state_base=base, mode="per_key")
+    assert again.new_rows.count() == 0 and read_history(spark, path, PEOPLE).count() == 2
+    assert [r["lastname"] for r in read_table(spark, base, "latest").collect()] == ["New"]
+
+
+def test_newest_state_of_a_padded_history(spark, tmp_path):
+    stored = PEOPLE.to_history(clean(frame(spark, [person()])).drop(gate.REASON))
+    padded = stamped(stored.withColumn("fullname", F.rpad("fullname", 30, " ")), MORNING)
+    base = str(tmp_path / "state")
+    feed = frame(spark, [person(last_name="New")])
+    run_ingest(feed, padded, str(tmp_path / "h"), datetime(2024, 1, 3), state_base=base, mode="per_key")
+    assert [r["lastname"] for r in read_table(spark, base, "latest").collect()] == ["New"]
 
-def test_rejects_can_hide_columns(spark):
-    rows = spark.createDataFrame([("9", "bad")], "ssn string, why string")
-    row = reject_rows(rows, "b", "gate", "why", hide=["ssn"]).first()
-    assert row["reason"] == "bad"
-    assert '"9"' not in row["row"] and len(row["row"]) > 60
+
+def test_no_file_number_is_said_first(spark):
+    run = ingest(frame(spark, [person(carth_id="x", file_number="")]), empty_history(spark), MORNING)
+    assert [r[gate.REASON] for r in run.rejects.collect()] == ["no_file_number"]
+
+
+def test_quoted_line_break_is_an_error_by_default(spark, tmp_path):
+    for column in ("last_name", PEOPLE.names[-1], PEOPLE.names[0]):
+        path = write(tmp_path / column / "a.csv", feed_text([person(**{column: "a\nb"}), person(carth_id="2")]))
+        with pytest.raises(Exception, match="line break"):
+            read_feed(spark, path, PEOPLE).collect()
+        assert read_feed(spark, path, PEOPLE, multi_line=True).count() == 2
+
+
+def test_files_with_columns_in_another_order(spark, tmp_path):
+    write(tmp_path / "drop" / "a.csv", feed_text([person(ssn="1")]))
+    write(tmp_path / "drop" / "b.csv", feed_text([person(carth_id="2", ssn="2")], headers=PEOPLE.headers[::-1]), bom=False)
+    rows = read_feed(spark, str(tmp_path / "drop"), PEOPLE).collect()
+    assert {r["carth_id"]: r["ssn"] for r in rows} == {"1": "1", "2": "2"}
+    write(tmp_path / "drop" / "c.csv", feed_text([person()], headers=PEOPLE.headers[1:]))
+    with pytest.raises(ValueError, match="File Number"):
+        read_feed(spark, str(tmp_path / "drop"), PEOPLE)
