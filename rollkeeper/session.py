@@ -61,10 +61,13 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
 
 @contextmanager
 def steps_of_a_run(spark: SparkSession):
-    """Removes at its end what ``written`` has stored inside; for runs whose results lie elsewhere by then."""
+    """Removes at its end what ``written`` has stored inside; for runs whose results lie elsewhere by then.
+
+    Gives the list of the folders; one that is taken out of it stays.
+    """
     _RUNS.append([])
     try:
-        yield
+        yield _RUNS[-1]
     finally:
         for path in _RUNS.pop():
             drop(spark, path)
