@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeeper.llm import decontaminate, packing, perplexity, runlength, simhash
-from rollkeeper.session import written
+from rollkeeper.session import steps_of_a_run, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -62,7 +62,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, "stage")
+        if k == len(STAGES) - 1:
+            return stage(spark, docs, sf_dir)
+        with steps_of_a_run(spark) as steps:  # what a stage has stored goes, but for its result
+            docs = written(stage(spark, docs, sf_dir), "stage")
+            steps.pop()
     return docs

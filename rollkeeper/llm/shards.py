@@ -37,7 +37,8 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
 def place(df: DataFrame, key: str, weights: Sequence[float], grown: Sequence[float] | None = None) -> DataFrame:
     """``df`` with ``shard``, ``slot`` (gapless from 0 in each shard) and, if asked, ``grown_shard``.
 
-    The rows are written once, so that slots don't change if a task runs again.
+    The rows are written once, so that slots don't change if a task runs again. Columns
+    of these names that ``df`` has already are replaced.
     """
     out = df.withColumn("shard", rendezvous(F.col(key), weights))
     if grown:
