@@ -5,7 +5,8 @@ corpus. Repeated strings are found in buckets: every window of ``length`` bytes
 hash among its grams of ``GRAM`` bytes; equal windows have the same one, so all places of a
 window meet under that value. Neighbouring windows of a text with one value form a segment.
 
-1. Segments are counted by value (value, content hash). A value seen once holds no repeat.
+1. Segments are counted by value. A value seen once holds no repeat, unless its gram stands
+   at several places of the one segment, which may then repeat within itself.
 2. If all segments of a value are equal, they are repeats as a whole.
 3. Else its different contents, each once and with its count, go to an index: the transform
    of their concatenation is cut into runs; for the first and last suffix of each run the
@@ -73,11 +74,30 @@ def least_in_windows(values: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
+def found_twice(hashes: np.ndarray, at: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """For each range of places (``at`` to ``end``) whether its ``value`` stands at several of them."""
+    out = np.zeros(len(at), bool)
+    if not len(at):
+        return out
+    place = np.flatnonzero(hashes <= value.max())
+    place = place[np.argsort(hashes[place], kind="stable")]
+    ranked = hashes[place]
+    low, high = np.searchsorted(ranked, value, "left"), np.searchsorted(ranked, value, "right")
+    more = np.flatnonzero(high - low > 1)
+    if len(more):
+        group = np.cumsum(np.append(True, ranked[1:] != ranked[:-1])) - 1
+        key, size = group * (len(hashes) + 1) + place, len(hashes) + 1
+        own = group[low[more]] * size
+        out[more] = np.searchsorted(key, own + end[more]) - np.searchsorted(key, own + at[more]) > 1
+    return out
+
+
 def cut(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Segments of a block: text, first byte in the block, windows, value."""
+    """Segments of a block: text, first byte in the block, windows, value, and whether its gram stands there twice."""
     if len(data) < length:
-        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    value = least_in_windows(gram_hashes(data, gram), length - gram + 1)
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64), np.empty(0, bool))
+    hashes = gram_hashes(data, gram)
+    value = least_in_windows(hashes, length - gram + 1)
     windows = np.maximum(np.diff(offsets) - length + 1, 0)
     long = np.flatnonzero(windows)
     first, last = offsets[long], offsets[long] + windows[long]
@@ -90,11 +110,12 @@ def cut(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[
     inside = at < offsets[row] + windows[np.minimum(row, len(windows) - 1)] if len(windows) else np.zeros(len(at), bool)
     inside &= row < len(windows)
     end = np.append(at[1:], len(value))
-    return row[inside], at[inside], (end - at)[inside], value[at[inside]]
+    row, at, wins = row[inside], at[inside], (end - at)[inside]
+    return row, at, wins, value[at], found_twice(hashes, at, at + wins + length - gram, value[at])
 
 
 def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """``texts`` (digest, text) -> digest, start, wins, value, content of all segments."""
+    """``texts`` (digest, text) -> digest, start, wins, value, twice, content of all segments."""
 
     def run(batches):
         from xxhash import xxh3_64_intdigest
@@ -102,7 +123,7 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
         for batch in batches:
             digests = batch.column(0)
             for low, high, data, offsets in text_blocks(batch.column(1), 1 << 18):
-                row, at, wins, value = cut(data, offsets, length, gram)
+                row, at, wins, value, twice = cut(data, offsets, length, gram)
                 raw = data.tobytes()
                 content = [xxh3_64_intdigest(raw[a:b]) for a, b in zip(at.tolist(), (at + wins + length - 1).tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
@@ -111,12 +132,13 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         pa.array(at - offsets[row]),
                         pa.array(wins),
                         pa.array(value.view(np.int64)),
+                        pa.array(twice),
                         pa.array(np.array(content, np.uint64).view(np.int64)),
                     ],
-                    names=["digest", "start", "wins", "value", "content"],
+                    names=["digest", "start", "wins", "value", "twice", "content"],
                 )
 
-    return texts.mapInArrow(run, "digest binary, start bigint, wins bigint, value bigint, content bigint")
+    return texts.mapInArrow(run, "digest binary, start bigint, wins bigint, value bigint, twice boolean, content bigint")
 
 
 def bodies(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -306,9 +328,10 @@ def marks(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: i
     copies = written(copies, "copies")
 
     all_segments = segments(texts, length, gram)
-    values = all_segments.groupBy("value").agg(F.count(F.lit(1)).alias("_n"), F.min("content").alias("_lo"), F.max("content").alias("_hi"))
-    values = written(values.filter("_n > 1").select("value", (F.col("_lo") < F.col("_hi")).alias("mixed")), "values")
-    found = written(all_segments.join(values, "value"), "segments")
+    values = all_segments.groupBy("value").agg(F.count(F.lit(1)).alias("_n"), F.min("content").alias("_lo"), F.max("content").alias("_hi"), F.max("twice").alias("_twice"))
+    mixed = (F.col("_n") == 1) | (F.col("_lo") < F.col("_hi"))
+    values = written(values.filter("_n > 1 or _twice").select("value", mixed.alias("mixed")), "values")
+    found = written(all_segments.drop("twice").join(values, "value"), "segments")
 
     contents = found.filter("mixed").groupBy("value", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("digest", "start", "wins")).alias("_one"))
     contents = written(contents.select("value", "content", "n", "_one.*"), "contents")

@@ -43,7 +43,21 @@ def case(seed):
     edited = list(texts[14])
     for k in range(100, len(edited), 300):
         edited[k] = "#"
-    return texts + ["".join(edited), "\0" * 300 + "\1", "\0" * 250]
+    texts += ["".join(edited), "\0" * 300 + "\1", "\0" * 250]
+    if seed > 1:  # repeats of a text within itself, which no other text holds
+        texts += ["Of Of " * 100 + said(300), "q" * 240, said(99, "xyz") * 5, (said(130, "xyz") + said(40)) * 2 + said(90)]
+        one = said(230, "uvw")
+        texts.append(said(300) + one + said(50) + one + said(400))
+    return texts
+
+
+def test_a_text_that_only_repeats_itself(spark, tmp_path):
+    r = random.Random(9)
+    said = lambda n: "".join(r.choices("abcdefgh", k=n))
+    one = said(210)
+    texts = ["ab" * 150 + said(50), "k" * 201, "l" * 200, one + said(20) + one, said(120) * 3, said(900)]
+    got = sorted(tuple(x)[1:] for x in x.op7_repeats(spark, docs(tmp_path, texts)).collect())
+    assert got == sorted(brute(texts)) and sum(g[1] > 0 for g in got) == 4
 
 
 @pytest.mark.parametrize(("seed", "most"), [(1, 4096), (2, 4096), (3, 2)])
@@ -115,6 +129,6 @@ def test_least_in_windows_and_cut():
         assert x.least_in_windows(values, span).tolist() == [values[i : i + span].min() for i in range(300 - span + 1)]
     data = r.integers(0, 3, 2000).astype(np.uint8)
     offsets = np.array([0, 0, 30, 500, 700, 899, 2000, 2000])
-    row, at, wins, _ = x.cut(data, offsets, 200, 32)
+    row, at, wins, _, _ = x.cut(data, offsets, 200, 32)
     covered = sorted((int(k), int(i)) for k, a, w in zip(row, at, wins, strict=True) for i in range(a, a + w))
     assert covered == [(k, i) for k in range(7) for i in range(offsets[k], offsets[k + 1] - 199)]
