@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import functools
+import io
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import rollkeeper
+from rollkeeper.llm.files import located, new_folder
+
 #: Bytes of text that a task turns into arrays at once.
 BLOCK_BYTES = 4 << 20
 
@@ -31,6 +37,33 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, so that tasks can import it wherever the driver found it."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(rollkeeper.__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent).as_posix())
+    place = f"{new_folder(spark, 'code')}/rollkeeper.zip"
+    store, path = located(place)
+    with store.open_output_stream(path, compression=None) as stream:
+        stream.write(packed.getvalue())
+    context.addPyFile(place)
+    _SHIPPED.add(context.applicationId)
+
+
+def mapped(df: DataFrame, run, schema: str) -> DataFrame:
+    """``df.mapInArrow`` with this package at hand; for ``DataFrame.transform``."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, with underscores before it until no column of ``df`` has that name."""
     taken = {c.lower() for c in df.columns}

@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 
 from rollkeeper.llm.common import (
     ALNUM,
-    LOWER,
     documents,
     fresh,
     lists,
+    LOWER,
+    mapped,
     ranges,
     text_blocks,
     with_column_type,
@@ -247,7 +248,7 @@ def scan(
                 columns = [*batch.columns[:place], result]
                 yield pa.RecordBatch.from_arrays(columns, names=[*names[:place], found])
 
-        out = out.mapInArrow(run, schema)
+        out = out.transform(mapped, run, schema)
     return out
 
 

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollkeeper.llm.common import documents, fresh, ranges, text_blocks
+from rollkeeper.llm.common import documents, fresh, mapped, ranges, text_blocks
 from rollkeeper.llm.files import located, new_folder, own_name, spread_files
 from rollkeeper.llm.packing import public_path
 from rollkeeper.llm.tokens import crc32s, encoder
@@ -153,7 +153,7 @@ def token_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "wide"])
 
     spark = docs.sparkSession
-    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id bigint, ids binary, wide boolean")
+    made = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).transform(mapped, run, "doc_id bigint, ids binary, wide boolean")
     made = made.withColumn(fresh(made, "place"), F.monotonically_increasing_id())
     folder = new_folder(spark, "token-ids")
     made.write.mode("overwrite").option("compression", "zstd").parquet(folder)
@@ -189,7 +189,7 @@ def id_counts(tokens: DataFrame) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
 
-    rows = tokens.mapInArrow(run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = tokens.transform(mapped, run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r.id] = r.n
@@ -223,7 +223,7 @@ def encoded(tokens: DataFrame, lengths: np.ndarray) -> DataFrame:
                     names=["doc_id", "place", "n", "code", "marks"],
                 )
 
-    return tokens.mapInArrow(run, "doc_id bigint, place bigint, n bigint, code binary, marks binary")
+    return tokens.transform(mapped, run, "doc_id bigint, place bigint, n bigint, code binary, marks binary")
 
 
 def block_bytes(rows: list[tuple]) -> bytes:
@@ -262,7 +262,7 @@ def write_files(codes: DataFrame, lengths: np.ndarray, limit: int, folder: str)
 
     spark = codes.sparkSession
     made = codes.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
-    made = made.mapInArrow(run, "part bigint, path string, n bigint")
+    made = made.transform(mapped, run, "part bigint, path string, n bigint")
     where = f"{folder}/manifest"
     made.write.parquet(where)
     return spark.read.schema(made.schema).parquet(where)
@@ -325,7 +325,7 @@ def read_files(files: DataFrame, with_ids: bool = False) -> DataFrame:
     names = ["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * with_ids]
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     base = F.sum("n").over(Window.orderBy("part")) - F.col("n")
-    return spread_files(files.select("path", base.alias("base"))).mapInArrow(run, schema)
+    return spread_files(files.select("path", base.alias("base"))).transform(mapped, run, schema)
 
 
 def write_corpus(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:

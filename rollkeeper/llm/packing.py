@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollkeeper.llm.common import documents, numbered, text_blocks
+from rollkeeper.llm.common import documents, mapped, numbered, text_blocks
 from rollkeeper.llm.tokens import crc32s, encoder
 from rollkeeper.session import written
 
@@ -67,7 +67,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
     schema = f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).transform(mapped, run, schema)
 
 
 def priced(value: np.ndarray, capacity: int) -> np.ndarray:
@@ -180,7 +180,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFr
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema.fields)
-    placed = ranked.mapInArrow(run, f"{schema}, sequence_id bigint")
+    placed = ranked.transform(mapped, run, f"{schema}, sequence_id bigint")
     before = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "_place").rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0))).drop("_class", "_place", "_number")
 

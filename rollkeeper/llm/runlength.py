@@ -41,6 +41,7 @@ from rollkeeper.llm.common import (
     _powers,
     documents,
     fresh,
+    mapped,
     mixed,
     text_blocks,
     with_column_type,
@@ -138,7 +139,7 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     names=["digest", "start", "wins", "value", "twice", "content"],
                 )
 
-    return texts.mapInArrow(run, "digest binary, start bigint, wins bigint, value bigint, twice boolean, content bigint")
+    return texts.transform(mapped, run, "digest binary, start bigint, wins bigint, value bigint, twice boolean, content bigint")
 
 
 def bodies(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -162,7 +163,7 @@ def bodies(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 columns = [some.field(c) for c in ("value", "content", "n", "hot")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["value", "content", "n", "hot", "body"])
 
-    return texts.join(asked, "digest").select("text", "asked").mapInArrow(run, "value bigint, content bigint, n bigint, hot boolean, body binary")
+    return texts.join(asked, "digest").select("text", "asked").transform(mapped, run, "value bigint, content bigint, n bigint, hot boolean, body binary")
 
 
 _SIGN_BITS, _TOGETHER = 9, 7
@@ -285,7 +286,7 @@ def indexed_marks(rows: DataFrame, length: int) -> DataFrame:
         if group:
             yield flush(group)
 
-    return rows.repartition("value").sortWithinPartitions("value", "content").mapInArrow(run, MARKS)
+    return rows.repartition("value").sortWithinPartitions("value", "content").transform(mapped, run, MARKS)
 
 
 def counted_marks(rows: DataFrame, length: int) -> DataFrame:
@@ -310,7 +311,7 @@ def counted_marks(rows: DataFrame, length: int) -> DataFrame:
                 )
 
     rows = rows.dropDuplicates(["value", "content"])
-    windows = written(rows.mapInArrow(run, "value bigint, content bigint, n bigint, at bigint, window binary"), "windows")
+    windows = written(rows.transform(mapped, run, "value bigint, content bigint, n bigint, at bigint, window binary"), "windows")
     often = windows.groupBy("window").agg(F.sum("n").alias("_all")).filter("_all > 1").select("window")
     often = written(often, "frequent-windows")
     return windows.join(often, "window").select("value", "content", "at", F.lit(1).cast("long").alias("wins"))
@@ -403,7 +404,7 @@ def judged(docs: DataFrame, keep: list[str], name: str, text_col: str = "text",
                 columns = [batch.column(i).slice(low, high - low) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, out_type)], names=[*keep, name])
 
-    return rows.mapInArrow(run, with_column_type(docs.select(*keep), name, kind))
+    return rows.transform(mapped, run, with_column_type(docs.select(*keep), name, kind))
 
 
 def without_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH) -> DataFrame:

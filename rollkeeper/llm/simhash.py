@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollkeeper.llm.common import documents, fresh, text_blocks
+from rollkeeper.llm.common import documents, fresh, mapped, text_blocks
 from rollkeeper.llm.components import components
 from rollkeeper.session import written
 
@@ -92,7 +92,7 @@ def with_fingerprint(docs: DataFrame, keep: list[str], name: str, text_col: str
                 columns = [batch.column(i).slice(low, high - low) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(found)], names=[*keep, name])
 
-    return docs.select(*keep, F.col(text_col).alias(fresh(docs, "_body"))).mapInArrow(run, schema)
+    return docs.select(*keep, F.col(text_col).alias(fresh(docs, "_body"))).transform(mapped, run, schema)
 
 
 def segments(bits: int, width: int = 64) -> list[tuple[int, int]]:

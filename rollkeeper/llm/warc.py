@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollkeeper.llm.common import mapped
 from rollkeeper.llm.files import located, new_folder, own_name, spread_files
 from rollkeeper.session import written
 
@@ -237,7 +238,7 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
         if own:
             yield close()
 
-    return written(records.mapInArrow(run, "path string, records bigint"), "archives")
+    return written(records.transform(mapped, run, "path string, records bigint"), "archives")
 
 
 def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
@@ -272,7 +273,7 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
         if rows:
             yield pa.RecordBatch.from_pylist(rows, READ)
 
-    return spread_files(archives).mapInArrow(run, READ_DDL)
+    return spread_files(archives).transform(mapped, run, READ_DDL)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
