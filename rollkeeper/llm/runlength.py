@@ -75,26 +75,39 @@ def least_in_windows(values: np.ndarray, span: int) -> np.ndarray:
     return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
 
 
-def found_twice(hashes: np.ndarray, at: np.ndarray, end: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """For each range of places (``at`` to ``end``) whether its ``value`` stands at several of them."""
-    out = np.zeros(len(at), bool)
-    if not len(at):
+def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which ``values`` are among the sorted ``known``, and their numbers there."""
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[at] == values, at
+
+
+def found_twice(hashes: np.ndarray, at: np.ndarray, end: np.ndarray, value: np.ndarray, span: int) -> np.ndarray:
+    """For each range of places (``at`` to ``end``) whether its ``value``, the least of ``span``, may stand at several.
+
+    A value that is high for the least of so many comes from a text of few different
+    grams; it counts as found twice without a look. Others are looked up.
+    """
+    high = np.uint64(min(10 / span, 1.0) * float((1 << 64) - 2048))
+    out = value > high
+    if out.all():
+        return out
+    place = np.flatnonzero(hashes <= min(value[~out].max(), high))
+    ranked = np.sort(hashes[place])
+    again = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+    if not len(again):
         return out
-    place = np.flatnonzero(hashes <= value.max())
-    place = place[np.argsort(hashes[place], kind="stable")]
-    ranked = hashes[place]
-    low, high = np.searchsorted(ranked, value, "left"), np.searchsorted(ranked, value, "right")
-    more = np.flatnonzero(high - low > 1)
-    if len(more):
-        group = np.cumsum(np.append(True, ranked[1:] != ranked[:-1])) - 1
-        key, size = group * (len(hashes) + 1) + place, len(hashes) + 1
-        own = group[low[more]] * size
-        out[more] = np.searchsorted(key, own + end[more]) - np.searchsorted(key, own + at[more]) > 1
+    some, number = _among(value, again)
+    if some.any():
+        own, group = _among(hashes[place], again)
+        size = len(hashes) + 1
+        key = np.sort(group[own] * size + place[own])
+        base = number[some] * size
+        out[some] |= np.searchsorted(key, base + end[some]) - np.searchsorted(key, base + at[some]) > 1
     return out
 
 
 def cut(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Segments of a block: text, first byte in the block, windows, value, and whether its gram stands there twice."""
+    """Segments of a block: text, first byte in the block, windows, value, and whether its gram may stand there twice."""
     if len(data) < length:
         return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64), np.empty(0, bool))
     hashes = gram_hashes(data, gram)
@@ -112,7 +125,7 @@ def cut(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[
     inside &= row < len(windows)
     end = np.append(at[1:], len(value))
     row, at, wins = row[inside], at[inside], (end - at)[inside]
-    return row, at, wins, value[at], found_twice(hashes, at, at + wins + length - gram, value[at])
+    return row, at, wins, value[at], found_twice(hashes, at, at + wins + length - gram, value[at], length - gram + 1)
 
 
 def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
