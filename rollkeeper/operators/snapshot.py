@@ -55,9 +55,8 @@ def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:
-    """Equal rows once, folded on the fingerprint."""
-    marked = df.withColumn("_fp", fingerprint(*[F.col(c) for c in df.columns]))
-    return marked.dropDuplicates(["_fp"]).drop("_fp")
+    """Equal rows once, folded before the shuffle."""
+    return df.distinct()
 
 
 def not_in_latest(
