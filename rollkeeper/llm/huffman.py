@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollkeeper.llm.common import documents, fresh, mapped, ranges, text_blocks
+from rollkeeper.llm.common import documents, mapped, ranges, text_blocks
 from rollkeeper.llm.files import located, new_folder, own_name, spread_files
 from rollkeeper.llm.packing import public_path
 from rollkeeper.llm.tokens import crc32s, encoder
@@ -137,27 +137,38 @@ def decode(code: np.ndarray, starts: np.ndarray, counts: np.ndarray, look: np.nd
 
 
 
-def token_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = END_ID) -> DataFrame:
-    """Each document's ids as 16- or 32-bit numbers, stored: doc_id, place, ids (binary), wide (boolean)."""
+def token_table(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end: int = END_ID) -> tuple[DataFrame, DataFrame]:
+    """Each document's ids as 16- or 32-bit numbers, stored: doc_id, place, ids (binary), wide (boolean);
+    and from the same pass how often each id occurs in each task's share (see ``id_counts``)."""
 
     def run(batches):
         words = encoder(path)
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for low, high, data, offsets in text_blocks(batch.column(1)):
                 ids, counts = words.block(data, offsets, end)
-                wide = bool(len(ids)) and int(ids.max()) >= 1 << 16
+                own = np.bincount(ids)
+                if len(own) > len(total):
+                    own, total = total, own.astype(np.int64)
+                total[: len(own)] += own
+                wide = len(total) > 1 << 16 and int(ids.max(initial=0)) >= 1 << 16
                 raw = ids.astype("<u4" if wide else "<u2").tobytes()
                 ends = (np.cumsum(counts) * (4 if wide else 2)).tolist()
                 blobs = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
                 columns = [batch.column(0).slice(low, high - low).cast(pa.int64()), pa.array(blobs, pa.binary()), pa.array([wide] * (high - low))]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "wide"])
+        some = np.flatnonzero(total)
+        if len(some):  # the one row of this task that is no document: wide is null
+            share = np.concatenate([some, total[some]]).astype("<i8").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([share], pa.binary()), pa.array([None], pa.bool_())], names=["doc_id", "ids", "wide"])
 
     spark = docs.sparkSession
     made = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).transform(mapped, run, "doc_id bigint, ids binary, wide boolean")
-    made = made.withColumn(fresh(made, "place"), F.monotonically_increasing_id())
+    made = made.withColumn("place", F.monotonically_increasing_id())
     folder = new_folder(spark, "token-ids")
     made.write.mode("overwrite").option("compression", "zstd").parquet(folder)
-    return spark.read.schema(made.schema).parquet(folder)
+    stored = spark.read.schema(made.schema).parquet(folder)
+    return stored.filter("wide is not null"), stored.filter("wide is null")
 
 
 def _numbers(batch) -> tuple[np.ndarray, np.ndarray]:
@@ -175,21 +186,17 @@ def _slices(batch, rows: int = 1000):
         yield batch.slice(k, rows)
 
 
-def id_counts(tokens: DataFrame) -> np.ndarray:
+def id_counts(shares: DataFrame) -> np.ndarray:
     """How often each id occurs in the whole corpus; the driver gets a row for each id of the vocabulary."""
 
     def run(batches):
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for part in _slices(batch):
-                own = np.bincount(_numbers(part)[0])
-                if len(own) > len(total):
-                    own, total = total, own.astype(np.int64)
-                total[: len(own)] += own
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["id", "n"])
+            for raw in batch.column(0).to_pylist():
+                ids, n = np.frombuffer(raw, "<i8").reshape(2, -1)
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], names=["id", "n"])
 
-    rows = tokens.transform(mapped, run, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = shares.select("ids").transform(mapped, run, "id bigint, n bigint")
+    rows = rows.groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r.id for r in rows), default=-1) + 1, np.int64)
     for r in rows:
         counts[r.id] = r.n
@@ -330,8 +337,8 @@ def read_files(files: DataFrame, with_ids: bool = False) -> DataFrame:
 
 def write_corpus(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     """Tokenises, counts, encodes and writes all of ``docs``; returns the table of the files."""
-    tokens = token_table(docs, path)
-    counts = id_counts(tokens)
+    tokens, shares = token_table(docs, path)
+    counts = id_counts(shares)
     limit = max(limit, int(np.count_nonzero(counts)).bit_length())
     lengths = code_lengths(counts, limit)
     return write_files(encoded(tokens, lengths), lengths, limit, new_folder(docs.sparkSession, "huffman"))
