@@ -255,10 +255,10 @@ FROM new_o n LEFT JOIN old_o o USING (o_orderkey) GROUP BY ALL
 
 
 def change_log(spark, d):
-    """The log of the phone changes, the value hashed."""
+    """The log of the phone changes, the value as a keyed hash."""
     given = incoming(spark, d).withColumnRenamed("value", "phone")
     changes = dated.set_phone(given, contacts(spark, d), today())
-    log = ch.change_log(changes, "2024-01-28", "aa_rec", ["aa_no"], hide=["phone"])
+    log = ch.change_log(changes, "2024-01-28", "aa_rec", ["aa_no"], hide=["phone"], hide_key="k")
     phone = F.get_json_object("after", "$.phone")
     begin = F.get_json_object("after", "$.beg_date")
     return log.select("batch_id", "target", "action", "key", phone.alias("phone_hash"), begin.alias("begins"))
@@ -266,7 +266,7 @@ def change_log(spark, d):
 
 LOG_SQL = """
 SELECT '2024-01-28' AS batch_id, 'aa_rec' AS target, action, coalesce(CAST(old_aa_no AS VARCHAR), '') AS key,
-  sha256(phone) AS phone_hash, CAST(beg_date AS VARCHAR) AS begins FROM changed
+  sha256('k:' || sha256('k:' || phone)) AS phone_hash, CAST(beg_date AS VARCHAR) AS begins FROM changed
 """
 
 

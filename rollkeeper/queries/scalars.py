@@ -25,7 +25,7 @@ def csv_roundtrip(spark, d):
     customer = table(spark, d, "customer").withColumn("c_name", odd)
     path = _scratch(spark)
     write_csv(_texts(customer), path)
-    back = read_csv(spark, path, customer.columns)
+    back = read_csv(spark, path, customer.columns, multi_line=True)
     return back.select(
         F.col("c_custkey").cast("bigint").alias("c_custkey"),
         "c_name",
