@@ -32,6 +32,8 @@ END_ID = 1
 STEPS = 4000
 STEP = (0.01, 0.25)
 SHARPNESS = 12.0
+#: Part of the sequences that rounding takes from the program at most; best-fit does the rest.
+TAKEN = 0.95
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:
@@ -113,27 +115,40 @@ def solve(counts: np.ndarray, steps: int = STEPS) -> list[tuple[dict[int, int],
     return [(dict(k), x) for k, x in used.items()]
 
 
+def filled(config: dict[int, int], left: np.ndarray, n: int) -> dict[int, int]:
+    """``config`` with its room filled best-fit from what is ``left``, as far as it is there for ``n`` copies."""
+    config, free = dict(config), left // n
+    for c, k in config.items():
+        free[c - 1] -= k
+    room = len(left) - sum(c * k for c, k in config.items())
+    while room and len(fits := np.flatnonzero(free[:room] > 0)):
+        c = int(fits[-1]) + 1
+        k = min(int(free[c - 1]), room // c)
+        config[c], room = config.get(c, 0) + k, room - k * c
+        free[c - 1] -= k
+    return config
+
+
 def rounded(counts: np.ndarray, fractions: list[tuple[dict[int, int], float]]) -> list[tuple[dict[int, int], int]]:
-    """Whole copies of the configurations, then best-fit of what is left; together they hold exactly ``counts``."""
-    capacity, left, out = len(counts), counts.astype(np.int64).copy(), []
+    """Whole copies of the configurations, their room filled, then best-fit of what is left; together they hold exactly ``counts``."""
+    left, out = counts.astype(np.int64).copy(), []
 
     def take(config: dict[int, int], most: int):
         n = min(most, *(int(left[c - 1]) // k for c, k in config.items()))
         if n > 0:
+            config = filled(config, left, n)
             for c, k in config.items():
                 left[c - 1] -= n * k
             out.append((config, n))
 
+    # The program may cover some classes twice; with all of it taken, small pieces would run out before large ones.
+    bound = float((np.arange(1, len(counts) + 1) * counts).sum()) / len(counts)
+    part = min(1.0, TAKEN * bound / max(sum(x for _, x in fractions), 1e-9))
     for config, x in sorted(fractions, key=lambda p: -p[1]):
-        take(config, int(x))
+        take(config, int(x * part))
     while left.any():
-        room, config, free = capacity, {}, left.copy()
-        while room and len(fits := np.flatnonzero(free[:room])):
-            c = int(fits[-1]) + 1
-            k = min(int(free[c - 1]), room // c)
-            config[c], room = k, room - k * c
-            free[c - 1] -= k
-        take(config, int(left.sum()))
+        first = filled({}, left, 1)
+        take(first, int(left.sum()))
     return out
 
 
