@@ -3,7 +3,8 @@
 A text is cut into sentences twice over: with line breaks as blanks (running text) and
 at line breaks too (notices on a line of their own). A sentence is normalised (A-Z to
 small letters, everything but a-z and 0-9 to single blanks) and looked up among the
-known sentences; others are left out. The sequence of identifiers of either reading is
+known sentences; others are left out. In running text a line without letters and digits
+ends a sentence. The sequence of identifiers of either reading is
 matched against the rules in their order; a rule takes the identifiers it has matched
 away from later rules. The result does not depend on other documents.
 
@@ -89,6 +90,7 @@ UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # After the first step `|` ends a sentence and `~` a line; neither is left from the text.
 ENDS = "[.!?;:]+(?:[ \\t\\r\\n]+|$)"
 REST = "[^a-z0-9|~]+"
+EMPTY_LINES = "~ ?(?:~ ?)+"
 
 
 def _ids(sentences: Column) -> Column:
@@ -113,9 +115,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER + "|~", SMALL + "  ")
     text = F.regexp_replace(F.regexp_replace(text, ENDS, "|\n"), "\n", "~")
     marked = docs.select(F.col(id_col), F.regexp_replace(text, REST, " ").alias("_marked"))
+    running = F.regexp_replace(F.regexp_replace("_marked", EMPTY_LINES, "|"), "[ ~]+", " ")
     ids = marked.select(
         id_col,
-        _ids(F.split(F.translate("_marked", "~", " "), "[|]")).alias("_running"),
+        _ids(F.split(running, "[|]")).alias("_running"),
         _ids(F.split("_marked", "[|~]")).alias("_lines"),
     )
     found = F.array_compact(F.array(*_matched(F.col("_running")), *_matched(F.col("_lines"))))

@@ -58,3 +58,69 @@ def test_sql_on_the_test_tables(spark, folder):
     theirs = sorted(con.execute(SQL["op3_licences"]).fetchall())
     assert sorted(tuple(r) for r in op3_licences(spark, folder).collect()) == theirs
     assert any(r[3] for r in theirs)
+
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+FULL_MIT = """MIT License
+
+Copyright (c) 2020 Jane Doe
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+WRAPPED = [
+    (FULL_MIT, "mitGrant mitNotice mitAsIs mitLiable", "MIT"),
+    ("ISC License\n\nCopyright (c) 2020, Jane Doe\n\n" + ISC, "iscGrant", "ISC"),
+    ("Copyright (c) 2020, Jane Doe\n\n" + BSD, "bsdHead bsdSource bsdBinary bsdNames", "BSD-3-Clause"),
+    (APACHE, "apacheHead apacheUse apacheAsIs apacheSee", "Apache-2.0"),
+]
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_notices(spark, tmp_path, mark, end):
+    texts = [end.join(mark + line for line in text.split("\n")) for text, _, _ in WRAPPED]
+    got = sorted(tuple(r) for r in op3_licences(spark, docs(tmp_path, texts)).collect())
+    assert [(r[1], r[3]) for r in got] == [(ids, licence) for _, ids, licence in WRAPPED]
