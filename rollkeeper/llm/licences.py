@@ -4,7 +4,8 @@ A text is cut into sentences twice over: with line breaks as blanks (running tex
 at line breaks too (notices on a line of their own). A sentence is normalised (A-Z to
 small letters, everything but a-z and 0-9 to single blanks) and looked up among the
 known sentences; others are left out. In running text a line without letters and digits
-ends a sentence. The sequence of identifiers of either reading is
+ends a sentence. Signs that stand inside a known sentence end none. An SPDX tag is read in
+running text only, so not where other text follows it without an empty line. The sequence of identifiers of either reading is
 matched against the rules in their order; a rule takes the identifiers it has matched
 away from later rules. The result does not depend on other documents.
 
@@ -86,16 +87,81 @@ RULES = [
     ("Proprietary", "reserved"),
 ]
 
+#: The same for what the SQL doesn't know.
+MORE_SENTENCES = {
+    "gnu general public license version 3 29 june 2007": "gpl3Text",
+    "gnu general public license version 2 june 1991": "gpl2Text",
+    "gnu lesser general public license version 3 29 june 2007": "lgpl3Text",
+    "gnu lesser general public license version 2 1 february 1999": "lgpl21Text",
+    "gnu affero general public license version 3 19 november 2007": "agpl3Text",
+    "apache license version 2 0 january 2004 http www apache org licenses": "apacheText",
+    "mozilla public license version 2 0": "mplText",
+    "eclipse public license v 2 0": "eplText",
+    "cc0 1 0 universal": "cc0Text",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgplOr21",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgplOr3",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgplOr3",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agplOr3",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0Grant",
+    "this is free and unencumbered software released into the public domain": "unlicenseGrant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "eplRef",
+    "spdx license identifier gpl 3 0 or later": "gplOr3",
+    "spdx license identifier gpl 2 0 or later": "gplOr2",
+    "spdx license identifier lgpl 3 0 or later": "lgplOr3",
+    "spdx license identifier lgpl 2 1 or later": "lgplOr21",
+    "spdx license identifier lgpl 3 0 only": "lgpl3Text",
+    "spdx license identifier lgpl 2 1 only": "lgpl21Text",
+    "spdx license identifier agpl 3 0 or later": "agplOr3",
+    "spdx license identifier agpl 3 0 only": "agpl3Text",
+    "spdx license identifier mpl 2 0": "mplRef",
+    "spdx license identifier isc": "iscGrant",
+    "spdx license identifier epl 2 0": "eplRef",
+    "spdx license identifier cc0 1 0": "cc0Grant",
+    "spdx license identifier unlicense": "unlicenseGrant",
+}
+
+#: A licence's full text holds a sample notice, so these go before ``RULES``.
+TEXT_RULES = [
+    ("GPL-3.0", "gpl3Text gplOr3 gplHope gplSee gplCopy"),
+    ("GPL-2.0", "gpl2Text gplOr2 gplHope gplSee gplCopy"),
+    ("AGPL-3.0", "agpl3Text agplOr3 gplHope"),
+    ("LGPL-2.1", "lgpl21Text lgplOr21"),
+]
+MORE_RULES = [
+    ("GPL-3.0", "gpl3Text"),
+    ("GPL-2.0", "gpl2Text"),
+    ("LGPL-3.0-or-later", "lgplOr3"),
+    ("LGPL-2.1-or-later", "lgplOr21"),
+    ("AGPL-3.0-or-later", "agplOr3"),
+    ("LGPL-3.0", "lgpl3Text"),
+    ("LGPL-2.1", "lgpl21Text"),
+    ("AGPL-3.0", "agpl3Text"),
+    ("Apache-2.0", "apacheText"),
+    ("MPL-2.0", "mplText"),
+    ("EPL-2.0", "eplText"),
+    ("EPL-2.0", "eplRef"),
+    ("CC0-1.0", "cc0Text"),
+    ("CC0-1.0", "cc0Grant"),
+    ("Unlicense", "unlicenseGrant"),
+]
+
 UPPER, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # After the first step `|` ends a sentence and `~` a line; neither is left from the text.
 ENDS = "[.!?;:]+(?:[ \\t\\r\\n]+|$)"
 REST = "[^a-z0-9|~]+"
-EMPTY_LINES = "~ ?(?:~ ?)+"
+EMPTY_LINES = " ?~ ?(?:~ ?)+"
+#: Signs inside known sentences, which end none ("free software; you can", "v. 2.0").
+INSIDE = (
+    "[|](?<=(?:software|foundation|warranty|license[ ~]{1,9}v) ?[|])[ ~]*"
+    "(?=you[ ~]+can[ ~]+redistribute|either[ ~]+version|without[ ~]+even[ ~]+the[ ~]+implied|2 0)"
+)
+#: The same in running text, where an empty line or the sign of an SPDX tag stands between.
+JOINED = {"a copy of the license at|http": "a copy of the license at http", "spdx license identifier| ": "spdx license identifier "}
 
 
 def _ids(sentences: Column) -> Column:
     """`` id id `` of the known sentences in order, each between single blanks."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
+    known = F.create_map(*[F.lit(x) for pair in (SENTENCES | MORE_SENTENCES).items() for x in pair])
     found = F.filter(F.transform(sentences, lambda s: known[F.trim(s)]), lambda i: i.isNotNull())
     return F.concat(F.lit(" "), F.concat_ws("  ", found), F.lit(" "))
 
@@ -103,7 +169,7 @@ def _ids(sentences: Column) -> Column:
 def _matched(ids: Column) -> list[Column]:
     """For each rule its licence or null; a rule's identifiers are taken out of what later rules see."""
     out = []
-    for licence, sequence in RULES:
+    for licence, sequence in [*TEXT_RULES, *RULES, *MORE_RULES]:
         mark = " " + sequence.replace(" ", "  ") + " "
         out.append(F.when(ids.contains(mark), F.lit(licence)))
         ids = F.replace(ids, F.lit(mark), F.lit(" - "))
@@ -114,8 +180,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """For each row: the id, the identifiers of both readings, and the licences (sorted, comma-joined)."""
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER + "|~", SMALL + "  ")
     text = F.regexp_replace(F.regexp_replace(text, ENDS, "|\n"), "\n", "~")
-    marked = docs.select(F.col(id_col), F.regexp_replace(text, REST, " ").alias("_marked"))
+    marked = docs.select(F.col(id_col), F.regexp_replace(F.regexp_replace(text, REST, " "), INSIDE, " ").alias("_marked"))
     running = F.regexp_replace(F.regexp_replace("_marked", EMPTY_LINES, "|"), "[ ~]+", " ")
+    for apart, joined in JOINED.items():
+        running = F.replace(running, F.lit(apart), F.lit(joined))
     ids = marked.select(
         id_col,
         _ids(F.split(running, "[|]")).alias("_running"),

@@ -114,7 +114,7 @@ WRAPPED = [
     (FULL_MIT, "mitGrant mitNotice mitAsIs mitLiable", "MIT"),
     ("ISC License\n\nCopyright (c) 2020, Jane Doe\n\n" + ISC, "iscGrant", "ISC"),
     ("Copyright (c) 2020, Jane Doe\n\n" + BSD, "bsdHead bsdSource bsdBinary bsdNames", "BSD-3-Clause"),
-    (APACHE, "apacheHead apacheUse apacheAsIs apacheSee", "Apache-2.0"),
+    (APACHE, "apacheHead apacheUse apacheCopy apacheAsIs apacheSee", "Apache-2.0"),
 ]
 
 
@@ -124,3 +124,42 @@ def test_wrapped_notices(spark, tmp_path, mark, end):
     texts = [end.join(mark + line for line in text.split("\n")) for text, _, _ in WRAPPED]
     got = sorted(tuple(r) for r in op3_licences(spark, docs(tmp_path, texts)).collect())
     assert [(r[1], r[3]) for r in got] == [(ids, licence) for _, ids, licence in WRAPPED]
+
+
+FREE = """This {0} is free software{1} you can redistribute it and/or modify
+it under the terms of the GNU {2} as published by
+the Free Software Foundation{3} either version {4} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {2} for more details.
+
+You should have received a copy of the GNU {2}
+along with this program.  If not, see <https://www.gnu.org/licenses/>."""
+GPL, LESSER, AFFERO = (f"{x}General Public License" for x in ("", "Lesser ", "Affero "))
+ORIGINAL = [
+    (FREE.format("program", ":", GPL, ",", 3), "gplOr3 gplHope gplSee gplCopy", "GPL-3.0-or-later"),
+    (FREE.format("program", ";", GPL, ";", 2), "gplOr2 gplHope gplSee gplCopy", "GPL-2.0-or-later"),
+    (FREE.format("library", ";", LESSER, ";", "2.1"), "lgplOr21 gplHope", "LGPL-2.1-or-later"),
+    (FREE.format("library", ":", LESSER, ",", 3), "lgplOr3 gplHope", "LGPL-3.0-or-later"),
+    (FREE.format("program", ":", AFFERO, ",", 3), "agplOr3 gplHope", "AGPL-3.0-or-later"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not", "mplRef", "MPL-2.0"),
+    ("To the extent possible under law, the author(s) have dedicated all\ncopyright and related and neighboring rights to this software to the\npublic domain worldwide.", "cc0Grant", "CC0-1.0"),
+    ("This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy", "unlicenseGrant", "Unlicense"),
+    ("This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/", "eplRef", "EPL-2.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007", "gpl3Text", "GPL-3.0"),
+    ("GNU LESSER GENERAL PUBLIC LICENSE\n  Version 2.1, February 1999\n\n Copyright", "lgpl21Text", "LGPL-2.1"),
+    ("Apache License\n  Version 2.0, January 2004\n  http://www.apache.org/licenses/\n\n  TERMS", "apacheText", "Apache-2.0"),
+    ("Mozilla Public License Version 2.0\n==================================\n\n1. Definitions", "mplText", "MPL-2.0"),
+    ("SPDX-License-Identifier: MIT\n\nint x;", "mitRef", "MIT"),
+    ("Copyright 2020 Jane Doe\n\nSPDX-License-Identifier: LGPL-3.0-or-later", "lgplOr3", "LGPL-3.0-or-later"),
+]
+
+
+@pytest.mark.parametrize("mark", ["", " * "])
+def test_original_wording(spark, tmp_path, mark):
+    texts = ["\n".join(mark + line for line in text.split("\n")) for text, _, _ in ORIGINAL]
+    got = sorted(tuple(r) for r in op3_licences(spark, docs(tmp_path, texts)).collect())
+    assert [(r[1], r[3]) for r in got] == [(ids, licence) for _, ids, licence in ORIGINAL]
