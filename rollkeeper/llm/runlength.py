@@ -15,9 +15,9 @@ window meet under that value. Neighbouring windows of a text with one value form
    every byte, how long it matches elsewhere: the matching statistics. Where that is
    ``length`` or more, or the content itself has a count above one, the window is marked.
    An index holds whole values up to some megabytes.
-4. A value with more than ``MOST_CONTENTS`` contents (a passage that very many texts share,
-   each going on differently) can't be one index: its windows are counted one by one, which
-   Spark adds up before it shuffles.
+4. A value with more than ``MOST_CONTENTS`` contents or ``MOST_BYTES`` of them (a passage that
+   very many texts share, each going on differently; long periodic texts) can't be one index:
+   its windows are counted one by one, in slices, which Spark adds up before it shuffles.
 5. Texts that occur twice or more as a whole go whole. The marks of all others are joined
    with their texts.
 
@@ -54,6 +54,10 @@ GRAM = 32
 MOST_CONTENTS = 4096
 #: Bytes of contents in one index.
 INDEX_BYTES = 1 << 20
+#: Bytes of contents of one value in an index.
+MOST_BYTES = 4 << 20
+#: Contents, their bytes, and windows that a task hands on at once.
+SLICE_ROWS, SLICE_BYTES, SLICE_BITS = 10_000, 8 << 20, 16
 
 
 def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
@@ -155,6 +159,17 @@ def segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.transform(mapped, run, "digest binary, start bigint, wins bigint, value bigint, twice boolean, content bigint")
 
 
+def slices(sizes: np.ndarray, rows: int = SLICE_ROWS, limit: int = SLICE_BYTES):
+    """Ranges of at most ``rows`` rows and ``limit`` bytes; a larger row has a range of its own."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    low = 0
+    while low < len(sizes):
+        high = min(low + rows, int(np.searchsorted(total, total[low] + limit, "right")) - 1)
+        high = max(low + 1, high)
+        yield low, high
+        low = high
+
+
 def bodies(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of the ``wanted`` contents (value, content, n, hot, digest, start, wins), from texts told by digest."""
     asked = wanted.groupBy("digest").agg(F.collect_list(F.struct("value", "content", "n", "hot", "start", "wins")).alias("asked"))
@@ -166,13 +181,13 @@ def bodies(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             flat = rows.flatten()
             row = np.repeat(np.arange(len(rows)), rows.value_lengths().to_numpy())
             start, wins = flat.field("start").to_numpy(), flat.field("wins").to_numpy()
-            for k in range(0, len(row), 10_000):
+            for k, end in slices(wins + length - 1):
                 last, raw, out = -1, b"", []
-                for r, a, w in zip(row[k : k + 10_000].tolist(), start[k : k + 10_000].tolist(), wins[k : k + 10_000].tolist(), strict=True):
+                for r, a, w in zip(row[k:end].tolist(), start[k:end].tolist(), wins[k:end].tolist(), strict=True):
                     if r != last:
                         last, raw = r, texts[r].as_py()
                     out.append(raw[a : a + w + length - 1])
-                some = flat.slice(k, 10_000)
+                some = flat.slice(k, end - k)
                 columns = [some.field(c) for c in ("value", "content", "n", "hot")]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], names=["value", "content", "n", "hot", "body"])
 
@@ -302,39 +317,48 @@ def indexed_marks(rows: DataFrame, length: int) -> DataFrame:
     return rows.repartition("value").sortWithinPartitions("value", "content").transform(mapped, run, MARKS)
 
 
+def window_slices(value: int, content: int, n: int, body: bytes, length: int, bits: int = SLICE_BITS):
+    """The windows of one content with their hashes, 2**bits at a time."""
+    from xxhash import xxh3_128_digest
+
+    wins = len(body) - length + 1
+    for low in range(0, wins, 1 << bits):
+        at = np.arange(low, min(low + (1 << bits), wins))
+        fixed = [pa.array(np.full(len(at), x, np.int64)) for x in (value, content, n)]
+        hashes = [xxh3_128_digest(body[i : i + length]) for i in at.tolist()]
+        yield pa.RecordBatch.from_arrays([*fixed, pa.array(at), pa.array(hashes, pa.binary())], names=["value", "content", "n", "at", "window"])
+
+
 def counted_marks(rows: DataFrame, length: int) -> DataFrame:
-    """The same for values with very many contents: single windows, counted."""
+    """The same for values with very many contents or bytes: single windows, counted, and runs of them within each slice."""
 
     def run(batches):
-        from xxhash import xxh3_128_digest
+        for batch in batches:
+            columns = [batch.column(batch.schema.names.index(c)) for c in ("value", "content", "n", "body")]
+            for k in range(batch.num_rows):
+                yield from window_slices(*(c[k].as_py() for c in columns), length)
 
+    def joined(batches):
         for batch in batches:
-            value, content, n, body = (batch.column(batch.schema.names.index(c)).to_pylist() for c in ("value", "content", "n", "body"))
-            for v, c, m, b in zip(value, content, n, body, strict=True):
-                wins = len(b) - length + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([v] * wins, pa.int64()),
-                        pa.array([c] * wins, pa.int64()),
-                        pa.array([m] * wins, pa.int64()),
-                        pa.array(np.arange(wins)),
-                        pa.array([xxh3_128_digest(b[i : i + length]) for i in range(wins)], pa.binary()),
-                    ],
-                    names=["value", "content", "n", "at", "window"],
-                )
+            value, content, ats = (batch.column(batch.schema.names.index(c)) for c in ("value", "content", "ats"))
+            for k in range(batch.num_rows):
+                at, wins = _runs(np.sort(ats[k].values.to_numpy()))
+                fixed = [pa.array(np.full(len(at), x[k].as_py(), np.int64)) for x in (value, content)]
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(at), pa.array(wins.astype(np.int64))], names=["value", "content", "at", "wins"])
 
     rows = rows.dropDuplicates(["value", "content"])
     windows = written(rows.transform(mapped, run, "value bigint, content bigint, n bigint, at bigint, window binary"), "windows")
     often = windows.groupBy("window").agg(F.sum("n").alias("_all")).filter("_all > 1").select("window")
     often = written(often, "frequent-windows")
-    return windows.join(often, "window").select("value", "content", "at", F.lit(1).cast("long").alias("wins"))
+    found = windows.join(often, "window").groupBy("value", "content", F.shiftright("at", SLICE_BITS).alias("slice"))
+    return found.agg(F.collect_list("at").alias("ats")).transform(mapped, joined, MARKS)
 
 
 def _digest(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-def marks(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, most: int = MOST_CONTENTS) -> DataFrame:
+def marks(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: int = GRAM, most: int = MOST_CONTENTS, most_bytes: int = MOST_BYTES) -> DataFrame:
     """digest, whole, spans (start, wins) of the texts that hold repeats; stored."""
     texts = docs.select(F.coalesce(text_col, F.lit("")).alias("text")).filter(F.octet_length("text") >= length)
     texts = texts.select(_digest(F.col("text")).alias("digest"), "text")
@@ -349,7 +373,8 @@ def marks(docs: DataFrame, text_col: str = "text", length: int = LENGTH, gram: i
 
     contents = found.filter("mixed").groupBy("value", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("digest", "start", "wins")).alias("_one"))
     contents = written(contents.select("value", "content", "n", "_one.*"), "contents")
-    hot = contents.groupBy("value").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("value", F.lit(True).alias("hot"))
+    sizes = contents.groupBy("value").agg(F.count(F.lit(1)).alias("_n"), F.sum(F.col("wins") + (length - 1)).alias("_bytes"))
+    hot = sizes.filter((F.col("_n") > most) | (F.col("_bytes") > most_bytes)).select("value", F.lit(True).alias("hot"))
     hot = written(hot, "hot-values")
     any_hot = not hot.isEmpty()
     wanted = contents.join(hot, "value", "left").withColumn("hot", F.coalesce("hot", F.lit(False))) if any_hot else contents.withColumn("hot", F.lit(False))

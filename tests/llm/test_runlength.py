@@ -132,3 +132,28 @@ def test_least_in_windows_and_cut():
     row, at, wins, _, _ = x.cut(data, offsets, 200, 32)
     covered = sorted((int(k), int(i)) for k, a, w in zip(row, at, wins, strict=True) for i in range(a, a + w))
     assert covered == [(k, i) for k in range(7) for i in range(offsets[k], offsets[k + 1] - 199)]
+
+
+def test_few_but_long_contents_are_counted_in_slices(spark, tmp_path, monkeypatch):
+    r = random.Random(4)
+    said = lambda n: "".join(r.choices("abcdefgh", k=n))
+    texts = [said(300) + "xy" * n + said(300) for n in (900, 1500, 2000)] + ["z" * 3000 + said(50), said(400)]
+    whole, indexed, sizes = x.marks, x.indexed_marks, []
+
+    def seen(rows, length):
+        sizes.extend(r[1] for r in rows.groupBy("value").agg(F.sum(F.octet_length("body"))).collect())
+        return indexed(rows, length)
+
+    monkeypatch.setattr(x, "marks", lambda *a, **k: whole(*a, **k, most_bytes=1000))
+    monkeypatch.setattr(x, "indexed_marks", seen)
+    monkeypatch.setattr(x, "SLICE_BITS", 6)
+    got = sorted(tuple(r)[1:] for r in x.op7_repeats(spark, docs(tmp_path, texts)).collect())
+    assert got == sorted(brute(texts)) and sum(g[1] > 0 for g in got) == 4
+    assert max(sizes, default=0) <= 1000
+
+
+def test_slices():
+    assert list(x.slices(np.array([5, 5, 50, 1, 1, 1]), rows=2, limit=10)) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    parts = list(x.window_slices(1, 2, 3, bytes(range(100)), 20, bits=5))
+    assert [p.num_rows for p in parts] == [32, 32, 17]
+    assert [i for p in parts for i in p.column("at").to_pylist()] == list(range(81))
