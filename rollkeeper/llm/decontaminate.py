@@ -8,8 +8,9 @@ one diagonal are one longest verbatim match (item, first word there, first word
 document, words). Suffixes are ordered as deep as the longest item, since no search
 looks further. Documents never move: no shuffle, and a hot source is cut like any other.
 
-Benchmark items come in blocks of bounded size, each broadcast to one pass over the
-documents; the passes are chained and add to the matches found so far.
+Benchmark items never come to the driver: tasks write them as hashes into files of bounded
+size in the shared folder, and the driver holds the files' names. For each shard a task
+opens one block of files after the other, so it holds one block and one shard at a time.
 
 Null text: no words, no hits. Items of fewer words than a window count as one window;
 items without words match nothing. Rows that repeat are judged one by one. An item_id
@@ -18,8 +19,6 @@ that repeats, or is null, hits words as usual; ids count once, null ids not at a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,10 +37,12 @@ from rollkeeper.llm.common import (
     word_bounds,
     word_hashes,
 )
+from rollkeeper.llm.files import located, new_folder, own_name
 from rollkeeper.llm.suffixes import suffix_array
+from rollkeeper.session import _RUNS, written
 
 WINDOW = 13
-#: Benchmark text that is broadcast at once.
+#: Benchmark text that a task holds at once, with 16 bytes an item; a larger item is a block of its own.
 ITEM_BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 8 << 20
 
@@ -65,22 +66,23 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 class Items:
     """A block of benchmark items as word hashes, one text after the other."""
 
-    def __init__(self, rows: list[tuple], window: int):
-        texts = pa.array([text for _, text in rows], pa.string())
-        hashes, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for _, _, data, offsets in text_blocks(texts):
-            h, first = words_of(data, offsets)
-            hashes.append(h)
-            counts.append(np.diff(first))
-        self.ids = [None if i is None else str(i) for i, _ in rows]
-        self.words = np.concatenate(hashes)
-        counts = np.concatenate(counts)
+    def __init__(self, paths: list[str], window: int):
+        tables = [_read(path) for path in paths]
+        self.ids = [i for t in tables for i in t.column("id").to_pylist()]
+        raw = [w for t in tables for w in t.column("words").to_pylist()]
+        self.words = np.frombuffer(b"".join(raw), "<u8")
+        counts = np.array([len(w) // 8 for w in raw], np.int64)
         self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         # every suffix: its item, first word, words left, and the words of its window
-        self.item = np.repeat(np.arange(len(rows)), counts)
+        self.item = np.repeat(np.arange(len(raw)), counts)
         self.left = np.repeat(self.first[1:], counts) - np.arange(len(self.words))
         self.need = np.repeat(np.minimum(counts, window), counts)
-        self.longest = int(counts.max(initial=0))
+
+
+def _read(path: str) -> pa.Table:
+    store, place = located(path)
+    with store.open_input_file(place) as stream:
+        return pa.ipc.open_file(stream).read_all()
 
 
 def _bound(value, low: np.ndarray, high: np.ndarray, target: np.ndarray, right: bool) -> np.ndarray:
@@ -126,24 +128,30 @@ def search(order: np.ndarray, rank: np.ndarray, word: np.ndarray, items: Items)
     return longest, from_, to
 
 
-def matches(hashes: np.ndarray, first: np.ndarray, items: Items, window: int) -> tuple[np.ndarray, ...]:
+class Shard:
+    """Some documents' words as ranks, and their suffix array, ordered ``deep`` words deep."""
+
+    def __init__(self, hashes: np.ndarray, first: np.ndarray, deep: int):
+        self.known, rank0 = np.unique(hashes, return_inverse=True)
+        counts = np.diff(first)
+        n = len(hashes) + len(counts)
+        self.first, self.stops = first, first[1:] + np.arange(len(counts))
+        self.rank = np.zeros(n, np.int64)
+        inside = np.ones(n, bool)
+        inside[self.stops] = False
+        self.rank[inside] = rank0 + 1
+        self.order = suffix_array(self.rank, np.repeat(self.stops, counts + 1), deep)
+
+
+def matches(shard: Shard, items: Items) -> tuple[np.ndarray, ...]:
     """Document row, item, first word in the item, first word in the document, words of the longest matches."""
     none = (np.empty(0, np.int64),) * 5
-    if not len(hashes) or not len(items.words):
+    known, first, order = shard.known, shard.first, shard.order
+    if not len(known) or not len(items.words):
         return none
-    known, rank0 = np.unique(hashes, return_inverse=True)
-    counts = np.diff(first)
-    n = len(hashes) + len(counts)
-    stops = first[1:] + np.arange(len(counts))
-    stop = np.repeat(stops, counts + 1)
-    rank = np.zeros(n, np.int64)
-    inside = np.ones(n, bool)
-    inside[stops] = False
-    rank[inside] = rank0 + 1
     at = np.searchsorted(known, items.words)
     word = np.where(known[np.minimum(at, len(known) - 1)] == items.words, at + 1, 0)
-    order = suffix_array(rank, stop, items.longest)
-    _, from_, to = search(order, rank, word, items)
+    _, from_, to = search(order, shard.rank, word, items)
     # a window starts where the item has as many words left, or at the start of a short item
     size = to - from_
     size[items.left < items.need] = 0
@@ -151,7 +159,7 @@ def matches(hashes: np.ndarray, first: np.ndarray, items: Items, window: int) ->
     if not len(suffix):
         return none
     place = order[ranges(from_, size)]
-    row = np.searchsorted(stops, place)
+    row = np.searchsorted(shard.stops, place)
     item = items.item[suffix]
     item_word = suffix - items.first[item]
     doc_word = place - (first[row] + row)
@@ -178,29 +186,24 @@ def covered(row: np.ndarray, start: np.ndarray, length: np.ndarray, counts: np.n
     return hit[base[1:]] - hit[base[:-1]]
 
 
-def _found(texts: pa.Array, before: pa.Array | None, items: Items, window: int) -> pa.Array:
+def _found(texts: pa.Array, blocks: list[list[str]], deep: int, opened) -> pa.Array:
     parts = []
     for low, high, data, offsets in text_blocks(texts, SHARD_BYTES):
         hashes, first = words_of(data, offsets)
         counts = np.diff(first)
-        row, item, item_word, doc_word, words = matches(hashes, first, items, window)
-        ids = [items.ids[i] for i in item]
-        if before is not None:
-            old = before.slice(low, high - low).field("matches")
-            flat = old.flatten()
-            old_row = np.repeat(np.arange(high - low), np.diff(old.offsets.to_numpy()))
-            row = np.concatenate([old_row, row])
-            ids = [*flat.field("item_id").to_pylist(), *ids]
-            item_word, doc_word, words = (
-                np.concatenate([flat.field(k).to_numpy(), x])
-                for k, x in (("item_word", item_word), ("doc_word", doc_word), ("words", words))
-            )
-            by = np.argsort(row, kind="stable")
-            row, item_word, doc_word, words = row[by], item_word[by], doc_word[by], words[by]
-            ids = [ids[i] for i in by]
+        ids, found = [], [(np.empty(0, np.int64),) * 4]
+        shard = Shard(hashes, first, deep) if blocks and len(hashes) else None
+        for paths in blocks if shard else ():
+            items = opened(paths)
+            row, item, *places = matches(shard, items)
+            ids += [items.ids[i] for i in item]
+            found.append((row, *places))
+        row, item_word, doc_word, words = (np.concatenate(x) for x in zip(*found, strict=True))
+        by = np.argsort(row, kind="stable")
+        row, item_word, doc_word, words = row[by], item_word[by], doc_word[by], words[by]
         n_hit = covered(row, doc_word, words, counts)
         values = pa.StructArray.from_arrays(
-            [pa.array(ids, pa.string()), pa.array(item_word), pa.array(doc_word), pa.array(words)], fields=list(MATCH)
+            [pa.array([ids[i] for i in by], pa.string()), pa.array(item_word), pa.array(doc_word), pa.array(words)], fields=list(MATCH)
         )
         found = lists(values, np.bincount(row, minlength=high - low))
         parts.append(
@@ -209,17 +212,53 @@ def _found(texts: pa.Array, before: pa.Array | None, items: Items, window: int)
     return pa.concat_arrays(parts) if parts else pa.array([], FOUND)
 
 
-def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int = ITEM_BLOCK_BYTES) -> Iterator[list[tuple]]:
-    """The benchmark in lists of about ``limit`` bytes; the driver holds one list at a time."""
-    block, size, any_yet = [], 0, False
-    for row in benchmark.select(id_col, text_col).toLocalIterator():
-        block.append((row[0], row[1]))
-        size += len(row[1] or "") + 16
-        if size >= limit:
-            yield block
-            block, size, any_yet = [], 0, True
-    if block or not any_yet:
-        yield block
+def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, limit: int = ITEM_BLOCK_BYTES) -> tuple[list[list[str]], int]:
+    """Lists of files that hold about ``limit`` bytes of items together, and the words of the longest item."""
+    folder = new_folder(benchmark.sparkSession, "items")
+    if _RUNS:
+        _RUNS[-1].append(folder)
+
+    def run(batches):
+        number = 0
+
+        def flush(ids, words, size):
+            nonlocal number
+            path = own_name(folder, number, ".arrow")
+            number += 1
+            store, place = located(path)
+            table = pa.table({"id": pa.array(ids, pa.string()), "words": pa.array(words, pa.large_binary())})
+            with store.open_output_stream(place, compression=None) as stream, pa.ipc.new_file(stream, table.schema) as out:
+                out.write_table(table)
+            longest = max(len(w) // 8 for w in words)
+            return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([size]), pa.array([longest])], names=["path", "size", "longest"])
+
+        ids, words, size = [], [], 0
+        for batch in batches:
+            names = batch.column(0)
+            for low, high, data, offsets in text_blocks(batch.column(1), min(limit, SHARD_BYTES)):
+                hashes, first = words_of(data, offsets)
+                raw = hashes.astype("<u8").tobytes()
+                for k in range(high - low):
+                    own = int(offsets[k + 1] - offsets[k]) + 16
+                    if ids and size + own > limit:
+                        yield flush(ids, words, size)
+                        ids, words, size = [], [], 0
+                    ids.append(names[low + k].as_py())
+                    words.append(raw[first[k] * 8 : first[k + 1] * 8])
+                    size += own
+        if ids:
+            yield flush(ids, words, size)
+
+    rows = benchmark.select(F.col(id_col).cast("string"), text_col).transform(mapped, run, "path string, size bigint, longest bigint")
+    blocks, room, deep = [], 0, 0
+    for r in written(rows, "item-files").orderBy("path").collect():
+        if r["size"] > room:
+            blocks.append([])
+            room = limit
+        blocks[-1].append(r["path"])
+        room -= r["size"]
+        deep = max(deep, r["longest"])
+    return blocks, deep
 
 
 def scan(
@@ -233,23 +272,25 @@ def scan(
     item_block_bytes: int = ITEM_BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with a struct column ``found``: n_words, n_hit, matches (the longest, with their places)."""
-    spark = docs.sparkSession
     schema = with_column_type(docs, found, FOUND_DDL)
-    out = docs
-    for k, rows in enumerate(item_blocks(benchmark, item_id_col, item_text_col, item_block_bytes)):
-        shared = spark.sparkContext.broadcast(rows)
-
-        def run(batches, shared=shared, again=k > 0):
-            items = Items(shared.value, window)
-            for batch in batches:
-                names = batch.schema.names
-                place = names.index(found) if again else len(names)
-                result = _found(batch.column(names.index(text_col)), batch.column(place) if again else None, items, window)
-                columns = [*batch.columns[:place], result]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names[:place], found])
-
-        out = out.transform(mapped, run, schema)
-    return out
+    blocks, deep = item_blocks(benchmark, item_id_col, item_text_col, item_block_bytes)
+
+    def run(batches):
+        last = None
+
+        def opened(paths):
+            nonlocal last
+            if last is None or last[0] != paths:
+                last = None  # the old block goes before the new one comes
+                last = paths, Items(paths, window)
+            return last[1]
+
+        for batch in batches:
+            names = batch.schema.names
+            result = _found(batch.column(names.index(text_col)), blocks, deep, opened)
+            yield pa.RecordBatch.from_arrays([*batch.columns, result], names=[*names, found])
+
+    return docs.transform(mapped, run, schema)
 
 
 def contaminated(found: Column) -> Column:

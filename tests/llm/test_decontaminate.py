@@ -84,3 +84,23 @@ def test_empty_tables_and_kept_columns(spark, tmp_path):
     frame = spark.createDataFrame([(1, "x y", 5), (2, None, None)], "doc_id long, text string, _found int")
     out = d.decontaminate(frame, spark.createDataFrame([], "item_id long, text string"))
     assert out.columns == frame.columns and sorted(out.collect()) == sorted(frame.collect())
+
+
+def test_items_stay_out_of_the_driver_and_blocks_are_bounded(spark, tmp_path, monkeypatch):
+    texts, items = case(6)
+    path = docs(tmp_path, texts)
+    frame = spark.read.parquet(f"{path}/documents.parquet")
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    monkeypatch.setattr(type(bench), "toLocalIterator", None)
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", None)
+    limit = 200
+    blocks, deep = d.item_blocks(bench, "item_id", "text", limit)
+    held = [d.Items(b, 13) for b in blocks]
+    assert len(held) > 1 and sum(len(h.ids) for h in held) == len(items)
+    size = {None if i is None else str(i): [] for i, _ in items}
+    for i, t in items:
+        size[None if i is None else str(i)].append(len((t or "").encode()) + 16)
+    assert all(len(h.ids) == 1 or sum(min(size[i]) for i in h.ids) <= limit for h in held)
+    assert deep == max(len(ALNUM.findall(small(t))) for _, t in items)
+    found = d.scan(frame, bench, "_found", item_block_bytes=limit).orderBy("doc_id").collect()
+    assert [(r["_found"]["n_words"], r["_found"]["n_hit"]) for r in found] == [x[:2] for x in brute(texts, items)]
