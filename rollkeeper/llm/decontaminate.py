@@ -44,7 +44,8 @@ from rollkeeper.session import _RUNS, written
 WINDOW = 13
 #: Benchmark text that a task holds at once, with 16 bytes an item; a larger item is a block of its own.
 ITEM_BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 8 << 20
+#: Text of one shard; hashing and sorting hold some fifty bytes for each of it.
+SHARD_BYTES = 2 << 20
 
 MATCH = pa.struct(
     [("item_id", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("words", pa.int64())]
@@ -136,11 +137,11 @@ class Shard:
         counts = np.diff(first)
         n = len(hashes) + len(counts)
         self.first, self.stops = first, first[1:] + np.arange(len(counts))
-        self.rank = np.zeros(n, np.int64)
+        self.rank = np.zeros(n, np.int32)  # a shard has fewer words than bytes
         inside = np.ones(n, bool)
         inside[self.stops] = False
         self.rank[inside] = rank0 + 1
-        self.order = suffix_array(self.rank, np.repeat(self.stops, counts + 1), deep)
+        self.order = suffix_array(self.rank, np.repeat(self.stops, counts + 1), deep).astype(np.int32)
 
 
 def matches(shard: Shard, items: Items) -> tuple[np.ndarray, ...]:
@@ -277,6 +278,7 @@ def scan(
 
     def run(batches):
         last = None
+        pa.default_memory_pool().release_unused()  # what this worker holds from the stages before
 
         def opened(paths):
             nonlocal last
