@@ -1,6 +1,6 @@
 """Registered queries of the corpus operators, and SQL where SQL can express them."""
 
-from rollkeeper.llm import classlm, decontaminate, huffman, licences, packing, perplexity, runlength, shards, simhash, warc
+from rollkeeper.llm import classlm, decontaminate, huffman, jaccard, lexical, licences, negatives, packing, perplexity, runlength, shards, simhash, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -13,6 +13,9 @@ QUERIES = {
     "op8_classes": classlm.op8_classes,
     "op9_packing": packing.op9_packing,
     "op10_warc": warc.op10_warc,
+    "op11_negatives": negatives.op11_negatives,
+    "op12_jaccard": jaccard.op12_jaccard,
+    "op13_lexical": lexical.op13_lexical,
 }
 
-SQL = {**licences.SQL}
+SQL = {**lexical.SQL, **licences.SQL, **negatives.SQL}
