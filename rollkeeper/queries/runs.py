@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from rollkeeper.contract import PEOPLE, STAMP
+from rollkeeper.contract import CORRUPT, PEOPLE, STAMP
 from rollkeeper.operators import gate
 from rollkeeper.plans.fan_out import fan_out, run_fan_out
 from rollkeeper.plans.ingest import clean
@@ -16,8 +16,9 @@ from rollkeeper.queries.changing import _on_world
 from rollkeeper.queries.inputs import EVENT_DAY, flat, sql, table
 from rollkeeper.queries.jobs import SLOTS_CTE, _slots
 from rollkeeper.session import shared_folder
-from rollkeeper.sources.feed import write_difference
+from rollkeeper.sources.feed import write_csv, write_difference
 from rollkeeper.sources.history import append_history, read_history
+from rollkeeper.sources.quoted import read_quoted
 from rollkeeper.sources.tables import read_table, reject_rows, write_attempt, write_table
 
 
@@ -128,6 +129,32 @@ def difference_files(spark, d):
     return back.na.fill("")
 
 
+#: Small enough that one file is read by several tasks.
+RANGE = "spark.sql.files.maxPartitionBytes"
+
+
+def feed_quoted_lines(spark, d):
+    """Orders as a feed whose values hold line breaks, quotes and commas; each file is cut into many ranges."""
+    path = _base(spark, "quoted")
+    note = F.expr(
+        "concat(o_orderpriority, '\\n', repeat(concat('\"', o_orderstatus, '\", '), CAST(o_orderkey % 5 AS INT)), '\\r\\n\\n', o_orderkey)"
+    )
+    write_csv(table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("Key"), note.alias("Note"), "o_orderstatus"), path)
+    size = spark.conf.get(RANGE)
+    spark.conf.set(RANGE, "16384")
+    try:
+        back = read_quoted(spark, path, ["Key", "Note", "o_orderstatus"])
+    finally:
+        spark.conf.set(RANGE, size)
+    return back.select("Key", "Note", "o_orderstatus", CORRUPT)
+
+
+QUOTED_SQL = """
+SELECT CAST(o_orderkey AS VARCHAR) AS Key, o_orderpriority || chr(10) || repeat('"' || o_orderstatus || '", ', CAST(o_orderkey % 5 AS INT))
+  || chr(10) || chr(10) || o_orderkey AS Note, o_orderstatus, CAST(NULL AS VARCHAR) AS _corrupt_record FROM orders
+"""
+
+
 def history_read(spark, d):
     """The history as it is stored and read under its contract."""
     path = _base(spark, "history")
@@ -156,6 +183,7 @@ QUERIES = {
             + " FROM cleaned",
         ),
     ),
+    "feed_quoted_lines": (feed_quoted_lines, QUOTED_SQL),
     "history_read": (
         history_read,
         sql(

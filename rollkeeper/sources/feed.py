@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 
 from rollkeeper.contract import CORRUPT, Contract
 from rollkeeper.operators.gate import REASON
+from rollkeeper.sources.quoted import FILE, quotes_in, read_quoted
 
 SHORT_ROW = "short_row"
 SOURCE = "source_file"
 
 
-BROKEN_LINE = "a quoted value holds a line break; read the feed with multi_line=True"
+BROKEN_LINE = "a quoted value holds a line break; read the feed with quoted_lines=True"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], multi_line: bool = False) -> DataFrame:
@@ -24,7 +25,8 @@ def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], mul
 
     Files are cut into tasks of any size. A value that holds a line break is then an
     error, as one of its pieces is an uneven row with an odd number of quotes. With
-    ``multi_line`` such values are read, at the price of one task per file.
+    ``multi_line`` such values are read, at the price of one task per file; ``read_quoted``
+    reads them by as many tasks as a file is large.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
@@ -40,9 +42,8 @@ def read_csv(spark: SparkSession, path: str | list[str], columns: list[str], mul
     )
     if multi_line:
         return rows
-    quotes = F.length(CORRUPT) - F.length(F.replace(F.col(CORRUPT), F.lit('"'), F.lit("")))
     broken = F.raise_error(F.lit(BROKEN_LINE)).cast("string")
-    return rows.withColumn(CORRUPT, F.when(quotes % 2 == 1, broken).otherwise(F.col(CORRUPT)))
+    return rows.withColumn(CORRUPT, F.when(quotes_in(F.col(CORRUPT)) % 2 == 1, broken).otherwise(F.col(CORRUPT)))
 
 
 def headers_by_file(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
@@ -65,24 +66,30 @@ def field_count(raw: Column) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
 
 
-def read_feed(spark: SparkSession, path: str | list[str], contract: Contract, multi_line: bool = False) -> DataFrame:
+def read_feed(
+    spark: SparkSession, path: str | list[str], contract: Contract, multi_line: bool = False, quoted_lines: bool = False
+) -> DataFrame:
     """All files of a drop folder under the contract's short names.
 
     Columns are found by each file's header, whatever their order; a missing one in any
     file is an error before any row is read. A row that lacks more than its last column
     is marked ``short_row`` in ``reject_reason``; a row that is too long is kept.
+    Values with line breaks are read with ``quoted_lines``, by several tasks a file.
     """
     by_header = headers_by_file(spark, path)
     for header in by_header:
         contract.check_headers(list(header))
 
     def one(header: tuple[str, ...], files: list[str]) -> DataFrame:
-        raw = read_csv(spark, files, list(header), multi_line)
+        if quoted_lines:
+            raw, source = read_quoted(spark, files, list(header)), F.col(FILE)
+        else:
+            raw, source = read_csv(spark, files, list(header), multi_line), F.input_file_name()
         short = F.col(CORRUPT).isNotNull() & (field_count(F.col(CORRUPT)) < len(header) - 1)
         return raw.select(
             *[F.col(f"`{f.header}`").alias(f.name) for f in contract.fields],
             F.when(short, SHORT_ROW).alias(REASON),
-            F.input_file_name().alias(SOURCE),
+            source.alias(SOURCE),
         )
 
     if not by_header:
