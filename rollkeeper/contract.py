@@ -186,12 +186,12 @@ class Contract:
         return df.select(*[f.stored(F.col(f.name)).alias(f.history) for f in self.fields])
 
     def unpadded(self, history: DataFrame) -> DataFrame:
-        """History rows without the padding of a fixed-width store, stamp kept."""
+        """History rows without the padding of a fixed-width store; the stamp is kept, and its day if files lie by it."""
         columns = [
             F.rtrim(F.col(f.history)).alias(f.history) if f.type == "string" else F.col(f.history)
             for f in self.fields
         ]
-        return history.select(*columns, STAMP)
+        return history.select(*columns, STAMP, *[c for c in (STAMP_DAY,) if c in history.columns])
 
     def from_history(self, df: DataFrame) -> DataFrame:
         """History names to short names, text trimmed, ids as text."""

@@ -9,6 +9,9 @@ from rollkeeper.functions.compare import differs
 from rollkeeper.functions.dates import next_day
 from rollkeeper.operators.changes import END, INSERT, NONE, UPDATE, change, emit, row_after, row_type
 from rollkeeper.operators.gate import is_open, of_kinds
+from rollkeeper.operators.sequence import placed, previous, running
+from rollkeeper.operators.spread import spread_join
+from rollkeeper.session import written
 
 # Kinds of contact rows, and what every new one carries.
 PREVIOUS = "PREV"
@@ -98,6 +101,77 @@ def end_and_insert(
     return emit(joined, result)
 
 
+def dated_sequence(
+    incoming: DataFrame,
+    state: DataFrame,
+    value: str,
+    into: str,
+    day: str,
+    as_of: Column,
+    rule: str,
+    person: str = "id",
+    kind: str = "aa",
+    number: str = "aa_no",
+    begin: str = "beg_date",
+    ranges: int | None = None,
+) -> DataFrame:
+    """Several values of a person and kind in one batch, taken in the order of ``day``.
+
+    The result is what ``end_and_insert`` gives when the rows come one by one, each seeing
+    what the ones before have written: a value equal to the one then open changes nothing,
+    any other closes the open row and begins a new one. Equal rows count once; values of
+    one day come in their own order. Begins follow ``rule`` as there, so those of one batch
+    are a day apart; a row that the same batch closes ends no day before it begins. Rule
+    ``effective`` begins at the row's own day (``as_of`` if it has none) or, if later, the
+    day after the newest begin, and a row ends the day before the next one begins.
+
+    A stored row is ended at most once, and rows that the batch itself closes are inserted
+    with their end. A person may have any number of rows (see ``sequence``).
+    """
+    keys = ["_person", "_kind"]
+    schema = row_type(state)
+    given = incoming.select(
+        F.col(person).alias("_person"), F.col(kind).alias("_kind"), F.col(day).alias("_day"), F.col(value).alias("_value")
+    ).distinct()
+    found = open_and_newest(state, [person, kind], number, begin).select(
+        F.col(f"_on_{person}").alias("_person"), F.col(f"_on_{kind}").alias("_kind"), "newest", "before"
+    )
+    rows = previous(placed(given, keys, ["_day", "_value"], ranges), keys, "_value", "_prev", "_first")
+    rows = spread_join(rows, found, keys, "left")
+    open_value = F.when(F.col("_first"), F.col(f"before.{into}")).otherwise(F.col("_prev"))
+    rows = written(rows.withColumn("_changed", ~F.coalesce(open_value == F.col("_value"), F.lit(False))), "changed")
+    rows = written(running(rows, keys, F.col("_changed").cast("int"), "sum", "_step"), "steps")
+
+    if rule == "effective":
+        own = F.unix_date(F.coalesce("_day", as_of)) - F.col("_step")
+        steps = running(rows.filter("_changed"), keys, own, "max", "_latest")
+        begins = F.date_from_unix_date((F.greatest("_latest", F.unix_date("newest")) + F.col("_step")).cast("int"))
+    else:
+        steps = rows.filter("_changed")
+        first = F.coalesce(next_day(F.col("newest")), as_of)
+        first = F.greatest(as_of, first) if rule == "email" else first
+        begins = F.date_add(first, (F.col("_step") - 1).cast("int"))
+    steps = written(steps.withColumn("_begin", begins), "begins")
+    following = steps.select(*keys, (F.col("_step") - 1).alias("_step"), F.col("_begin").alias("_next"))
+    steps = spread_join(steps, following, [*keys, "_step"], "left", stored=True)
+
+    day_before = F.date_sub(F.col("_next"), 1)
+    closes = {"phone": F.col("newest"), "effective": F.date_sub(F.col("_begin"), 1)}.get(rule, as_of)
+    closed = {"phone": F.col("_begin"), "effective": day_before}.get(rule, F.greatest(as_of, F.col("_begin")))
+    values = {person: F.col("_person"), kind: F.col("_kind"), begin: F.col("_begin"), into: F.col("_value")}
+    end = F.when(F.col("_next").isNotNull(), closed)
+    ended = change(END, schema, row_after(schema, {"end_date": closes}, "before"), True)
+    added = change(INSERT, schema, new_contact(state, {**values, "end_date": end}), False)
+    starts = (F.col("_step") == 1) & F.col("before").isNotNull()
+    changes = emit(steps, F.when(starts, F.array(ended, added)).otherwise(F.array(added)))
+
+    held = F.col("_step") == 0
+    same = change(NONE, schema, F.col("before").cast(schema), True)
+    named = {person: F.col("_person"), kind: F.col("_kind"), into: F.col("_value")}
+    again = change(NONE, schema, row_after(schema, named), False)
+    return changes.unionByName(emit(rows.filter("not _changed"), F.array(F.when(held, same).otherwise(again))))
+
+
 def set_phone(incoming: DataFrame, state: DataFrame, as_of: Column, value: str = "phone", **names) -> DataFrame:
     """Mobile phone of a person; the value is kept in ``phone``."""
     return end_and_insert(incoming, state, value, names.pop("into", "phone"), as_of, "phone", **names)

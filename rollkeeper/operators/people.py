@@ -5,6 +5,8 @@ The batch has one row per person, the feed's short names, and ``id`` as a number
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,7 @@ from rollkeeper.operators.changes import (
     upsert,
     with_stored,
 )
+from rollkeeper.operators.chains import doomed
 from rollkeeper.operators.lookup import held_by_other, lookup
 from rollkeeper.operators.spread import balanced_join
 from rollkeeper.session import written
@@ -128,7 +131,6 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
     that asks for it in the batch: of several that ask for a free one, the others
     are rejects.
     """
-    schema = row_type(xref)
     seen = with_stored(batch, stored_row(xref, ["cx_id"]), {"id": "cx_id"})
     seen = seen.withColumn("_me", F.coalesce(F.col("before.cx_id"), F.lit(0)))
     seen = held_by_other(
@@ -147,6 +149,11 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
     seen = balanced_join(seen, "file_number", first, "file_number")
     assoc_taken = F.coalesce("_assoc_taken", F.lit(False))
     file_taken = F.coalesce((F.col("_file_owner") != 0) | (F.col("_file_first") != F.col("id")), F.lit(False))
+    return _xref_rows(seen, xref, assoc_taken, file_taken)
+
+
+def _xref_rows(seen: DataFrame, xref: DataFrame, assoc_taken: Column, file_taken: Column) -> DataFrame:
+    schema = row_type(xref)
     updates = {
         "old_id": F.col("id"),
         "old_id_num": F.col("id"),
@@ -163,3 +170,72 @@ def xref_changes(batch: DataFrame, xref: DataFrame) -> DataFrame:
         .otherwise(change(UPDATE, schema, row_after(schema, updates, "before"), True))
     )
     return emit(seen, F.array(result))
+
+
+# The two ids of the cross-reference: batch column, stored column.
+XREF_IDS = {"a": ("employee_assoc_id", "adp_associate_id"), "f": ("file_number", "adp_id")}
+
+
+def _kept(xref: DataFrame, batch: DataFrame, asked: str, stored: str) -> DataFrame:
+    """Stored ids that their owner doesn't give up: no row in the batch, or one that asks for the same id."""
+    given = batch.select(F.col("id").alias("_id"), F.col(asked).alias("_asked"), F.lit(True).alias("_in"))
+    rows = xref.select("cx_id", stored).join(given, F.col("cx_id") == F.col("_id"), "left")
+    return rows.filter(F.col("_in").isNull() | (F.col("_asked") == F.col(stored))).select("cx_id", stored)
+
+
+def xref_in_order(batch: DataFrame, xref: DataFrame) -> DataFrame:
+    """Id cross-reference where an id that one person gives up in a batch may go to another.
+
+    Taken in a good order, rows that free an id come before those that want it. A person
+    is refused an id that another one keeps: who has it and isn't in the batch, asks for it
+    again, or is refused itself, and so keeps what it has. That goes back along chains of
+    any length (``chains``); persons in a ring, who want each other's ids, wait for one
+    another and are refused, whatever the order. Of several who could get an id the smallest
+    person id does, associate ids first, then file numbers; who waits for one of the others
+    is refused too. An id that is left over this way is free from the next batch on.
+    """
+    batch = written(batch, "xref-batch")
+    seen = with_stored(batch, stored_row(xref, ["cx_id"]), {"id": "cx_id"})
+    for kind, (asked, stored) in XREF_IDS.items():
+        kept = written(_kept(xref, batch, asked, stored), "kept-ids")
+        seen = held_by_other(seen, asked, "id", kept, stored, "cx_id", f"_{kind}_owner")
+    seen = written(seen, "xref-seen")
+
+    # a person waits for the ids it asks for, and an id for the persons who are to give it up
+    def node(kind: str, c: str) -> Column:
+        return F.concat(F.lit(f"{kind}:"), F.col(c).cast("string"))
+
+    person = node("p", "id")
+    steps = []
+    for kind, (asked, stored) in XREF_IDS.items():
+        wants = seen.filter(F.col(asked).isNotNull() & ~F.coalesce(F.col(f"before.{stored}") == F.col(asked), F.lit(False)))
+        steps.append(wants.select(person.alias("a"), node(kind, asked).alias("b")))
+        gives = batch.select("id", F.col(asked).alias("_asked")).join(xref.select("cx_id", stored), F.col("id") == F.col("cx_id"))
+        gives = gives.filter(F.col(stored).isNotNull() & ~F.coalesce(F.col("_asked") == F.col(stored), F.lit(False)))
+        steps.append(gives.select(node(kind, stored).alias("a"), person.alias("b")))
+    steps = written(reduce(DataFrame.unionByName, steps), "xref-steps")
+
+    refused = seen.filter((F.col("_a_owner") != 0) | (F.col("_f_owner") != 0)).select(person.alias("n"))
+    lost = doomed(steps, refused)
+    able = seen.join(lost, person == F.col("n"), "left_anti")
+    dealt = []
+    for kind, (asked, _) in XREF_IDS.items():
+        first = able.groupBy(asked).agg(F.min("id").alias("_first"))
+        able = written(balanced_join(able, asked, first, asked), "dealt")
+        beaten = F.coalesce(F.col("_first") != F.col("id"), F.lit(False))
+        dealt.append(able.filter(beaten).select("id", F.lit(kind).alias("_beaten")))
+        able = able.filter(~beaten).drop("_first")
+    beaten = written(dealt[0].unionByName(dealt[1]), "beaten")
+    lost = doomed(steps, lost.unionByName(beaten.select(person.alias("n"))))
+
+    # what a refused person is refused for: the associate id if that can't be had, else the file number
+    seen = seen.join(beaten.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left").drop("_id")
+    for kind, (asked, _) in XREF_IDS.items():
+        unfree = lost.filter(F.col("n").startswith(f"{kind}:")).withColumnRenamed("n", f"_{kind}_lost")
+        seen = seen.join(unfree, node(kind, asked) == F.col(f"_{kind}_lost"), "left")
+    refused = lost.filter(F.col("n").startswith("p:")).withColumnRenamed("n", "_refused")
+    seen = seen.join(refused, person == F.col("_refused"), "left")
+    wants = ~F.coalesce(F.col("before.adp_associate_id") == F.col("employee_assoc_id"), F.lit(False))
+    waits = wants & F.col("_a_lost").isNotNull()
+    assoc = (F.col("_a_owner") != 0) | F.coalesce(F.col("_beaten") == "a", F.lit(False)) | waits
+    return _xref_rows(seen, xref, F.col("_refused").isNotNull() & assoc, F.col("_refused").isNotNull())

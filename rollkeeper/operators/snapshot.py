@@ -9,13 +9,32 @@ from pyspark.sql import types as T
 from rollkeeper.functions.compare import fingerprint, number_key
 from rollkeeper.operators.pick import pick_one
 from rollkeeper.operators.spread import spread_join
+from rollkeeper.session import written
+
+
+def _on_days(df: DataFrame, stamps: DataFrame, stamp: str, day: str) -> tuple[DataFrame, DataFrame]:
+    """``df`` from the first day that counts on, and ``stamps`` with the days under which rows of theirs lie.
+
+    The filter on the stamps makes Spark look for the days at run time (dynamic partition
+    pruning), so the wide rows of other days are not read.
+    """
+    days = written(df.groupBy(stamp, day).agg(F.lit(True).alias("_in")).drop("_in"), "stamp-days")
+    pairs = written(days.join(stamps, [stamp]), "newest-days")
+    first = pairs.agg(F.min(day)).first()[0]
+    if first is None:
+        return df.limit(0), pairs
+    since = F.col(day) >= F.lit(first)
+    return df.filter(since), pairs.filter(since)
 
 
 def latest_snapshot(
-    df: DataFrame, keys: list[str], stamp: str, mode: str = "stamp_in"
+    df: DataFrame, keys: list[str], stamp: str, mode: str = "stamp_in", day: str | None = None
 ) -> DataFrame:
     """Rows of the newest recorded state.
 
+    ``day``: the column by which the files of ``df`` are partitioned; days that hold no
+    newest row are then skipped, whatever the mode.
+
     ``stamp_in``: the row's stamp is the newest stamp of *any* key.
     ``per_key``: the row's stamp is the newest stamp of its own key.
     ``single``: one row per key, the newest, ties broken by the row itself.
@@ -24,15 +43,29 @@ def latest_snapshot(
         rest = [c for c in df.columns if c not in keys and c != stamp]
         order = F.struct((-F.unix_micros(F.col(stamp).cast("timestamp"))).alias("t"), *rest)
         return pick_one(df, keys, order)
-    top = df.groupBy(*keys).agg(F.max(stamp).alias(stamp))
+    top = df.groupBy(*keys).agg(F.max(stamp).alias(stamp)).filter(F.col(stamp).isNotNull())
+    if mode not in ("stamp_in", "per_key"):
+        raise ValueError(f"unknown mode: {mode}")
+    if day is not None:
+        top = written(top, "newest-stamps")
+        df, pairs = _on_days(df, top.select(stamp).distinct(), stamp, day)
+        df = df.join(pairs.select(day, stamp), [day, stamp], "left_semi")
+        if mode == "stamp_in":
+            return df
     if mode == "stamp_in":
         # With one stamp per batch they are a small file that Spark broadcasts, and
         # the wide history is not shuffled at all.
-        stamps = top.select(stamp).dropna().distinct()
+        stamps = top.select(stamp).distinct()
         return spread_join(df.filter(F.col(stamp).isNotNull()), stamps, [stamp], "left_semi")
-    if mode == "per_key":
-        return spread_join(df, top.filter(F.col(stamp).isNotNull()), [*keys, stamp], "left_semi")
-    raise ValueError(f"unknown mode: {mode}")
+    return spread_join(df, top, [*keys, stamp], "left_semi", stored=day is not None)
+
+
+def with_row_fingerprint(df: DataFrame, names: list[str], blank_is_null: bool = False) -> DataFrame:
+    """``df`` with the fingerprint ``_fp`` of these columns."""
+    columns = [F.col(c) for c in names]
+    if blank_is_null:
+        columns = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return df.withColumn("_fp", fingerprint(*columns))
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -> DataFrame:
@@ -42,16 +75,19 @@ def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -
     column. Known rows drop out first; repeats are folded among the few that are left,
     in the same partitioning.
     """
-    blank = F.lit("")
+    known = with_row_fingerprint(old, new.columns, blank_is_null).select("_fp").distinct()
+    marked = with_row_fingerprint(new, new.columns, blank_is_null)
+    return marked.join(known, "_fp", "left_anti").dropDuplicates(["_fp"]).drop("_fp")
 
-    def marked(df: DataFrame) -> DataFrame:
-        columns = [F.col(c) for c in new.columns]
-        if blank_is_null:
-            columns = [F.coalesce(c.cast("string"), blank) for c in columns]
-        return df.withColumn("_fp", fingerprint(*columns))
 
-    known = marked(old).select("_fp").distinct()
-    return marked(new).join(known, "_fp", "left_anti").dropDuplicates(["_fp"]).drop("_fp")
+def snapshot_diff_kept(new: DataFrame, kept: DataFrame, blank_is_null: bool = False) -> DataFrame:
+    """``snapshot_diff`` against the kept fingerprints of the old state (``sources.kept``).
+
+    These lie in buckets, so only the new side is dealt out, and the old rows are neither
+    read nor hashed again.
+    """
+    marked = with_row_fingerprint(new, new.columns, blank_is_null)
+    return marked.join(kept, "_fp", "left_anti").dropDuplicates(["_fp"]).drop("_fp")
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from rollkeeper.operators import dated, gate, people, positions
 from rollkeeper.operators.changes import END, INSERT, UPDATE, apply_changes, change_log, number_inserts, run_counts
 from rollkeeper.operators.lookup import exists_in, missing_in, warnings_for
 from rollkeeper.operators.pick import CONFLICT, one_per_key
+from rollkeeper.operators.script import change_script
 from rollkeeper.operators.spread import narrowed
 from rollkeeper.session import steps_of_a_run, written
 from rollkeeper.sources.tables import (
@@ -52,6 +53,12 @@ GENERATED = {
     "job_rec": ("job_no", ["id", "tpos_no"]),
     "second_job": ("job_no", ["id", "tpos_no"]),
 }
+#: The order in which a script carries changes out, and the table of a step with a name of its own.
+STEPS = [
+    "cc_work_cat_table", "hrclass_table", "hrdiv_table", "hrdept_table", "pos_table",
+    "id_rec", "profile_rec", "cvid_rec", "aa_rec", "job_rec", "hremp_rec", "second_job",
+]
+STEP_TABLES = {"second_job": "job_rec"}
 BY_PERSON = ["id_rec", "aa_rec", "profile_rec", "job_rec", "hremp_rec"]
 PERSONAL = [
     "ss_no", "ssn", "line1", "line2", "line3", "addr_line1", "addr_line2", "addr_line3", "phone", "zip",
@@ -107,6 +114,18 @@ class FanOut:
         ]
         return reduce(DataFrame.unionByName, logs)
 
+    def numbered(self, targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """The changes, stored, with a number for every new row of a generated key."""
+        states = {**targets, "second_job": self.next_jobs}
+        steps = {}
+        for target, changes in self.changes.items():
+            if target in GENERATED:
+                key, natural = GENERATED[target]
+                steps[target] = number_inserts(changes, states[target], key, natural)
+            else:
+                steps[target] = written(changes, f"changes-{target}")
+        return steps
+
     def counts(self, batch_id: str) -> DataFrame:
         return run_counts(self.log(batch_id))
 
@@ -259,6 +278,7 @@ def run_fan_out(
     apply: bool = True,
     hide_key: str | None = None,
     from_base: bool = False,
+    keep_script: bool = False,
     **options,
 ) -> DataFrame:
     """Fan out, write log and next states unless it is a dry run; returns the log.
@@ -267,15 +287,16 @@ def run_fan_out(
     as a hash with ``hide_key``, without one not at all. With ``from_base`` the target
     tables are those that ``base`` holds, not ``targets``, which then need only have the
     code tables that no run changes; only buckets that the changes touch are rewritten.
+    With ``keep_script`` the changes are also stored in order and in the clear, for a replay.
     """
     spark = batch.sparkSession
     if from_base:
         targets = targets | {t: read_table(spark, base, t) for t in KEYS if t != "second_job"}
     if apply:
         with steps_of_a_run(spark):
-            _run_fan_out(batch, targets, as_of, batch_id, base, True, hide_key, from_base, **options)
+            _run_fan_out(batch, targets, as_of, batch_id, base, True, hide_key, from_base, keep_script, **options)
         return spark.read.parquet(f"{base}/change_log").filter(F.col("batch_id") == batch_id)
-    return _run_fan_out(batch, targets, as_of, batch_id, base, False, hide_key, from_base, **options)
+    return _run_fan_out(batch, targets, as_of, batch_id, base, False, hide_key, from_base, False, **options)
 
 
 def touched_buckets(changes: DataFrame, key: list[str]) -> list[int]:
@@ -285,17 +306,11 @@ def touched_buckets(changes: DataFrame, key: list[str]) -> list[int]:
     return [r.n for r in moved.distinct().collect()]
 
 
-def _run_fan_out(batch, targets, as_of, batch_id, base, apply, hide_key, from_base, **options) -> DataFrame:
+def _run_fan_out(batch, targets, as_of, batch_id, base, apply, hide_key, from_base, keep_script, **options) -> DataFrame:
     spark = batch.sparkSession
     result = fan_out(batch, targets, as_of, **options)
     states = {**targets, "second_job": result.next_jobs}
-    steps = {}
-    for target, changes in result.changes.items():
-        if target in GENERATED:
-            key, natural = GENERATED[target]
-            steps[target] = number_inserts(changes, states[target], key, natural)
-        else:
-            steps[target] = written(changes, f"changes-{target}")
+    steps = result.numbered(targets)
     log = FanOut(steps, result.rejects, result.warnings).log(batch_id, PERSONAL, hide_key)
     if apply:
         folders = {}
@@ -312,6 +327,8 @@ def _run_fan_out(batch, targets, as_of, batch_id, base, apply, hide_key, from_ba
                     continue
             folders[table] = write_attempt(apply_changes(state, changes, key), base, table, batch_id, key)
         append_log(log, base, "change_log")
+        if keep_script:
+            append_log(change_script(steps, KEYS, batch_id, STEPS, STEP_TABLES), base, "change_script")
         store_rejects(reject_rows(result.rejects, batch_id, "fan_out", gate.REASON, PERSONAL, hide_key), base)
         warnings = result.warnings.withColumn("payroll_name", hidden(F.col("payroll_name"), hide_key))
         append_log(warnings.withColumn("batch_id", F.lit(batch_id)), base, "warnings")

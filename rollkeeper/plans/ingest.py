@@ -9,12 +9,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollkeeper.contract import PEOPLE, STAMP, Contract
+from rollkeeper.contract import PEOPLE, STAMP, STAMP_DAY, Contract
 from rollkeeper.operators import gate
-from rollkeeper.operators.snapshot import latest_snapshot, not_in_latest, snapshot_diff
+from rollkeeper.operators.snapshot import latest_snapshot, not_in_latest, snapshot_diff, snapshot_diff_kept
 from rollkeeper.session import written
 from rollkeeper.sources.history import append_history, read_history, stamped
-from rollkeeper.sources.tables import publish, reject_rows, store_rejects, write_attempt
+from rollkeeper.sources.kept import FINGERPRINTS, kept_fingerprints, write_fingerprints
+from rollkeeper.sources.tables import NO_BUCKET, publish, reject_rows, store_rejects, write_attempt
 
 NO_TITLE = gate.SKIP + "no_job_title_code"
 NO_ID = "no_person_id"
@@ -60,6 +61,7 @@ def ingest(
     verify_keys: tuple[str, ...] = VERIFY_KEYS,
     mode: str = "stamp_in",
     numbers: tuple[str, ...] = ("file_no", "carthage_id"),
+    kept: DataFrame | None = None,
 ) -> Ingest:
     """One run; nothing is appended here. The cleaned feed and its changed rows are
     written to the shared folder, so each is worked out once. The first of
@@ -67,13 +69,19 @@ def ingest(
 
     ``feed`` has the short names, ``history`` the history columns and the stamp.
     For a person with several rows add what tells them apart (``position_id``) to
-    both key lists and use ``per_key``: then a second run appends nothing.
+    both key lists and use ``per_key``: then a second run appends nothing. A history
+    that is partitioned by its day is read by the days that count. ``kept`` are the
+    fingerprints of the newest state, if they were kept: then it isn't hashed again.
     """
     cleaned = written(clean(feed, contract), "cleaned-feed")
     readable, unreadable = gate.accepted(cleaned), gate.rejected(cleaned)
 
-    view = latest_snapshot(contract.unpadded(history), list(view_keys), STAMP, mode)
-    changed = snapshot_diff(readable, contract.from_history(view), blank_is_null=True)
+    day = STAMP_DAY if STAMP_DAY in history.columns else None
+    view = latest_snapshot(contract.unpadded(history), list(view_keys), STAMP, mode, day)
+    if kept is None:
+        changed = snapshot_diff(readable, contract.from_history(view), blank_is_null=True)
+    else:
+        changed = snapshot_diff_kept(readable, kept, blank_is_null=True)
 
     marked = written(
         gate.judged(
@@ -113,20 +121,25 @@ def refresh_latest(
     return latest_snapshot(latest.unionByName(new_rows), list(keys), STAMP, mode)
 
 
-def caught_up(history: DataFrame, path: str, contract: Contract = PEOPLE) -> DataFrame:
-    """``history`` with the rows that were appended at ``path`` after its newest stamp."""
+def missed(history: DataFrame, path: str, contract: Contract = PEOPLE) -> DataFrame | None:
+    """The rows that were appended at ``path`` after the newest stamp of ``history``; None if nothing is stored there."""
     try:
         stored = read_history(history.sparkSession, path, contract)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
-            return history
+            return None
         raise
     newest = history.agg(F.max(STAMP)).first()[0]
-    columns = [*contract.history_names, STAMP]
-    later = stored.select(*columns)
-    if newest is not None:
-        later = later.filter(F.col(STAMP) > F.lit(newest))
-    return history.select(*columns).unionByName(later)
+    later = stored.select(*contract.history_names, STAMP)
+    return later if newest is None else later.filter(F.col(STAMP) > F.lit(newest))
+
+
+def caught_up(history: DataFrame, path: str, contract: Contract = PEOPLE) -> DataFrame:
+    """``history`` with the rows that were appended at ``path`` after its newest stamp."""
+    later = missed(history, path, contract)
+    if later is None or later.isEmpty():
+        return history
+    return history.select(*contract.history_names, STAMP).unionByName(later)
 
 
 def run_ingest(
@@ -137,6 +150,7 @@ def run_ingest(
     apply: bool = True,
     state_base: str | None = None,
     hide_key: str | None = None,
+    keep: bool = False,
     **options,
 ) -> Ingest:
     """One run and, unless it is a dry run, the new rows appended and the rejects stored.
@@ -146,24 +160,39 @@ def run_ingest(
     ``rejects``; without it they lie beside the history. The next newest state is
     written before the rows are appended and published after it; a run that broke off
     in between is caught up with by the next one.
+
+    ``keep``: ``history`` is the table ``latest``, whose fingerprints are kept beside it and
+    used by the next run (unless that has rows to catch up with).
     """
+    spark, batch_id = feed.sparkSession, f"{moment:%Y%m%dT%H%M%S}"
+    contract = options.get("contract", PEOPLE)
+    if keep:
+        if state_base is None:
+            raise ValueError("fingerprints are kept beside the table latest; give state_base")
+        options["kept"] = kept_fingerprints(spark, state_base, "latest")
     if apply:
-        history = caught_up(history, history_path, options.get("contract", PEOPLE))
+        whole = caught_up(history, history_path, contract)
+        if whole is not history:
+            history = whole
+            options.pop("kept", None)
     result = ingest(feed, history, moment, **options)
     if not apply:
         return result
-    spark, batch_id = feed.sparkSession, f"{moment:%Y%m%dT%H%M%S}"
     fresh, rejects = written(result.new_rows, "new-rows"), written(result.rejects, "rejects")
     hide = [c for c in rejects.columns if c not in SHOWN]
     stored = reject_rows(rejects, batch_id, "ingest", gate.REASON, hide, hide_key)
     if state_base:
         kept = {k: v for k, v in (("keys", options.get("view_keys")), ("mode", options.get("mode"))) if v}
-        known = options.get("contract", PEOPLE).unpadded(history).select(*fresh.columns)
-        latest = write_attempt(refresh_latest(known, fresh, **kept), state_base, "latest", batch_id)
+        known = contract.unpadded(history).select(*fresh.columns)
+        parts = {"latest": write_attempt(refresh_latest(known, fresh, **kept), state_base, "latest", batch_id)}
+        if keep:
+            now = spark.read.schema(fresh.schema).parquet(f"{state_base}/{parts['latest'][NO_BUCKET]}")
+            view = contract.from_history(contract.unpadded(now))
+            parts[FINGERPRINTS] = write_fingerprints(view, state_base, batch_id, contract.names, blank_is_null=True)
         store_rejects(stored, state_base)
     else:
         store_rejects(stored, history_path.rstrip("/") + "-log")
     append_history(fresh, history_path)
     if state_base:
-        publish(spark, state_base, batch_id, {"latest": latest})
+        publish(spark, state_base, batch_id, parts)
     return Ingest(fresh, rejects, result.skipped)

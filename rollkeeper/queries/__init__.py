@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rollkeeper.queries import changing, gating, jobs, lookups, newest, runs, scalars, whole
+from rollkeeper.queries import changing, gating, jobs, lookups, newest, orderly, runs, scalars, whole
 
-MODULES = [scalars, gating, newest, lookups, changing, jobs, whole, runs]
+MODULES = [scalars, gating, newest, lookups, changing, orderly, jobs, whole, runs]
 
 
 def all_queries() -> dict:

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.contract import CORRUPT, PEOPLE, STAMP
 from rollkeeper.operators import gate
-from rollkeeper.plans.fan_out import fan_out, run_fan_out
+from rollkeeper.operators.changes import apply_changes
+from rollkeeper.operators.script import change_script, replay, unfit
+from rollkeeper.plans.fan_out import KEYS, STEP_TABLES, STEPS, fan_out, run_fan_out
 from rollkeeper.plans.ingest import clean
 from rollkeeper.queries import target_sql as sqls
 from rollkeeper.queries import whole, world
 from rollkeeper.queries.changing import _on_world
 from rollkeeper.queries.inputs import EVENT_DAY, flat, sql, table
 from rollkeeper.queries.jobs import SLOTS_CTE, _slots
-from rollkeeper.session import shared_folder
+from rollkeeper.session import shared_folder, written
 from rollkeeper.sources.feed import write_csv, write_difference
 from rollkeeper.sources.history import append_history, read_history
 from rollkeeper.sources.quoted import read_quoted
@@ -117,6 +121,95 @@ UNION ALL SELECT 'pos_table', 'rows', (SELECT count(*) FROM pos_table) + count(*
   WHERE action = 'insert'
 """
 
+def _scripted(spark, d):
+    targets = world.targets(spark, d)
+    steps = fan_out(world.batch(spark, d), targets, EVENT_DAY, second_jobs=_slots(spark, d)).numbered(targets)
+    return targets, steps, written(change_script(steps, KEYS, "b1", STEPS, STEP_TABLES), "script")
+
+
+def script_order(spark, d):
+    """Where each table's changes stand in the script of a fan-out, second jobs included."""
+    script = _scripted(spark, d)[2]
+    # second jobs are changes of the same table and come last
+    last = F.when((F.col("target") == "job_rec") & (F.col("seq") > F.lit(script.filter("target = 'hremp_rec'").agg(F.min("seq")).first()[0])), "second")
+    return script.groupBy("target", "action", F.coalesce(last, F.lit("")).alias("part")).agg(
+        F.min("seq").alias("first"), F.max("seq").alias("last"), F.count(F.lit(1)).alias("n")
+    )
+
+
+_ORDERED = [
+    ("cc_work_cat_table", sqls.work_category()),
+    ("hrclass_table", sqls.job_class()),
+    ("hrdiv_table", sqls.division()),
+    ("hrdept_table", sqls.department()),
+    ("pos_table", sqls.position()),
+    ("id_rec", sqls.person()),
+    ("profile_rec", sqls.profile()),
+    ("cvid_rec", sqls.xref()),
+    ("aa_rec", sqls.contacts()),
+    ("job_rec", sqls.job()),
+    ("hremp_rec", sqls.employment()),
+    ("second_job", sqls.second_job()),
+]
+_COUNTED = "\nUNION ALL\n".join(
+    f"SELECT {place} AS place, '{step}' AS step, action, count(*) AS n FROM ({body}) GROUP BY action"
+    for place, (step, body) in enumerate(_ORDERED)
+)
+SCRIPT_SQL = f"""
+SELECT CASE step WHEN 'second_job' THEN 'job_rec' ELSE step END AS target, action,
+  CASE step WHEN 'second_job' THEN 'second' ELSE '' END AS part,
+  CAST(sum(n) OVER w - n + 1 AS BIGINT) AS first, CAST(sum(n) OVER w AS BIGINT) AS last, n
+FROM ({_COUNTED}) WHERE action IN ('insert', 'update', 'end_date')
+WINDOW w AS (ORDER BY place, CASE action WHEN 'end_date' THEN 1 WHEN 'update' THEN 2 ELSE 3 END)
+"""
+
+
+def replay_log(spark, d):
+    """Every table rebuilt from the last state and the script alone: its rows, how many the
+    script changed, in how many it is unlike the applied state, and changes that don't fit."""
+    targets, steps, script = _scripted(spark, d)
+    out = []
+    for target in dict.fromkeys(STEP_TABLES.get(s, s) for s in STEPS):
+        key, state = KEYS[target], targets[target]
+        applied = apply_changes(state, steps[target], key)
+        if target == "job_rec":
+            applied = apply_changes(applied, steps["second_job"], key)
+        rebuilt = written(replay(state, script, target, key), "rebuilt")
+        applied = written(applied, "applied")
+        differ = rebuilt.exceptAll(applied).unionByName(applied.exceptAll(rebuilt)).agg(F.count(F.lit(1)).alias("unlike"))
+        changed = script.filter(F.col("target") == target).agg(F.count(F.lit(1)).alias("changed"))
+        rows = rebuilt.agg(F.count(F.lit(1)).alias("rows"))
+        bad = unfit(state, script, target, key).agg(F.count(F.lit(1)).alias("unfit"))
+        out.append(rows.crossJoin(changed).crossJoin(differ).crossJoin(bad).withColumn("target", F.lit(target)))
+    return reduce(DataFrame.unionByName, out)
+
+
+REPLAY_SQL = f"""
+SELECT target, CAST(sum(rows) AS BIGINT) AS rows, CAST(sum(changed) AS BIGINT) AS changed, CAST(0 AS BIGINT) AS unlike, CAST(0 AS BIGINT) AS unfit FROM (
+  SELECT CASE step WHEN 'second_job' THEN 'job_rec' ELSE step END AS target,
+    CASE action WHEN 'insert' THEN n ELSE 0 END AS rows, n AS changed FROM ({_COUNTED}) WHERE action IN ('insert', 'update', 'end_date')
+  UNION ALL {" UNION ALL ".join(f"SELECT '{step}', count(*), 0 FROM {step}" for step, _ in _ORDERED if step != "second_job")})
+GROUP BY target
+"""
+
+
+def dry_run(spark, d):
+    """A fan-out that isn't applied: its log, the applied run's beside it, and whether it has written anything."""
+    dry, real = _base(spark, "dry"), _base(spark, "applied")
+    targets, batch = world.targets(spark, d), world.batch(spark, d)
+
+    def counted(log, name):
+        return log.groupBy("target", "action").agg(F.count(F.lit(1)).alias(name))
+
+    found = written(counted(run_fan_out(batch, targets, EVENT_DAY, "b1", dry, apply=False), "n"), "dry")
+    applied = counted(run_fan_out(batch, targets, EVENT_DAY, "b1", real), "n_applied")
+    place = spark._jvm.org.apache.hadoop.fs.Path(dry)
+    stored = place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return found.join(applied, ["target", "action"], "full").withColumn("stored", F.lit(bool(stored)))
+
+
+DRY_SQL = f"SELECT target, action, count(*) AS n, count(*) AS n_applied, false AS stored FROM ({whole._LOG}) GROUP BY target, action"
+
 SOME = ["carth_id", "file_number", "payroll_name", "long_title", "birth_date", "home_phone"]
 
 
@@ -173,6 +266,9 @@ QUERIES = {
             "SELECT id, 'unknown_person_id' AS reject_reason FROM slots WHERE id NOT IN (SELECT id FROM id_rec)", SLOTS_CTE
         ),
     ),
+    "script_order": (script_order, _on_world(SCRIPT_SQL, SECOND_STEPS)),
+    "replay_log": (replay_log, _on_world(REPLAY_SQL, SECOND_STEPS)),
+    "dry_run": (dry_run, _on_world(DRY_SQL, whole._STEPS)),
     "fan_out_applied": (fan_out_applied, _on_world(APPLIED_SQL, whole._STEPS)),
     "difference_files": (
         difference_files,

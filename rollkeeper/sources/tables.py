@@ -56,20 +56,34 @@ def _first(df: DataFrame) -> str:
     return f"`{field.name}` {field.dataType.simpleString()}"
 
 
+class TwoWriters(RuntimeError):
+    """Two runs have published to one base folder at the same time."""
+
+
 def publish(spark: SparkSession, base: str, batch_id: str, folders: dict[str, dict[int, str]], whole: bool = True) -> None:
     """One commit: from now on these folders are the tables (name -> bucket -> folder).
 
-    ``whole``: they are all of their tables; else they replace the buckets named.
+    ``whole``: they are all of their tables; else they replace the buckets named. A base
+    folder has one writer at a time. There is no lock: a run that finds its commit's number
+    taken by another one fails, and so does the other, so that neither goes unnoticed.
     """
     known = _manifest(spark, base)
     last = known.agg(F.max("seq")).first()[0] if known is not None else None
+    number = (last or 0) + 1
     rows = [
-        ((last or 0) + 1, batch_id, table, bucket, folder, whole)
-        for table, parts in folders.items()
-        for bucket, folder in parts.items()
+        (number, batch_id, table, bucket, folder, whole) for table, parts in folders.items() for bucket, folder in parts.items()
     ]
-    if rows:
-        spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{base}/{PUBLISHED}")
+    if not rows:
+        return
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{base}/{PUBLISHED}")
+    if _manifest(spark, base).filter(F.col("seq") == number).count() != len(rows):
+        raise TwoWriters(f"commit {number} under {base} was written twice")
+
+
+def last_commit(spark: SparkSession, base: str, table: str) -> int | None:
+    """The number of the commit that published a table last."""
+    known = _manifest(spark, base)
+    return None if known is None else known.filter(F.col("table") == table).agg(F.max("seq")).first()[0]
 
 
 def write_table(df: DataFrame, base: str, table: str, batch_id: str, key: list[str] | None = None) -> None:
