@@ -2,23 +2,26 @@
 
 Two sets of shingles are linked when their intersection has at least ``LEAST`` hundredths of
 their union. A set of n shingles lacks at most d = n - ceil(LEAST * n / 100) of its shingles
-in a set it is linked with, so whatever order all shingles have, two linked sets share one
-among the first d + 1 of each. The order is rare first: Spark counts the sets of each
-shingle. It counts a fixed share of the shingles, chosen by hash (``COUNTED`` eighths); the
-others come after those in the order of their hashes. Sets whose first d + 1 shingles occur
-nowhere else meet nothing and go; this is nearly every text without a near-duplicate.
+in a set it is linked with. That is used twice.
+
+First, for a share of all shingles that is chosen by hash (``SAMPLED`` eighths), Spark counts
+the tasks' sets of each. A set with more than d shingles there that no other set has is linked
+with none, and goes; that is nearly every text without a near-duplicate. Then all shingles of
+the sets that are left are counted and ordered, the rarest first. Whatever the order, two
+linked sets share a shingle among the first d + 1 of each; with this one few others do.
 
 Prefix shingles are joined. Three filters hold for the first shingle that a linked pair
 shares, and pairs that pass them under some shingle are verified, each once, on whole sets:
 
 - length: the smaller has at least LEAST hundredths of the larger;
 - position: behind the shared shingle both have enough left for the overlap that is needed;
-- suffix: what is left is counted in eight parts by hash; the counts' differences add up to
-  at most the number of shingles in which the two may differ.
+- suffix: what is left is divided by hash, twice: the sizes of eight parts differ by no more
+  in sum than the shingles in which the two may differ, and as many at most of 256 parts are
+  of odd size in one and of even size in the other.
 
-A shingle shared by very many sets isn't expanded into pairs. In ``ROUNDS`` rounds each set
-is held against one set of each shingle, another one every round, and the links so found are
-closed to components. Then the shingles that still hold several components are joined, all
+A shingle shared by very many sets isn't expanded into pairs. In up to ``ROUNDS`` rounds, as long as that finds
+links, each set is held against one set of each shingle, another one every round, and the
+links so found are closed to components. Then the shingles that still hold several components are joined, all
 but their largest component with the others. A pair that is left out lies in one component
 already, so the components are exact.
 
@@ -43,13 +46,14 @@ from rollkeeper.session import written
 
 SHINGLE = 4
 LEAST = 85
-#: Eighths of all shingles whose sets are counted; prefixes are drawn from these where they suffice.
-COUNTED = 3
-ROUNDS = 2
+#: Eighths of all shingles by which sets are told to have no partner.
+SAMPLED = 3
+ROUNDS = 4
 
 _STEP = np.uint64(0xA24BAED4963EE407)
 _PARTS = 8
 _BITS = 16
+_ODD = 256
 
 
 def missing(n, least: int = LEAST):
@@ -93,25 +97,27 @@ def _packed(counts: np.ndarray) -> np.ndarray:
     return np.minimum(counts, (1 << _BITS) - 1).astype("<u2").view("<i8")
 
 
-def _parts(hashes: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """For each of n rows, how many of its hashes lie in each part."""
+def suffixes(hashes: np.ndarray, places: int) -> np.ndarray:
+    """For each of the first ``places`` hashes what comes behind it: the sizes of eight parts as
+    two longs, and which of 256 parts are odd as four."""
     part = (hashes & np.uint64(_PARTS - 1)).astype(np.int64)
-    return np.bincount(row * _PARTS + part, minlength=n * _PARTS).reshape(n, _PARTS)
-
+    behind = np.bincount(part, minlength=_PARTS) - np.cumsum(np.eye(_PARTS, dtype=np.int64)[part[:places]], axis=0)
+    part = ((hashes >> np.uint64(3)) & np.uint64(_ODD - 1)).astype(np.int64)
+    bit = np.zeros((len(hashes), _ODD // 64), np.uint64)
+    bit[np.arange(len(hashes)), part >> 6] = np.uint64(1) << (part & 63).astype(np.uint64)
+    odd = np.bitwise_xor.reduce(bit, axis=0) ^ np.bitwise_xor.accumulate(bit[:places], axis=0)
+    return np.concatenate([_packed(behind).reshape(-1, 2), odd.view(np.int64).reshape(-1, 4)], axis=1)
 
-def _counted(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(61)) < COUNTED
 
+#: Columns of what ``suffixes`` gives.
+_SIZES, _PARITIES = ["right0", "right1"], ["odd0", "odd1", "odd2", "odd3"]
 
-def with_sets(docs: DataFrame, keep: list[str], text_col: str, shingle: int, least: int) -> DataFrame:
-    """For each row its ``keep`` columns and its set.
 
-    sid, n: the set's hash and size; m, parts: size of its counted share, and the parts of
-    the rest; beyond: as many of the rest as the prefix needs besides; tokens: the counted
-    share, but null on a row whose set the same task has had before.
-    """
+def with_sets(docs: DataFrame, keep: list[str], text_col: str, shingle: int) -> DataFrame:
+    """For each row its ``keep`` columns, the hash and the size of its set (sid, n), and the
+    sampled shingles of it (tokens), but null on a row whose set the same task has had before."""
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    schema = ", ".join([*fields, "sid bigint, n bigint, m bigint, parts array<bigint>, beyond array<bigint>, tokens array<bigint>"])
+    schema = ", ".join([*fields, "sid bigint, n bigint, tokens array<bigint>"])
 
     def run(batches):
         seen: set[int] = set()
@@ -119,30 +125,17 @@ def with_sets(docs: DataFrame, keep: list[str], text_col: str, shingle: int, lea
             for low, high, data, offsets in text_blocks(batch.column(batch.num_columns - 1)):
                 hashes, counts = shingle_sets(data, offsets, shingle)
                 sids = set_ids(hashes, counts)
-                rows = high - low
-                row = np.repeat(np.arange(rows), counts)
-                inside = _counted(hashes)
-                m = np.bincount(row[inside], minlength=rows)
-                parts = _parts(hashes[~inside], row[~inside], rows)
-                # the rest is in the order of its hashes, as the sets are
-                want = np.where(counts > 0, np.maximum(missing(counts, least) + 1 - m, 0), 0)
-                rest_row = row[~inside]
-                left = counts - m
-                index = np.arange(len(rest_row)) - (np.cumsum(left) - left)[rest_row]
-                taken = index < want[rest_row]
-                beyond = lists(pa.array(hashes[~inside][taken].view(np.int64)), np.minimum(want, left))
-                lead = np.zeros(rows, bool)
+                lead = np.zeros(high - low, bool)
                 for k, sid in enumerate(sids.tolist()):
                     if sid not in seen:
                         seen.add(sid)
                         lead[k] = sid != 0
-                ours = inside & lead[row]
-                flat = pa.array(hashes[ours].view(np.int64))
-                ends = np.concatenate([[0], np.cumsum(np.where(lead, m, 0))]).astype(np.int32)
-                tokens = pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(~lead))
-                own = [batch.column(i).slice(low, rows) for i in range(len(keep))]
-                made = [pa.array(sids.view(np.int64)), pa.array(counts), pa.array(m), lists(pa.array(_packed(parts).ravel()), np.full(rows, 2)), beyond, tokens]
-                yield pa.RecordBatch.from_arrays([*own, *made], names=[*keep, "sid", "n", "m", "parts", "beyond", "tokens"])
+                row = np.repeat(np.arange(high - low), counts)
+                ours = ((hashes >> np.uint64(61)) < SAMPLED) & lead[row]
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row[ours], minlength=high - low))]).astype(np.int32)
+                tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[ours].view(np.int64)), mask=pa.array(~lead))
+                own = [batch.column(i).slice(low, high - low) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(sids.view(np.int64)), pa.array(counts), tokens], names=[*keep, "sid", "n", "tokens"])
 
     return docs.select(*keep, F.col(text_col).alias(fresh(docs, "_body"))).transform(mapped, run, schema)
 
@@ -161,40 +154,31 @@ def whole_sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
 
 
 def prefix_entries(sets: DataFrame, least: int) -> DataFrame:
-    """``sets`` (sid, n, m, parts, beyond, shared): a row for each prefix shingle that may be shared.
+    """``sets`` (sid, n, shared): a row for each prefix shingle that other sets have too.
 
-    ``shared`` lists those of the counted share that other sets have too, with their counts;
-    the others of it come first. ``right0``, ``right1``: the parts of what comes behind.
+    ``shared`` lists all such shingles of a set with their counts; those it has alone come
+    before them. The columns of ``suffixes`` tell what comes behind.
     """
+    names = ["token", "sid", "n", "pos", *_SIZES, *_PARITIES]
 
     def run(batches):
         for batch in batches:
-            out = [[] for _ in range(6)]
-            for r in batch.to_pylist():
-                n, m = r["n"], r["m"]
-                want = missing(n, least) + 1
-                shared = r["shared"] or []
-                token = np.array([x["token"] for x in shared], np.int64).view(np.uint64)
-                order = np.lexsort((token, np.array([x["sets"] for x in shared], np.int64)))
-                token = token[order]
-                alone = m - len(token)
-                rest = np.array(r["parts"], "<i8").view("<u2").astype(np.int64)
-                taken = token[: max(0, want - alone)]
-                behind = _parts(token, np.zeros(len(token), np.int64), 1)[0] + rest
-                beyond = np.array(r["beyond"], np.int64).view(np.uint64)
-                held = np.concatenate([taken, beyond])
-                if not len(held):
-                    continue
-                own = np.eye(_PARTS, dtype=np.int64)[(held & np.uint64(_PARTS - 1)).astype(np.int64)]
-                right = _packed(np.maximum(behind - np.cumsum(own, axis=0), 0)).reshape(-1, 2)
-                place = np.concatenate([alone + np.arange(len(taken)), m + np.arange(len(beyond))])
-                for column, x in zip(out, (held.view(np.int64), np.full(len(held), r["sid"]), np.full(len(held), n), place, right[:, 0], right[:, 1]), strict=True):
-                    column.append(x)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["token", "sid", "n", "pos", "right0", "right1"])
-
-    schema = "token bigint, sid bigint, n bigint, pos bigint, right0 bigint, right1 bigint"
-    return sets.select("sid", "n", "m", "parts", "beyond", "shared").transform(mapped, run, schema)
+            out = []
+            for sid, n, shared in zip(*(batch.column(c) for c in ("sid", "n", "shared")), strict=True):
+                sid, n = sid.as_py(), n.as_py()
+                token = np.asarray(shared.values.field("token")).view(np.uint64)
+                token = token[np.lexsort((token, np.asarray(shared.values.field("sets"))))]
+                alone = n - len(token)
+                held = token[: max(0, missing(n, least) + 1 - alone)].view(np.int64)
+                if len(held):
+                    facts = [held, np.full(len(held), sid), np.full(len(held), n), alone + np.arange(len(held))]
+                    out.append(np.concatenate([np.stack(facts, axis=1), suffixes(token, len(held))], axis=1))
+            if out:
+                rows = np.concatenate(out).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], names=names)
+
+    schema = ", ".join(f"{c} bigint" for c in names)
+    return sets.select("sid", "n", "shared").transform(mapped, run, schema)
 
 
 def may_link(one: str, two: str, least: int) -> Column:
@@ -205,12 +189,14 @@ def may_link(one: str, two: str, least: int) -> Column:
     need = F.floor(((n1 + n2) * least + (99 + least)) / (100 + least))
     length = F.least(n1, n2) * 100 >= F.greatest(n1, n2) * least
     position = F.least(left1, left2) + 1 >= need
-    apart = F.lit(0)
-    for word in ("right0", "right1"):
+    apart = left1 + left2 - (need - 1) * 2
+    odd = sum((F.bit_count(F.col(f"{c}{one}").bitwiseXOR(F.col(f"{c}{two}"))) for c in _PARITIES), F.lit(0))
+    sizes = F.lit(0)
+    for c in _SIZES:
         for k in range(4):
-            a, b = (F.shiftrightunsigned(F.col(f"{word}{x}"), _BITS * k).bitwiseAND(F.lit((1 << _BITS) - 1)) for x in (one, two))
-            apart = apart + F.abs(a - b)
-    return length & position & (apart <= left1 + left2 - (need - 1) * 2)
+            a, b = (F.shiftrightunsigned(F.col(f"{c}{x}"), _BITS * k).bitwiseAND(F.lit((1 << _BITS) - 1)) for x in (one, two))
+            sizes = sizes + F.abs(a - b)
+    return length & position & (odd <= apart) & (sizes <= apart)
 
 
 def _ending(df: DataFrame, ending: str, but: tuple[str, ...] = ("token",)) -> DataFrame:
@@ -225,6 +211,8 @@ def _pairs(met: DataFrame, tried: DataFrame | None) -> DataFrame:
 
 def verified(pairs: DataFrame, whole: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. ``whole`` (sid, tokens) is stored and has each set once."""
+    asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    whole = written(whole.join(written(asked, "asked"), "sid", "left_semi"), "asked-sets")
     first = whole.select(F.col("sid").alias("a"), F.col("tokens").alias("tokens_a"))
     second = whole.select(F.col("sid").alias("b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -232,33 +220,34 @@ def verified(pairs: DataFrame, whole: DataFrame, least: int) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").filter(both * 100 >= union * least).select("a", "b")
 
 
-def _rooted(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return entries.withColumn("root", F.col("sid"))
+def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    entries = entries.drop("root")
     return entries.join(roots, entries.sid == roots.a, "left").withColumn("root", F.coalesce("b", "sid")).drop("a", "b")
 
 
 def set_components(entries: DataFrame, whole: DataFrame, least: int = LEAST, rounds: int = ROUNDS) -> DataFrame:
     """``entries``, stored: for each set but the least of its component (a, b), b being the least."""
     roots = tried = None
-    links = []
+    live = entries.withColumn("root", F.col("sid"))
     for k in range(rounds):
-        live = _rooted(entries, roots)
-        if roots is not None:
-            live = written(live, "rooted")
-        columns = ["sid", "n", "pos", "right0", "right1", "root"]
+        columns = ["sid", "n", "pos", *_SIZES, *_PARITIES, "root"]
         pick = F.min(F.struct(F.xxhash64("sid", F.lit(k)).alias("by"), *columns)).alias("head")
         heads = live.groupBy("token").agg(pick, F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
         heads = written(heads.select("token", *(F.col(f"head.{c}").alias(f"{c}2") for c in columns)), "heads")
         met = _ending(live, "1").join(heads.hint("merge"), "token").filter("root1 <> root2").filter(may_link("1", "2", least))
         pairs = _pairs(met, tried)
         tried = pairs if tried is None else tried.unionByName(pairs)
-        links.append(written(verified(pairs, whole, least), "verified"))
-        found = links[-1] if roots is None else roots.unionByName(links[-1])
-        roots = components(found)
+        links = written(verified(pairs, whole, least), "verified")
+        if links.isEmpty():
+            roots = links if roots is None else roots
+            break
+        roots = components(links if roots is None else roots.unionByName(links))
+        # shingles whose sets are all in one component are done with
+        live = live.join(heads.select("token").hint("merge"), "token", "left_semi") if k else live
+        live = written(_rooted(live, roots), "rooted")
 
     sizes = written(roots.groupBy("b").agg((F.count(F.lit(1)) + 1).alias("size")).withColumnRenamed("b", "root"), "sizes")
-    live = _rooted(entries, roots).join(sizes, "root", "left")
+    live = _rooted(live, roots).join(sizes, "root", "left")
     live = written(live.withColumn("weight", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "root")).drop("size"), "rooted")
     tops = live.groupBy("token").agg(F.max("weight").alias("top"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     tops = written(tops.filter("lo < hi").select("token", "top"), "tops")
@@ -269,6 +258,11 @@ def set_components(entries: DataFrame, whole: DataFrame, least: int = LEAST, rou
     return roots if more.isEmpty() else components(roots.unionByName(more))
 
 
+def _met_twice(tokens: DataFrame) -> DataFrame:
+    """The shingles that several rows have, and how many (sets); stored."""
+    return written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "met-twice")
+
+
 def jaccard_components(docs: DataFrame, keep: list[str], least: int = LEAST, shingle: int = SHINGLE, text_col: str = "text") -> DataFrame:
     """The ``keep`` columns, ``sid``, ``n`` and ``root`` (equal for all rows of a component).
 
@@ -276,25 +270,26 @@ def jaccard_components(docs: DataFrame, keep: list[str], least: int = LEAST, shi
     """
     place = fresh(docs, "_place")
     placed = docs.withColumn(place, F.monotonically_increasing_id())
-    rows = written(with_sets(placed, [*keep, place], text_col, shingle, least), "sets")
+    rows = written(with_sets(placed, [*keep, place], text_col, shingle), "sets")
     leads = rows.filter(F.col("tokens").isNotNull())
+    lacks = F.col("n") - F.ceil(F.col("n") * least / 100)
 
+    # sets that have too much alone go; the tokens of equal sets in several tasks count as shared, which keeps more
     tokens = leads.select("sid", F.explode("tokens").alias("token"))
-    counts = written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "counts")
-    shared = tokens.join(counts.hint("merge"), "token").groupBy("sid").agg(F.collect_set(F.struct("sets", "token")).alias("shared"))
-    facts = F.min(F.struct(place, "n", "m", "parts", "beyond")).alias("_set")
-    sets = leads.groupBy("sid").agg(facts).select("sid", *(F.col("_set")[c].alias(c) for c in (place, "n", "m", "parts", "beyond")))
-    sets = sets.join(shared, "sid", "left")
-    alone = F.col("m") - F.coalesce(F.size("shared"), F.lit(0))
-    open_ = (F.col("n") - F.ceil(F.col("n") * least / 100) >= alone) & (F.col("shared").isNotNull() | (F.size("beyond") > 0))
-    sets = written(sets.filter(open_), "open-sets")
-
-    entries = prefix_entries(sets, least)
-    entries = written(entries, "entries")
-    met = written(entries.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("token"), "met")
+    shared = tokens.join(_met_twice(tokens).hint("merge"), "token").groupBy("sid").agg(F.count(F.lit(1)).alias("shared"))
+    sets = leads.groupBy("sid").agg(F.min(F.struct(place, "n", F.size("tokens").alias("m"))).alias("_set"))
+    sets = sets.select("sid", F.col("_set")[place].alias(place), F.col("_set.n").alias("n"), F.col("_set.m").alias("m"))
+    alone = F.col("m") - F.coalesce("shared", F.lit(0))
+    sets = written(sets.join(shared, "sid", "left").filter(alone <= lacks).select("sid", place, "n"), "open-sets")
+    whole = placed.join(sets.select(place), place, "left_semi")
+    whole = written(whole_sets(whole, text_col, shingle), "whole-sets")
+
+    tokens = whole.select("sid", F.explode("tokens").alias("token"))
+    shared = tokens.join(_met_twice(tokens).hint("merge"), "token").groupBy("sid").agg(F.collect_list(F.struct("sets", "token")).alias("shared"))
+    sets = sets.join(shared, "sid").filter(F.col("n") - F.size("shared") <= lacks)
+    entries = written(prefix_entries(sets, least), "entries")
+    met = _met_twice(entries).drop("sets")
     entries = written(entries.join(met.hint("merge"), "token", "left_semi"), "met-entries")
-    needed = written(entries.select("sid").distinct().join(sets.select("sid", place), "sid").select(place), "needed")
-    whole = written(whole_sets(placed.join(needed, place, "left_semi"), text_col, shingle), "whole-sets")
     roots = set_components(entries, whole, least)
     return rows.select(*keep, "sid", "n").join(roots, F.col("sid") == F.col("a"), "left").select(*keep, "sid", "n", F.coalesce("b", "sid").alias("root"))
 

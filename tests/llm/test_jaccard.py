@@ -75,8 +75,8 @@ def test_as_by_brute_force(spark, tmp_path, seed):
 
 @pytest.mark.parametrize(("least", "k", "counted", "rounds"), [(50, 2, 0, 1), (80, 5, 8, 3), (100, 3, 3, 1)])
 def test_other_parameters(spark, tmp_path, monkeypatch, least, k, counted, rounds):
-    """Also with no shingle counted, and with all of them."""
-    monkeypatch.setattr(jaccard, "COUNTED", counted)
+    """Also with no shingle sampled, and with all of them."""
+    monkeypatch.setattr(jaccard, "SAMPLED", counted)
     texts = corpus(7, 120)
     table = documents(spark, docs(tmp_path, texts))
     got = jaccard_components(table, ["doc_id"], least, k).groupBy("root", "n").agg(F.collect_list("doc_id").alias("ids"))
@@ -113,9 +113,9 @@ def test_filters_keep_every_linked_pair(spark):
         row = {}
         for name, x in (("1", a), ("2", b)):
             at = x.index(min(both))
-            right = np.array([h for h in x if h > min(both)], np.uint64)
-            packed = jaccard._packed(jaccard._parts(right, np.zeros(len(right), np.int64), 1))[0]
-            row |= {f"n{name}": len(x), f"pos{name}": at, f"right0{name}": int(packed[0]), f"right1{name}": int(packed[1])}
+            behind = jaccard.suffixes(np.array(x, np.uint64), at + 1)[at].tolist()
+            row |= {f"n{name}": len(x), f"pos{name}": at}
+            row |= {f"{c}{name}": v for c, v in zip(jaccard._SIZES + jaccard._PARITIES, behind, strict=True)}
             assert at <= missing(len(x)) or 100 * len(both) < 85 * len(set(a) | set(b))
         made.append(row)
         linked.append(100 * len(both) >= 85 * len(set(a) | set(b)))
