@@ -4,12 +4,14 @@ A text is cut into sentences twice over: with line breaks as blanks (running tex
 at line breaks too (notices on a line of their own). A sentence is normalised (A-Z to
 small letters, everything but a-z and 0-9 to single blanks) and looked up among the
 known sentences; others are left out. In running text a line without letters and digits
-ends a sentence. Signs that stand inside a known sentence end none. An SPDX tag is read in
-running text only, so not where other text follows it without an empty line. The sequence of identifiers of either reading is
+ends a sentence. Signs that stand inside a known sentence end none, nor does the colon of an
+SPDX tag, which is thus found on a line of its own, whatever follows. The sequence of identifiers of either reading is
 matched against the rules in their order; a rule takes the identifiers it has matched
 away from later rules. The result does not depend on other documents.
 
-Null or empty text: no sentence, no licence. Repeated rows each get their own result.
+Null or empty text: no sentence, no licence. Repeated rows each get their own result, and a
+very long text is one row like any other. An empty table gives an empty result. Other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -87,7 +89,7 @@ RULES = [
     ("Proprietary", "reserved"),
 ]
 
-#: The same for what the SQL doesn't know.
+#: Full texts, and licences of the same families.
 MORE_SENTENCES = {
     "gnu general public license version 3 29 june 2007": "gpl3Text",
     "gnu general public license version 2 june 1991": "gpl2Text",
@@ -152,11 +154,12 @@ REST = "[^a-z0-9|~]+"
 EMPTY_LINES = " ?~ ?(?:~ ?)+"
 #: Signs inside known sentences, which end none ("free software; you can", "v. 2.0").
 INSIDE = (
-    "[|](?<=(?:software|foundation|warranty|license[ ~]{1,9}v) ?[|])[ ~]*"
-    "(?=you[ ~]+can[ ~]+redistribute|either[ ~]+version|without[ ~]+even[ ~]+the[ ~]+implied|2 0)"
+    "((?:software|foundation|warranty|license[ ~]{1,9}v) ?)[|][ ~]*"
+    "(you[ ~]+can[ ~]+redistribute|either[ ~]+version|without[ ~]+even[ ~]+the[ ~]+implied|2 0)"
 )
-#: The same in running text, where an empty line or the sign of an SPDX tag stands between.
-JOINED = {"a copy of the license at|http": "a copy of the license at http", "spdx license identifier| ": "spdx license identifier "}
+TAG = "spdx license identifier"
+#: The same in running text, where an empty line stands between.
+APART, TOGETHER = "a copy of the license at|http", "a copy of the license at http"
 
 
 def _ids(sentences: Column) -> Column:
@@ -180,10 +183,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """For each row: the id, the identifiers of both readings, and the licences (sorted, comma-joined)."""
     text = F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER + "|~", SMALL + "  ")
     text = F.regexp_replace(F.regexp_replace(text, ENDS, "|\n"), "\n", "~")
-    marked = docs.select(F.col(id_col), F.regexp_replace(F.regexp_replace(text, REST, " "), INSIDE, " ").alias("_marked"))
+    text = F.regexp_replace(F.regexp_replace(text, REST, " "), INSIDE, "$1 $2")
+    marked = docs.select(F.col(id_col), F.replace(text, F.lit(f"{TAG}|~"), F.lit(f"{TAG} ")).alias("_marked"))
     running = F.regexp_replace(F.regexp_replace("_marked", EMPTY_LINES, "|"), "[ ~]+", " ")
-    for apart, joined in JOINED.items():
-        running = F.replace(running, F.lit(apart), F.lit(joined))
+    running = F.replace(running, F.lit(APART), F.lit(TOGETHER))
     ids = marked.select(
         id_col,
         _ids(F.split(running, "[|]")).alias("_running"),
@@ -203,12 +206,12 @@ def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    known = ", ".join(f"'{s}': '{i}'" for s, i in SENTENCES.items())
+    known = ", ".join(f"'{s}': '{i}'" for s, i in (SENTENCES | MORE_SENTENCES).items())
     pick = "' ' || array_to_string(list_filter(list_transform({}, lambda s: k[trim(s)]), lambda i: i IS NOT NULL), '  ') || ' '"
 
     def reading(name: str) -> tuple[str, list[str]]:
         steps, hits = name, []
-        for licence, sequence in RULES:
+        for licence, sequence in [*TEXT_RULES, *RULES, *MORE_RULES]:
             mark = " " + sequence.replace(" ", "  ") + " "
             hits.append(f"CASE WHEN contains({steps}, '{mark}') THEN '{licence}' END")
             steps = f"replace({steps}, '{mark}', ' - ')"
@@ -218,13 +221,15 @@ def _sql() -> str:
     return f"""
 WITH known AS (SELECT MAP {{{known}}} AS k),
 marked AS (
-  SELECT doc_id, regexp_replace(replace(regexp_replace(
+  SELECT doc_id, replace(regexp_replace(regexp_replace(replace(regexp_replace(
     translate(coalesce(text, ''), '{UPPER}|~', '{SMALL}  '), '{ENDS}', '|' || chr(10), 'g'),
-    chr(10), '~'), '{REST}', ' ', 'g') AS m FROM documents),
+    chr(10), '~'), '{REST}', ' ', 'g'), '{INSIDE}', '\\1 \\2', 'g'), '{TAG}|~', '{TAG} ') AS m FROM documents),
+running AS (
+  SELECT *, replace(regexp_replace(regexp_replace(m, '{EMPTY_LINES}', '|', 'g'), '[ ~]+', ' ', 'g'), '{APART}', '{TOGETHER}') AS r FROM marked),
 ids AS (
-  SELECT doc_id, {pick.format("string_split(replace(m, '~', ' '), '|')")} AS running,
+  SELECT doc_id, {pick.format("string_split(r, '|')")} AS running,
     {pick.format("string_split(replace(m, '~', '|'), '|')")} AS lines
-  FROM marked, known)
+  FROM running, known)
 SELECT doc_id, regexp_replace(trim(running), ' +', ' ', 'g') AS running_ids,
   regexp_replace(trim(lines), ' +', ' ', 'g') AS line_ids,
   array_to_string(list_sort(list_distinct(list_filter([{', '.join(hits)}], lambda x: x IS NOT NULL))), ',') AS licences

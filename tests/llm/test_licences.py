@@ -2,7 +2,9 @@ import duckdb
 import pytest
 from helpers import docs
 
-from rollkeeper.llm.licences import RULES, SENTENCES, SQL, op3_licences
+from pyspark.sql import functions as F
+
+from rollkeeper.llm.licences import MORE_RULES, MORE_SENTENCES, RULES, SENTENCES, SQL, TEXT_RULES, op3_licences, scan
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
 associated documentation files (the "Software"), to deal in the Software without restriction, including
@@ -20,7 +22,12 @@ CASES = [
     ("All rights reserved. Released under the MIT License.", "MIT,Proprietary"),
     (MIT, "MIT"),
     (MIT.replace("The above", "Some other sentence; the above"), "MIT"),
-    ("SPDX-License-Identifier: GPL-3.0-only\n" * 3, ""),
+    ("SPDX-License-Identifier: GPL-3.0-only\n" * 3, "GPL-3.0"),
+    ("// SPDX-License-Identifier: MIT\nint main() {}", "MIT"),
+    ("# SPDX-License-Identifier: Apache-2.0\r\nimport os", "Apache-2.0"),
+    ("/* SPDX-License-Identifier: BSD-3-Clause */ int x;\n/* SPDX-License-Identifier: ISC */\nint y;", "ISC"),
+    ("SPDX-License-Identifier:MIT", "MIT"),
+    ("x SPDX-License-Identifier: MIT", ""),
     ("x | y ~ z. Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
     ("This work is licensed under the GNU General Public License, version 3.\r\nx", "GPL-3.0"),
     ("a. " * 50_000 + "Licensed under CC BY 4.0", "CC-BY-4.0"),
@@ -38,9 +45,50 @@ def test_cases_and_sql(spark, tmp_path):
     assert [got[i][3] for i in range(len(CASES))] == [x for _, x in CASES]
 
 
-def test_every_rule_can_match():
-    known = set(SENTENCES.values())
-    assert all(set(s.split()) <= known for _, s in RULES)
+ALL_RULES = [*TEXT_RULES, *RULES, *MORE_RULES]
+
+
+def wording(sequence):
+    """A text with the known sentences of a rule; those of which some identifier has several, by the first."""
+    first = {}
+    for sentence, identifier in (SENTENCES | MORE_SENTENCES).items():
+        first.setdefault(identifier, sentence)
+    return ". ".join(first[i] for i in sequence.split()) + "."
+
+
+def test_every_rule_can_match(spark, tmp_path):
+    """Each rule is reached from the wording of its sentences, here and in the SQL."""
+    path = docs(tmp_path, [wording(s) for _, s in ALL_RULES])
+    got = {r.doc_id: tuple(r) for r in op3_licences(spark, path).collect()}
+    for k, (licence, sequence) in enumerate(ALL_RULES):
+        assert (got[k][1], got[k][3]) == (sequence, licence)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    assert {r[0]: r for r in con.execute(SQL["op3_licences"]).fetchall()} == got
+
+
+def test_every_sentence_is_known(spark, tmp_path):
+    """Each known sentence, tags included, gives its identifier."""
+    known = list((SENTENCES | MORE_SENTENCES).items())
+    texts = [s.replace("spdx license identifier ", "SPDX-License-Identifier: ") for s, _ in known]
+    got = sorted(tuple(r) for r in op3_licences(spark, docs(tmp_path, texts)).collect())
+    assert [r[1] for r in got] == [i for _, i in known]
+
+
+def test_sql_on_notices(spark, tmp_path):
+    texts = [text for text, *_ in [*WRAPPED, *ORIGINAL]]
+    texts += ["\r\n".join(" * " + line for line in text.split("\n")) for text in texts]
+    path = docs(tmp_path, texts)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    assert sorted(con.execute(SQL["op3_licences"]).fetchall()) == sorted(tuple(r) for r in op3_licences(spark, path).collect())
+
+
+def test_clashing_columns(spark, tmp_path):
+    df = spark.read.parquet(docs(tmp_path, ["Released under the MIT License."]) + "/documents.parquet")
+    for name in ("_marked", "_running", "_lines", "licences", "running_ids"):
+        df = df.withColumn(name, F.lit("x"))
+    assert [r.licences for r in scan(df).collect()] == ["MIT"]
 
 
 def test_empty(spark, tmp_path):
