@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollkeeper.operators.keys import assign_keys
+from rollkeeper.operators.spread import narrowed
 from rollkeeper.session import written
 from rollkeeper.sources.tables import hidden
 
@@ -113,15 +114,19 @@ def upsert(
     return emit(joined, F.array(result))
 
 
-def number_inserts(changes: DataFrame, state: DataFrame, key: str, natural: list[str]) -> DataFrame:
+def number_inserts(
+    changes: DataFrame, state: DataFrame, key: str, natural: list[str], earlier: DataFrame | None = None
+) -> DataFrame:
     """Gives each insert a ``key`` above the highest in use, in the order of ``natural``.
 
     The changes are written once, so the numbers stay the same however often the
-    result is read.
+    result is read. ``earlier``: changes of the same table, numbered before these.
     """
     changes = written(changes, f"numbered-{key}")
     inserts = changes.filter(F.col("action") == INSERT).select("after.*")
     top = state.agg(F.max(key)).first()[0] or 0
+    if earlier is not None:
+        top = max(top, earlier.agg(F.max(f"after.{key}")).first()[0] or 0)
     numbered = assign_keys(inserts, natural, key, top)
     schema = row_type(state)
     rows = numbered.select(
@@ -153,6 +158,20 @@ def apply_changes(state: DataFrame, changes: DataFrame, key: list[str]) -> DataF
     return kept.unionByName(added)
 
 
+def overlay(state: DataFrame, changes: DataFrame, key: list[str], column: str, asked: DataFrame) -> DataFrame:
+    """The rows of the next state whose ``column`` has a value that the stored table ``asked``
+    holds: stored rows but for the touched ones, and what the changes made of these and added.
+
+    The next state itself is neither built nor written; what is read of the stored rows and
+    joined is what was asked for.
+    """
+    moved = changes.filter(F.col("action").isin(INSERT, UPDATE, END))
+    touched = moved.filter(F.col("before").isNotNull()).select(*[F.col(f"before.{k}").alias(f"_on_{k}") for k in key])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in key])
+    kept = narrowed(state, column, asked).join(touched, same, "left_anti")
+    return kept.unionByName(narrowed(moved.select("after.*"), column, asked))
+
+
 def rejects_of(df: DataFrame, schema: T.StructType, values: dict[str, Column], reason: str) -> DataFrame:
     """Rows that lost or failed, as changes that change nothing."""
     return emit(df, F.array(change(REJECT, schema, row_after(schema, values), False, F.lit(reason))))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import fingerprint
 from rollkeeper.operators.spread import spread_join
-from rollkeeper.session import written
 
 CONFLICT = "conflict_in_batch"
 
@@ -29,17 +28,15 @@ def one_per_key(df: DataFrame, keys: list[str], latest_by: str) -> tuple[DataFra
 
     The winner is the row with the latest ``latest_by``, ties broken by the row
     fingerprint; equal rows count as one. Rows with the same key and another
-    fingerprint are the losers. The batch is stored with a place for each row; one
-    grouped maximum over rank and place finds the winner of each key, folded
-    map-side, and one join, which splits a hot key, tells its rows apart.
+    fingerprint are the losers. Both come from grouped maxima, folded map-side. What
+    is stored is a rank for each key; the join with it splits a hot key. ``df`` is read
+    for each of the two, so it should be a stored table or cheap to read.
     """
     columns = df.columns
     marked = df.withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
-    marked = written(marked.withColumn("_place", F.monotonically_increasing_id()), "ranked")
-    rank = F.struct(F.col(latest_by), F.col("_fp"), F.col("_place"))
-    best = marked.groupBy(*keys).agg(F.max(rank).alias("_best"))
-    best = best.select(*keys, F.col("_best._fp").alias("_best_fp"), F.col("_best._place").alias("_best_place"))
-    judged = written(spread_join(marked, best, keys, "inner"), "judged")
-    won = judged.filter(F.col("_place") == F.col("_best_place"))
-    lost = judged.filter(F.col("_fp") != F.col("_best_fp"))
+    whole = F.struct(F.col(latest_by).alias("_by"), "_fp", F.struct(*columns).alias("_row"))
+    won = marked.groupBy(*keys).agg(F.max(whole).alias("_best")).select("_best._row.*")
+    rank = F.struct(F.col(latest_by).alias("_by"), "_fp")
+    best = marked.groupBy(*keys).agg(F.max(rank)["_fp"].alias("_best_fp"))
+    lost = spread_join(marked, best, keys, "inner").filter(F.col("_fp") != F.col("_best_fp"))
     return won.select(*columns), lost.select(*columns)

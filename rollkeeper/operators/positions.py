@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from rollkeeper.functions import codes, text
 from rollkeeper.operators.changes import END, change, emit, rejects_of, row_after, row_type, upsert
 from rollkeeper.operators.gate import first_filled_slot, is_active
-from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position, warnings_for
+from rollkeeper.operators.judge import Check, judged_warnings
+from rollkeeper.operators.lookup import known_supervisor, lookup, text_of_position
 from rollkeeper.operators.pick import CONFLICT, one_per_key, pick_one
 from rollkeeper.operators.spread import balanced_join
 from rollkeeper.session import written
@@ -230,13 +231,13 @@ def second_job_warnings(rows: DataFrame, targets: dict[str, DataFrame], keep: li
     """Codes of second jobs that the code tables lack; the jobs go on with them."""
     parts = rows.withColumn("_parts", text.split_position_key(F.col("pcn_aggr"))).filter(F.col("_parts").isNotNull())
     coded = parts.select(*rows.columns, *[F.col(f"_parts.{p}").alias(f"_{p}") for p in ("pay", "unit", "dept")])
-    checks = [
-        ("unknown_pay_code", "_pay", targets["hrpay_table"], "hrpay"),
-        ("unknown_function_code", "_dept", targets["func_table"], "func"),
-        ("unknown_division", "_unit", targets["hrdiv_table"], "hrdiv"),
-        ("unknown_department", "_dept", targets["hrdept_table"], "hrdept"),
-    ]
-    return warnings_for(coded, checks, keep)
+    checks = {
+        "unknown_pay_code": Check("hrpay_table", "_pay", "hrpay"),
+        "unknown_function_code": Check("func_table", "_dept", "func"),
+        "unknown_division": Check("hrdiv_table", "_unit", "hrdiv"),
+        "unknown_department": Check("hrdept_table", "_dept", "hrdept"),
+    }
+    return judged_warnings(coded, targets, checks, keep)
 
 
 def job_changes(
@@ -292,13 +293,14 @@ def employment_changes(numbered: DataFrame, employment: DataFrame) -> DataFrame:
 
 
 def second_job_changes(
-    rows: DataFrame, jobs: DataFrame, positions: DataFrame, functions: DataFrame, as_of: Column
+    rows: DataFrame, jobs: DataFrame, positions: DataFrame, functions: DataFrame, as_of: Column, titled: DataFrame | None = None
 ) -> DataFrame:
     """Second jobs, given by position key and rank.
 
     ``rows`` has ``id``, ``pcn_aggr``, ``title_rank``, ``worker_cat_code``,
     ``job_title_descr``, ``job_function_code``, ``position_start``, ``position_end``.
-    A key with fewer than four parts or of no known position is a reject.
+    A key with fewer than four parts or of no known position is a reject. ``jobs`` may be
+    those of the persons concerned only, if ``titled`` has those of the positions.
     """
     schema = row_type(jobs)
     parts = rows.withColumn("_parts", text.split_position_key(F.col("pcn_aggr")))
@@ -314,7 +316,7 @@ def second_job_changes(
     unknown = rejects_of(whole.join(known, "pcn_aggr", "left_anti"), schema, candidate, "unknown_position")
     numbered = with_position_number(whole, positions)
     numbered = lookup(numbered, "_dept", functions, "func", "func", "_func", "")
-    numbered = text_of_position(numbered, "tpos_no", jobs, "tpos_no", "job_title", "_descr")
+    numbered = text_of_position(numbered, "tpos_no", jobs if titled is None else titled, "tpos_no", "job_title", "_descr")
     numbered = written(numbered, "second-jobs")
     won, lost = one_per_key(numbered, ["id", "title_rank"], "position_start")
     lead, twice = one_rank_per_position(won)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from rollkeeper.functions import codes, text
 from rollkeeper.operators import dated, gate, people, positions
-from rollkeeper.operators.changes import END, INSERT, UPDATE, apply_changes, change_log, number_inserts, run_counts
-from rollkeeper.operators.lookup import exists_in, missing_in, warnings_for
+from rollkeeper.operators.changes import END, INSERT, UPDATE, apply_changes, change_log, number_inserts, overlay, run_counts
+from rollkeeper.operators.judge import Check, judged_warnings
+from rollkeeper.operators.lookup import exists_in, missing_in
 from rollkeeper.operators.pick import CONFLICT, one_per_key
 from rollkeeper.operators.script import change_script
 from rollkeeper.operators.spread import narrowed
@@ -104,7 +105,6 @@ class FanOut:
     changes: dict[str, DataFrame]
     rejects: DataFrame
     warnings: DataFrame
-    next_jobs: DataFrame | None = None
 
     def log(self, batch_id: str, hide: list[str] | None = None, hide_key: str | None = None) -> DataFrame:
         """The change log of all targets."""
@@ -116,12 +116,14 @@ class FanOut:
 
     def numbered(self, targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """The changes, stored, with a number for every new row of a generated key."""
-        states = {**targets, "second_job": self.next_jobs}
         steps = {}
         for target, changes in self.changes.items():
-            if target in GENERATED:
+            if target == "job_rec" and "second_job" in self.changes:
+                steps[target] = changes  # numbered before the second jobs were worked out
+            elif target in GENERATED:
                 key, natural = GENERATED[target]
-                steps[target] = number_inserts(changes, states[target], key, natural)
+                table = STEP_TABLES.get(target, target)
+                steps[target] = number_inserts(changes, targets[table], key, natural, steps.get(table))
             else:
                 steps[target] = written(changes, f"changes-{target}")
         return steps
@@ -229,11 +231,10 @@ def fan_out(
         "job_rec": job_changes,
         "hremp_rec": positions.employment_changes(numbered, near["hremp_rec"]),
     }
-    next_jobs, second_rejects, second_warnings = None, [], None
+    second_rejects, second_warnings = [], None
     if second_jobs is not None:
         key, natural = GENERATED["job_rec"]
         changes["job_rec"] = number_inserts(changes["job_rec"], targets["job_rec"], key, natural)
-        next_jobs = written(apply_changes(targets["job_rec"], changes["job_rec"], [key]), "next-jobs")
         if "pcn_aggr" not in second_jobs.columns:
             second_jobs = positions.second_job_slots(second_jobs)
         strangers = missing_in(second_jobs, "id", targets["id_rec"], "id")
@@ -246,26 +247,30 @@ def fan_out(
         students, _ = gate.route(person, "payroll_comp_code", codes.STUDENT_PAY_CODE)
         wanted = missing_in(exists_in(second_jobs, "id", targets["id_rec"], "id"), "id", students, "id")
         wanted = written(wanted, "second-jobs-gated")
+        # of the jobs as the batch leaves them, those of its persons and, for titles, of its positions
+        after = [targets["job_rec"], changes["job_rec"], [key]]
+        theirs = overlay(*after, "id", written(wanted.select("id").distinct(), "second-persons"))
+        places = next_positions.join(wanted.select("pcn_aggr").distinct(), "pcn_aggr", "left_semi").select("tpos_no")
+        titled_jobs = overlay(*after, "tpos_no", written(places, "second-positions"))
         changes["second_job"] = positions.second_job_changes(
-            wanted, next_jobs, next_positions, targets["func_table"], today
+            wanted, theirs, next_positions, targets["func_table"], today, titled_jobs
         )
         second_warnings = positions.second_job_warnings(wanted, targets, ["id"])
-    checks = [
-        ("unknown_function_code", "_dept", targets["func_table"], "func"),
-        ("unknown_pay_code", "payroll_comp_code", targets["hrpay_table"], "hrpay"),
-    ]
+    checks = {
+        "unknown_function_code": Check("func_table", "_dept", "func"),
+        "unknown_pay_code": Check("hrpay_table", "payroll_comp_code", "hrpay"),
+    }
     untitled = gate.rejected(titled)
     all_rejects = [
         df.select("id", "payroll_name", "file_number", gate.REASON) for df in (rejects, untitled, conflicts)
     ]
-    warnings = warnings_for(keyed, checks, ["id", "payroll_name"])
+    warnings = judged_warnings(keyed, targets, checks, ["id", "payroll_name"])
     if second_warnings is not None:
         warnings = warnings.unionByName(second_warnings, allowMissingColumns=True)
     return FanOut(
         changes=changes,
         rejects=reduce(DataFrame.unionByName, [*all_rejects, *second_rejects]),
         warnings=warnings,
-        next_jobs=next_jobs,
     )
 
 
@@ -309,7 +314,6 @@ def touched_buckets(changes: DataFrame, key: list[str]) -> list[int]:
 def _run_fan_out(batch, targets, as_of, batch_id, base, apply, hide_key, from_base, keep_script, **options) -> DataFrame:
     spark = batch.sparkSession
     result = fan_out(batch, targets, as_of, **options)
-    states = {**targets, "second_job": result.next_jobs}
     steps = result.numbered(targets)
     log = FanOut(steps, result.rejects, result.warnings).log(batch_id, PERSONAL, hide_key)
     if apply:
@@ -317,15 +321,17 @@ def _run_fan_out(batch, targets, as_of, batch_id, base, apply, hide_key, from_ba
         for target, changes in steps.items():
             if target == "job_rec" and "second_job" in steps:
                 continue
-            table = "job_rec" if target == "second_job" else target
-            state, key = states[target], KEYS[target]
+            table = STEP_TABLES.get(target, target)
+            state, key = targets[table], KEYS[target]
+            parts = [steps["job_rec"], changes] if target == "second_job" else [changes]
             if from_base:
-                jobs = [steps["job_rec"]] if target == "second_job" else []
-                moved = {n for c in [changes, *jobs] for n in touched_buckets(c, key)}
-                state = state.filter(bucket_of([F.col(k) for k in key]).isin(sorted(moved))) if jobs else read_table(spark, base, table, None, sorted(moved))
+                moved = {n for c in parts for n in touched_buckets(c, key)}
                 if not moved:
                     continue
-            folders[table] = write_attempt(apply_changes(state, changes, key), base, table, batch_id, key)
+                state = read_table(spark, base, table, None, sorted(moved))
+            for part in parts:
+                state = apply_changes(state, part, key)
+            folders[table] = write_attempt(state, base, table, batch_id, key)
         append_log(log, base, "change_log")
         if keep_script:
             append_log(change_script(steps, KEYS, batch_id, STEPS, STEP_TABLES), base, "change_script")

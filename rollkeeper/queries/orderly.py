@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from rollkeeper.contract import STAMP, STAMP_DAY
-from rollkeeper.operators import people, snapshot
+from rollkeeper.operators import judge, people, snapshot
 from rollkeeper.queries import target_sql as sqls
 from rollkeeper.queries import world
 from rollkeeper.queries.inputs import CUT_DAY, HISTORY_SQL, ORDER_SNAPSHOTS_SQL, flat, history, new_orders, old_orders, sql, table
@@ -126,6 +126,43 @@ def latest_pruned_per_key(spark, d):
     return newest.select("id", "name", "row_no", "status", F.col(STAMP).cast("timestamp_ntz").alias("stamp"))
 
 
+#: Table, its key, its text, and the batch's column that holds its codes.
+JUDGED = [
+    ("func_table", "func", None, "home_dept_code"),
+    ("hrdept_table", "hrdept", "descr", "home_dept_code"),
+    ("hrdiv_table", "hrdiv", "descr", "business_unit_code"),
+    ("hrpay_table", "hrpay", None, "payroll_comp_code"),
+    ("ctry_table", "ctry", None, "primary_country_code"),
+    ("hrclass_table", "hrclass", "txt", "job_class_code"),
+]
+
+
+def code_judgements(spark, d):
+    """Each distinct code of a batch, judged once against its table."""
+    checks = [judge.Check(t, column, key, text) for t, key, text, column in JUDGED]
+    return judge.code_judgements(world.batch(spark, d), world.targets(spark, d), checks)
+
+
+def code_judgement_rows(spark, d):
+    """What the judgements say of each row: codes that are not known, and the department's stored text."""
+    checks = [judge.Check(t, column, key, text) for t, key, text, column in JUDGED]
+    rows = world.batch(spark, d).select("carth_id", "pos_effective_date", *dict.fromkeys(c for *_, c in JUDGED))
+    marked = judge.with_judgements(rows, judge.code_judgements(rows, world.targets(spark, d), checks), checks)
+    unknown = [F.when(~judge.is_known(c), F.lit(c.table)) for c in checks]
+    return marked.select("carth_id", "pos_effective_date", F.concat_ws(",", *unknown).alias("unknown"), judge.text_for(checks[1]).alias("text"))
+
+
+JUDGED_SQL = "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS "table", {column} AS code, max(k.code) IS NOT NULL AS known, min(said) AS text FROM batch
+  LEFT JOIN (SELECT {key} AS code, {text or "CAST(NULL AS VARCHAR)"} AS said FROM {t}) k ON k.code = {column} GROUP BY {column}"""
+    for t, key, text, column in JUDGED
+)
+_UNKNOWN = ", ".join(f"CASE WHEN coalesce({column} NOT IN (SELECT {key} FROM {t}), true) THEN '{t}' END" for t, key, _, column in JUDGED)
+JUDGED_ROWS_SQL = f"""
+SELECT carth_id, pos_effective_date, concat_ws(',', {_UNKNOWN}) AS unknown,
+  coalesce((SELECT min(descr) FROM hrdept_table WHERE hrdept = home_dept_code), '') AS text FROM batch
+"""
+
 QUARTER_CTES = (
     HISTORY_SQL
     + f""",
@@ -136,6 +173,8 @@ kinds AS (SELECT *, id % 5 AS kind FROM quarter WHERE name <> '1-URGENT' OR stam
 
 QUERIES = {
     "xref_release_chain": (xref_release_chain, sql("RECURSIVE " + RELEASE_CTES.strip(), RELEASE_SQL)),
+    "code_judgements": (code_judgements, sql(world.WORLD_SQL, JUDGED_SQL)),
+    "code_judgement_rows": (code_judgement_rows, sql(world.WORLD_SQL, JUDGED_ROWS_SQL)),
     "diff_kept": (diff_kept, sql(ORDER_SNAPSHOTS_SQL, "SELECT * FROM new_o EXCEPT SELECT * FROM old_o")),
     "latest_pruned": (
         latest_pruned,
