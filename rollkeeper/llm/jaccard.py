@@ -37,11 +37,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeeper.llm.common import GRAPH, LOWER, documents, fresh, lists, mapped, mixed, text_blocks, word_bounds, word_hashes
 from rollkeeper.llm.components import components
+from rollkeeper.llm.files import located, new_folder
 from rollkeeper.session import written
 
 SHINGLE = 4
@@ -51,6 +54,9 @@ SAMPLED = 3
 ROUNDS = 4
 
 _STEP = np.uint64(0xA24BAED4963EE407)
+#: Bytes of text that are hashed at once; that holds some fifty for each.
+_BLOCK = 1 << 20
+_TASK_BITS = 33
 _PARTS = 8
 _BITS = 16
 _ODD = 256
@@ -122,7 +128,7 @@ def with_sets(docs: DataFrame, keep: list[str], text_col: str, shingle: int) ->
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
-            for low, high, data, offsets in text_blocks(batch.column(batch.num_columns - 1)):
+            for low, high, data, offsets in text_blocks(batch.column(batch.num_columns - 1), _BLOCK):
                 hashes, counts = shingle_sets(data, offsets, shingle)
                 sids = set_ids(hashes, counts)
                 lead = np.zeros(high - low, bool)
@@ -140,17 +146,45 @@ def with_sets(docs: DataFrame, keep: list[str], text_col: str, shingle: int) ->
     return docs.select(*keep, F.col(text_col).alias(fresh(docs, "_body"))).transform(mapped, run, schema)
 
 
-def whole_sets(docs: DataFrame, text_col: str, shingle: int) -> DataFrame:
-    """For each row the hash and all shingle hashes of its set: sid, tokens."""
+def places_by_task(rows: DataFrame, place: str) -> str:
+    """Writes the column ``place`` (monotonically_increasing_id) to a folder with one part for each task it names."""
+    folder = f"{new_folder(rows.sparkSession, 'places')}/parts"
+    parts = rows.select(F.col(place).alias("place"), F.shiftright(place, _TASK_BITS).alias("task")).repartition("task")
+    parts.sortWithinPartitions("task", "place").write.partitionBy("task").parquet(folder)
+    return folder
+
+
+def _places(folder: str, task: int) -> np.ndarray:
+    """The places that were written for a task, ascending."""
+    store, path = located(f"{folder}/task={task}")
+    files = [f.path for f in store.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet")]
+    found = [np.asarray(pq.ParquetFile(store.open_input_file(f)).read(["place"]).column(0)) for f in files]
+    return np.sort(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def whole_sets(placed: DataFrame, place: str, folder: str, text_col: str, shingle: int) -> DataFrame:
+    """The hash and all shingle hashes (sid, tokens) of the sets of the rows whose places are in ``folder``.
+
+    Texts stay where they are: a task opens the part that was written for it.
+    """
 
     def run(batches):
+        task, held = None, None
         for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
+            at = np.asarray(batch.column(0))
+            if task is None and len(at):
+                task = int(at[0]) >> _TASK_BITS
+                held = _places(folder, task)
+            if not len(at) or not len(held):
+                continue
+            found = np.minimum(np.searchsorted(held, at), len(held) - 1)
+            texts = batch.column(1).filter(pa.array(held[found] == at))
+            for _, _, data, offsets in text_blocks(texts, _BLOCK):
                 hashes, counts = shingle_sets(data, offsets, shingle)
                 made = [pa.array(set_ids(hashes, counts).view(np.int64)), lists(pa.array(hashes.view(np.int64)), counts)]
                 yield pa.RecordBatch.from_arrays(made, names=["sid", "tokens"])
 
-    return docs.select(text_col).transform(mapped, run, "sid bigint, tokens array<bigint>")
+    return placed.select(place, text_col).transform(mapped, run, "sid bigint, tokens array<bigint>")
 
 
 def prefix_entries(sets: DataFrame, least: int) -> DataFrame:
@@ -221,18 +255,23 @@ def verified(pairs: DataFrame, whole: DataFrame, least: int) -> DataFrame:
 
 
 def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
-    entries = entries.drop("root")
-    return entries.join(roots, entries.sid == roots.a, "left").withColumn("root", F.coalesce("b", "sid")).drop("a", "b")
+    """``entries`` with each set's component (``root``) and its number of sets (``size``); stored."""
+    sizes = written(roots.groupBy("b").agg((F.count(F.lit(1)) + 1).alias("size")).withColumnRenamed("b", "root"), "sizes")
+    rooted = entries.drop("root", "size").join(roots, F.col("sid") == F.col("a"), "left").withColumn("root", F.coalesce("b", "sid"))
+    rooted = rooted.drop("a", "b").join(sizes, "root", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+    return written(rooted, "rooted")
 
 
 def set_components(entries: DataFrame, whole: DataFrame, least: int = LEAST, rounds: int = ROUNDS) -> DataFrame:
     """``entries``, stored: for each set but the least of its component (a, b), b being the least."""
     roots = tried = None
-    live = entries.withColumn("root", F.col("sid"))
+    live = entries.withColumn("root", F.col("sid")).withColumn("size", F.lit(1))
+    columns = ["sid", "n", "pos", *_SIZES, *_PARITIES, "root"]
+    several = (F.min("root") < F.max("root")).alias("several")
     for k in range(rounds):
-        columns = ["sid", "n", "pos", *_SIZES, *_PARITIES, "root"]
-        pick = F.min(F.struct(F.xxhash64("sid", F.lit(k)).alias("by"), *columns)).alias("head")
-        heads = live.groupBy("token").agg(pick, F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi")
+        # of a shingle's largest component, another set every round
+        pick = F.min(F.struct((-F.col("size")).alias("size"), F.xxhash64("sid", F.lit(k)).alias("by"), *columns)).alias("head")
+        heads = live.groupBy("token").agg(pick, several).filter("several")
         heads = written(heads.select("token", *(F.col(f"head.{c}").alias(f"{c}2") for c in columns)), "heads")
         met = _ending(live, "1").join(heads.hint("merge"), "token").filter("root1 <> root2").filter(may_link("1", "2", least))
         pairs = _pairs(met, tried)
@@ -243,16 +282,15 @@ def set_components(entries: DataFrame, whole: DataFrame, least: int = LEAST, rou
             break
         roots = components(links if roots is None else roots.unionByName(links))
         # shingles whose sets are all in one component are done with
-        live = live.join(heads.select("token").hint("merge"), "token", "left_semi") if k else live
-        live = written(_rooted(live, roots), "rooted")
-
-    sizes = written(roots.groupBy("b").agg((F.count(F.lit(1)) + 1).alias("size")).withColumnRenamed("b", "root"), "sizes")
-    live = _rooted(live, roots).join(sizes, "root", "left")
-    live = written(live.withColumn("weight", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "root")).drop("size"), "rooted")
-    tops = live.groupBy("token").agg(F.max("weight").alias("top"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    tops = written(tops.filter("lo < hi").select("token", "top"), "tops")
-    several = written(live.join(tops.hint("merge"), "token"), "several")
-    one, two = _ending(several.filter("weight < top").drop("top"), "1"), _ending(several.drop("top"), "2")
+        live = _rooted(live.join(heads.select("token").hint("merge"), "token", "left_semi") if k else live, roots)
+
+    live = live.withColumn("weight", F.struct("size", "root")).drop("size")
+    tops = live.groupBy("token").agg(F.max("weight").alias("top"), several).filter("several")
+    tops = written(tops.select("token", "top"), "tops")
+    if tops.isEmpty():
+        return roots
+    mixed = written(live.join(tops.hint("merge"), "token"), "mixed")
+    one, two = _ending(mixed.filter("weight < top").drop("top"), "1"), _ending(mixed.drop("top"), "2")
     met = one.join(two, "token").filter("weight1 < weight2").filter(may_link("1", "2", least))
     more = written(verified(_pairs(met, tried), whole, least), "verified")
     return roots if more.isEmpty() else components(roots.unionByName(more))
@@ -281,8 +319,7 @@ def jaccard_components(docs: DataFrame, keep: list[str], least: int = LEAST, shi
     sets = sets.select("sid", F.col("_set")[place].alias(place), F.col("_set.n").alias("n"), F.col("_set.m").alias("m"))
     alone = F.col("m") - F.coalesce("shared", F.lit(0))
     sets = written(sets.join(shared, "sid", "left").filter(alone <= lacks).select("sid", place, "n"), "open-sets")
-    whole = placed.join(sets.select(place), place, "left_semi")
-    whole = written(whole_sets(whole, text_col, shingle), "whole-sets")
+    whole = written(whole_sets(placed, place, places_by_task(sets, place), text_col, shingle), "whole-sets")
 
     tokens = whole.select("sid", F.explode("tokens").alias("token"))
     shared = tokens.join(_met_twice(tokens).hint("merge"), "token").groupBy("sid").agg(F.collect_list(F.struct("sets", "token")).alias("shared"))
