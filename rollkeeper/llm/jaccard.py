@@ -51,7 +51,7 @@ SHINGLE = 4
 LEAST = 85
 #: Eighths of all shingles by which sets are told to have no partner.
 SAMPLED = 3
-ROUNDS = 4
+ROUNDS = 2
 
 _STEP = np.uint64(0xA24BAED4963EE407)
 #: Bytes of text that are hashed at once; that holds some fifty for each.
@@ -246,7 +246,7 @@ def _pairs(met: DataFrame, tried: DataFrame | None) -> DataFrame:
 def verified(pairs: DataFrame, whole: DataFrame, least: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. ``whole`` (sid, tokens) is stored and has each set once."""
     asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    whole = written(whole.join(written(asked, "asked"), "sid", "left_semi"), "asked-sets")
+    whole = written(whole.join(asked, "sid", "left_semi"), "asked-sets")
     first = whole.select(F.col("sid").alias("a"), F.col("tokens").alias("tokens_a"))
     second = whole.select(F.col("sid").alias("b"), F.col("tokens").alias("tokens_b"))
     both = F.size(F.array_intersect("tokens_a", "tokens_b"))
@@ -256,7 +256,7 @@ def verified(pairs: DataFrame, whole: DataFrame, least: int) -> DataFrame:
 
 def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """``entries`` with each set's component (``root``) and its number of sets (``size``); stored."""
-    sizes = written(roots.groupBy("b").agg((F.count(F.lit(1)) + 1).alias("size")).withColumnRenamed("b", "root"), "sizes")
+    sizes = roots.groupBy("b").agg((F.count(F.lit(1)) + 1).alias("size")).withColumnRenamed("b", "root")
     rooted = entries.drop("root", "size").join(roots, F.col("sid") == F.col("a"), "left").withColumn("root", F.coalesce("b", "sid"))
     rooted = rooted.drop("a", "b").join(sizes, "root", "left").withColumn("size", F.coalesce("size", F.lit(1)))
     return written(rooted, "rooted")
@@ -336,3 +336,25 @@ def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = written(rows.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "component-ids")
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id"))
     return rows.join(ids, "root", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
+
+#: All pairs that share a shingle, and all that reach one another: for tables of some thousand rows.
+SQL = {
+    "op12_jaccard": f"""
+WITH RECURSIVE words AS (SELECT row_number() OVER () AS k, doc_id, {_WORDS} AS ws FROM documents),
+shingle AS (
+    SELECT DISTINCT k, CASE WHEN len(ws) < 4 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 3], ' ') END AS g
+    FROM (SELECT k, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM words WHERE len(ws) > 0)
+),
+size AS (SELECT k, count(*) AS n FROM shingle GROUP BY k),
+met AS (SELECT a.k AS a, b.k AS b, count(*) AS n_both FROM shingle a JOIN shingle b ON a.g = b.g AND a.k < b.k GROUP BY ALL),
+link AS (SELECT a, b FROM met JOIN size x ON x.k = a JOIN size y ON y.k = b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+step AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT k, k AS r FROM size UNION SELECT reach.k, step.b FROM reach JOIN step ON reach.r = step.a),
+lowest AS (SELECT reach.k, min(doc_id) AS c FROM reach JOIN words ON words.k = reach.r GROUP BY reach.k)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE c END AS component_id
+FROM words LEFT JOIN size USING (k) LEFT JOIN lowest USING (k)
+"""
+}

@@ -18,4 +18,4 @@ QUERIES = {
     "op13_lexical": lexical.op13_lexical,
 }
 
-SQL = {**lexical.SQL, **licences.SQL, **negatives.SQL}
+SQL = {**jaccard.SQL, **lexical.SQL, **licences.SQL, **negatives.SQL}

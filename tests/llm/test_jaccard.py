@@ -1,5 +1,6 @@
 import random
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -73,6 +74,14 @@ def test_as_by_brute_force(spark, tmp_path, seed):
     assert found(op12_jaccard(spark, docs(tmp_path, texts))) == brute(texts)
 
 
+def test_sql_agrees(spark, tmp_path):
+    texts = corpus(11, 120) + [None, "", "one", "ONE", "a\x1cb c d", "\u00a0x y\x0bz w"]
+    path = docs(tmp_path, texts)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet'")
+    assert sorted(con.execute(jaccard.SQL["op12_jaccard"]).fetchall(), key=repr) == found(op12_jaccard(spark, path)) == brute(texts)
+
+
 @pytest.mark.parametrize(("least", "k", "counted", "rounds"), [(50, 2, 0, 1), (80, 5, 8, 3), (100, 3, 3, 1)])
 def test_other_parameters(spark, tmp_path, monkeypatch, least, k, counted, rounds):
     """Also with no shingle sampled, and with all of them."""
