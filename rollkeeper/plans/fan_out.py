@@ -141,23 +141,36 @@ def gated(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     return exists_in(with_id, "id", known, "id"), gate.rejected(marked).unionByName(unknown)
 
 
-def contact_changes(person: DataFrame, matched: DataFrame, contacts: DataFrame, as_of, email_rule: str = "email") -> DataFrame:
-    """Replaced addresses, both emails, mobile phone and directory row."""
+def contact_changes(
+    person: DataFrame, matched: DataFrame, contacts: DataFrame, as_of, email_rule: str = "email", rows: DataFrame | None = None
+) -> DataFrame:
+    """Replaced addresses, both emails, mobile phone and directory row.
+
+    ``rows``: all rows of the persons; their emails and phones are then taken one after the
+    other, by effective day, and not those of the one row of ``person`` only.
+    """
+    each, day = (person, []) if rows is None else (rows, ["pos_effective_date"])
     archived = dated.archive_address(people.replaced_addresses(matched), contacts, as_of)
-    emails = person.select(
+    emails = each.select(
         "id",
+        *day,
         F.explode(
             F.array(
                 F.struct(F.lit(dated.PRIVATE_EMAIL).alias("aa"), F.col("personal_email").alias("email")),
                 F.struct(F.lit(dated.WORK_EMAIL).alias("aa"), F.col("wc_work_email").alias("email")),
             )
         ).alias("_e"),
-    ).select("id", "_e.*")
-    mailed = dated.set_email(gate.filled(emails, "email"), contacts, as_of, rule=email_rule)
-    phones = gate.filled(person, "mobile_phone").select(
-        "id", F.lit(dated.CELL).alias("aa"), text.phone(F.col("mobile_phone")).alias("phone")
+    ).select("id", *day, "_e.*")
+    emails = gate.filled(emails, "email")
+    phones = gate.filled(each, "mobile_phone").select(
+        "id", *day, F.lit(dated.CELL).alias("aa"), text.phone(F.col("mobile_phone")).alias("phone")
     )
-    phoned = dated.set_phone(phones, contacts, as_of)
+    if rows is None:
+        mailed = dated.set_email(emails, contacts, as_of, rule=email_rule)
+        phoned = dated.set_phone(phones, contacts, as_of)
+    else:
+        mailed = dated.dated_sequence(emails, contacts, "email", "line1", *day, as_of, email_rule)
+        phoned = dated.dated_sequence(phones, contacts, "phone", "phone", *day, as_of, "phone")
     directory = person.select(
         "id",
         F.col("payroll_name").alias("fullname"),
@@ -175,13 +188,15 @@ def fan_out(
     as_of: date,
     second_jobs: DataFrame | None = None,
     email_rule: str = "email",
+    in_sequence: bool = False,
 ) -> FanOut:
     """Changes of every target for a batch of cleaned rows (short names).
 
     ``targets`` holds the current target and code tables by name. Students get
     their id cross-reference only. ``second_jobs`` is the separate input of
     further positions, one per row or in three slots; persons that are not known are
-    rejects there too, and students get none. Nothing is written to the targets here.
+    rejects there too, and students get none. With ``in_sequence`` the emails and phones of
+    all rows of a person count, by effective day. Nothing is written to the targets here.
     """
     today = F.lit(as_of)
     known, rejects = gated(batch, targets["id_rec"])
@@ -201,7 +216,7 @@ def fan_out(
     matched = people.match_people(staff, near["id_rec"], targets["title_table"], targets["ctry_table"])
     changes = {
         "id_rec": people.person_changes(matched, near["id_rec"]),
-        "aa_rec": contact_changes(staff, matched, near["aa_rec"], today, email_rule),
+        "aa_rec": contact_changes(staff, matched, near["aa_rec"], today, email_rule, staff_rows if in_sequence else None),
         "profile_rec": people.profile_changes(staff, near["profile_rec"], today),
         "cvid_rec": people.xref_changes(person, targets["cvid_rec"]),
     }

@@ -10,7 +10,7 @@ from rollkeeper.operators import changes as ch
 from rollkeeper.operators import dated, people, positions
 from rollkeeper.operators.gate import accepted, blank_rule, judged, route
 from rollkeeper.operators.pick import one_per_key
-from rollkeeper.plans.fan_out import contact_changes, gated
+from rollkeeper.plans.fan_out import contact_changes, fan_out, gated
 from rollkeeper.queries import target_sql as sqls
 from rollkeeper.queries import world
 from rollkeeper.queries.inputs import (
@@ -85,31 +85,9 @@ def dated_sequence_hot(spark, d):
 
 
 def sequence_sql(rule: str, source: str = "contact") -> str:
-    effective = "DATE '1970-01-01' + CAST(step + greatest(newest - DATE '1970-01-01', max(day - DATE '1970-01-01' - step)" \
-        " OVER (PARTITION BY id, aa ORDER BY step)) AS INT)"
-    begins = {"email": f"greatest({world.TODAY}, coalesce(newest + 1, {world.TODAY})) + CAST(step - 1 AS INT)", "effective": effective}[rule]
-    closes = {"email": world.TODAY, "effective": "begins - 1"}[rule]
-    closed = {"email": f"greatest({world.TODAY}, begins)", "effective": "following - 1"}[rule]
-    return f"""
-state AS (SELECT * FROM {source} WHERE beg_date < DATE '{SEQUENCE_DAY}'),
-found AS (SELECT id, aa, max(beg_date) AS newest, arg_min(k, aa_no) FILTER (WHERE end_date IS NULL) AS o FROM state k GROUP BY id, aa),
-given AS (SELECT DISTINCT id, aa, beg_date AS day, line1 AS value FROM {source} WHERE beg_date >= DATE '{SEQUENCE_DAY}'),
-ordered AS (SELECT given.*, newest, o, row_number() OVER w AS rn, lag(value) OVER w AS prev FROM given LEFT JOIN found USING (id, aa)
-  WINDOW w AS (PARTITION BY id, aa ORDER BY day, value)),
-marked AS (SELECT *, coalesce(CASE WHEN rn = 1 THEN o.line1 ELSE prev END = value, false) AS same FROM ordered),
-steps AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY id, aa ORDER BY day, value) AS step FROM marked),
-begun AS (SELECT *, CAST({begins} AS DATE) AS begins FROM steps WHERE NOT same),
-closed AS (SELECT *, lead(begins) OVER (PARTITION BY id, aa ORDER BY step) AS following FROM begun),
-changed AS (
-  SELECT 'insert' AS action, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS old_aa_no, id, aa, begins AS beg_date,
-    CASE WHEN following IS NOT NULL THEN CAST({closed} AS DATE) END AS end_date, value AS line1, '' AS line3, '' AS zip, '' AS ctry,
-    '' AS phone, 'HR' AS ofc_add_by FROM closed
-  UNION ALL SELECT 'end_date', NULL, o.aa_no, id, aa, o.beg_date, CAST({closes} AS DATE), o.line1, o.line3, o.zip, o.ctry, o.phone, o.ofc_add_by
-    FROM closed WHERE step = 1 AND o IS NOT NULL
-  UNION ALL SELECT 'none', NULL, o.aa_no, id, aa, o.beg_date, o.end_date, o.line1, o.line3, o.zip, o.ctry, o.phone, o.ofc_add_by
-    FROM steps WHERE same AND step = 0
-  UNION ALL SELECT 'none', NULL, NULL, id, aa, NULL, NULL, value, NULL, NULL, NULL, NULL, NULL FROM steps WHERE same AND step > 0)
-"""
+    cut = f"DATE '{SEQUENCE_DAY}'"
+    given = f"(SELECT id, aa, beg_date AS day, line1 AS value FROM {source} WHERE beg_date >= {cut})"
+    return sqls.sequenced(given, f"(SELECT * FROM {source} WHERE beg_date < {cut})", "line1", rule)
 
 
 DATED_CTES = contacts_sql() + "," + incoming_sql()
@@ -190,6 +168,12 @@ def contact_fan(spark, d):
     return _flat_contacts(contact_changes(staff, matched, targets["aa_rec"], today()))
 
 
+def contact_fan_sequence(spark, d):
+    """The contacts of a fan-out that takes every row of a person, in the order of their effective days."""
+    result = fan_out(world.batch(spark, d), world.targets(spark, d), EVENT_DAY, in_sequence=True)
+    return _flat_contacts(result.changes["aa_rec"])
+
+
 def directory_upsert(spark, d):
     """Customers against directory rows made of events."""
     state = contacts(spark, d, world.KEPT_KIND)
@@ -349,13 +333,14 @@ QUERIES = {
         email_type2_plus_one,
         sql(DATED_CTES, sqls.dated("incoming", "contact", "line1", "max_plus_one")),
     ),
-    "dated_sequence": (dated_sequence, sql(contacts_sql() + "," + sequence_sql("effective"), "SELECT * FROM changed")),
-    "dated_sequence_email": (dated_sequence_email, sql(contacts_sql() + "," + sequence_sql("email"), "SELECT * FROM changed")),
+    "dated_sequence": (dated_sequence, sql(contacts_sql(), sequence_sql("effective"))),
+    "dated_sequence_email": (dated_sequence_email, sql(contacts_sql(), sequence_sql("email"))),
+    "contact_fan_sequence": (contact_fan_sequence, _on_world(sqls.contacts(in_sequence=True))),
     "dated_sequence_hot": (
         dated_sequence_hot,
         sql(
-            contacts_sql() + ", one AS (SELECT * REPLACE (CAST(1 AS BIGINT) AS id) FROM contact WHERE aa = 'EML2')," + sequence_sql("effective", "one"),
-            "SELECT * FROM changed",
+            contacts_sql() + ", one AS (SELECT * REPLACE (CAST(1 AS BIGINT) AS id) FROM contact WHERE aa = 'EML2')",
+            sequence_sql("effective", "one"),
         ),
     ),
     "archive_address": (archive_address, sql(contacts_sql() + "," + REPLACED_SQL, sqls.archive("replaced", "contact"))),

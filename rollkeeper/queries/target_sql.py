@@ -51,6 +51,36 @@ def dated(incoming: str, state: str, into: str, rule: str, today: str = TODAY) -
     )
 
 
+def sequenced(given: str, state: str, into: str, rule: str, today: str = TODAY) -> str:
+    """All values of a person and kind, taken in the order of ``day``; ``given`` has id, aa, day, value."""
+    after = f"coalesce(newest + 1, {today})"
+    first = f"greatest({today}, {after})" if rule == "email" else after
+    latest = "max(day - DATE '1970-01-01' - step) OVER (PARTITION BY id, aa ORDER BY step)"
+    begins = f"{first} + CAST(step - 1 AS INT)"
+    if rule == "effective":
+        begins = f"DATE '1970-01-01' + CAST(step + greatest(newest - DATE '1970-01-01', {latest}) AS INT)"
+    closes = {"phone": "newest", "email": today, "effective": "begins - 1"}[rule]
+    closed = {"phone": "begins", "email": f"greatest({today}, begins)", "effective": "following - 1"}[rule]
+    new = contact_new(id="id", aa="aa", beg_date="begins", end_date=f"CASE WHEN following IS NOT NULL THEN CAST({closed} AS DATE) END")
+    new[into] = "value"
+    again = {c: "NULL" for c in CONTACT} | {"id": "id", "aa": "aa", into: "value"}
+    parts = union(
+        one("'insert'", "NULL", "aa_no", new, "closed"),
+        one("'end_date'", "o.aa_no", "aa_no", _contact_same("o") | {"end_date": f"CAST({closes} AS DATE)"}, "closed WHERE step = 1 AND o IS NOT NULL"),
+        one("'none'", "o.aa_no", "aa_no", _contact_same("o"), "steps WHERE same AND step = 0"),
+        one("'none'", "NULL", "aa_no", again, "steps WHERE same AND step > 0"),
+    )
+    return f"""SELECT * FROM (
+WITH found AS (SELECT id, aa, max(beg_date) AS newest, arg_min(k, aa_no) FILTER (WHERE end_date IS NULL) AS o FROM {state} k GROUP BY id, aa),
+ordered AS (SELECT g.*, newest, o, row_number() OVER w AS rn, lag(value) OVER w AS prev FROM (SELECT DISTINCT * FROM {given}) g
+  LEFT JOIN found USING (id, aa) WINDOW w AS (PARTITION BY id, aa ORDER BY day, value)),
+marked AS (SELECT *, coalesce(CASE WHEN rn = 1 THEN o.{into} ELSE prev END = value, false) AS same FROM ordered),
+steps AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY id, aa ORDER BY day, value) AS step FROM marked),
+begun AS (SELECT *, CAST({begins} AS DATE) AS begins FROM steps WHERE NOT same),
+closed AS (SELECT *, lead(begins) OVER (PARTITION BY id, aa ORDER BY step) AS following FROM begun)
+{parts})"""
+
+
 def archive(old: str, state: str, today: str = TODAY) -> str:
     source = f"""(
   SELECT a.*, o, m FROM {old} a LEFT JOIN (
@@ -162,7 +192,22 @@ BUILDING = (
 LISTED = f"(SELECT id, payroll_name AS fullname, concat_ws(' ', {BUILDING}, room_number) AS location FROM staff)"
 
 
-def contacts() -> str:
+_KNOWN_STAFF = "(SELECT * FROM known WHERE payroll_comp_code <> 'DPW')"
+EACH_EMAIL = f"""(
+  SELECT id, 'EML2' AS aa, pos_effective_date AS day, personal_email AS value FROM {_KNOWN_STAFF} WHERE personal_email <> ''
+  UNION ALL SELECT id, 'EML3', pos_effective_date, wc_work_email FROM {_KNOWN_STAFF} WHERE wc_work_email <> '')"""
+EACH_PHONE = f"""(
+  SELECT id, 'CELL' AS aa, pos_effective_date AS day, {phone_sql("mobile_phone")} AS value FROM {_KNOWN_STAFF} WHERE mobile_phone <> '')"""
+
+
+def contacts(in_sequence: bool = False) -> str:
+    if in_sequence:
+        return union(
+            archive(REPLACED, "aa_rec"),
+            sequenced(EACH_EMAIL, "aa_rec", "line1", "email"),
+            sequenced(EACH_PHONE, "aa_rec", "phone", "phone"),
+            directory(LISTED, "aa_rec"),
+        )
     return union(
         archive(REPLACED, "aa_rec"),
         dated(EMAILS, "aa_rec", "line1", "email"),

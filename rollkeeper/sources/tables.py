@@ -96,12 +96,13 @@ def table_folders(spark: SparkSession, base: str, table: str, batch_id: str | No
     known = _manifest(spark, base)
     if known is None:
         return {}
-    rows = known.filter(F.col("table") == table).orderBy("seq").collect()
+    rows = known.filter(F.col("table") == table)
     if batch_id is not None:
-        upto = max((r.seq for r in rows if r.batch_id == batch_id), default=0)
-        rows = [r for r in rows if r.seq <= upto]
-    since = max((r.seq for r in rows if r.whole), default=0)
-    return {r.bucket: r.folder for r in rows if r.seq >= since}
+        upto = rows.filter(F.col("batch_id") == batch_id).agg(F.max("seq")).first()[0]
+        rows = rows.filter(F.col("seq") <= (upto or 0))
+    since = rows.filter("whole").agg(F.max("seq")).first()[0]
+    last = rows.filter(F.col("seq") >= (since or 0)).groupBy("bucket").agg(F.max_by("folder", "seq").alias("folder"))
+    return {r.bucket: r.folder for r in last.collect()}  # a row for each bucket, however many commits there are
 
 
 def read_table(
