@@ -14,7 +14,9 @@ opens one block of files after the other, so it holds one block and one shard at
 
 Null text: no words, no hits. Items of fewer words than a window count as one window;
 items without words match nothing. Rows that repeat are judged one by one. An item_id
-that repeats, or is null, hits words as usual; ids count once, null ids not at all.
+that repeats, or is null, hits words as usual; ids count once, null ids not at all. A text
+longer than a shard is a shard of its own. An empty table of documents gives an empty result,
+and without items nothing is hit. Other columns pass through, whatever their names.
 """
 
 from __future__ import annotations

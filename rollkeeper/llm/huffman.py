@@ -9,7 +9,8 @@ in a table of 2**limit rows and runs from all checkpoints of a block at once.
 
 Files are ranges of documents in ascending id order, null ids first; their sizes give
 each file its first position. Ties of an id are kept in the order they were read in.
-Null or empty text: the end id alone. An empty table makes no file and no row.
+Null or empty text: the end id alone. An empty table makes no file and no row. A very long text
+is one document with checkpoints. Other columns are not read, whatever their names.
 
 A file: ``RKHC``, then numbers as little-endian: version and limit (bytes), length of the
 packed code lengths (4 bytes), these (zlib; a byte for each id from 0), then blocks. A

@@ -11,7 +11,9 @@ also by counts. The histogram has at most capacity / GRAIN rows and the plan at
 whatever the input's size. Pieces get numbers within their class, spread over many
 windows, and look their sequence up in the plan.
 
-Null or empty text: the end id alone. Repeated rows are packed one by one.
+Null or empty text: the end id alone. Repeated rows are packed one by one. A very long text is
+cut into pieces. An empty table gives no sequence. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -23,7 +23,9 @@ window meet under that value. Neighbouring windows of a text with one value form
 
 Texts are told by their MD5, so rows need no key and equal rows share the work. Null or
 empty texts, and those shorter than ``length``, keep all. Windows never cross texts. Bytes
-are judged on the input. ``without_repeats`` drops what a cut leaves of a character.
+are judged on the input. ``without_repeats`` drops what a cut leaves of a character. A very long
+text is cut into windows like any other. An empty table gives an empty result. Other columns
+pass through, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ components are joined, all but their largest component with the others; a pair t
 left out lies in one component already, so the components are exact.
 
 No words, null included: fingerprint zero, linked like any other. A component's id is its
-smallest doc_id (null if it has none). Repeated rows share fingerprint and component.
+smallest doc_id (null if it has none). Repeated rows share fingerprint and component. A very
+long text is one fingerprint like any other. An empty table gives an empty result. Other
+columns pass through ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations

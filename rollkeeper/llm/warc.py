@@ -12,7 +12,9 @@ Of pages with equal payloads of at least ``MIN_SHARED`` bytes, that with the lar
 page_id is the response and the others are revisits, which hold the HTTP headers only.
 Rows that repeat that page_id are responses too. A null page_id is below all others, and
 if all of them are null, all are responses. Null html: an empty payload. Null or odd url:
-written as far as a header can hold it (control characters and blanks %-coded).
+written as far as a header can hold it (control characters and blanks %-coded). A very long
+payload is one frame. An empty table makes no file and no row. Other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
