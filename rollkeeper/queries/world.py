@@ -19,6 +19,7 @@ from rollkeeper.queries.inputs import (
     fingerprint_sql,
     table,
 )
+from rollkeeper.session import written
 
 # One expression per column of the batch, readable by both engines.
 BATCH = {
@@ -245,10 +246,14 @@ ORDERS_SQL = "orders JOIN customer ON o_custkey = c_custkey"
 
 
 def batch(spark: SparkSession, folder: str) -> DataFrame:
-    return _spark(orders(spark, folder), BATCH)
+    # A small file is read by one task; its rows are spread out before they become wide.
+    parts = spark.sparkContext.defaultParallelism
+    return _spark(orders(spark, folder).repartition(parts, "o_orderkey"), BATCH)
 
 
 def targets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Positions and jobs, which take joins to derive, are stored once: a fan-out reads its targets many times."""
+
     def read(name):
         return table(spark, folder, name)
 
@@ -260,7 +265,8 @@ def targets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     position = old.groupBy("pcn_aggr").agg(
         *[F.expr(e.format(text="STRING")).alias(n) for n, e in POSITION.items()]
     )
-    position = position.select(*POSITION_COLUMNS)
+    position = written(position.select(*POSITION_COLUMNS), "positions")
+    job = old.join(position.select("pcn_aggr", "tpos_no"), "pcn_aggr").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     status = F.col("o_orderstatus")
     kept = contacts(spark, folder, KEPT_KIND)
     return {
@@ -297,7 +303,7 @@ def targets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         "hrdiv_table": _spark(nation.filter("n_regionkey <> 2"), DIVISION),
         "hrdept_table": _spark(nation.filter("n_regionkey <> 2"), DEPARTMENT),
         "pos_table": position,
-        "job_rec": _spark(old.join(position.select("pcn_aggr", "tpos_no"), "pcn_aggr"), JOB),
+        "job_rec": written(_spark(job, JOB), "jobs"),
         "hremp_rec": _spark(read("supplier"), EMPLOYMENT),
     }
 
