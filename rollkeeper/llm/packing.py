@@ -34,6 +34,8 @@ END_ID = 1
 STEPS = 4000
 STEP = (0.01, 0.25)
 SHARPNESS = 12.0
+#: Bytes of text that are cut into units at once; that holds some fifty for each, beside the tokenizer.
+_BLOCK = 1 << 20
 #: Part of the sequences that rounding takes from the program at most; best-fit does the rest.
 TAKEN = 0.95
 
@@ -51,7 +53,7 @@ def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches):
         words = encoder(path)
         for batch in batches:
-            for low, high, data, offsets in text_blocks(batch.column(1)):
+            for low, high, data, offsets in text_blocks(batch.column(1), _BLOCK):
                 ids, counts = words.block(data, offsets, end)
                 n = -(-counts // capacity)
                 row = np.repeat(np.arange(high - low), n)
