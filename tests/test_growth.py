@@ -1,6 +1,13 @@
 """Work that must not grow with the number of columns or of uses."""
 
+from pathlib import Path
+
+import pytest
+
 from rollkeeper.operators.snapshot import snapshot_diff
+from rollkeeper.queries import world
+
+FOLDER = Path("/root/testdata/sf0.001")
 
 
 def test_repeats_are_folded_as_one_value(spark):
@@ -13,3 +20,12 @@ def test_repeats_are_folded_as_one_value(spark):
     assert sorted(tuple(r) for r in out.collect()) == [rows[0], rows[2]]
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("first(") <= 4  # not one for each column
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not here")
+def test_derived_targets_are_stored_and_the_batch_is_spread(spark):
+    targets = world.targets(spark, str(FOLDER))
+    for name in ("pos_table", "job_rec"):
+        plan = targets[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+    assert "Repartition" in world.batch(spark, str(FOLDER))._jdf.queryExecution().optimizedPlan().toString()
