@@ -4,8 +4,13 @@ Every word has one class. The most frequent words get theirs by exchange cluster
 moves to the class that raises the likelihood of the class bigrams most. A round counts,
 over all training documents, each such word's neighbours by class (Spark), and then moves
 word after word on these counts (at most ``EXCHANGED * 2 * CLASSES`` numbers, whatever the
-corpus). Rounds end when the likelihood no longer grows; the best round counts. Any other
-word, known or not, takes the class that words with its last two bytes have most often.
+corpus). Rounds end when the likelihood no longer grows; the best round counts. All other
+words of the training documents begin with the class that words with their last two bytes have
+most often, and are then exchanged by Spark: each one's neighbours by class are counted and
+meet in a task, which moves one after the other. It doesn't see what the other tasks move, so
+it takes its words, dealt out by hash, for a sample of all, and what they change for as much
+more as all of them are. Where that doesn't raise the likelihood, as counted thereafter, they
+go by parts, up to ``PARTS`` of them. Words that training hasn't seen keep the class of their ending.
 The end of a text is a word and a class of its own, and stands before each first word.
 
 Class transitions are interpolated with class frequencies; within a class a word counts its
@@ -35,6 +40,10 @@ CLASSES = 32
 EXCHANGED = 8192
 KEPT = 1 << 18
 ROUNDS = 8
+#: Parts, at most, in which the words beyond the most frequent are exchanged.
+PARTS = 2
+#: Of these, how many a task judges as a sample of all.
+SAMPLE = 8192
 #: Steps of log2 of the counts, to find how many a word needs to be kept.
 STEPS = 16
 DELTA = 0.5
@@ -258,6 +267,190 @@ def clustered(texts: DataFrame, words: Words, exchanged: int = EXCHANGED, n_clas
     return best[1:]
 
 
+def rest_counts(texts: DataFrame, words: Words, classes: np.ndarray, exchanged: int, n_classes: int) -> DataFrame:
+    """hash, cells of each word beyond the exchanged ones; cells: how often (n) each code occurs.
+
+    A code tells whether the word isn't kept, its class, and the classes before and behind it.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((classes, words.hashes))
+
+    def run(batches):
+        own, hashes = shared.value
+        known = len(hashes)
+        for batch in batches:
+            column = batch.column(batch.schema.names.index("rare"))
+            for k, ids, counts in _streams(batch):
+                kind = own[ids]
+                at = np.flatnonzero(ids > exchanged)  # never the last one, which is an end
+                far = ids[at] > known
+                word = np.empty(len(at), np.uint64)
+                word[far] = np.frombuffer(b"".join(column.slice(k, len(counts)).to_pylist()), "<u8")
+                word[~far] = hashes[ids[at[~far]] - 1]
+                before = np.where(at > 0, kind[at - 1], 0)
+                code = ((far * n_classes + kind[at]) * n_classes + before) * n_classes + kind[at + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(code.astype(np.int32))], names=["hash", "code"])
+
+    rows = texts.select("ids", "rare").transform(mapped, run, "hash bigint, code int").groupBy("hash", "code").agg(F.count(F.lit(1)).alias("n"))
+    return rows.groupBy("hash").agg(F.collect_list(F.struct("code", "n")).alias("cells"))
+
+
+def moved(old: np.ndarray, left: np.ndarray, right: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """The class of the greatest likelihood for each of some words, given their neighbours by class, as if it moved alone.
+
+    Sums run over the neighbours that a word has; what it adds to its present class is taken off first.
+    """
+    some = np.arange(len(old))
+    gain = np.zeros(left.shape)
+    for near, other, m in ((right, left, pairs.T), (left, right, pairs)):
+        word, cls = np.nonzero(near)
+        n = near[word, cls][:, None]
+        base = m[cls].astype(float)  # row: the neighbour's class; column: the class that is tried
+        base[np.arange(len(word)), old[word]] -= n[:, 0]
+        base -= np.where((cls == old[word])[:, None], other[word], 0)
+        np.maximum(base, 0, out=base)
+        np.add.at(gain, word, _f(base + n) - _f(base))
+    own = np.zeros(left.shape)
+    own[some, old] = 1
+    corner = np.maximum(np.diagonal(pairs) - own * (left + right), 0)
+    gain += _f(corner + left + right) - _f(corner + right) - _f(corner + left) + _f(corner)
+    for near, other, total in ((right, left, pairs.sum(axis=1)), (left, right, pairs.sum(axis=0))):
+        n = near.sum(axis=1, keepdims=True)
+        base = np.maximum(total - other - own * n, 0)
+        gain -= _f(base + n) - _f(base)
+    gain[:, 0] = -np.inf  # the end stays alone
+    new = gain.argmax(axis=1)
+    return np.where(gain[some, new] > gain[some, old] + 1e-9, new, old)
+
+
+def moved_in_turn(old: np.ndarray, left: np.ndarray, right: np.ndarray, pairs: np.ndarray, share: float, steps: int = 64) -> np.ndarray:
+    """``moved`` for some words in steps, each judged on the counts that those before it would leave if for each
+    word of them ``share`` words did the same: these words are a sample, by hash, of all that move at once."""
+    new, m = old.copy(), pairs.astype(float)
+    some = max(1, -(-len(old) // steps))
+    for k in range(0, len(old), some):
+        part = slice(k, k + some)
+        new[part] = moved(old[part], left[part], right[part], m)
+        np.add.at(m, old[part], -share * right[part])
+        np.add.at(m.T, old[part], -share * left[part])
+        np.add.at(m, new[part], share * right[part])
+        np.add.at(m.T, new[part], share * left[part])
+        np.maximum(m, 0, out=m)
+    return new
+
+
+def rest_classes(
+    texts: DataFrame, words: Words, classes: np.ndarray, pairs: np.ndarray, exchanged: int, parts: int = 1, turn: int = 0
+) -> DataFrame:
+    """hash, far (not kept), cls, c of every training word beyond the exchanged ones, after one move of each of this part; stored."""
+    n_classes = len(pairs)
+    all_words = words.v - 1 - min(exchanged, len(words.hashes))
+    shared = texts.sparkSession.sparkContext.broadcast(pairs)
+
+    def judged(some: pa.Table) -> pa.RecordBatch:
+        cells = some.column("cells").combine_chunks()
+        flat = cells.flatten()
+        code, n = flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy()
+        ends = cells.offsets.to_numpy() - cells.offsets[0].as_py()
+        word = np.repeat(np.arange(len(some)), np.diff(ends))
+        left, right = (np.bincount(word * n_classes + c, n, len(some) * n_classes).reshape(-1, n_classes) for c in (code // n_classes % n_classes, code % n_classes))
+        head = code[ends[:-1]] // n_classes**2
+        ours = np.flatnonzero(some.column("hash").to_numpy().view(np.uint64) % np.uint64(parts) == turn)
+        new = head % n_classes
+        new[ours] = moved_in_turn(new[ours], left[ours], right[ours], shared.value, all_words / len(some))
+        made = [some.column("hash").combine_chunks(), pa.array(head >= n_classes), pa.array(new.astype(np.int32)), pa.array(np.add.reduceat(n, ends[:-1]))]
+        return pa.RecordBatch.from_arrays(made, names=["hash", "far", "cls", "c"])
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= SAMPLE:
+                yield judged(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield judged(pa.Table.from_batches(held))
+
+    counted = rest_counts(texts, words, classes, exchanged, n_classes)
+    return written(counted.transform(mapped, run, "hash bigint, far boolean, cls int, c bigint"), "rest-classes")
+
+
+def _rare_words(batches):
+    """place, hash, m: the words of each text that aren't kept, and how often it has them."""
+    for batch in batches:
+        for place, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            h, n = np.unique(np.frombuffer(raw, "<i8"), return_counts=True)
+            if len(h):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), place)), pa.array(h), pa.array(n)], names=["place", "hash", "m"])
+
+
+def recoded(texts: DataFrame, words: Words, far: DataFrame) -> DataFrame:
+    """``texts`` with a number for the class of each word in ``far`` (hash, cls) in place of its ending's; stored."""
+    begin = len(words.hashes) + 1 + ENDINGS
+    found = texts.select("place", "rare").transform(mapped, _rare_words, "place bigint, hash bigint, m bigint").join(far, "hash")
+    found = found.groupBy("place").agg(F.collect_list(F.struct("hash", "cls")).alias("found"))
+
+    def run(batches):
+        for batch in batches:
+            ids_at, rare_at, found_at = (batch.schema.names.index(c) for c in ("ids", "rare", "found"))
+            out = []
+            for ids, rare, cells in zip(batch.column(ids_at).to_pylist(), batch.column(rare_at).to_pylist(), batch.column(found_at), strict=True):
+                if cells.is_valid:
+                    hashes, cls = (np.asarray(cells.values.field(c)) for c in ("hash", "cls"))
+                    order = np.argsort(hashes)
+                    hashes, cls = hashes[order], cls[order]
+                    asked = np.frombuffer(rare, "<i8")
+                    at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+                    numbers = np.frombuffer(ids, "<u4").copy()
+                    spots = np.flatnonzero(numbers >= begin - ENDINGS)
+                    hit = hashes[at] == asked
+                    numbers[spots[hit]] = begin + cls[at[hit]]
+                    ids = numbers.tobytes()
+                out.append(ids)
+            columns = [pa.array(out, pa.binary()) if k == ids_at else c for k, c in enumerate(batch.columns) if k != found_at]
+            yield pa.RecordBatch.from_arrays(columns, names=[c for c in batch.schema.names if c != "found"])
+
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema)
+    return written(texts.join(found, "place", "left").select(*texts.columns, "found").transform(mapped, run, kind), "recoded")
+
+
+def refined(
+    texts: DataFrame, words: Words, classes: np.ndarray, pairs: np.ndarray, exchanged: int = EXCHANGED, most_parts: int = PARTS
+) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """``texts``, the classes of all numbers and the bigrams of classes, after each word beyond the exchanged was moved too.
+
+    The numbers behind those of the endings are classes: of training words that aren't kept.
+    """
+    n_classes, top = len(pairs), min(exchanged, len(words.hashes))
+    if words.v - 1 <= top:
+        return texts, classes, pairs
+    first, shorter = texts, classes
+    classes = np.concatenate([classes, np.arange(n_classes)])
+    parts, turn = 1, 0
+    while turn < parts:
+        rest = rest_classes(texts.filter("not held_out"), words, classes, pairs, top, parts, turn)
+        near = rest.filter("not far").select("hash", "cls").toArrow()
+        new = classes.copy()
+        at = np.searchsorted(words.sorted, near.column("hash").to_numpy().view(np.uint64))
+        new[words.by_hash[at] + 1] = near.column("cls").to_numpy()
+        far = rest.filter("far")
+        sums = far.groupBy("cls").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
+        now = recoded(first, words, far.select("hash", "cls")) if sums else first
+        counted, _, _ = class_counts(now.filter("not held_out"), new, top, n_classes)
+        if likelihood(counted) > likelihood(pairs):
+            texts, classes, pairs, shorter = now, new, counted, None
+            # every training word that isn't kept has a number of its own class now
+            words.rare_n, words.rare_v = np.zeros(ENDINGS + n_classes), np.zeros(ENDINGS + n_classes)
+            for r in sums:
+                words.rare_n[ENDINGS + r.cls], words.rare_v[ENDINGS + r.cls] = r.c, r.v
+        elif parts < most_parts:
+            # too many at once: all words again, in parts half as large
+            turn, parts = 0, parts * 2
+            continue
+        turn += 1
+    return texts, classes if shorter is None else shorter, pairs
+
+
 class Model:
     """Log10 probabilities of transitions, and of words in their classes."""
 
@@ -298,17 +491,10 @@ def scored(texts: DataFrame, words: Words, model: Model) -> DataFrame:
                 sums = [np.add.reduceat(x, first) for x in (m.known[ids].astype(np.int64), m.base[ids], logs)]
                 yield pa.RecordBatch.from_arrays([*fixed, pa.array(counts), *map(pa.array, sums)], names=names)
 
-    def rare(batches):
-        for batch in batches:
-            for place, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h, n = np.unique(np.frombuffer(raw, "<i8"), return_counts=True)
-                if len(h):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), place)), pa.array(h), pa.array(n)], names=["place", "hash", "m"])
-
     names = ["place", "doc_id", "held_out", "n_tokens", "_known", "_base", "_score"]
     rows = texts.transform(mapped, run, f"place bigint, doc_id {kind}, held_out boolean, n_tokens bigint, _known bigint, _base double, _score double")
     rows = written(rows, "scored")
-    lookups = texts.select("place", "rare").transform(mapped, rare, "place bigint, hash bigint, m bigint").join(words.rare, "hash", "left")
+    lookups = texts.select("place", "rare").transform(mapped, _rare_words, "place bigint, hash bigint, m bigint").join(words.rare, "hash", "left")
     c = F.coalesce("c", F.lit(0))
     sums = lookups.groupBy("place").agg(
         F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("_more_known"),
@@ -335,6 +521,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = Words(vocabulary(train.select(text_col)), train.count(), kept)
     texts = numbered_texts(docs, words, id_col, text_col)
     classes, pairs = clustered(texts.filter("not held_out"), words, exchanged, n_classes)
+    texts, classes, pairs = refined(texts, words, classes, pairs, exchanged)
     return scored(texts, words, Model(words, classes, pairs)).drop("place")
 
 

@@ -104,6 +104,68 @@ def test_exchange_raises_the_likelihood_and_parts_languages(spark, tmp_path):
     assert m.likelihood(m.class_counts(numbered, better, top, 4)[0]) > m.likelihood(first[0])
 
 
+def test_moves_are_those_of_the_greatest_likelihood():
+    r = np.random.default_rng(3)
+    n, size = 5, 12
+    kind = np.concatenate([[0], r.integers(1, n, size)])
+    text = np.append(r.integers(0, size + 1, 500), 0)
+    before = np.append(0, text[:-1])
+
+    def counted(kind):
+        out = np.zeros((n, n))
+        np.add.at(out, (kind[before], kind[text]), 1)
+        return out
+
+    pairs = counted(kind)
+    words = [w for w in range(1, size + 1) if not ((text == w) & (before == w)).any()]  # a word beside itself changes two cells at once
+    left, right = np.zeros((len(words), n)), np.zeros((len(words), n))
+    for k, w in enumerate(words):
+        np.add.at(left[k], kind[before[text == w]], 1)
+        np.add.at(right[k], kind[text[before == w]], 1)
+    got = m.moved(kind[words], left, right, pairs)
+    for w, new in zip(words, got, strict=True):
+        likely = []
+        for c in range(1, n):
+            other = kind.copy()
+            other[w] = c
+            likely.append(m.likelihood(counted(other)))
+        assert likely[new - 1] >= max(likely) - 1e-6
+
+
+@pytest.mark.parametrize("kept", [m.KEPT, 60])
+def test_words_beyond_the_exchanged_are_exchanged_too(spark, tmp_path, kept):
+    texts = case(4)
+    ids = list(range(len(texts)))
+    frame = spark.read.parquet(docs(tmp_path, texts, ids) + "/documents.parquet")
+    train = frame.filter(~m.held_out(frame.doc_id))
+    words = m.Words(m.vocabulary(train.select("text")), train.count(), kept)
+    numbered = m.numbered_texts(frame, words, "doc_id", "text")
+    ended = m.clustered(numbered.filter("not held_out"), words, 40, 8, 3)
+    sums = words.rare_n.sum(), words.rare_v.sum()
+    known = rows(numbered)
+    first = m.rest_classes(numbered.filter("not held_out"), words, *ended, 40)
+    assert first.count() == words.v - 1 - 40  # every other word of the training texts is judged
+    moved, classes, pairs = m.refined(numbered, words, *ended, 40, 16)
+    assert m.likelihood(pairs) > m.likelihood(ended[1])
+    assert (words.rare_n.sum(), words.rare_v.sum()) == sums
+    after = {x["place"]: x for x in rows(moved)}
+    flow, rare = Counter(), {}
+    for x in known:
+        old, new = np.frombuffer(x["ids"], "<u4"), np.frombuffer(after[x["place"]]["ids"], "<u4")
+        assert len(old) == len(new) and (old[old <= len(words.hashes)] == new[old <= len(words.hashes)]).all()
+        kinds = classes[new].tolist()
+        for h, c in zip(np.frombuffer(x["rare"], "<u8").tolist(), classes[new[old > len(words.hashes)]].tolist(), strict=True):
+            assert rare.setdefault(h, c) == c
+        if not x["held_out"]:
+            flow.update(zip([0, *kinds], kinds, strict=False))
+    assert {(a, b): int(pairs[a, b]) for a in range(8) for b in range(8) if pairs[a, b]} == dict(flow)
+    got = rows(m.scored(moved, words, m.Model(words, classes, pairs)))
+    want = {x["place"]: x for x in rows(m.scored(numbered, m.Words(m.vocabulary(train.select("text")), train.count(), kept), m.Model(words, classes, pairs)))}
+    for x in got:
+        assert abs(x["base_score"] - want[x["place"]]["base_score"]) < 1e-6 * max(1, abs(x["base_score"]))
+        assert math.isfinite(x["score"]) and x["n_known"] == want[x["place"]]["n_known"]
+
+
 def test_empty_and_all_held_out(spark, tmp_path):
     assert m.op8_classes(spark, docs(tmp_path, [])).collect() == []
     only = next(i for i in range(100) if held(i))
