@@ -25,7 +25,12 @@ links so found are closed to components. Then the shingles that still hold sever
 but their largest component with the others. A pair that is left out lies in one component
 already, so the components are exact.
 
-Equal sets are folded first. No words, null included: the empty set, linked with nothing,
+Equal sets are folded first. Sets that are equal but for shingles which no other set has (copies
+with own words at one place) are folded too: with c shingles in common, the one with the
+fewest of its own is linked with all that are linked with any of them, so the others that are linked with
+it go on as that one does. However many they are, they make no pairs.
+
+No words, null included: the empty set, linked with nothing,
 not even with another empty set. Fewer words than a shingle: the whole sequence is the only
 one. Repeated rows have equal sets and share a component; its id is its smallest doc_id (null
 if it has none). A very long text is one row of hashes. An empty table gives an empty result.
@@ -296,6 +301,21 @@ def set_components(entries: DataFrame, whole: DataFrame, least: int = LEAST, rou
     return roots if more.isEmpty() else components(roots.unionByName(more))
 
 
+def folded(sets: DataFrame, least: int) -> DataFrame:
+    """``sets`` (sid, n, shared), stored: a and b for each set that can go, as it is linked with b and with no set that b isn't linked with; stored.
+
+    Of sets with the same shared shingles b has the fewest of its own. What two sets have
+    in common are shared shingles, so all of these have the same number in common with any other set.
+    """
+    core = F.xxhash64(F.array_sort(F.col("shared.token"))).alias("core")
+    cores = sets.select("sid", "n", F.size("shared").alias("c"), core)
+    heads = cores.groupBy("core", "c").agg(F.min(F.struct("n", "sid")).alias("head"), F.count(F.lit(1)).alias("sets")).filter("sets > 1")
+    heads = written(heads.select("core", "c", F.col("head.n").alias("least_n"), F.col("head.sid").alias("b")), "cores")
+    met = cores.join(heads, ["core", "c"]).filter("sid <> b")
+    linked = met.filter(F.col("c") * 100 >= (F.col("n") + F.col("least_n") - F.col("c")) * least)
+    return written(linked.select(F.col("sid").alias("a"), "b"), "folded")
+
+
 def _met_twice(tokens: DataFrame) -> DataFrame:
     """The shingles that several rows have, and how many (sets); stored."""
     return written(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"), "met-twice")
@@ -323,11 +343,15 @@ def jaccard_components(docs: DataFrame, keep: list[str], least: int = LEAST, shi
 
     tokens = whole.select("sid", F.explode("tokens").alias("token"))
     shared = tokens.join(_met_twice(tokens).hint("merge"), "token").groupBy("sid").agg(F.collect_list(F.struct("sets", "token")).alias("shared"))
-    sets = sets.join(shared, "sid").filter(F.col("n") - F.size("shared") <= lacks)
+    sets = written(sets.join(shared, "sid").filter(F.col("n") - F.size("shared") <= lacks).select("sid", "n", "shared"), "shared-sets")
+    folds = folded(sets, least)
+    sets = sets.join(folds.select(F.col("a").alias("sid")), "sid", "left_anti")
     entries = written(prefix_entries(sets, least), "entries")
     met = _met_twice(entries).drop("sets")
     entries = written(entries.join(met.hint("merge"), "token", "left_semi"), "met-entries")
     roots = set_components(entries, whole, least)
+    gone = folds.join(roots.select(F.col("a").alias("b"), F.col("b").alias("root")), "b", "left").select("a", F.coalesce("root", "b").alias("b"))
+    roots = written(roots.unionByName(gone), "roots")
     return rows.select(*keep, "sid", "n").join(roots, F.col("sid") == F.col("a"), "left").select(*keep, "sid", "n", F.coalesce("b", "sid").alias("root"))
 
 

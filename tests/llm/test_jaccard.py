@@ -159,6 +159,32 @@ def test_a_large_group_makes_few_pairs(spark, tmp_path):
     assert sum(seen) < 400 * 40  # all pairs are 79,800
 
 
+def test_a_large_group_in_parts_makes_few_pairs(spark, tmp_path):
+    """Copies are linked if they were changed at the same place, and there are few places; some have own words at the end."""
+    r = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for k in range(240):
+        words = list(base)
+        words[[10, 25, 40][k % 3]] = f"own{k}"
+        texts.append(" ".join(words + [f"more{k}-{i}" for i in range(r.choice([0, 0, 0, 1, 2, 5]))]))
+    seen = []
+    real = jaccard.verified
+
+    def counted(pairs, whole, least):
+        seen.append(pairs.count())
+        return real(pairs, whole, least)
+
+    jaccard.verified = counted
+    try:
+        got = found(op12_jaccard(spark, docs(tmp_path, texts)))
+    finally:
+        jaccard.verified = real
+    assert got == brute(texts)
+    assert sum(seen) < 240  # linked pairs are thousands
+    assert len({c for _, _, c in got}) >= 3
+
+
 def test_awkward_rows(spark, tmp_path):
     texts = [None, "", " \n\t", "one", "ONE", "one two three", "one two three four", "One  two\nthree four", None, "same words here again", "same words here again", "\x1c a b c", "a b c d e"]
     ids = [5, 6, 7, None, 9, 10, 11, 12, None, 13, 13, 14, 15]
