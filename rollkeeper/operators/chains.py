@@ -2,7 +2,8 @@
 
 Each round joins the steps with themselves, so they are twice as long as before: a chain of n
 takes log2(n) rounds. Steps and findings are stored tables; nothing but their counts comes to
-the driver.
+the driver. So the joins are merge joins: a broadcast in each of many rounds would bring every
+one of these tables through the driver, small as each may be.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ def doomed(steps: DataFrame, lost: DataFrame) -> DataFrame:
     for _ in range(nodes.bit_length() + 1):
         if steps.isEmpty():
             return lost
-        found = steps.join(lost, steps.b == lost.n, "left_semi").select(F.col("a").alias("n"))
+        found = steps.join(lost.hint("merge"), steps.b == lost.n, "left_semi").select(F.col("a").alias("n"))
         lost = written(lost.unionByName(found).distinct(), "lost")
-        live = steps.join(lost, steps.a == lost.n, "left_anti")
+        live = steps.join(lost.hint("merge"), steps.a == lost.n, "left_anti")
         onward = steps.select(F.col("a").alias("b"), F.col("b").alias("c"))
-        steps = written(live.join(onward, "b").select("a", F.col("c").alias("b")).distinct(), "steps")
+        steps = written(live.join(onward.hint("merge"), "b").select("a", F.col("c").alias("b")).distinct(), "steps")
     rest = steps.select(F.col("a").alias("n"))
     return written(lost.unionByName(rest).distinct(), "lost")

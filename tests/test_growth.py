@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 
+from rollkeeper.operators import chains
 from rollkeeper.operators.snapshot import snapshot_diff
 from rollkeeper.queries import world
 
@@ -29,3 +30,19 @@ def test_derived_targets_are_stored_and_the_batch_is_spread(spark):
         plan = targets[name]._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "Aggregate" not in plan
     assert "Repartition" in world.batch(spark, str(FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chains_are_not_broadcast(spark, monkeypatch):
+    """Chains take many rounds; none of their tables goes through the driver."""
+    plans = []
+    real = chains.written
+
+    def planned(df, name="step"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(chains, "written", planned)
+    steps = spark.createDataFrame([(str(k), str(k + 1)) for k in range(9)] + [("x", "y"), ("y", "x")], "a string, b string")
+    lost = chains.doomed(steps, spark.createDataFrame([("5",)], "n string"))
+    assert {r.n for r in lost.collect()} == {"0", "1", "2", "3", "4", "5", "x", "y"}
+    assert not any("Broadcast" in p for p in plans)
