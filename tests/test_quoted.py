@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from test_sources import feed_text, person, write
 
 from rollkeeper.contract import CORRUPT, PEOPLE
+from rollkeeper.queries import runs
 from rollkeeper.sources.feed import read_feed
 from rollkeeper.sources.quoted import UnevenQuotes, file_lines, range_starts, read_quoted
 
@@ -101,3 +102,12 @@ def test_no_shuffle_carries_text_while_counting(spark, tmp_path):
     path = write(tmp_path / "drop" / "a.csv", text_of([["id", "a"], ["1", "x\ny"]], "\n"))
     assert set(range_starts(file_lines(spark, path)).columns) == {"_file", "range", "open", "first"}
     assert read_quoted(spark, path, ["id", "a"]).filter(F.col("a") == "x\ny").count() == 1
+
+
+def test_ranges_grow_with_the_feed(spark, tmp_path):
+    for name, size in (("small", 1000), ("large", runs.MOST_RANGES * runs.LEAST_RANGE * 3)):
+        (tmp_path / name).mkdir()
+        with open(tmp_path / name / "part.csv", "wb") as f:
+            f.truncate(size)
+    assert runs.range_bytes(spark, str(tmp_path / "small")) == runs.LEAST_RANGE
+    assert runs.range_bytes(spark, str(tmp_path / "large")) == runs.LEAST_RANGE * 3
