@@ -37,6 +37,11 @@ def stamped(rows: DataFrame, moment: datetime) -> DataFrame:
 
 
 def append_history(rows: DataFrame, path: str) -> None:
-    """Add stamped rows; stored ones are never changed."""
+    """Add stamped rows; stored ones are never changed.
+
+    A day's rows come together before they are written, in tasks of the size that adaptive
+    execution aims at: else each task would sort its share of all days, however large, and
+    write a file a day.
+    """
     day = F.to_date(F.col(STAMP))
-    rows.withColumn(STAMP_DAY, day).write.mode("append").partitionBy(STAMP_DAY).parquet(path)
+    rows.withColumn(STAMP_DAY, day).hint("rebalance", STAMP_DAY).write.mode("append").partitionBy(STAMP_DAY).parquet(path)

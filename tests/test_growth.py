@@ -4,9 +4,11 @@ from pathlib import Path
 
 import pytest
 
+from rollkeeper.contract import STAMP
 from rollkeeper.operators import chains
 from rollkeeper.operators.snapshot import snapshot_diff
 from rollkeeper.queries import world
+from rollkeeper.sources.history import append_history
 
 FOLDER = Path("/root/testdata/sf0.001")
 
@@ -46,3 +48,10 @@ def test_chains_are_not_broadcast(spark, monkeypatch):
     lost = chains.doomed(steps, spark.createDataFrame([("5",)], "n string"))
     assert {r.n for r in lost.collect()} == {"0", "1", "2", "3", "4", "5", "x", "y"}
     assert not any("Broadcast" in p for p in plans)
+
+
+def test_a_day_of_history_is_not_written_by_every_task(spark, tmp_path):
+    rows = spark.range(400).repartition(8).selectExpr("id", f"timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 5)) AS {STAMP}")
+    append_history(rows, str(tmp_path / "history"))
+    assert len(list((tmp_path / "history").glob("*/*.parquet"))) <= 5
+    assert spark.read.parquet(str(tmp_path / "history")).count() == 400
