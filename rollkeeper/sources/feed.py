@@ -15,6 +15,8 @@ from rollkeeper.sources.quoted import FILE, quotes_in, read_quoted
 
 SHORT_ROW = "short_row"
 SOURCE = "source_file"
+#: Rows of a packed file; some 350 MB of text at the width of the people feed.
+PACKED_ROWS = 200_000
 
 
 BROKEN_LINE = "a quoted value holds a line break; read the feed with quoted_lines=True"
@@ -97,16 +99,22 @@ def read_feed(
     return reduce(DataFrame.unionByName, [one(h, files) for h, files in by_header.items()])
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with every field quoted and blanks kept."""
-    (
+def write_csv(df: DataFrame, path: str, packed: bool = False) -> None:
+    """CSV with every field quoted and blanks kept.
+
+    ``packed`` files are gzip, which a reader sees by their names. Each is read by one task,
+    so none holds more than ``PACKED_ROWS`` rows.
+    """
+    out = (
         df.write.option("header", True)
         .option("quoteAll", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
+    if packed:
+        out = out.option("compression", "gzip").option("maxRecordsPerFile", PACKED_ROWS)
+    out.csv(path)
 
 
 def write_feed(df: DataFrame, path: str, contract: Contract) -> None:
@@ -115,6 +123,6 @@ def write_feed(df: DataFrame, path: str, contract: Contract) -> None:
 
 
 def write_difference(df: DataFrame, path: str, contract: Contract) -> None:
-    """New and changed rows under the short names."""
+    """New and changed rows under the short names, packed: 91 quoted columns mostly repeat each other."""
     texts = contract.to_feed(df)
-    write_csv(texts.select(*[F.col(f"`{f.header}`").alias(f.name) for f in contract.fields]), path)
+    write_csv(texts.select(*[F.col(f"`{f.header}`").alias(f.name) for f in contract.fields]), path, packed=True)

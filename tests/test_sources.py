@@ -7,6 +7,7 @@ from rollkeeper.contract import PEOPLE
 from rollkeeper.operators import gate
 from rollkeeper.plans import ingest as plan
 from rollkeeper.plans.ingest import clean, ingest, run_ingest
+from rollkeeper.sources import feed as feed_files
 from rollkeeper.sources.feed import read_feed, write_difference, write_feed
 from rollkeeper.sources.history import append_history, batch_stamp, read_history, stamped
 from rollkeeper.sources.tables import (
@@ -116,6 +117,20 @@ def test_feed_and_difference_files(spark, tmp_path):
     assert diff.first()["home_phone"] == "262-555-0100"
 
 
+def test_difference_files_are_packed_and_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feed_files, "PACKED_ROWS", 300, raising=False)
+    some = clean(frame(spark, [person(last_name=' a,"b" ', long_title="")])).drop(gate.REASON)
+    rows = some.crossJoin(spark.range(0, 1000, 1, 1)).withColumn("file_number", F.col("id").cast("string")).drop("id")
+    write_difference(rows, str(tmp_path / "diff"), PEOPLE)
+    files = list((tmp_path / "diff").glob("*.csv*"))
+    text = rows.count() * len(PEOPLE.names) * 3  # quotes and commas alone
+    assert sum(f.stat().st_size for f in files) < text / 4 and len(files) >= 4
+    back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "diff"))
+    assert back.columns == PEOPLE.names
+    assert sorted(int(r.file_number) for r in back.collect()) == list(range(1000))
+    assert {(r.last_name, r.long_title or "") for r in back.collect()} == {(' a,"b" ', "")}
+
+
 def test_clean_twice_is_clean_once(spark):
     rows = [person(gender="Female", room_number="12345", business_unit_code="7", home_phone="(262) 555-0100")]
     once = clean(frame(spark, rows)).drop(gate.REASON)
