@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import fingerprint
 from rollkeeper.operators.spread import spread_join
+from rollkeeper.session import written
 
 CONFLICT = "conflict_in_batch"
 
@@ -28,15 +29,26 @@ def one_per_key(df: DataFrame, keys: list[str], latest_by: str) -> tuple[DataFra
 
     The winner is the row with the latest ``latest_by``, ties broken by the row
     fingerprint; equal rows count as one. Rows with the same key and another
-    fingerprint are the losers. Both come from grouped maxima, folded map-side. What
-    is stored is a rank for each key; the join with it splits a hot key. ``df`` is read
-    for each of the two, so it should be a stored table or cheap to read.
+    fingerprint are the losers.
+
+    The latest day of each key and how many rows it has come from narrow grouped counts,
+    folded map-side; the join with them splits a hot key. The rows are stored with what the
+    join tells of them. So most are settled by their day alone: whole rows are hashed and
+    sorted only where a key has several on its latest day. ``df`` is read twice, so it
+    should be a stored table or cheap to read.
     """
     columns = df.columns
-    marked = df.withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
-    whole = F.struct(F.col(latest_by).alias("_by"), "_fp", F.struct(*columns).alias("_row"))
-    won = marked.groupBy(*keys).agg(F.max(whole).alias("_best")).select("_best._row.*")
-    rank = F.struct(F.col(latest_by).alias("_by"), "_fp")
-    best = marked.groupBy(*keys).agg(F.max(rank)["_fp"].alias("_best_fp"))
-    lost = spread_join(marked, best, keys, "inner").filter(F.col("_fp") != F.col("_best_fp"))
-    return won.select(*columns), lost.select(*columns)
+    days = df.groupBy(*keys, F.col(latest_by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
+    top = days.groupBy(*keys).agg(F.max("_by").alias("_top"), F.max_by("_n", "_by").alias("_n"))
+    first = F.col(latest_by).eqNullSafe(F.col("_top"))
+    # without any day all rows of a key may be equal to each other
+    several = F.col("_top").isNull() | (F.col("_n") > 1)
+    marked = spread_join(df, top, keys, "inner")
+    marked = written(marked.select(*columns, first.alias("_first"), (first & several).alias("_tied")), "marked")
+    tied = marked.filter("_tied").select(*columns).withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
+    best = tied.groupBy(*keys).agg(F.max(F.struct("_fp", F.struct(*columns).alias("_row"))).alias("_best"))
+    best = written(best, "best")
+    won = marked.filter("_first and not _tied").select(*columns).unionByName(best.select("_best._row.*"))
+    beaten = spread_join(tied, best.select(*keys, F.col("_best._fp").alias("_best_fp")), keys, "inner", stored=True)
+    lost = marked.filter("not _first").select(*columns)
+    return won, lost.unionByName(beaten.filter(F.col("_fp") != F.col("_best_fp")).select(*columns))

@@ -205,7 +205,7 @@ def fan_out(
     persons = known.groupBy(*PERSON_COLUMNS, "payroll_comp_code").agg(
         F.max("pos_effective_date").alias("pos_effective_date")
     )
-    person, other = one_per_key(persons, ["id"], "pos_effective_date")
+    person, other = one_per_key(written(persons, "fan-out-persons"), ["id"], "pos_effective_date")
     person = written(person, "fan-out-person")
     conflicts = other.select("id", "payroll_name", "file_number", F.lit(CONFLICT).alias(gate.REASON))
     _, staff = gate.route(person, "payroll_comp_code", codes.STUDENT_PAY_CODE)

@@ -200,6 +200,18 @@ def test_one_per_key_loses_no_row_of_a_hot_key(spark):
     assert won.count() + lost.count() == 3000
 
 
+def test_one_per_key_hashes_only_rows_that_share_the_latest_day(spark, monkeypatch):
+    rows = [(1, D(2024, 1, 1), "a"), (1, D(2024, 1, 2), "b"), (1, None, "x"), (2, D(2024, 1, 1), "c"), (None, DAY, "n"), (None, D(2024, 1, 1), "m")]
+    df = spark.createDataFrame(rows, "id int, day date, v string")
+    monkeypatch.setattr(pick, "fingerprint", lambda *c: F.raise_error(F.lit("hashed")).cast("binary"))
+    won, lost = pick.one_per_key(df, ["id"], "day")
+    assert sorted(r.v for r in won.collect()) == ["b", "c", "n"] and sorted(r.v for r in lost.collect()) == ["a", "m", "x"]
+    monkeypatch.undo()
+    undated = spark.createDataFrame([(1, None, "a"), (1, None, "a"), (1, None, "b"), (2, None, "c")], "id int, day date, v string")
+    won, lost = pick.one_per_key(undated, ["id"], "day")
+    assert won.count() == 2 and {r.v for r in won.unionByName(lost).collect()} == {"a", "b", "c"}
+
+
 def test_keys_follow_the_natural_order(spark):
     df = spark.range(5000).select(F.concat(F.lit("n"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("name"))
     numbered = keys.assign_keys(df.repartition(7), ["name"], "no", 100, ranges=8)
