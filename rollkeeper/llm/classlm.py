@@ -49,6 +49,8 @@ STEPS = 16
 DELTA = 0.5
 BACK_OFF = 50.0
 ENDINGS = 1 << 16
+#: Bytes of text taken at once: hashing needs some 60 bytes for each, and as much stays with a worker until it ends.
+_BLOCK = 1 << 20
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -67,18 +69,23 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def vocabulary(train: DataFrame) -> DataFrame:
     """``train`` (text) -> hash, ending, c of every word; stored. A task sends each word of its share once."""
 
+    def folded(parts):
+        hashes, endings, counts = map(np.concatenate, zip(*parts, strict=True))
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        head = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
+        return (hashes[head], endings[order[head]], np.add.reduceat(counts[order], head)) if len(head) else (hashes, endings, counts)
+
     def run(batches):
-        hashes, endings, counts = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        known, held, size = (np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)), [], 0
         for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column(0)):
+            for _, _, data, offsets in text_blocks(batch.column(0), _BLOCK):
                 h, e, _ = tokens(data, offsets)
-                hashes, endings = np.concatenate([hashes, h]), np.concatenate([endings, e])
-                counts = np.concatenate([counts, np.ones(len(h), np.int64)])
-                order = np.argsort(hashes)
-                hashes = hashes[order]
-                head = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[: len(hashes)])
-                if len(head):
-                    hashes, endings, counts = hashes[head], endings[order[head]], np.add.reduceat(counts[order], head)
+                held.append(folded([(h, e, np.ones(len(h), np.int64))]))
+                size += len(held[-1][0])
+                if size >= len(known[0]):
+                    known, held, size = folded([known, *held]), [], 0
+        hashes, endings, counts = folded([known, *held])
         for k in range(0, len(hashes), 100_000):
             some = slice(k, k + 100_000)
             yield pa.RecordBatch.from_arrays(
@@ -129,7 +136,7 @@ def numbered_texts(docs: DataFrame, words: Words, id_col: str, text_col: str) ->
     def run(batches):
         known, number = shared.value
         for batch in batches:
-            for low, high, data, offsets in text_blocks(batch.column(2)):
+            for low, high, data, offsets in text_blocks(batch.column(2), _BLOCK):
                 h, ending, first = tokens(data, offsets)
                 order = np.argsort(h)
                 at = np.searchsorted(known, h[order])
@@ -393,22 +400,23 @@ def recoded(texts: DataFrame, words: Words, far: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids_at, rare_at, found_at = (batch.schema.names.index(c) for c in ("ids", "rare", "found"))
-            out = []
-            for ids, rare, cells in zip(batch.column(ids_at).to_pylist(), batch.column(rare_at).to_pylist(), batch.column(found_at), strict=True):
-                if cells.is_valid:
-                    hashes, cls = (np.asarray(cells.values.field(c)) for c in ("hash", "cls"))
-                    order = np.argsort(hashes)
-                    hashes, cls = hashes[order], cls[order]
-                    asked = np.frombuffer(rare, "<i8")
-                    at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
-                    numbers = np.frombuffer(ids, "<u4").copy()
-                    spots = np.flatnonzero(numbers >= begin - ENDINGS)
-                    hit = hashes[at] == asked
-                    numbers[spots[hit]] = begin + cls[at[hit]]
-                    ids = numbers.tobytes()
-                out.append(ids)
-            columns = [pa.array(out, pa.binary()) if k == ids_at else c for k, c in enumerate(batch.columns) if k != found_at]
-            yield pa.RecordBatch.from_arrays(columns, names=[c for c in batch.schema.names if c != "found"])
+            for some in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
+                out = []
+                for ids, rare, cells in zip(some.column(ids_at).to_pylist(), some.column(rare_at).to_pylist(), some.column(found_at), strict=True):
+                    if cells.is_valid:
+                        hashes, cls = (np.asarray(cells.values.field(c)) for c in ("hash", "cls"))
+                        order = np.argsort(hashes)
+                        hashes, cls = hashes[order], cls[order]
+                        asked = np.frombuffer(rare, "<i8")
+                        at = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+                        numbers = np.frombuffer(ids, "<u4").copy()
+                        spots = np.flatnonzero(numbers >= begin - ENDINGS)
+                        hit = hashes[at] == asked
+                        numbers[spots[hit]] = begin + cls[at[hit]]
+                        ids = numbers.tobytes()
+                    out.append(ids)
+                columns = [pa.array(out, pa.binary()) if k == ids_at else c for k, c in enumerate(some.columns) if k != found_at]
+                yield pa.RecordBatch.from_arrays(columns, names=[c for c in some.schema.names if c != "found"])
 
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema)
     return written(texts.join(found, "place", "left").select(*texts.columns, "found").transform(mapped, run, kind), "recoded")
