@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollkeeper.llm.common import documents, GRAPH, LOWER, mapped, text_blocks, word_bounds, word_hashes
-from rollkeeper.session import written
+from rollkeeper.session import steps_of_a_run, written
 
 CLASSES = 32
 EXCHANGED = 8192
@@ -527,9 +527,12 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Learns from the documents that aren't held out, and scores all."""
     train = docs.filter(~held_out(F.col(id_col)))
     words = Words(vocabulary(train.select(text_col)), train.count(), kept)
-    texts = numbered_texts(docs, words, id_col, text_col)
-    classes, pairs = clustered(texts.filter("not held_out"), words, exchanged, n_classes)
-    texts, classes, pairs = refined(texts, words, classes, pairs, exchanged)
+    with steps_of_a_run(docs.sparkSession) as steps:
+        texts = numbered_texts(docs, words, id_col, text_col)
+        classes, pairs = clustered(texts.filter("not held_out"), words, exchanged, n_classes)
+        texts, classes, pairs = refined(texts, words, classes, pairs, exchanged)
+        used = {file.split("/")[-2] for file in texts.inputFiles()}
+        steps[:] = [step for step in steps if step.split("/")[-1] not in used]
     return scored(texts, words, Model(words, classes, pairs)).drop("place")
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from helpers import GRAPH, docs, rows, small
 
+from rollkeeper import session
 from rollkeeper.llm import classlm as m
 from rollkeeper.llm.common import word_hashes
 
@@ -173,3 +174,27 @@ def test_empty_and_all_held_out(spark, tmp_path):
     got = rows(m.score_documents(frame))
     assert [(x["n_tokens"], x["n_known"], x["train_tokens"]) for x in sorted(got, key=lambda x: -x["n_tokens"])] == [(3, 0, 0), (1, 0, 0)]
     assert all(math.isfinite(x["score"]) and x["score"] <= 0 for x in got)
+
+
+def test_neighbours_are_counted_and_used_steps_go(spark, tmp_path, monkeypatch):
+    texts = case(5)
+    frame = spark.read.parquet(docs(tmp_path, texts) + "/documents.parquet")
+    train = frame.filter(~m.held_out(frame.doc_id))
+    words = m.Words(m.vocabulary(train.select("text")), train.count(), 60)
+    numbered = m.numbered_texts(frame, words, "doc_id", "text").filter("not held_out")
+    classes, _ = m.clustered(numbered, words, 40, 8, 1)
+    counted = m.rest_counts(numbered, words, classes, 40, 8)
+    want = Counter()
+    for x in rows(numbered):
+        ids, rare = np.frombuffer(x["ids"], "<u4"), iter(np.frombuffer(x["rare"], "<i8").tolist())
+        kinds = classes[ids].tolist()
+        for k, i in enumerate(ids.tolist()):
+            if i > 40:
+                far = i > len(words.hashes)
+                h = next(rare) if far else int(words.hashes[i - 1].view(np.int64))
+                want[h, ((far * 8 + kinds[k]) * 8 + (kinds[k - 1] if k else 0)) * 8 + kinds[k + 1]] += 1
+    assert {(x["hash"], c["code"]): c["n"] for x in rows(counted) for c in x["cells"]} == want
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path / "steps"))
+    m.score_documents(frame, kept=60, exchanged=40, n_classes=8).collect()
+    left = {p.name.rsplit("-", 1)[0] for p in (tmp_path / "steps").iterdir()}
+    assert left == {"vocabulary", "recoded", "scored", "rare-words"}
