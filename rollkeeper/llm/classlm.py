@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +52,8 @@ BACK_OFF = 50.0
 ENDINGS = 1 << 16
 #: Bytes of text taken at once: hashing needs some 60 bytes for each, and as much stays with a worker until it ends.
 _BLOCK = 1 << 20
+#: Bytes of numbers taken at once.
+_NUMBERS = 1 << 21
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -168,12 +171,23 @@ def numbered_texts(docs: DataFrame, words: Words, id_col: str, text_col: str) ->
     return written(rows.withColumn("place", F.monotonically_increasing_id()), "numbered")
 
 
-def _streams(batch: pa.RecordBatch, rows: int = 1000):
+def _cuts(batch: pa.RecordBatch, limit: int):
+    """Runs of whole documents with about ``limit`` bytes of ids: first row, row after the last."""
+    ends = np.cumsum(pc.binary_length(batch.column(batch.schema.names.index("ids"))).to_numpy(), dtype=np.int64)
+    low = 0
+    while low < batch.num_rows:
+        upto = (ends[low - 1] if low else 0) + limit
+        high = max(low + 1, int(np.searchsorted(ends, upto, "right")))
+        yield low, high
+        low = high
+
+
+def _streams(batch: pa.RecordBatch):
     """The ids of some documents, one after the other, and how many each has."""
     column = batch.column(batch.schema.names.index("ids"))
-    for k in range(0, batch.num_rows, rows):
-        raw = column.slice(k, rows).to_pylist()
-        yield k, np.frombuffer(b"".join(raw), "<u4").astype(np.int64), np.array([len(x) // 4 for x in raw], np.int64)
+    for low, high in _cuts(batch, _NUMBERS):
+        raw = column.slice(low, high - low).to_pylist()
+        yield low, np.frombuffer(b"".join(raw), "<u4").astype(np.int64), np.array([len(x) // 4 for x in raw], np.int64)
 
 
 def class_counts(texts: DataFrame, classes: np.ndarray, exchanged: int, n_classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -400,7 +414,7 @@ def recoded(texts: DataFrame, words: Words, far: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids_at, rare_at, found_at = (batch.schema.names.index(c) for c in ("ids", "rare", "found"))
-            for some in (batch.slice(k, 1000) for k in range(0, batch.num_rows, 1000)):
+            for some in (batch.slice(low, high - low) for low, high in _cuts(batch, _NUMBERS)):
                 out = []
                 for ids, rare, cells in zip(some.column(ids_at).to_pylist(), some.column(rare_at).to_pylist(), some.column(found_at), strict=True):
                     if cells.is_valid:

@@ -1,5 +1,6 @@
 """What a task holds at once, whatever the size of its batches."""
 
+import numpy as np
 import pyarrow as pa
 from helpers import docs
 
@@ -42,3 +43,13 @@ def test_words_are_hashed_and_numbered_in_small_blocks(spark, tmp_path, monkeypa
     out = list(number([batch]))
     assert sum(x.num_rows for x in out) == 300 and all(len(i) == 4 * 2001 for x in out for i in x.column("ids").to_pylist())
     assert sum(seen) == 2 * sum(map(len, texts)) and max(seen) <= 1 << 20
+
+
+def test_numbers_are_taken_by_their_bytes():
+    counts = [5000] * 500 + [1 << 20] + [1] * 7
+    batch = pa.RecordBatch.from_arrays([pa.array([k.to_bytes(4, "little") * n for k, n in enumerate(counts)])], names=["ids"]).slice(3)
+    got = list(classlm._streams(batch))
+    assert [n for _, _, own in got for n in own.tolist()] == counts[3:]
+    assert [k for k, _, _ in got] == np.cumsum([0, *(len(own) for _, _, own in got)])[:-1].tolist()
+    assert (np.concatenate([ids for _, ids, _ in got]) == np.repeat(np.arange(3, len(counts)), counts[3:])).all()
+    assert all(len(ids) <= 1 << 19 or len(own) == 1 for _, ids, own in got)
