@@ -146,6 +146,10 @@ class Field:
         """The cleaned value in the type the history keeps."""
         return c.try_cast("int") if self.type == "int" else c
 
+    def short(self, c: Column) -> Column:
+        """The stored value as a run compares it: text trimmed, ids as text."""
+        return c if self.is_date else F.trim(c.cast("string"))
+
 
 class Contract:
     """An ordered list of fields, with the renames and schemas made from it."""
@@ -195,12 +199,7 @@ class Contract:
 
     def from_history(self, df: DataFrame) -> DataFrame:
         """History names to short names, text trimmed, ids as text."""
-
-        def value(f: Field) -> Column:
-            c = F.col(f.history)
-            return c if f.is_date else F.trim(c.cast("string"))
-
-        return df.select(*[value(f).alias(f.name) for f in self.fields])
+        return df.select(*[f.short(F.col(f.history)).alias(f.name) for f in self.fields])
 
     def to_feed(self, df: DataFrame) -> DataFrame:
         """Short names to the provider's headers, everything as text."""

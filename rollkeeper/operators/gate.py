@@ -30,6 +30,11 @@ def accepted(marked: DataFrame) -> DataFrame:
     return marked.filter(F.col(REASON).isNull()).drop(REASON)
 
 
+def refused(marked: DataFrame) -> DataFrame:
+    """Rows with a reason, skips too."""
+    return marked.filter(F.col(REASON).isNotNull())
+
+
 def rejected(marked: DataFrame) -> DataFrame:
     """Rows with a reason, skips left out."""
     return marked.filter(F.col(REASON).isNotNull() & ~F.col(REASON).startswith(SKIP))

@@ -6,11 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollkeeper.functions.compare import fingerprint, number_key
+from rollkeeper.functions.compare import fingerprint, joined_key, number_key
 from rollkeeper.operators.pick import pick_one
 from rollkeeper.operators.spread import spread_join
 from rollkeeper.session import written
 
+#: A row's fingerprint in the difference, and its key in the seen-before check. A table that
+#: holds them already may lack the columns that they stand for.
+FINGERPRINT, SEEN = "_fp", "_seen"
+
 
 def _on_days(df: DataFrame, stamps: DataFrame, stamp: str, day: str) -> tuple[DataFrame, DataFrame]:
     """``df`` from the first day that counts on, and ``stamps`` with the days under which rows of theirs lie.
@@ -60,12 +64,18 @@ def latest_snapshot(
     return spread_join(df, top, [*keys, stamp], "left_semi", stored=day is not None)
 
 
+def row_fingerprint(values: list[Column], blank_is_null: bool = False) -> Column:
+    """The fingerprint of a row of these values."""
+    if not blank_is_null:
+        return fingerprint(*values)
+    return F.coalesce(joined_key([F.coalesce(c.cast("string"), F.lit("")) for c in values]), F.lit(b""))
+
+
 def with_row_fingerprint(df: DataFrame, names: list[str], blank_is_null: bool = False) -> DataFrame:
-    """``df`` with the fingerprint ``_fp`` of these columns."""
-    columns = [F.col(c) for c in names]
-    if blank_is_null:
-        columns = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
-    return df.withColumn("_fp", fingerprint(*columns))
+    """``df`` with the fingerprint ``_fp`` of these columns, unless it holds one."""
+    if FINGERPRINT in df.columns:
+        return df
+    return df.withColumn(FINGERPRINT, row_fingerprint([F.col(c) for c in names], blank_is_null))
 
 
 def _once(marked: DataFrame) -> DataFrame:
@@ -74,8 +84,8 @@ def _once(marked: DataFrame) -> DataFrame:
     A row is carried as one value: an aggregate with a buffer for each of some ninety columns
     takes several times as long.
     """
-    row = F.struct(*[c for c in marked.columns if c != "_fp"])
-    return marked.groupBy("_fp").agg(F.first(row).alias("_row")).select("_row.*")
+    row = F.struct(*[c for c in marked.columns if c != FINGERPRINT])
+    return marked.groupBy(FINGERPRINT).agg(F.first(row).alias("_row")).select("_row.*")
 
 
 def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -> DataFrame:
@@ -85,9 +95,9 @@ def snapshot_diff(new: DataFrame, old: DataFrame, blank_is_null: bool = False) -
     column. Known rows drop out first; repeats are folded among the few that are left,
     in the same partitioning.
     """
-    known = with_row_fingerprint(old, new.columns, blank_is_null).select("_fp").distinct()
+    known = with_row_fingerprint(old, new.columns, blank_is_null).select(FINGERPRINT).distinct()
     marked = with_row_fingerprint(new, new.columns, blank_is_null)
-    return _once(marked.join(known, "_fp", "left_anti"))
+    return _once(marked.join(known, FINGERPRINT, "left_anti"))
 
 
 def snapshot_diff_kept(new: DataFrame, kept: DataFrame, blank_is_null: bool = False) -> DataFrame:
@@ -97,7 +107,7 @@ def snapshot_diff_kept(new: DataFrame, kept: DataFrame, blank_is_null: bool = Fa
     read nor hashed again.
     """
     marked = with_row_fingerprint(new, new.columns, blank_is_null)
-    return _once(marked.join(kept, "_fp", "left_anti"))
+    return _once(marked.join(kept, FINGERPRINT, "left_anti"))
 
 
 def drop_repeats(df: DataFrame) -> DataFrame:
@@ -105,26 +115,34 @@ def drop_repeats(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def seen_key(values: dict[str, Column], texts: set[str], dates: list[str], numbers: list[str]) -> Column:
+    """The key on which a row meets its like in the seen-before check; null if a value that
+    equals nothing is null, so that the row meets none."""
+
+    def value(c: str) -> Column:
+        if c in numbers:
+            return number_key(values[c])
+        text = F.rtrim(values[c]) if c in texts else values[c].cast("string")
+        return F.coalesce(text, F.lit("-")) if c in dates else text
+
+    return joined_key([value(c) for c in values])
+
+
 def not_in_latest(
     candidates: DataFrame, latest: DataFrame, columns: list[str], dates: list[str], numbers: list[str]
 ) -> DataFrame:
     """Candidates that equal no row of ``latest`` in all ``columns``.
 
     Columns in ``dates`` treat null and null as equal, columns in ``numbers``
-    compare as numbers, and in all others a null equals nothing: it carries another
-    mark on either side. Trailing blanks of a text do not count.
+    compare as numbers, and in all others a null equals nothing. Trailing blanks of a text
+    do not count.
     """
     texts = {f.name for f in latest.schema if isinstance(f.dataType, T.StringType)}
 
-    def value(c: str) -> Column:
-        if c in numbers:
-            return number_key(F.col(c))
-        return F.rtrim(F.col(c)) if c in texts else F.col(c)
-
-    def key(df: DataFrame, null: str) -> DataFrame:
-        values = [value(c) for c in columns]
-        marks = ["-" if c in dates else null for c in columns]
-        return df.withColumn("_fp", fingerprint(*values, null_marks=marks))
+    def key(df: DataFrame) -> DataFrame:
+        if SEEN in df.columns:
+            return df
+        return df.withColumn(SEEN, seen_key({c: F.col(c) for c in columns}, texts, dates, numbers))
 
-    known = key(latest, "stored").select("_fp").distinct()
-    return key(candidates, "given").join(known, "_fp", "left_anti").drop("_fp")
+    known = key(latest).select(SEEN).distinct()
+    return key(candidates).join(known, SEEN, "left_anti").drop(SEEN)

@@ -6,12 +6,22 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.contract import PEOPLE, STAMP, STAMP_DAY, Contract
 from rollkeeper.operators import gate
-from rollkeeper.operators.snapshot import latest_snapshot, not_in_latest, snapshot_diff, snapshot_diff_kept
+from rollkeeper.operators.places import PLACE, at_places, placed
+from rollkeeper.operators.snapshot import (
+    FINGERPRINT,
+    SEEN,
+    latest_snapshot,
+    not_in_latest,
+    row_fingerprint,
+    seen_key,
+    snapshot_diff,
+    snapshot_diff_kept,
+)
 from rollkeeper.session import written
 from rollkeeper.sources.history import append_history, read_history, stamped
 from rollkeeper.sources.kept import FINGERPRINTS, kept_fingerprints, write_fingerprints
@@ -21,6 +31,9 @@ NO_TITLE = gate.SKIP + "no_job_title_code"
 NO_ID = "no_person_id"
 BAD_ID = "bad_value:carth_id"
 NO_FILE_NUMBER = "no_file_number"
+#: Columns that the gates look at, and the name of the person among the keys of a feed.
+GATED = ("job_title_code", "carth_id", "file_number")
+PERSON = "_person"
 VIEW_KEYS = ("carthage_id", "fullname")
 VERIFY_KEYS = ("carthage_id",)
 # What a stored reject shows in the clear.
@@ -52,6 +65,29 @@ def clean(feed: DataFrame, contract: Contract = PEOPLE) -> DataFrame:
     return marked.select(*contract.names, gate.REASON)
 
 
+def _seen(values: dict[str, Column], contract: Contract, numbers: tuple[str, ...]) -> Column:
+    """The key of the seen-before check, from the values of the history columns."""
+    texts = {f.history for f in contract.fields if f.type == "string"}
+    return seen_key(values, texts, [f.history for f in contract.date_fields], list(numbers))
+
+
+def keyed_feed(cleaned: DataFrame, contract: Contract, person: str, numbers: tuple[str, ...]) -> DataFrame:
+    """What decides on the cleaned rows, stored: their places, the columns the gates look at, the
+    stored person, fingerprints and keys of the seen-before check."""
+    values = {f.history: f.stored(F.col(f.name)) for f in contract.fields}
+    mark = row_fingerprint([F.col(n) for n in contract.names], blank_is_null=True)
+    keys = [mark.alias(FINGERPRINT), _seen(values, contract, numbers).alias(SEEN)]
+    return written(cleaned.select(PLACE, gate.REASON, *GATED, values[person].alias(PERSON), *keys), "feed-keys")
+
+
+def keyed_state(view: DataFrame, contract: Contract, keys: list[str], numbers: tuple[str, ...], marked: bool) -> DataFrame:
+    """Keys, stamps and keys of the seen-before check of history rows, stored; with ``marked`` their fingerprints too."""
+    values = {f.history: F.col(f.history) for f in contract.fields}
+    mark = row_fingerprint([f.short(F.col(f.history)) for f in contract.fields], blank_is_null=True)
+    marks = [mark.alias(FINGERPRINT)] if marked else []
+    return written(view.select(*keys, STAMP, *marks, _seen(values, contract, numbers).alias(SEEN)), "state-keys")
+
+
 def ingest(
     feed: DataFrame,
     history: DataFrame,
@@ -63,9 +99,10 @@ def ingest(
     numbers: tuple[str, ...] = ("file_no", "carthage_id"),
     kept: DataFrame | None = None,
 ) -> Ingest:
-    """One run; nothing is appended here. The cleaned feed and its changed rows are
-    written to the shared folder, so each is worked out once. The first of
-    ``verify_keys`` is the person.
+    """One run; nothing is appended here. The cleaned feed is written to the shared folder,
+    so it is worked out once, and then what decides on its rows: fingerprints, keys, places.
+    Only these are dealt out; the wide rows stay where they lie and are picked by their
+    places when a result is read. The first of ``verify_keys`` is the person.
 
     ``feed`` has the short names, ``history`` the history columns and the stamp.
     For a person with several rows add what tells them apart (``position_id``) to
@@ -73,40 +110,40 @@ def ingest(
     that is partitioned by its day is read by the days that count. ``kept`` are the
     fingerprints of the newest state, if they were kept: then it isn't hashed again.
     """
-    cleaned = written(clean(feed, contract), "cleaned-feed")
-    readable, unreadable = gate.accepted(cleaned), gate.rejected(cleaned)
+    person = verify_keys[0]
+    cleaned = placed(clean(feed, contract), "cleaned-feed")
+    keys = keyed_feed(cleaned, contract, person, numbers)
+    readable, unreadable = gate.accepted(keys), gate.rejected(cleaned).drop(PLACE)
 
     day = STAMP_DAY if STAMP_DAY in history.columns else None
     view = latest_snapshot(contract.unpadded(history), list(view_keys), STAMP, mode, day)
     if kept is None:
-        changed = snapshot_diff(readable, contract.from_history(view), blank_is_null=True)
+        state = keyed_state(view, contract, list(verify_keys), numbers, True)
+        changed = snapshot_diff(readable, state, blank_is_null=True)
     else:
         changed = snapshot_diff_kept(readable, kept, blank_is_null=True)
 
-    marked = written(
-        gate.judged(
-            changed,
-            [
-                gate.empty_rule(NO_TITLE, "job_title_code"),
-                gate.empty_rule(NO_ID, "carth_id"),
-                gate.empty_rule(NO_FILE_NUMBER, "file_number"),
-                (BAD_ID, F.col("carth_id").try_cast("int").isNull()),
-            ],
-        ),
-        "changed-rows",
-    )
-    candidates = contract.to_history(gate.accepted(marked))
-    # The newest rows per person are all in the view, and only persons with a
-    # changed row are asked for: most of the view stays where it is.
-    person = verify_keys[0]
-    asked = written(view.join(candidates.select(person).distinct(), person, "left_semi"), "asked")
-    latest = latest_snapshot(asked, list(verify_keys), STAMP, "per_key")
+    rules = [
+        gate.empty_rule(NO_TITLE, "job_title_code"),
+        gate.empty_rule(NO_ID, "carth_id"),
+        gate.empty_rule(NO_FILE_NUMBER, "file_number"),
+        (BAD_ID, F.col("carth_id").try_cast("int").isNull()),
+    ]
+    marked = written(gate.judged(changed, rules), "changed-keys")
+    candidates = gate.accepted(marked)
+    if kept is not None:
+        # The newest rows per person are all in the view, and only persons with a
+        # changed row are asked for: most of the view is not hashed.
+        asked = view.join(candidates.select(F.col(PERSON).alias(person)).distinct(), person, "left_semi")
+        state = keyed_state(asked, contract, list(verify_keys), numbers, False)
+    latest = latest_snapshot(state, list(verify_keys), STAMP, "per_key")
     dates = [f.history for f in contract.date_fields]
     unseen = not_in_latest(candidates, latest, contract.history_names, dates, list(numbers))
+    judged = gate.judged(at_places(cleaned, gate.refused(marked)), rules)
     return Ingest(
-        new_rows=stamped(unseen, moment),
-        rejects=unreadable.unionByName(gate.rejected(marked)),
-        skipped=gate.skipped(marked),
+        new_rows=stamped(contract.to_history(at_places(cleaned, unseen)), moment),
+        rejects=unreadable.unionByName(gate.rejected(judged).drop(PLACE)),
+        skipped=gate.skipped(judged).drop(PLACE),
     )
 
 

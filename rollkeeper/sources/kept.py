@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rollkeeper.operators.snapshot import with_row_fingerprint
 from rollkeeper.sources.tables import NO_BUCKET, last_commit, publish, table_folders
 
-FINGERPRINTS = "fingerprints"
+#: The name tells how they are worked out: those of another kind are not found, and the state is hashed once more.
+FINGERPRINTS = "joined_fingerprints"
 #: Buckets of the fingerprints. Each is read by one task; fixed for the life of a base folder.
 BUCKETS = 64
 

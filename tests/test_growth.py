@@ -3,11 +3,13 @@
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from rollkeeper.contract import STAMP
-from rollkeeper.operators import chains
+from rollkeeper.operators import chains, places, snapshot, spread
 from rollkeeper.operators.snapshot import snapshot_diff
-from rollkeeper.queries import world
+from rollkeeper.plans import ingest as ingest_plan
+from rollkeeper.queries import whole, world
 from rollkeeper.sources.history import append_history
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -55,3 +57,34 @@ def test_a_day_of_history_is_not_written_by_every_task(spark, tmp_path):
     append_history(rows, str(tmp_path / "history"))
     assert len(list((tmp_path / "history").glob("*/*.parquet"))) <= 5
     assert spark.read.parquet(str(tmp_path / "history")).count() == 400
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not here")
+def test_a_sync_stores_wide_rows_once(spark, monkeypatch):
+    """Only keys of rows are dealt out and stored between the steps; repeats and rejects come out whole."""
+    widths = {}
+    for module in (ingest_plan, snapshot, spread, places):
+        real = module.written
+
+        def noted(df, name="step", real=real):
+            widths.setdefault(name, []).append(len(df.columns))
+            return real(df, name)
+
+        monkeypatch.setattr(module, "written", noted)
+    feed = whole.feed(spark, str(FOLDER)).drop("o_orderdate")
+    run = ingest_plan.ingest(feed.unionAll(feed), whole.stored(spark, str(FOLDER)), whole.MOMENT)
+    assert [name for name, found in widths.items() if max(found) > 20] == ["cleaned-feed"]
+    once = ingest_plan.ingest(feed, whole.stored(spark, str(FOLDER)), whole.MOMENT)
+    assert run.new_rows.count() == once.new_rows.count() > 0
+    assert run.skipped.count() == once.skipped.count() > 0
+    unreadable = once.rejects.filter("reject_reason like 'bad_value:%'").count()
+    assert run.rejects.count() == once.rejects.count() + unreadable and unreadable > 0
+
+
+def test_rows_are_picked_by_their_places(spark):
+    rows = places.placed(spark.range(0, 70_000, 1, 3).withColumn("x", F.col("id") * 2), "rows")
+    some = rows.filter("id % 7 = 3 or id in (0, 32767, 32768, 69999)")
+    found = places.at_places(rows, some)
+    assert found.columns == rows.columns
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in some.collect())
+    assert places.at_places(rows, some.limit(0)).count() == 0

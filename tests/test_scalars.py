@@ -125,3 +125,12 @@ def test_fingerprint_keeps_rows_apart(spark):
     rows = [("a", "b,"), ("a,", "b"), ("a", None), (None, "a"), ("", "a"), ("-", "a"), ("a", "b,")]
     df = spark.createDataFrame(rows, "a string, b string")
     assert df.select(compare.fingerprint(F.col("a"), F.col("b"))).distinct().count() == 6
+
+
+def test_joined_key_tells_rows_apart(spark):
+    mark = compare.BETWEEN
+    texts = [("a", "b"), ("ab", ""), ("", "ab"), (f"a{mark}", "b"), ("a", f"{mark}b"), (mark, ""), ("", mark), ("", ""), (f"{mark}2,0{mark}", "")]
+    df = spark.createDataFrame([*texts, *texts, (None, "b")], "a string, b string")
+    found = df.select("a", compare.joined_key([F.col("a"), F.col("b")]).alias("k"))
+    assert found.filter("k is not null").distinct().count() == len(texts)
+    assert found.filter("k is null").count() == 1
