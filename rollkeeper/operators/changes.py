@@ -138,16 +138,18 @@ def number_inserts(
     return changes.filter(F.col("action") != INSERT).unionByName(rows)
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, key: list[str]) -> DataFrame:
+def apply_changes(state: DataFrame, changes: DataFrame, key: list[str], merged: bool = False) -> DataFrame:
     """The next state: updated rows replaced, inserted rows added.
 
     Only the changed rows take part in the join, so Spark can broadcast a small
-    batch and leave the big state where it lies.
+    batch and leave the big state where it lies. ``merged``: by a merge join, for changes as
+    many as the rows of the state; none of them goes through the driver then.
     """
     touched = changes.filter(F.col("action").isin(UPDATE, END)).select(
         *[F.col(f"before.{k}").alias(f"_on_{k}") for k in key], "after"
     )
     same = [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in key]
+    touched = touched.hint("merge") if merged else touched
     kept = state.join(touched, reduce(lambda a, b: a & b, same), "left").select(
         *[
             F.when(F.col("after").isNotNull(), F.col(f"after.{c}")).otherwise(F.col(c)).alias(c)

@@ -55,6 +55,10 @@ def _on(key: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_on_{k}")) for k in key])
 
 
+# A script may change every row of a table, and rows of JSON text are many times larger than
+# their files, by which Spark judges what to broadcast. So script and table meet in merge joins.
+
+
 def replay(state: DataFrame, script: DataFrame, target: str, key: list[str]) -> DataFrame:
     """The table after the script's batches, from the one before them.
 
@@ -64,7 +68,7 @@ def replay(state: DataFrame, script: DataFrame, target: str, key: list[str]) ->
     rows = _parsed(script, state, target, key)
     last = rows.groupBy(*[f"_on_{k}" for k in key]).agg(F.max_by("after", "_at").alias("after"))
     last = written(last, "replayed")
-    kept = state.join(last.drop("after"), _on(key), "left_anti")
+    kept = state.join(last.drop("after").hint("merge"), _on(key), "left_anti")
     return kept.unionByName(last.select("after.*").select(*state.columns))
 
 
@@ -74,6 +78,6 @@ def unfit(state: DataFrame, script: DataFrame, target: str, key: list[str]) -> D
     rows = _parsed(script, state, target, key)
     first = written(rows.groupBy(*[f"_on_{k}" for k in key]).agg(F.min_by(F.struct("_at", "before"), "_at").alias("_first")), "first-changes")
     held = state.select(F.struct(*state.columns).alias("_held"), *key)
-    joined = first.join(held, _on(key), "left")
+    joined = first.join(held.hint("merge"), _on(key), "left")
     same = F.to_json("_held").eqNullSafe(F.to_json("_first.before"))
     return joined.filter(~same).select(F.col("_first._at.batch_id").alias("batch_id"), F.col("_first._at.seq").alias("seq"))

@@ -196,3 +196,17 @@ def test_code_checks(spark):
     ]
     warned = judge.judged_warnings(df, tables_, {"w1": checks[0], "w2": checks[2]}, ["id"])
     assert {tuple(r) for r in warned.collect()} == {(3, "w1", "z"), (4, "w1", None), (2, "w2", "3"), (3, "w2", None)}
+
+
+def test_a_replay_broadcasts_nothing(spark):
+    """Rows of JSON text are far larger than their files: none of them goes through the driver."""
+    state = spark.createDataFrame([(1, "a"), (2, "b")], "id int, x string")
+    rows = [("b1", 1, "t", "update", "1", '{"id":1,"x":"a"}', '{"id":1,"x":"c"}'), ("b1", 2, "t", "insert", "3", None, '{"id":3,"x":"d"}')]
+    one = spark.createDataFrame(rows, "batch_id string, seq bigint, target string, action string, key string, before string, after string")
+    changes = one.select("action", F.from_json("before", state.schema).alias("before"), F.from_json("after", state.schema).alias("after"))
+    after = [(1, "c"), (2, "b"), (3, "d")]
+    found = script.replay(state, one, "t", ["id"]), ch.apply_changes(state, changes, ["id"], merged=True), script.unfit(state, one, "t", ["id"])
+    assert sorted(map(tuple, found[0].collect())) == sorted(map(tuple, found[1].collect())) == after and found[2].count() == 0
+    for df in found:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
