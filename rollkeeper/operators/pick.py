@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollkeeper.functions.compare import fingerprint
+from rollkeeper.operators.places import PLACE, at_places
 from rollkeeper.operators.spread import spread_join
 from rollkeeper.session import written
 
@@ -35,20 +36,31 @@ def one_per_key(df: DataFrame, keys: list[str], latest_by: str) -> tuple[DataFra
     folded map-side; the join with them splits a hot key. The rows are stored with what the
     join tells of them. So most are settled by their day alone: whole rows are hashed and
     sorted only where a key has several on its latest day. ``df`` is read twice, so it
-    should be a stored table or cheap to read.
+    should be a stored table or cheap to read. Of rows with places (``places.placed``) only
+    keys, days and places are joined and stored, and the rows are picked by their places.
     """
-    columns = df.columns
+    columns = [c for c in df.columns if c != PLACE]
     days = df.groupBy(*keys, F.col(latest_by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
     top = days.groupBy(*keys).agg(F.max("_by").alias("_top"), F.max_by("_n", "_by").alias("_n"))
     first = F.col(latest_by).eqNullSafe(F.col("_top"))
     # without any day all rows of a key may be equal to each other
     several = F.col("_top").isNull() | (F.col("_n") > 1)
-    marked = spread_join(df, top, keys, "inner")
-    marked = written(marked.select(*columns, first.alias("_first"), (first & several).alias("_tied")), "marked")
-    tied = marked.filter("_tied").select(*columns).withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
+    flags = [first.alias("_first"), (first & several).alias("_tied")]
+    if PLACE in df.columns:
+        marked = spread_join(df.select(*dict.fromkeys([*keys, latest_by, PLACE])), top, keys, "inner")
+        marked = written(marked.select(PLACE, *flags), "marked")
+
+        def rows(which: str) -> DataFrame:
+            return at_places(df, marked.filter(which)).select(*columns)
+    else:
+        marked = written(spread_join(df, top, keys, "inner").select(*columns, *flags), "marked")
+
+        def rows(which: str) -> DataFrame:
+            return marked.filter(which).select(*columns)
+
+    tied = rows("_tied").withColumn("_fp", fingerprint(*[F.col(c) for c in columns]))
     best = tied.groupBy(*keys).agg(F.max(F.struct("_fp", F.struct(*columns).alias("_row"))).alias("_best"))
     best = written(best, "best")
-    won = marked.filter("_first and not _tied").select(*columns).unionByName(best.select("_best._row.*"))
+    won = rows("_first and not _tied").unionByName(best.select("_best._row.*"))
     beaten = spread_join(tied, best.select(*keys, F.col("_best._fp").alias("_best_fp")), keys, "inner", stored=True)
-    lost = marked.filter("not _first").select(*columns)
-    return won, lost.unionByName(beaten.filter(F.col("_fp") != F.col("_best_fp")).select(*columns))
+    return won, rows("not _first").unionByName(beaten.filter(F.col("_fp") != F.col("_best_fp")).select(*columns))

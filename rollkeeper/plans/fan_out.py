@@ -15,6 +15,7 @@ from rollkeeper.operators.changes import END, INSERT, UPDATE, apply_changes, cha
 from rollkeeper.operators.judge import Check, judged_warnings
 from rollkeeper.operators.lookup import exists_in, missing_in
 from rollkeeper.operators.pick import CONFLICT, one_per_key
+from rollkeeper.operators.places import placed as with_places
 from rollkeeper.operators.script import change_script
 from rollkeeper.operators.spread import narrowed
 from rollkeeper.session import steps_of_a_run, written
@@ -200,7 +201,7 @@ def fan_out(
     """
     today = F.lit(as_of)
     known, rejects = gated(batch, targets["id_rec"])
-    known = written(known, "fan-out-batch")
+    known = with_places(known, "fan-out-batch")
 
     persons = known.groupBy(*PERSON_COLUMNS, "payroll_comp_code").agg(
         F.max("pos_effective_date").alias("pos_effective_date")
@@ -229,7 +230,9 @@ def fan_out(
         "hrdiv_table": positions.division_changes(jobs, targets["hrdiv_table"], today),
         "hrdept_table": positions.department_changes(jobs, targets["hrdept_table"], today),
     }
-    keyed = written(positions.with_position_key(jobs, targets["func_table"]), "fan-out-keyed")
+    # Keys and numbers of positions come from small stored tables, so the wide rows are read
+    # with them where they are used, and not stored anew.
+    keyed = positions.with_position_key(jobs, targets["func_table"])
     placed = number_inserts(
         positions.position_changes(keyed, targets["pos_table"], today),
         targets["pos_table"],
@@ -237,7 +240,7 @@ def fan_out(
         ["pcn_aggr"],
     )
     next_positions = apply_changes(targets["pos_table"], placed, KEYS["pos_table"])
-    numbered = written(positions.with_position_number(keyed, next_positions), "fan-out-numbered")
+    numbered = positions.with_position_number(keyed, next_positions)
     job_changes = positions.job_changes(
         numbered, near["job_rec"], next_positions, targets["cvid_rec"], today
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollkeeper.contract import STAMP
-from rollkeeper.operators import chains, places, snapshot, spread
+from rollkeeper.operators import chains, pick, places, snapshot, spread
 from rollkeeper.operators.snapshot import snapshot_diff
 from rollkeeper.plans import ingest as ingest_plan
 from rollkeeper.queries import whole, world
@@ -88,3 +88,22 @@ def test_rows_are_picked_by_their_places(spark):
     assert found.columns == rows.columns
     assert sorted(r.id for r in found.collect()) == sorted(r.id for r in some.collect())
     assert places.at_places(rows, some.limit(0)).count() == 0
+
+
+def test_one_row_per_key_of_placed_rows_stores_no_wide_rows(spark, monkeypatch):
+    """Winners and losers are the same as without places: ties, repeats, null days and null keys too."""
+    names = [f"c{k}" for k in range(30)]
+    values = [("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", None, "x"), ("b", None, "x"), (None, 3, "x"), (None, 1, "x"), ("c", 4, "x"), ("c", 4, "x")]
+    df = spark.createDataFrame([(k, d, *[v] * 30) for k, d, v in values], "k string, d int, " + ", ".join(f"{c} string" for c in names))
+    plain = [sorted(map(repr, part.collect())) for part in pick.one_per_key(df, ["k"], "d")]
+    widths = {}
+
+    def noted(df, name="step", real=pick.written):
+        widths[name] = len(df.columns)
+        return real(df, name)
+
+    monkeypatch.setattr(pick, "written", noted)
+    parts = pick.one_per_key(places.placed(df, "rows"), ["k"], "d")
+    assert [part.columns for part in parts] == [df.columns] * 2
+    assert [sorted(map(repr, part.collect())) for part in parts] == plain
+    assert widths["marked"] == 3
